@@ -1 +1,234 @@
-QUERIES = []
+"""Sources and sinks, checked by reading back what was written."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyfold.catalog.checks import over_clean, over_features, over_raw, r
+from tallyfold.catalog.registry import Query
+from tallyfold.functions.numbers import parse_double
+from tallyfold.operators.headers import unify_headers
+from tallyfold.plans import reports, trade
+from tallyfold.plans.stages import clean_stage, feature_stage, raw_stage
+from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, HEADS, RAW_SCHEMA, STATE, TOTAL, YEAR
+from tallyfold.session import scratch_path
+from tallyfold.sources import documents, gazetteer, tables, text
+from tallyfold.streaming import feeds
+
+# The same heads under the header spellings of two source generations.
+OLD_HEADERS = {
+    STATE: "STATE/UT", DISTRICT: "DISTRICT", YEAR: "YEAR", "MURDER": "MURDER",
+    "ATTEMPT_TO_MURDER": "ATTEMPT TO MURDER",
+    "CULPABLE_HOMICIDE": "CULPABLE HOMICIDE NOT AMOUNTING TO MURDER", "RAPE": "RAPE",
+    "KIDNAPPING_ABDUCTION": "KIDNAPPING & ABDUCTION", "DACOITY": "DACOITY", "ROBBERY": "ROBBERY",
+    "BURGLARY": "BURGLARY", "THEFT": "OTHER THEFT", "AUTO_THEFT": "AUTO THEFT", "RIOTS": "RIOTS",
+    "CHEATING": "CHEATING", "ARSON": "ARSON", "HURT": "HURT/GREVIOUS HURT",
+    "DOWRY_DEATHS": "DOWRY DEATHS",
+    "ASSAULT_ON_WOMEN": "ASSAULT ON WOMEN WITH INTENT TO OUTRAGE HER MODESTY",
+    "INSULT_TO_MODESTY_OF_WOMEN": "INSULT TO MODESTY OF WOMEN",
+    "CRUELTY_BY_HUSBAND": "CRUELTY BY HUSBAND OR HIS RELATIVES", TOTAL: "TOTAL IPC CRIMES",
+}
+NEW_HEADERS = {**{k: v.title() for k, v in OLD_HEADERS.items()},
+               STATE: "States/UTs", DISTRICT: "Districts", "BURGLARY": "Criminal Trespass/Burglary"}
+LAST_OLD_YEAR = 1998
+
+
+def _csv_round_trip(spark, folder):
+    path = scratch_path(spark, "supplier_csv")
+    text.write_delimited(trade.table(spark, folder, "supplier"), path)
+    raw = text.read_delimited(spark, path)
+    return raw.select(
+        F.col("s_suppkey").try_cast("bigint").alias("s_suppkey"), "s_name",
+        F.col("s_nationkey").try_cast("int").alias("s_nationkey"),
+        parse_double(F.col("s_acctbal")).alias("s_acctbal"))
+
+
+def _drifted(spark, folder, strict):
+    """Two CSV generations of the raw facts, read back and unified."""
+    facts = raw_stage(spark, folder)
+
+    def shown(headers, commas):
+        def cell(name):
+            value = F.col(name)
+            if name in HEADS + [TOTAL]:
+                value = F.format_number(value * 1000, 0) if commas else (value * 1000).cast("string")
+            return value.cast("string").alias(headers[name])
+        return [cell(n) for n in [STATE, DISTRICT, YEAR, *HEADS]]
+
+    old_path, new_path = (scratch_path(spark, n) for n in ("old_csv", "new_csv"))
+    old = facts.filter(F.col(YEAR) <= LAST_OLD_YEAR)
+    new = facts.filter(F.col(YEAR) > LAST_OLD_YEAR)
+    text.write_delimited(old.select(
+        *shown(OLD_HEADERS, True), F.lit("5").alias("CUSTODIAL RAPE"),
+        F.format_number(F.col(TOTAL) * 1000, 0).alias(OLD_HEADERS[TOTAL])), old_path)
+    # The later generation carries no total, and years as decimals.
+    text.write_delimited(new.withColumn(YEAR, F.concat(F.col(YEAR), F.lit(".0")))
+                         .select(*shown(NEW_HEADERS, False)), new_path)
+    parts = [unify_headers(text.read_delimited(spark, p), strict) for p in (old_path, new_path)]
+    return parts[0].unionByName(parts[1])
+
+
+def _drift_sql(strict):
+    def head(h):
+        if strict and h == "THEFT":
+            return "(THEFT + AUTO_THEFT) * 1000 AS THEFT"
+        if strict and h in ("AUTO_THEFT", "INSULT_TO_MODESTY_OF_WOMEN"):
+            return f"CAST(0 AS BIGINT) AS {h}"
+        return f"{h} * 1000 AS {h}"
+    lost = "INSULT_TO_MODESTY_OF_WOMEN" if strict else "0"
+    return over_raw(
+        f"SELECT upper(STATE_UT) AS STATE_UT, upper(DISTRICT) AS DISTRICT, YEAR, "
+        f"{', '.join(head(h) for h in HEADS)}, "
+        f"CASE WHEN YEAR <= {LAST_OLD_YEAR} THEN {TOTAL} ELSE {TOTAL} - {lost} END * 1000 AS {TOTAL} "
+        "FROM raw_facts")
+
+
+def _partitioned(spark, folder):
+    path = scratch_path(spark, "facts_by_year_state")
+    tables.write_partitioned(raw_stage(spark, folder), path)
+    return tables.read_table(spark, path, RAW_SCHEMA).filter(
+        (F.col(YEAR) >= 1999) & (F.col(STATE) >= "NATION_2")).select(STATE, DISTRICT, YEAR, TOTAL)
+
+
+def _audit(spark, folder):
+    facts = raw_stage(spark, folder)
+    counts = tables.audited_write(facts, scratch_path(spark, "facts_audited"))
+    return spark.range(1).select(F.lit(counts["rows"]).cast("bigint").alias("rows"),
+                                 F.lit(counts["columns"]).cast("bigint").alias("columns"))
+
+
+def _external(spark, folder):
+    path = scratch_path(spark, "facts_external")
+    tables.write_partitioned(clean_stage(spark, folder), path)
+    name = "facts_" + path.rsplit("-", 1)[1]
+    table = tables.register_external(spark, name, CLEAN_SCHEMA, path)
+    return table.groupBy(YEAR, STATE).agg(F.count(F.lit(1)).alias("places"),
+                                          F.sum(TOTAL).cast("bigint").alias("total_crimes"))
+
+
+def _view(spark, folder):
+    tables.register_view(raw_stage(spark, folder), "facts_view")
+    return spark.sql("SELECT YEAR, CAST(SUM(MURDER) AS BIGINT) AS murders FROM facts_view "
+                     "WHERE DISTRICT LIKE '%7' GROUP BY YEAR")
+
+
+def _gazetteer(spark, folder):
+    nation = trade.table(spark, folder, "nation")
+    path = scratch_path(spark, "gazetteer")
+    # The nation table is a fixed list of names, so one row may hold it.
+    entry = F.struct(F.col("n_name"), F.struct(
+        (F.col("n_nationkey") + 10.5).alias("lat"), (F.col("n_nationkey") + 70.25).alias("lon"),
+        F.concat(F.lit("Zone "), F.col("n_regionkey")).alias("state")))
+    centre = F.struct(F.concat(F.lit("Zone "), F.col("n_regionkey")),
+                      F.array(F.lit(20.5), F.col("n_regionkey") + 70.5))
+    doc = nation.agg(
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("districts"),
+        F.map_from_entries(F.sort_array(F.collect_set(centre))).alias("state_fallbacks"))
+    documents.write_json_lines(doc, path)
+    districts, states = gazetteer.read_gazetteer(spark, path)
+    return districts.join(states, F.col("gaz_state") == F.col("centroid_state")).select(
+        "position", "gaz_name", "gaz_state", "gaz_lat", "gaz_lon", "centroid_lat", "centroid_lon")
+
+
+HOTSPOT_ROW = ("struct<district:string,state:string,lat:double,lon:double,total_crimes:bigint,"
+               "violent_crimes:bigint,property_crimes:bigint,women_crimes:bigint,"
+               "violent_percentage:double,women_crime_pct:double,risk_level:string>")
+
+
+def _document(spark, folder):
+    path = scratch_path(spark, "hotspots_json")
+    reports.hotspot_document(feature_stage(spark, folder), path)
+    return documents.read_section(spark, path, "top_50_hotspots", HOTSPOT_ROW)
+
+
+HOTSPOT_SQL = f"""SELECT DISTRICT AS district, STATE_UT AS state,
+  arg_min(LATITUDE, YEAR) AS lat, arg_min(LONGITUDE, YEAR) AS lon,
+  CAST(sum({TOTAL}) AS BIGINT) AS total_crimes,
+  CAST(sum(VIOLENT_CRIMES) AS BIGINT) AS violent_crimes,
+  CAST(sum(PROPERTY_CRIMES) AS BIGINT) AS property_crimes,
+  CAST(sum(WOMEN_CRIMES) AS BIGINT) AS women_crimes,
+  {r(f'CAST(sum(VIOLENT_CRIMES) AS DOUBLE) * 100 / CAST(sum({TOTAL}) AS DOUBLE)', 2)} AS violent_percentage,
+  {r(f'CAST(sum(WOMEN_CRIMES) AS DOUBLE) * 100 / CAST(sum({TOTAL}) AS DOUBLE)', 2)} AS women_crime_pct,
+  CASE WHEN {r(f'CAST(sum(VIOLENT_CRIMES) AS DOUBLE) * 100 / CAST(sum({TOTAL}) AS DOUBLE)', 2)} > 20
+    OR sum({TOTAL}) > 200000 THEN 'CRITICAL' ELSE 'HIGH' END AS risk_level
+FROM features GROUP BY DISTRICT, STATE_UT
+ORDER BY total_crimes DESC, state, district LIMIT 50"""
+
+
+def _snapshot_lines(spark, folder):
+    path = scratch_path(spark, "snapshots_json")
+    reports.snapshot_lines(feature_stage(spark, folder), path)
+    shape = ("year int, national_total bigint, national_violent_pct double, "
+             "states map<string, struct<total_crimes: bigint, violent_pct: double>>")
+    doc = spark.read.schema(shape).json(path)
+    return doc.select("year", "national_total", "national_violent_pct",
+                      F.explode("states").alias("state", "s")).select(
+        "year", "national_total", "national_violent_pct", "state",
+        "s.total_crimes", "s.violent_pct")
+
+
+def _profiles_document(spark, folder):
+    path = scratch_path(spark, "profiles_json")
+    reports.profile_document(feature_stage(spark, folder), path, 150)
+    row = "struct<district:string,state:string,total_crimes:bigint,dna:struct<violent_pct:double>>"
+    rows = documents.read_section(spark, path, "districts", row)
+    return rows.select("district", "state", "total_crimes", F.col("dna.violent_pct").alias("violent_pct"))
+
+
+def _feed_round_trip(spark, folder):
+    path = scratch_path(spark, "feed_json")
+    feeds.encode_events(trade.incidents(spark, folder)).write.text(path)
+    back = feeds.decode_events(spark.read.text(path))
+    return back.groupBy("state", "primary_type").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("incident_count").cast("bigint").alias("incidents"),
+        F.count("district").alias("with_district"))
+
+
+
+QUERIES = [
+    Query("csv_round_trip", "S1 S10", _csv_round_trip,
+          "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"),
+    Query("drifting_headers", "S2 P1 P2 P3 P6 F3 U1", lambda s, d: _drifted(s, d, False), _drift_sql(False)),
+    Query("drifting_headers_compat", "S2 P2", lambda s, d: _drifted(s, d, True), _drift_sql(True)),
+    Query("partitioned_table", "S3 S4", _partitioned, over_raw(
+        f"SELECT STATE_UT, DISTRICT, YEAR, {TOTAL} FROM raw_facts "
+        "WHERE YEAR >= 1999 AND STATE_UT >= 'NATION_2'")),
+    Query("write_audit", "S16", _audit, over_raw(
+        "SELECT count(*) AS \"rows\", CAST(22 AS BIGINT) AS \"columns\" FROM raw_facts")),
+    Query("external_table", "S5", _external, over_clean(
+        f"SELECT YEAR, STATE_UT, count(*) AS places, CAST(sum({TOTAL}) AS BIGINT) AS total_crimes "
+        "FROM clean GROUP BY YEAR, STATE_UT")),
+    Query("temp_view", "S6", _view, over_raw(
+        "SELECT YEAR, CAST(sum(MURDER) AS BIGINT) AS murders FROM raw_facts "
+        "WHERE DISTRICT LIKE '%7' GROUP BY YEAR")),
+    Query("gazetteer_document", "S8", _gazetteer,
+          "SELECT row_number() OVER (ORDER BY n_name) - 1 AS position, n_name AS gaz_name, "
+          "'ZONE ' || n_regionkey AS gaz_state, n_nationkey + CAST(10.5 AS DOUBLE) AS gaz_lat, "
+          "n_nationkey + CAST(70.25 AS DOUBLE) AS gaz_lon, CAST(20.5 AS DOUBLE) AS centroid_lat, "
+          "n_regionkey + CAST(70.5 AS DOUBLE) AS centroid_lon FROM nation"),
+    Query("hotspot_document", "S9 A1 K1 P14 P15", _document, over_features(HOTSPOT_SQL)),
+    Query("snapshot_document", "S9 A8", _snapshot_lines, over_features(
+        f"""SELECT y.YEAR AS year, national_total, national_violent_pct, state, total_crimes, violent_pct
+        FROM (SELECT YEAR, CAST(sum({TOTAL}) AS BIGINT) AS national_total,
+                {r(f'CAST(sum(VIOLENT_CRIMES) AS DOUBLE) * 100 / CAST(sum({TOTAL}) AS DOUBLE)', 1)}
+                AS national_violent_pct FROM features GROUP BY YEAR) y
+        JOIN (SELECT YEAR, upper(STATE_UT) AS state, CAST(sum({TOTAL}) AS BIGINT) AS total_crimes,
+                {r(f'CAST(sum(VIOLENT_CRIMES) AS DOUBLE) * 100 / CAST(sum({TOTAL}) AS DOUBLE)', 1)}
+                AS violent_pct FROM features GROUP BY YEAR, upper(STATE_UT)) s ON y.YEAR = s.YEAR""")),
+    Query("profile_document", "S9 A9", _profiles_document, over_features(
+        f"""SELECT DISTRICT AS district, STATE_UT AS state,
+        CAST(sum({TOTAL}) AS BIGINT) AS total_crimes,
+        {r(f'CAST(sum(VIOLENT_CRIMES) AS DOUBLE) * 100 / CAST(sum({TOTAL}) AS DOUBLE)', 1)} AS violent_pct
+        FROM features GROUP BY DISTRICT, STATE_UT
+        ORDER BY total_crimes DESC, state, district LIMIT 150""")),
+    Query("json_feed_round_trip", "S11 S13", _feed_round_trip,
+          """WITH e AS (SELECT 'S' || (user_id % 10) AS state, user_id,
+               CASE WHEN event_type <> 'view' THEN upper(event_type) END AS primary_type,
+               CASE WHEN value >= 1 THEN CAST(floor(value) AS BIGINT) END AS n FROM events)
+             SELECT state, primary_type, count(*) AS events, CAST(sum(n) AS BIGINT) AS incidents,
+               count(CASE WHEN user_id % 29 <> 0 THEN 1 END) AS with_district
+             FROM e GROUP BY state, primary_type"""),
+    Query("replay_capped", "S12", lambda s, d: feeds.replay(trade.incidents(s, d)).select("event_id", "year"),
+          "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(year(ts) AS INTEGER) AS year FROM events "
+          "ORDER BY ts, CAST(event_id AS VARCHAR) LIMIT 5000"),
+]

@@ -42,6 +42,7 @@ def main(argv):
     wanted = argv[2:]
     spark = build_session("check", f"local[{os.environ.get('BENCH_CPUS', '8')}]", {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
