@@ -61,14 +61,19 @@ LOWER_RANK = f"""cuts AS (SELECT YEAR, CAST(min(x) AS DOUBLE) AS p75 FROM (
     count(*) OVER (PARTITION BY YEAR) AS n FROM clean) WHERE i >= 0.75 * n GROUP BY YEAR)"""
 
 
+def _changes_as_doubles(df):
+    """The first year has none; as doubles the gaps look alike on both engines."""
+    return df.withColumns({c: F.col(c).cast("double") for c in ("previous", "change")})
+
+
 def _national_change(spark, folder):
     yearly = clean_stage(spark, folder).groupBy(YEAR).agg(F.sum(TOTAL).cast("bigint").alias("total_crimes"))
-    return fx.year_over_year(yearly, "total_crimes")
+    return _changes_as_doubles(fx.year_over_year(yearly, "total_crimes"))
 
 
 def _place_change(spark, folder):
-    return fx.year_over_year(clean_stage(spark, folder), TOTAL, YEAR, [STATE, DISTRICT]).select(
-        STATE, DISTRICT, YEAR, "previous", "change", "change_pct")
+    changed = fx.year_over_year(clean_stage(spark, folder), TOTAL, YEAR, [STATE, DISTRICT])
+    return _changes_as_doubles(changed).select(STATE, DISTRICT, YEAR, "previous", "change", "change_pct")
 
 
 def _scores(spark, folder):
@@ -132,12 +137,13 @@ QUERIES = [
         f"""SELECT {KEY}, {r(f'avg({TOTAL}) OVER (PARTITION BY STATE_UT, DISTRICT ORDER BY YEAR '
                              'RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING)', 2)} AS TRAILING_RISK FROM clean""")),
     Query("national_change", "W6", _national_change, over_clean(
-        f"""SELECT YEAR, total_crimes, previous, total_crimes - previous AS change,
+        f"""SELECT YEAR, total_crimes, CAST(previous AS DOUBLE) AS previous,
+          CAST(total_crimes - previous AS DOUBLE) AS change,
           {r('CAST(total_crimes - previous AS DOUBLE) * 100 / CAST(previous AS DOUBLE)', 2)} AS change_pct
         FROM (SELECT *, lag(total_crimes) OVER (ORDER BY YEAR) AS previous FROM (
           SELECT YEAR, CAST(sum({TOTAL}) AS BIGINT) AS total_crimes FROM clean GROUP BY YEAR))""")),
     Query("place_change", "W6", _place_change, over_clean(
-        f"""SELECT {KEY}, previous, {TOTAL} - previous AS change,
+        f"""SELECT {KEY}, CAST(previous AS DOUBLE) AS previous, CAST({TOTAL} - previous AS DOUBLE) AS change,
           {r(f'CAST({TOTAL} - previous AS DOUBLE) * 100 / CAST(previous AS DOUBLE)', 2)} AS change_pct
         FROM (SELECT *, lag({TOTAL}) OVER (PARTITION BY STATE_UT, DISTRICT ORDER BY YEAR) AS previous FROM clean)""")),
     Query("logistic_scores", "P26 P27", _scores, over_features(

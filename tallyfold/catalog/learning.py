@@ -1 +1,187 @@
-QUERIES = []
+"""Clustering, classification and their measures."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyfold.catalog.checks import CLEAN, bucket, over_features, r
+from tallyfold.catalog.registry import Query
+from tallyfold.functions.labels import short_risk
+from tallyfold.learning import clustering, metrics, severity
+from tallyfold.operators.rollups import cluster_summary
+from tallyfold.plans import trade
+from tallyfold.plans.models import severity_model, train_and_test
+from tallyfold.plans.stages import clean_stage, feature_stage
+from tallyfold.schema import DISTRICT, LABEL, LAT, LON, MODEL_FEATURES, STATE, TOTAL, YEAR
+from tallyfold.session import scratch_path
+from tallyfold.sources.models import load_model, save_model
+
+CENTRES = [(12.5, 72.5), (18.0, 80.0), (24.5, 76.0), (31.0, 90.0), (20.0, 92.0)]
+
+
+def _points(spark, folder):
+    return trade.table(spark, folder, "embeddings").select(
+        "vec_id", "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
+
+
+def _kmeans(spark, folder):
+    points = _points(spark, folder)
+    model = clustering.fit_clusters(points, ("x", "y"), out="cluster_id")
+    return clustering.assign_clusters(model, points, "cluster_id").select("vec_id", "label", "cluster_id")
+
+
+def _kmeans_sizes(spark, folder):
+    """Counts that hold for any correct clustering of these points."""
+    rows = _kmeans(spark, folder).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(F.sum("n").cast("bigint").alias("points"), F.count(F.lit(1)).alias("clusters"),
+                    F.count_if(F.col("cluster_id").between(0, 14)).alias("in_range"))
+
+
+def _zones(spark, folder):
+    """Clusters of the places with their centre, volume and leading states."""
+    features = feature_stage(spark, folder)
+    model = clustering.fit_clusters(features)
+    placed = clustering.assign_clusters(model, features)
+    summary = cluster_summary(placed, "LOCATION_CLUSTER", DISTRICT, STATE, TOTAL)
+    # One row per centre.
+    return summary.join(F.broadcast(clustering.cluster_centres(model, features)),
+                        F.col("LOCATION_CLUSTER") == F.col("cluster_id")).select(
+        "cluster_id", "center_lat", "center_lon", "total_crimes", "distinct_districts", "dominant_states")
+
+
+def _quality(spark, folder):
+    points = _points(spark, folder)
+    model = clustering.fit_clusters(points, ("x", "y"), out="cluster_id")
+    q = clustering.cluster_quality(model, points, "cluster_id")
+    return spark.range(1).select(F.lit(q["silhouette"]).alias("silhouette"), F.lit(q["wssse"]).alias("wssse"))
+
+
+def _zoned(spark, folder):
+    return clustering.nearest_centre(clean_stage(spark, folder), CENTRES, LAT, LON)
+
+
+_DISTANCE = "(LATITUDE - CAST({x} AS DOUBLE)) ** 2 + (LONGITUDE - CAST({y} AS DOUBLE)) ** 2"
+ZONED = "zoned AS (SELECT *, list_position(d, list_min(d)) - 1 AS cluster_id FROM (SELECT *, [" + ", ".join(
+    _DISTANCE.format(x=x, y=y) for x, y in CENTRES) + "] AS d FROM clean))"
+
+
+def _summary(spark, folder):
+    return cluster_summary(_zoned(spark, folder), "cluster_id", DISTRICT, STATE, TOTAL).withColumn(
+        "dominant_states", F.concat_ws(",", "dominant_states"))
+
+
+def _scored(spark, folder):
+    p = F.round(short_risk({"DISTRICT_RISK_SCORE": (0.5, 150.0), "VIOLENT_CRIME_RATIO": (0.1, 0.35),
+                            "PROPERTY_CRIME_RATIO": (0.05, 0.4), "WOMEN_CRIME_RATIO": (0.15, 0.15)}), 4)
+    return feature_stage(spark, folder).select(STATE, DISTRICT, YEAR, LABEL, p.alias("p")).withColumn(
+        "predicted", (F.col("p") >= 0.57).cast("int"))
+
+
+SCORED = "scored AS (SELECT HIGH_SEVERITY_FLAG, p, CAST(p >= 0.57 AS INTEGER) AS predicted FROM (SELECT *, " + r(
+    "1.0 / (1.0 + exp(-6.0 * ((" + " + ".join(
+        f"CAST({w} AS DOUBLE) * least({c} / CAST({full} AS DOUBLE), 1.0)" for c, w, full in (
+            ("DISTRICT_RISK_SCORE", 0.5, 150), ("VIOLENT_CRIME_RATIO", 0.1, 0.35),
+            ("PROPERTY_CRIME_RATIO", 0.05, 0.4), ("WOMEN_CRIME_RATIO", 0.15, 0.15)))
+    + ") - CAST(0.45 AS DOUBLE))))", 4) + " AS p FROM features))"
+
+CONFUSION = """confusion AS (SELECT count(*) FILTER (HIGH_SEVERITY_FLAG = 1 AND predicted = 1) AS true_positive,
+  count(*) FILTER (HIGH_SEVERITY_FLAG <> 1 AND predicted = 1) AS false_positive,
+  count(*) FILTER (HIGH_SEVERITY_FLAG <> 1 AND predicted <> 1) AS true_negative,
+  count(*) FILTER (HIGH_SEVERITY_FLAG = 1 AND predicted <> 1) AS false_negative FROM scored)"""
+
+
+def _ratio(a, b):
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0.0)"
+
+
+PRECISION, RECALL = (_ratio("true_positive", f"(true_positive + {x})") for x in ("false_positive", "false_negative"))
+
+
+def _forest_scores(spark, folder):
+    _, test = train_and_test(spark, folder)
+    return severity.score_severity(severity_model(spark, folder), test).select(
+        STATE, DISTRICT, YEAR, LABEL, "risk_probability", "predicted")
+
+
+def _forest_counts(spark, folder):
+    """Counts that hold for any classifier on the held-out rows."""
+    rows = _forest_scores(spark, folder)
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(LABEL) == 1).alias("severe"),
+                    F.count_if(F.col("risk_probability").between(0, 1)).alias("in_range"))
+
+
+def _forest_report(spark, folder):
+    model = severity_model(spark, folder)
+    train, test = train_and_test(spark, folder)
+    scored = severity.score_severity(model, test).select(LABEL, "risk_probability", "predicted")
+    counts = metrics.confusion(scored, LABEL, "predicted")
+    quality = severity.model_quality(model, test)
+    extra = train.agg(F.count(F.lit(1)).alias("train_size"), F.lit(severity.TREES).alias("num_trees"),
+                      F.lit(severity.DEPTH).alias("max_depth"), F.lit(quality["auc_roc"]).alias("auc_roc_library"))
+    return metrics.report_rows([metrics.decision_metrics(counts), metrics.roc_area(scored, LABEL, "risk_probability"),
+                                counts, extra])
+
+
+def _model_round_trip(spark, folder):
+    """Rows on which a model and its reloaded copy disagree."""
+    points = _points(spark, folder)
+    model = clustering.fit_clusters(points, ("x", "y"), out="before")
+    path = scratch_path(spark, "kmeans_model")
+    save_model(model, path)
+    first = clustering.assign_clusters(model, points, "before")
+    again = clustering.assign_clusters(load_model(path), first.withColumnRenamed("before", "kept"), "before")
+    return again.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") != F.col("kept")).alias("differing"))
+
+
+SPLIT = "(" + bucket("STATE_UT || '|' || DISTRICT || '|' || YEAR", 100) + " < 80)"
+
+QUERIES = [
+    Query("kmeans_assignment", "M1 M2 J9", _kmeans),
+    Query("kmeans_sizes", "M2", _kmeans_sizes,
+          "SELECT count(*) AS points, CAST(15 AS BIGINT) AS clusters, CAST(15 AS BIGINT) AS in_range FROM embeddings"),
+    Query("kmeans_zones", "M2 J9 A10 K6", _zones),
+    Query("kmeans_quality", "M3", _quality),
+    Query("kmeans_elbow", "M4", lambda s, d: clustering.elbow(_points(s, d), ("x", "y"))),
+    Query("model_round_trip", "S15", _model_round_trip,
+          "SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS differing FROM embeddings"),
+    Query("nearest_centres", "M2", lambda s, d: _zoned(s, d).select(STATE, DISTRICT, YEAR, "cluster_id"), f"WITH {CLEAN},\n{ZONED}\n"
+        "SELECT STATE_UT, DISTRICT, YEAR, CAST(cluster_id AS INTEGER) AS cluster_id FROM zoned"),
+    Query("cluster_summary", "A10 K6", _summary, over_features(
+        f"""SELECT CAST(t.cluster_id AS INTEGER) AS cluster_id, total_crimes, distinct_districts, dominant_states
+        FROM (SELECT cluster_id, CAST(sum({TOTAL}) AS BIGINT) AS total_crimes,
+                count(DISTINCT DISTRICT) AS distinct_districts FROM zoned GROUP BY cluster_id) t
+        JOIN (SELECT cluster_id, string_agg(STATE_UT, ',' ORDER BY n) AS dominant_states FROM (
+            SELECT cluster_id, STATE_UT, row_number() OVER (PARTITION BY cluster_id ORDER BY v DESC, STATE_UT) AS n
+            FROM (SELECT cluster_id, STATE_UT, sum({TOTAL}) AS v FROM zoned GROUP BY ALL)) WHERE n <= 3
+          GROUP BY cluster_id) s ON t.cluster_id = s.cluster_id""", ZONED)),
+    Query("train_split", "M5", lambda s, d: severity.split_rows(feature_stage(s, d)).select(
+        STATE, DISTRICT, YEAR, "is_train"), over_features(
+        f"SELECT STATE_UT, DISTRICT, YEAR, CAST({SPLIT} AS INTEGER) AS is_train FROM features")),
+    Query("forest_scores", "M6 M9", _forest_scores),
+    Query("forest_counts", "M6 M9", _forest_counts, over_features(
+        f"SELECT count(*) AS \"rows\", count(*) FILTER (HIGH_SEVERITY_FLAG = 1) AS severe, count(*) AS in_range "
+        f"FROM features WHERE NOT {SPLIT}")),
+    Query("forest_importances", "M8 W5", lambda s, d: severity.importances(severity_model(s, d), feature_stage(s, d))),
+    Query("forest_report", "M7 M10", _forest_report),
+    Query("confusion_matrix", "A15", lambda s, d: metrics.confusion(_scored(s, d), LABEL, "predicted"),
+          over_features("SELECT * FROM confusion", f"{SCORED}, {CONFUSION}")),
+    Query("decision_metrics", "A16", lambda s, d: metrics.decision_metrics(metrics.confusion(_scored(s, d), LABEL, "predicted")),
+          over_features(f"""SELECT {r(_ratio('true_positive + true_negative',
+              '(true_positive + true_negative + false_positive + false_negative)'), 4)} AS accuracy,
+            {r(PRECISION, 4)} AS precision, {r(RECALL, 4)} AS recall,
+            {r(f'coalesce({PRECISION} * {RECALL} * 2 / nullif({PRECISION} + {RECALL}, 0), 0.0)', 4)} AS f1_score
+          FROM confusion""", f"{SCORED}, {CONFUSION}")),
+    Query("roc_area", "A17 M7", lambda s, d: metrics.roc_area(_scored(s, d), LABEL, "p"), over_features(
+        f"""SELECT {r('(sum(CASE WHEN HIGH_SEVERITY_FLAG = 1 THEN avg_rank END) - pos * (pos + 1) / CAST(2 AS DOUBLE)) '
+                      '/ (CAST(pos AS DOUBLE) * neg)', 6)} AS auc_roc
+        FROM (SELECT HIGH_SEVERITY_FLAG,
+            rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / CAST(2 AS DOUBLE) AS avg_rank,
+            count(*) FILTER (HIGH_SEVERITY_FLAG = 1) OVER () AS pos,
+            count(*) FILTER (HIGH_SEVERITY_FLAG <> 1) OVER () AS neg FROM scored) GROUP BY pos, neg""", SCORED)),
+    Query("correlation_ranking", "A18 W5", lambda s, d: metrics.correlation_ranking(
+        feature_stage(s, d), LABEL, MODEL_FEATURES), over_features(
+        f"""SELECT *, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank
+        FROM (SELECT feature, {r('s / sum(s) OVER ()', 4)} AS importance FROM (""" + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, coalesce(abs(corr(CAST({c} AS DOUBLE), CAST(HIGH_SEVERITY_FLAG AS DOUBLE))), 0.0) AS s "
+            "FROM features" for c in MODEL_FEATURES) + "))")),
+]

@@ -190,8 +190,10 @@ QUERIES = [
         f"SELECT STATE_UT AS state, {_sum_sql(SUMS)} FROM features GROUP BY STATE_UT")),
     Query("year_rollup", "A3 K3", on_features(lambda f: rollups.year_rollup(f).orderBy("year")), over_features(
         f"SELECT YEAR AS year, {_sum_sql(ALL_SUMS)} FROM features GROUP BY YEAR")),
-    Query("year_rollup_with_total", "A3 A4", on_features(rollups.year_rollup_with_total), over_features(
-        f"SELECT YEAR AS year, {_sum_sql(ALL_SUMS)} FROM features GROUP BY ROLLUP (YEAR)")),
+    Query("year_rollup_with_total", "A3 A4", on_features(
+        lambda f: rollups.year_rollup_with_total(f).withColumn(
+            "year", F.coalesce(F.col("year").cast("string"), F.lit("all")))), over_features(
+        f"SELECT coalesce(CAST(YEAR AS VARCHAR), 'all') AS year, {_sum_sql(ALL_SUMS)} FROM features GROUP BY ROLLUP (YEAR)")),
     Query("grand_total", "A4", on_features(rollups.grand_total), over_features(
         f"SELECT CAST(sum({TOTAL}) AS BIGINT) AS total_national_crimes FROM features")),
     Query("top_districts", "K1 K7", on_features(rollups.top_districts), over_features(

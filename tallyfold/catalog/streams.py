@@ -1 +1,193 @@
-QUERIES = []
+"""Streams over the event table, drained to their end and compared with batch SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyfold.catalog.checks import over_incidents, r
+from tallyfold.catalog.registry import Query
+from tallyfold.plans import trade
+from tallyfold.session import scratch_path
+from tallyfold.streaming import feeds, live, sinks, surges
+
+BATCHES = 4
+STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _stream(spark, folder, batches=None):
+    """The event table as a stream, in one go or as several files."""
+    schema = trade.table(spark, folder, "events").schema
+    if batches is None:
+        return trade.as_incidents(feeds.table_events(spark, folder, "events.parquet", schema))
+    path = scratch_path(spark, "event_files")
+    trade.table(spark, folder, "events").repartition(batches, "event_id").write.parquet(path)
+    return trade.as_incidents(feeds.table_events(spark, path, "*.parquet", schema, 1))
+
+
+def _drained(spark, stream, keys, mode="update"):
+    log, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "checkpoint")
+    sinks.drain(stream, checkpoint, sinks.change_log(log), mode)
+    return sinks.current_state(spark, log, keys, _with_batch(stream.schema))
+
+
+def _with_batch(schema):
+    return T.StructType(list(schema.fields) + [T.StructField(sinks.BATCH, T.LongType())])
+
+
+def _place_totals(spark, folder):
+    return _drained(spark, live.place_totals(_stream(spark, folder, BATCHES)), ["state", "district"])
+
+
+def _type_totals(spark, folder):
+    return _drained(spark, live.type_totals(_stream(spark, folder)), ["primary_type"])
+
+
+def _summary(spark, folder):
+    stream = live.feed_summary(_stream(spark, folder)).withColumn("feed", F.lit("all"))
+    out = _drained(spark, stream, ["feed"])
+    return out.select("feed", "total_events_consumed", F.date_format("stream_started_at", STAMP).alias("stream_started_at"),
+                      F.date_format("last_updated", STAMP).alias("last_updated"))
+
+
+def _top_places(spark, folder):
+    path = scratch_path(spark, "top_places")
+    top = live.top_places(live.place_totals(_stream(spark, folder)))
+    sinks.drain(top, scratch_path(spark, "checkpoint"), sinks.snapshots(path), "complete")
+    return sinks.newest_snapshot(spark, path)
+
+
+_runs: dict[tuple[str, str], str] = {}
+
+
+def _snapshot_run(spark, folder):
+    """Output folder of the snapshot stream, run once per session and source."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _runs:
+        path = scratch_path(spark, "live")
+        sinks.drain(_stream(spark, folder, BATCHES), scratch_path(spark, "checkpoint"),
+                    live.snapshot_writer(path), "append")
+        _runs[key] = path
+    return _runs[key]
+
+
+def _snapshot(spark, folder):
+    path = _snapshot_run(spark, folder)
+    shape = ("total_events_consumed bigint, crime_type_breakdown map<string, bigint>, top_live_districts "
+             "array<struct<state: string, district: string, live_incident_count: bigint>>")
+    newest = spark.read.schema(shape).json(f"{path}/snapshot/version={BATCHES - 1}")
+    top = newest.select("total_events_consumed", F.inline("top_live_districts")).select(
+        "total_events_consumed", F.concat_ws("::", "state", "district").alias("name"),
+        F.col("live_incident_count").alias("incidents"))
+    kinds = newest.select("total_events_consumed", F.explode("crime_type_breakdown").alias("name", "incidents"))
+    return top.unionByName(kinds)
+
+
+SNAPSHOT_SQL = over_incidents("""SELECT (SELECT count(*) FROM incidents) AS total_events_consumed, * FROM (
+  (SELECT state || '::' || district AS name, CAST(sum(incident_count) AS BIGINT) AS incidents
+   FROM incidents GROUP BY state, district ORDER BY incidents DESC, state, district LIMIT 20)
+  UNION ALL (SELECT primary_type, CAST(sum(incident_count) AS BIGINT) FROM incidents GROUP BY primary_type))""")
+
+
+def _flushed(spark, folder):
+    path = _snapshot_run(spark, folder)
+    rows = spark.read.option("basePath", f"{path}/summary").parquet(f"{path}/summary")
+    return rows.agg(F.countDistinct("batch_id").alias("flushes"),
+                    F.sum("total_events_consumed").cast("bigint").alias("events"))
+
+
+def _recent(spark, folder):
+    path = _snapshot_run(spark, folder)
+    kept = live.recent_events(live.running_log(spark, path)["recent"], 25)
+    return live.recent_events(kept, 12).select("event_id", F.date_format("timestamp", STAMP).alias("at"))
+
+
+def _throughput(spark, folder):
+    stream = surges.throughput(_stream(spark, folder), "1 hour", 3600, "1 hour")
+    return _hour(_drained(spark, stream, ["window_start"]))
+
+
+def _hour(df):
+    return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
+ALERT_COLUMNS = ["window_start", "state", "district", "current_rate", "baseline_mean", "z_score", "severity", "message"]
+SCORED = f"""scored AS (SELECT *, {r('(current_rate - mean) / spread', 2)} AS z_score FROM rated WHERE spread > 0),
+alerts AS (SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_start, state, district, current_rate,
+  {r('mean', 1)} AS baseline_mean, z_score,
+  CASE WHEN z_score >= 3.0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+  'Statistical Surge (' || CASE WHEN z_score >= 3.0 THEN 'CRITICAL' ELSE 'WARNING' END || '): '
+    || current_rate || ' incidents in ' || district AS message
+  FROM scored WHERE z_score >= 2.5)"""
+COUNTED = """counted AS (SELECT date_trunc('day', "timestamp") AS w, state, district,
+  CAST(sum(incident_count) AS BIGINT) AS current_rate FROM incidents GROUP BY ALL)"""
+MOMENTS = """CAST(s AS DOUBLE) / n AS mean,
+  sqrt(greatest(0.0, CAST(q AS DOUBLE) / n - (CAST(s AS DOUBLE) / n) * (CAST(s AS DOUBLE) / n))) AS spread"""
+PAST = f"""{COUNTED}, past AS (SELECT *, count(current_rate) OVER p AS n, CAST(sum(current_rate) OVER p AS BIGINT) AS s,
+  CAST(sum(current_rate * current_rate) OVER p AS BIGINT) AS q FROM counted
+  WINDOW p AS (PARTITION BY state, district ORDER BY w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+rated AS (SELECT *, {MOMENTS} FROM past WHERE n >= 3), {SCORED}"""
+FIRST_HALF = "2024-01-16"
+STORED = f"""{COUNTED}, sums AS (SELECT state, district, count(*) AS n, CAST(sum(current_rate) AS BIGINT) AS s,
+  CAST(sum(current_rate * current_rate) AS BIGINT) AS q FROM counted WHERE w < TIMESTAMP '{FIRST_HALF}' GROUP BY ALL),
+base AS (SELECT state, district, {MOMENTS} FROM sums WHERE n >= 3),
+rated AS (SELECT c.*, mean, spread FROM counted c JOIN base b ON c.state = b.state AND c.district = b.district), {SCORED}"""
+
+
+def _alerts(spark, folder):
+    return surges.surge_alerts(trade.incidents(spark, folder))
+
+
+def _live_alerts(spark, folder):
+    before = trade.incidents(spark, folder).filter(F.col("timestamp") < F.lit(FIRST_HALF).cast("timestamp"))
+    stream = surges.live_surges(_stream(spark, folder), surges.baseline_table(before))
+    return _hour(_drained(spark, stream, ["window_start", "state", "district"]))
+
+
+def _ratios(spark, folder):
+    events = live.with_event_defaults(trade.incidents(spark, folder))
+    last = F.struct("timestamp", "event_id")
+    totals = events.groupBy("state", "district").agg(
+        F.sum("incident_count").alias("live_incident_count"), F.max_by("incident_count", last).alias("last_count"))
+    return surges.surge_ratio(totals)
+
+
+QUERIES = [
+    Query("live_place_totals", "ST1 P22", _place_totals, over_incidents(
+        "SELECT state, district, CAST(sum(incident_count) AS BIGINT) AS live_incident_count FROM incidents "
+        "GROUP BY state, district")),
+    Query("live_type_totals", "ST2", _type_totals, over_incidents(
+        "SELECT primary_type, CAST(sum(incident_count) AS BIGINT) AS incidents FROM incidents GROUP BY primary_type")),
+    Query("live_summary", "ST3 S11", _summary, over_incidents(
+        "SELECT 'all' AS feed, count(*) AS total_events_consumed, "
+        "strftime(min(\"timestamp\"), '%Y-%m-%d %H:%M:%S.%f') AS stream_started_at, "
+        "strftime(max(\"timestamp\"), '%Y-%m-%d %H:%M:%S.%f') AS last_updated FROM incidents")),
+    Query("live_top_places", "K5 S14", _top_places, over_incidents(
+        "SELECT state, district, CAST(sum(incident_count) AS BIGINT) AS live_incident_count FROM incidents "
+        "GROUP BY state, district ORDER BY live_incident_count DESC, state, district LIMIT 20")),
+    Query("live_snapshot", "ST4 S9 S14", _snapshot, SNAPSHOT_SQL),
+    Query("flushed_batches", "ST5 ST6", _flushed,
+          f"SELECT CAST({BATCHES} AS BIGINT) AS flushes, count(*) AS events FROM events"),
+    Query("recent_events", "ST7", _recent, over_incidents(
+        "SELECT event_id, strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S.%f') AS at FROM incidents "
+        "ORDER BY \"timestamp\" DESC, event_id DESC LIMIT 12")),
+    Query("throughput_windows", "ST8", _throughput, over_incidents(
+        f"""SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_start, events,
+          {r('CAST(events AS DOUBLE) / 3600', 6)} AS events_per_second
+        FROM (SELECT date_trunc('hour', "timestamp") AS w, count(*) AS events FROM incidents GROUP BY ALL)""")),
+    Query("surge_alerts", "ST9", lambda s, d: _hour(_alerts(s, d)), over_incidents(
+        f"SELECT {', '.join(ALERT_COLUMNS)} FROM alerts", PAST)),
+    Query("live_surge_alerts", "ST9", _live_alerts, over_incidents(
+        f"SELECT {', '.join(ALERT_COLUMNS)} FROM alerts", STORED)),
+    Query("surge_ratio", "ST10", _ratios, over_incidents(
+        f"""SELECT state, district, live_incident_count, last_count,
+          greatest(4.0, live_incident_count % 30 + CAST(8 AS DOUBLE)) AS baseline,
+          {r('CAST(last_count AS DOUBLE) / greatest(4.0, live_incident_count % 30 + CAST(8 AS DOUBLE))', 4)} AS surge_ratio,
+          CAST(CAST(last_count AS DOUBLE) / greatest(4.0, live_incident_count % 30 + CAST(8 AS DOUBLE)) > 2.2 AS INTEGER)
+            AS is_surge
+        FROM (SELECT state, district, CAST(sum(incident_count) AS BIGINT) AS live_incident_count,
+          arg_max(incident_count, ("timestamp", event_id)) AS last_count FROM incidents GROUP BY state, district)""")),
+    Query("recent_alerts", "ST11", lambda s, d: _hour(surges.recent_alerts(_alerts(s, d))), over_incidents(
+        f"SELECT {', '.join(ALERT_COLUMNS)} FROM alerts ORDER BY window_start DESC, z_score DESC, state, district LIMIT 6",
+        PAST)),
+]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -25,7 +27,7 @@ def fit_clusters(df: DataFrame, columns: tuple[str, ...] = (LAT, LON), k: int =
                  iterations: int = ITERATIONS, seed: int = SEED,
                  out: str = "LOCATION_CLUSTER") -> PipelineModel:
     kmeans = KMeans(k=k, maxIter=iterations, seed=seed, featuresCol="features", predictionCol=out)
-    return Pipeline(stages=[assembler(list(columns)), kmeans]).fit(df)
+    return Pipeline(stages=[assembler(list(columns)), kmeans]).fit(df.select(*columns))
 
 
 def assign_clusters(model: PipelineModel, df: DataFrame, out: str = "LOCATION_CLUSTER") -> DataFrame:
@@ -55,16 +57,22 @@ def nearest_centre(df: DataFrame, centres: list[tuple[float, float]], x: str, y:
 
 
 def elbow(df: DataFrame, columns: tuple[str, ...], ks: range = range(5, 26),
-          iterations: int = ITERATIONS, seed: int = SEED) -> DataFrame:
+          iterations: int = ITERATIONS, seed: int = SEED, parallel: int = 4) -> DataFrame:
     """Squared error per number of clusters, with the knee marked.
 
-    The knee lies farthest below the line from the first to the last point.
+    The knee lies farthest below the line from the first to the last point. The
+    fits share the persisted points, and ``parallel`` of them run at a time.
     """
     points = assembler(list(columns)).transform(df).select("features").persist(
         StorageLevel.MEMORY_AND_DISK)
+
+    def cost(k):
+        model = KMeans(k=k, maxIter=iterations, seed=seed).fit(points)
+        return k, float(model.summary.trainingCost)
+
     try:
-        rows = [(k, float(KMeans(k=k, maxIter=iterations, seed=seed).fit(points).summary.trainingCost))
-                for k in ks]
+        with ThreadPool(parallel) as pool:
+            rows = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks), chunksize=1)
     finally:
         points.unpersist()
     table = constant_table(df.sparkSession, ["k", "wssse"], rows)

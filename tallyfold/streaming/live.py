@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.text import place_key
+from tallyfold.sources.documents import write_json_lines
 
 
 def with_event_defaults(events: DataFrame) -> DataFrame:
@@ -70,3 +73,44 @@ def merge_recent(stored: DataFrame | None, batch: DataFrame, kept: int = 25) ->
 def place_names(events: DataFrame) -> DataFrame:
     """Events with the combined place key."""
     return with_event_defaults(events).withColumn("place", place_key(F.col("state"), F.col("district")))
+
+
+def snapshot_writer(path: str, k: int = 20, kept: int = 25) -> Callable[[DataFrame, int], None]:
+    """Batch function keeping running totals, the recent buffer and a snapshot.
+
+    Each batch adds its own sums in a folder named by the batch, so a repeated
+    batch replaces itself. Totals are the sum over the folders and need no state
+    store. The snapshot of a batch becomes visible as a whole.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"batch_id={batch_id}"
+        batch = batch.persist()
+        try:
+            for name, part in (("places", place_totals(batch)), ("types", type_totals(batch)),
+                               ("summary", feed_summary(batch)), ("recent", recent_events(batch, kept))):
+                part.write.mode("overwrite").parquet(f"{path}/{name}/{own}")
+        finally:
+            batch.unpersist()
+        log = running_log(spark, path, batch_id)
+        snapshot = live_snapshot(log["places"], log["types"], log["summary"], k)
+        write_json_lines(snapshot, f"{path}/snapshot/version={batch_id}")
+    return write
+
+
+def running_log(spark: SparkSession, path: str, up_to: int | None = None) -> dict[str, DataFrame]:
+    """Totals over all batch folders up to one batch."""
+    def read(name):
+        rows = spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
+        return rows if up_to is None else rows.filter(F.col("batch_id") <= up_to)
+
+    return {
+        "places": read("places").groupBy("state", "district").agg(
+            F.sum("live_incident_count").alias("live_incident_count")),
+        "types": read("types").groupBy("primary_type").agg(F.sum("incidents").alias("incidents")),
+        "summary": read("summary").agg(
+            F.sum("total_events_consumed").alias("total_events_consumed"),
+            F.min("stream_started_at").alias("stream_started_at"),
+            F.max("last_updated").alias("last_updated")),
+        "recent": read("recent").drop("batch_id"),
+    }

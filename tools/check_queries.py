@@ -11,7 +11,6 @@ import sys
 import time
 
 import duckdb
-import pandas as pd
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -24,17 +23,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def plain(value):
     if isinstance(value, float):
-        return "null" if math.isnan(value) else repr(value)
-    if value is None or value is pd.NaT:
-        return "null"
-    if hasattr(value, "tolist"):
-        return str(value.tolist())
+        return "nan" if math.isnan(value) else repr(value)
     return str(value)
 
 
-def rows(frame: pd.DataFrame):
-    frame = frame.reindex(sorted(frame.columns), axis=1)
-    return sorted(tuple(plain(v) for v in row) for row in frame.astype(object).itertuples(index=False))
+def rows(columns, values):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(plain(row[i]) for i in order) for row in values)
 
 
 def main(argv):
@@ -55,7 +50,7 @@ def main(argv):
         start = time.time()
         try:
             df = q.run(spark, folder)
-            got = df.toPandas()
+            got = df.collect()
         except Exception as exc:  # a report tool: show and go on
             bad += 1
             print(f"FAIL {q.name}: {type(exc).__name__} {str(exc)[:1500]}")
@@ -65,23 +60,24 @@ def main(argv):
             print(f"ok   {q.name}: {len(got)} rows, no SQL ({took:.1f}s)")
             continue
         try:
-            want = con.sql(q.sql).df()
+            answer = con.sql(q.sql)
+            want = answer.fetchall()
         except Exception as exc:
             bad += 1
             print(f"FAIL {q.name}: SQL {str(exc)[:1500]}")
             continue
-        kinds = dict(zip(got.columns, [f.dataType.simpleString() for f in df.schema.fields]))
-        a, b = rows(got), rows(want)
-        if sorted(got.columns) != sorted(want.columns):
+        kinds = dict(zip(df.columns, [f.dataType.simpleString() for f in df.schema.fields]))
+        a, b = rows(df.columns, got), rows(answer.columns, want)
+        if sorted(df.columns) != sorted(answer.columns):
             bad += 1
-            print(f"FAIL {q.name}: columns {sorted(set(got.columns) ^ set(want.columns))}")
+            print(f"FAIL {q.name}: columns {sorted(set(df.columns) ^ set(answer.columns))}")
         elif a != b:
             bad += 1
             extra = [x for x in a if x not in set(b)][:3]
             lack = [x for x in b if x not in set(a)][:3]
-            print(f"FAIL {q.name}: {len(a)} vs {len(b)} rows\n  cols {sorted(got.columns)}\n  spark {extra}\n  sql   {lack}\n  {kinds}")
+            print(f"FAIL {q.name}: {len(a)} vs {len(b)} rows\n  cols {sorted(df.columns)}\n  spark {extra}\n  sql   {lack}\n  {kinds}")
         else:
-            types = {c: str(t) for c, t in zip(want.columns, con.sql(q.sql).types)}
+            types = {c: str(t) for c, t in zip(answer.columns, answer.types)}
             same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
                     "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
             off = [f"{c}:{k}/{types[c]}" for c, k in kinds.items() if k in same and same[k] != types[c]]
