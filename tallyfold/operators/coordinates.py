@@ -59,16 +59,19 @@ def containing_places(names: DataFrame, places: DataFrame, name: str,
 
 
 def locate(df: DataFrame, places: DataFrame, centroids: DataFrame, state: str = "STATE_RAW",
-           district: str = DISTRICT, strict_compat: bool = False) -> DataFrame:
+           district: str = DISTRICT, strict_compat: bool = False,
+           names: DataFrame | None = None) -> DataFrame:
     """Adds latitude, longitude and how they were found.
 
     Tried in turn: the district by name, a district of the same state whose
     name overlaps, the state's centroid moved by a per-name jitter, the national
     centroid. ``strict_compat`` lets any state's overlapping name match.
 
-    Only distinct (state, district) pairs are looked up and joined back.
+    Only distinct (state, district) pairs are looked up and joined back. Where a
+    table of all places exists, give it as ``names`` (same two columns): the
+    lookup then does not have to read the facts for their names.
     """
-    asked = df.select(name_key(F.col(state)).alias("_state"),
+    asked = (df if names is None else names).select(name_key(F.col(state)).alias("_state"),
                       name_key(F.col(district)).alias("_name"),
                       F.trim(F.col(district)).alias("_shown")).distinct()
     exact = exact_places(asked, places, "_name")

@@ -42,26 +42,28 @@ def district_risk(df: DataFrame, by_name_only: bool = False, total: str = TOTAL)
     return df.withColumn("DISTRICT_RISK_SCORE", F.round(F.avg(total).over(by), 2))
 
 
-def state_risk(df: DataFrame, total: str = TOTAL) -> DataFrame:
+def state_risk(df: DataFrame, total: str = TOTAL, source: DataFrame | None = None) -> DataFrame:
     """Mean yearly district volume of the row's state.
 
     A state may hold much of the table, so it is averaged with map-side partial
-    sums and joined back instead of being gathered in a window.
+    sums and joined back instead of being gathered in a window. ``source`` has the
+    same rows in a form that is cheaper to read.
     """
-    means = df.groupBy(STATE).agg(F.round(F.avg(total), 2).alias("STATE_RISK_SCORE"))
+    means = (df if source is None else source).groupBy(STATE).agg(F.round(F.avg(total), 2).alias("STATE_RISK_SCORE"))
     return df.join(means, STATE, "left")
 
 
 def severity_label(df: DataFrame, total: str = TOTAL, approximate: bool = False,
-                   threshold_on: str | None = None) -> DataFrame:
+                   source: DataFrame | None = None) -> DataFrame:
     """1 for rows at or above the year's upper quartile of the total.
 
     There are at most 9999 years, so the thresholds may be broadcast and the
-    rows of a busy year stay where they are.
+    rows of a busy year stay where they are. ``source`` has the same rows in a
+    form that is cheaper to read, with the totals the thresholds come from.
     """
-    known = df.filter(F.col(YEAR).between(1, LAST_YEAR))
+    known = (df if source is None else source).filter(F.col(YEAR).between(1, LAST_YEAR))
     quartile = approx_upper_quartile if approximate else upper_quartile
-    cuts = quartile(known, YEAR, threshold_on or total, "_p75")
+    cuts = quartile(known.select(YEAR, total), YEAR, total, "_p75")
     joined = df.join(F.broadcast(cuts), YEAR, "left")
     hit = F.col(total) >= F.coalesce("_p75", F.col(total).cast("double"))
     return joined.withColumn(LABEL, F.when(hit, 1).otherwise(0)).drop("_p75")
@@ -90,14 +92,18 @@ def year_over_year(df: DataFrame, value: str, year: str = YEAR,
 
 
 def build_features(clean: DataFrame, demographics: DataFrame, police: DataFrame,
-                   cyber: DataFrame, by_name_only: bool = False) -> DataFrame:
-    """The full feature row of every clean (state, district, year)."""
-    # The threshold looks at the reported totals, all else at totals of at least one.
-    floored = clean.withColumns({
-        "_reported": F.col(TOTAL), TOTAL: F.greatest(F.col(TOTAL), F.lit(1).cast("bigint"))})
-    risk = state_risk(district_risk(floored, by_name_only, "_reported"), "_reported")
-    labelled = severity_label(category_ratios(category_totals(risk)), TOTAL,
-                              threshold_on="_reported")
+                   cyber: DataFrame, by_name_only: bool = False,
+                   totals: DataFrame | None = None) -> DataFrame:
+    """The full feature row of every clean (state, district, year).
+
+    Group statistics come from ``totals``, by default the clean rows themselves;
+    give the rows before the coordinate lookup where that lookup is not stored.
+    """
+    totals = clean if totals is None else totals
+    # Statistics look at the reported totals, all else at totals of at least one.
+    risk = state_risk(district_risk(clean, by_name_only), source=totals)
+    floored = risk.withColumn(TOTAL, F.greatest(F.col(TOTAL), F.lit(1).cast("bigint")))
+    labelled = severity_label(category_ratios(category_totals(floored)), source=totals)
     joined = with_cyber(with_police(with_demographics(labelled, demographics), police), cyber)
     people = F.greatest(F.col("POPULATION"), F.lit(50000))
     rated = joined.withColumns({

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.functions.text import title_case
 from tallyfold.operators.cleaning import clean_facts
 from tallyfold.operators.coordinates import locate
 from tallyfold.operators.features import build_features
 from tallyfold.plans import trade
-from tallyfold.schema import CLEAN_SCHEMA, FEATURE_SCHEMA, RAW_SCHEMA, TOTAL, YEAR
+from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, FEATURE_SCHEMA, RAW_SCHEMA, STATE, TOTAL, YEAR
 from tallyfold.session import scratch_path
 from tallyfold.sources.tables import read_table, write_partitioned
 
@@ -34,13 +35,21 @@ def raw_stage(spark: SparkSession, folder: str) -> DataFrame:
     return _stage(spark, folder, "facts_raw", lambda: trade.raw_facts(spark, folder), RAW_SCHEMA)
 
 
+def _cleaned(raw: DataFrame) -> DataFrame:
+    return clean_facts(raw, [F.col(TOTAL).desc()], first_year=1995)
+
+
+def _located(spark: SparkSession, folder: str, clean: DataFrame) -> DataFrame:
+    places, centroids = trade.gazetteer(spark, folder)
+    names = trade.places(spark, folder).select(
+        F.col(STATE).alias("STATE_RAW"), title_case(F.col(DISTRICT)).alias(DISTRICT))
+    located = locate(clean, places, centroids, names=names)
+    return located.select([f.name for f in CLEAN_SCHEMA.fields])
+
+
 def clean_stage(spark: SparkSession, folder: str) -> DataFrame:
-    def build():
-        places, centroids = trade.gazetteer(spark, folder)
-        clean = clean_facts(raw_stage(spark, folder), [F.col(TOTAL).desc()], first_year=1995)
-        located = locate(clean, places, centroids)
-        return located.select([f.name for f in CLEAN_SCHEMA.fields])
-    return _stage(spark, folder, "facts_clean", build, CLEAN_SCHEMA)
+    return _stage(spark, folder, "facts_clean",
+                  lambda: _located(spark, folder, _cleaned(raw_stage(spark, folder))), CLEAN_SCHEMA)
 
 
 def feature_stage(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,11 +61,12 @@ def feature_stage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def direct_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Features as one lazy plan without stored stages."""
-    places, centroids = trade.gazetteer(spark, folder)
-    clean = clean_facts(trade.raw_facts(spark, folder), [F.col(TOTAL).desc()], first_year=1995)
-    located = locate(clean, places, centroids).select([f.name for f in CLEAN_SCHEMA.fields])
-    return build_features(located, trade.demographics(spark, folder),
-                          trade.police(spark, folder), trade.cyber(spark, folder))
-
-
+    """Features as one lazy plan without stored stages.
+
+    The yearly thresholds and state means read the facts again, so lines are
+    scanned several times; stages are the better choice for more than one report.
+    """
+    clean = _cleaned(trade.raw_facts(spark, folder))
+    return build_features(
+        _located(spark, folder, clean), trade.demographics(spark, folder),
+        trade.police(spark, folder), trade.cyber(spark, folder), totals=clean)
