@@ -52,11 +52,13 @@ def roc_area(df: DataFrame, label: str, score: str) -> DataFrame:
 def correlation_ranking(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
     """Inputs by absolute correlation with the label, scaled to sum to one.
 
-    All correlations come from one aggregation; an input without spread gets zero.
+    All correlations come from one aggregation; an input without spread gets zero,
+    where ``corr`` itself would raise in ANSI mode.
     """
     def strength(c):
-        r = F.corr(F.col(c).cast("double"), F.col(label).cast("double"))
-        return F.coalesce(F.nanvl(F.abs(r), F.lit(0.0)), F.lit(0.0))
+        x, y = F.col(c).cast("double"), F.col(label).cast("double")
+        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        return F.coalesce(F.abs(r), F.lit(0.0))
 
     row = df.agg(F.array(*[F.struct(F.lit(c).alias("feature"), strength(c).alias("s"))
                            for c in columns]).alias("a"))

@@ -31,9 +31,14 @@ def split_rows(df: DataFrame, keys: tuple[str, ...] = (STATE, DISTRICT, YEAR),
 
 def fit_severity(train: DataFrame, columns: list[str] | None = None, label: str = LABEL,
                  trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> PipelineModel:
+    """A fitted forest without its training summary.
+
+    The summary holds the session, which cannot be sent to executors once the
+    session has observed a metric; a copy of the model leaves it behind.
+    """
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees,
                                     maxDepth=depth, seed=seed)
-    return Pipeline(stages=[assembler(columns or MODEL_FEATURES), forest]).fit(train)
+    return Pipeline(stages=[assembler(columns or MODEL_FEATURES), forest]).fit(train).copy()
 
 
 def score_severity(model: PipelineModel, df: DataFrame, cut: float = 0.5) -> DataFrame:

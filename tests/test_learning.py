@@ -5,6 +5,7 @@ from tallyfold.learning import clustering, metrics, severity
 from tallyfold.operators.rollups import cluster_summary
 from tallyfold.schema import LABEL
 from tallyfold.sources.models import load_model, save_model
+from tallyfold.sources.tables import audited_write
 
 POINTS = [(28.61, 77.20, "DELHI", "DELHI", 50000), (28.53, 77.39, "NOIDA", "UP", 20000),
           (18.92, 72.83, "MUMBAI", "MAH", 40000), (12.97, 77.59, "BANGALORE", "KAR", 45000)]
@@ -39,7 +40,9 @@ def training_rows(spark):
                                        f"p double, {LABEL} int")
 
 
-def test_forest_learns_and_reports(spark):
+def test_forest_learns_and_reports(spark, tmp_path):
+    # A session that has audited a write must still be able to score.
+    audited_write(spark.range(5), str(tmp_path / "audited"), ())
     rows = severity.split_rows(training_rows(spark))
     columns = ["risk", "ratio", "p", "YEAR"]
     model = severity.fit_severity(rows.filter("is_train = 1"), columns, trees=20)
