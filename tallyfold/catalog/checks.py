@@ -8,7 +8,7 @@ from tallyfold.schema import CATEGORIES, HEADS, OTHER, RECONCILED_HEADS, TOTAL
 
 def r(expr: str, digits: int) -> str:
     """Half-up rounding of the decimal text of a double, as Spark rounds."""
-    return f"CAST(ROUND(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,22)), {digits}) AS DOUBLE)"
 
 
 def pct(part: str, whole: str, digits: int) -> str:

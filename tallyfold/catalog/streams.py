@@ -12,6 +12,7 @@ from tallyfold.session import scratch_path
 from tallyfold.streaming import feeds, live, sinks, surges
 
 BATCHES = 4
+FLUSHES_PER_BASE = 2
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -66,7 +67,7 @@ def _snapshot_run(spark, folder):
     if key not in _runs:
         path = scratch_path(spark, "live")
         sinks.drain(_stream(spark, folder, BATCHES), scratch_path(spark, "checkpoint"),
-                    live.snapshot_writer(path), "append")
+                    live.snapshot_writer(path, every=FLUSHES_PER_BASE), "append")
         _runs[key] = path
     return _runs[key]
 
@@ -91,14 +92,14 @@ SNAPSHOT_SQL = over_incidents("""SELECT (SELECT count(*) FROM incidents) AS tota
 
 def _flushed(spark, folder):
     path = _snapshot_run(spark, folder)
-    rows = spark.read.option("basePath", f"{path}/summary").parquet(f"{path}/summary")
-    return rows.agg(F.countDistinct("batch_id").alias("flushes"),
+    rows = spark.read.option("basePath", f"{path}/summary").parquet(f"{path}/summary/batch=*")
+    return rows.agg(F.countDistinct("batch").alias("flushes"),
                     F.sum("total_events_consumed").cast("bigint").alias("events"))
 
 
 def _recent(spark, folder):
     path = _snapshot_run(spark, folder)
-    kept = live.recent_events(live.running_log(spark, path)["recent"], 25)
+    kept = live.running_log(spark, path, BATCHES - 1, every=FLUSHES_PER_BASE)["recent"]
     return live.recent_events(kept, 12).select("event_id", F.date_format("timestamp", STAMP).alias("at"))
 
 

@@ -18,7 +18,8 @@ def running_totals(counted: DataFrame, groups: list[str], value: str, measures:
     entries of one level below one entry of the level above.
     """
     names = [f"_l{i}" for i in range(len(levels))]
-    df = counted.withColumns(dict(zip(names, levels)))
+    base = counted.withColumns(dict(zip(names, levels)))
+    df = base
     back = Window.unboundedPreceding, -1
     for depth in range(len(names) + 1):
         above = groups + names[:depth]
@@ -28,7 +29,7 @@ def running_totals(counted: DataFrame, groups: list[str], value: str, measures:
             df = df.withColumns({
                 f"_b{depth}_{m}": F.coalesce(F.sum(m).over(by), F.lit(0)) for m in measures})
             continue
-        sums = df.groupBy(*above, here).agg(*[F.sum(m).alias(m) for m in measures])
+        sums = base.groupBy(*above, here).agg(*[F.sum(m).alias(m) for m in measures])
         offsets = sums.select(*above, here, *[
             F.coalesce(F.sum(m).over(by), F.lit(0)).alias(f"_b{depth}_{m}") for m in measures])
         df = df.join(offsets, above + [here])

@@ -189,17 +189,18 @@ def cluster_summary(points: DataFrame, cluster: str, district: str, state: str,
                     states_shown: int = 3) -> DataFrame:
     """Volume, distinct districts and leading states of every cluster."""
     by_place = points.groupBy(cluster, state, district).agg(F.sum(volume).alias("_v"))
-    by_state = by_place.groupBy(cluster, state).agg(
-        F.sum("_v").alias("_v"), F.count(F.lit(1)).alias("_places"))
-    by = Window.partitionBy(cluster).orderBy(F.desc("_v"), F.asc(state))
-    leading = (by_state.withColumn("_r", F.row_number().over(by))
+    by_state = by_place.groupBy(cluster, state).agg(F.sum("_v").alias("_v"))
+    # One row per cluster and state reaches these windows.
+    whole = Window.partitionBy(cluster)
+    by_volume = whole.orderBy(F.desc("_v"), F.asc(state))
+    leading = (by_state.withColumns({"_total": F.sum("_v").over(whole), "_r": F.row_number().over(by_volume)})
                .filter(F.col("_r") <= states_shown)
-               .groupBy(cluster).agg(F.sort_array(F.collect_list(
-                   F.struct("_r", F.col(state).alias("s")))).alias("_s")))
-    totals = by_state.groupBy(cluster).agg(F.sum("_v").alias("total_crimes"))
+               .groupBy(cluster).agg(
+                   F.max("_total").alias("total_crimes"),
+                   F.sort_array(F.collect_list(F.struct("_r", F.col(state).alias("s")))).alias("_s")))
     # A district name counts once per cluster, whichever states use it.
     names = by_place.groupBy(cluster).agg(F.countDistinct(district).alias("distinct_districts"))
-    return (totals.join(names, cluster).join(leading, cluster)
+    return (leading.join(names, cluster)
             .select(cluster, "total_crimes", "distinct_districts",
                     F.transform("_s", lambda x: x["s"]).alias("dominant_states"))
             .orderBy(F.desc("total_crimes"), cluster))

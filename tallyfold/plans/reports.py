@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import calendar, profiles, rollups
 from tallyfold.operators.enrich import with_region
-from tallyfold.sources.documents import write_document, write_json_lines
+from tallyfold.sources.documents import NESTED_LIMIT, write_document, write_json_lines
 
 
 def hotspot_document(features: DataFrame, path: str) -> str:
@@ -55,11 +55,12 @@ def region_document(features: DataFrame, path: str, regions: DataFrame | None =
               "region_map": [F.col("state")]})
 
 
-def snapshot_lines(features: DataFrame, path: str) -> None:
+def snapshot_lines(features: DataFrame, path: str) -> str:
     """One JSON line per year: national sums, state map and top districts.
 
-    States and the ten districts of a year are already aggregated; the state map
-    holds one entry per state.
+    The state map is nested only after the states of a year are counted to be
+    few; beyond that each state becomes a line of its own. Returns which form
+    was written.
     """
     grains = rollups.yearly_grains(features)
     national = grains.filter(F.col("state").isNull()).select(
@@ -68,12 +69,19 @@ def snapshot_lines(features: DataFrame, path: str) -> None:
         F.col("women_crimes").alias("national_women"),
         F.col("violent_pct").alias("national_violent_pct"))
     stats = F.struct("total_crimes", "violent_crimes", "women_crimes", "property_crimes", "violent_pct")
-    states = grains.filter(F.col("state").isNotNull()).groupBy("year").agg(
+    by_state = grains.filter(F.col("state").isNotNull())
+    sizes = by_state.groupBy("year").count().agg(F.max("count").alias("n"))
+    if (sizes.first()["n"] or 0) > NESTED_LIMIT:
+        write_json_lines(national.unionByName(by_state, allowMissingColumns=True), path)
+        write_json_lines(rollups.yearly_top_districts(features), f"{path}_top_districts")
+        return "lines"
+    states = by_state.groupBy("year").agg(
         F.map_from_entries(F.collect_list(F.struct("state", stats))).alias("states"))
     top = rollups.yearly_top_districts(features)
     ranked = top.groupBy("year").agg(F.sort_array(F.collect_list(F.struct(
         "rank", *[c for c in top.columns if c not in ("year", "rank")]))).alias("top_districts"))
     write_json_lines(national.join(states, "year").join(ranked, "year"), path)
+    return "nested"
 
 
 def profile_document(features: DataFrame, path: str, k: int = 150) -> str:

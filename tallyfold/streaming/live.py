@@ -75,34 +75,47 @@ def place_names(events: DataFrame) -> DataFrame:
     return with_event_defaults(events).withColumn("place", place_key(F.col("state"), F.col("district")))
 
 
-def snapshot_writer(path: str, k: int = 20, kept: int = 25) -> Callable[[DataFrame, int], None]:
+COMPACT_EVERY = 100
+
+
+def snapshot_writer(path: str, k: int = 20, kept: int = 25, every: int = COMPACT_EVERY
+                    ) -> Callable[[DataFrame, int], None]:
     """Batch function keeping running totals, the recent buffer and a snapshot.
 
     Each batch adds its own sums in a folder named by the batch, so a repeated
-    batch replaces itself. Totals are the sum over the folders and need no state
-    store. The snapshot of a batch becomes visible as a whole.
+    batch replaces itself and no state store is needed. Every ``every`` batches
+    the totals so far are stored as a base; a batch reads the last base and the
+    few folders after it, however long the stream has run. The snapshot of a
+    batch becomes visible as a whole.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        own = f"batch_id={batch_id}"
         batch = batch.persist()
         try:
             for name, part in (("places", place_totals(batch)), ("types", type_totals(batch)),
                                ("summary", feed_summary(batch)), ("recent", recent_events(batch, kept))):
-                part.write.mode("overwrite").parquet(f"{path}/{name}/{own}")
+                part.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
         finally:
             batch.unpersist()
-        log = running_log(spark, path, batch_id)
+        log = running_log(spark, path, batch_id, kept, every)
+        if (batch_id + 1) % every == 0:
+            for name, part in log.items():
+                part.write.mode("overwrite").parquet(f"{path}/{name}/base={batch_id}")
         snapshot = live_snapshot(log["places"], log["types"], log["summary"], k)
         write_json_lines(snapshot, f"{path}/snapshot/version={batch_id}")
     return write
 
 
-def running_log(spark: SparkSession, path: str, up_to: int | None = None) -> dict[str, DataFrame]:
-    """Totals over all batch folders up to one batch."""
+def running_log(spark: SparkSession, path: str, up_to: int, kept: int = 25,
+                every: int = COMPACT_EVERY) -> dict[str, DataFrame]:
+    """Totals, summary and recent events as of one batch."""
+    base = up_to // every * every - 1
+
     def read(name):
-        rows = spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
-        return rows if up_to is None else rows.filter(F.col("batch_id") <= up_to)
+        parts = [f"{path}/{name}/base={base}"] if base >= 0 else []
+        parts += [f"{path}/{name}/batch={i}" for i in range(base + 1, up_to + 1)]
+        first = spark.read.parquet(parts[0])
+        return spark.read.schema(first.schema).parquet(*parts)
 
     return {
         "places": read("places").groupBy("state", "district").agg(
@@ -112,5 +125,5 @@ def running_log(spark: SparkSession, path: str, up_to: int | None = None) -> dic
             F.sum("total_events_consumed").alias("total_events_consumed"),
             F.min("stream_started_at").alias("stream_started_at"),
             F.max("last_updated").alias("last_updated")),
-        "recent": read("recent").drop("batch_id"),
+        "recent": recent_events(read("recent"), kept),
     }

@@ -65,7 +65,7 @@ def test_snapshot_over_batches_and_restart(spark, tmp_path):
     assert snap["crime_type_breakdown"] == {"THEFT": 8, "ROBBERY": 2}
     assert [d["district"] for d in snap["top_live_districts"]] == ["Patna", "New Delhi"]
     assert snap["last_updated"].startswith("2024-01-01T00:03")
-    recent = live.recent_events(live.running_log(spark, out)["recent"], 2)
+    recent = live.recent_events(live.running_log(spark, out, 2)["recent"], 2)
     assert [r.event_id for r in recent.collect()] == ["E3", "E2"]
 
 
@@ -74,7 +74,17 @@ def test_repeated_batch_leaves_no_duplicates(spark, tmp_path):
     write = live.snapshot_writer(out)
     write(static(spark, EVENTS), 0)
     write(static(spark, EVENTS), 0)
-    assert live.running_log(spark, out)["summary"].first()["total_events_consumed"] == 3
+    assert live.running_log(spark, out, 0)["summary"].first()["total_events_consumed"] == 3
+
+
+def test_compaction_keeps_the_totals(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = live.snapshot_writer(out, every=2)
+    for i in range(5):
+        write(static(spark, [EVENTS[i % 3]]), i)
+    log = live.running_log(spark, out, 4, every=2)
+    assert log["summary"].first()["total_events_consumed"] == 5
+    assert {r.district: r.live_incident_count for r in log["places"].collect()} == {"Patna": 10, "New Delhi": 5}
 
 
 def test_complete_mode_equals_batch(spark, tmp_path):
