@@ -106,6 +106,20 @@ def _external(spark, folder):
                                           F.sum(TOTAL).cast("bigint").alias("total_crimes"))
 
 
+def _stage_tables(spark, folder):
+    """The three tables over the stored stages, counted through the catalog."""
+    stored = {"crimes_raw": raw_stage, "crimes_clean": clean_stage, "crimes_features": feature_stage}
+    locations, prefix = {}, None
+    for name, stage in stored.items():
+        locations[name] = scratch_path(spark, name)
+        prefix = prefix or "t" + locations[name].rsplit("-", 1)[1] + "_"
+        tables.write_partitioned(stage(spark, folder), locations[name], (YEAR,))
+    registered = tables.register_stages(spark, locations, prefix, (YEAR,))
+    counts = [df.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n"), F.sum(TOTAL).cast("bigint").alias("total"))
+              .select(F.lit(name).alias("name"), YEAR, "n", "total") for name, df in registered.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 def _view(spark, folder):
     tables.register_view(raw_stage(spark, folder), "facts_view")
     return spark.sql("SELECT YEAR, CAST(SUM(MURDER) AS BIGINT) AS murders FROM facts_view "
@@ -198,6 +212,12 @@ QUERIES = [
     Query("external_table", "S5", _external, over_clean(
         f"SELECT YEAR, STATE_UT, count(*) AS places, CAST(sum({TOTAL}) AS BIGINT) AS total_crimes "
         "FROM clean GROUP BY YEAR, STATE_UT")),
+    Query("stage_tables", "S5", _stage_tables, over_features(
+        f"""SELECT 'crimes_raw' AS name, YEAR, count(*) AS n, CAST(sum({TOTAL}) AS BIGINT) AS total
+          FROM raw_facts GROUP BY YEAR
+        UNION ALL SELECT 'crimes_clean', YEAR, count(*), CAST(sum({TOTAL}) AS BIGINT) FROM clean GROUP BY YEAR
+        UNION ALL SELECT 'crimes_features', YEAR, count(*), CAST(sum({TOTAL}) AS BIGINT) FROM features
+          GROUP BY YEAR""")),
     Query("temp_view", "S6", _view, over_raw(
         "SELECT YEAR, CAST(sum(MURDER) AS BIGINT) AS murders FROM raw_facts "
         "WHERE DISTRICT LIKE '%7' GROUP BY YEAR")),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyfold.schema import DISTRICT, HEADS, LAT, LON, STATE, TOTAL, YEAR
 
@@ -16,8 +17,15 @@ RETURN_FLAGS = ["A", "N", "R"]
 HEAD_SOURCES = dict(zip(HEADS, [(t, r) for t in PART_TYPES for r in RETURN_FLAGS]))
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A source table. Its schema is read from the footers once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def places(spark: SparkSession, folder: str) -> DataFrame:

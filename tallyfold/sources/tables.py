@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.schema import STATE, YEAR
+from tallyfold.schema import CLEAN_SCHEMA, FEATURE_SCHEMA, RAW_SCHEMA, STATE, YEAR
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -46,6 +46,18 @@ def register_external(spark: SparkSession, name: str, schema: T.StructType, path
     return spark.table(name)
 
 
+def register_stages(spark: SparkSession, locations: dict[str, str], prefix: str = "",
+                    keys: tuple[str, ...] = (YEAR, STATE)) -> dict[str, DataFrame]:
+    """The external tables ``crimes_raw``, ``crimes_clean`` and ``crimes_features``.
+
+    ``locations`` maps those names to their folders; schemas are the ones the
+    writers use, so no column can be missing from a definition.
+    """
+    schemas = {"crimes_raw": RAW_SCHEMA, "crimes_clean": CLEAN_SCHEMA, "crimes_features": FEATURE_SCHEMA}
+    return {name: register_external(spark, prefix + name, schemas[name], path, keys)
+            for name, path in locations.items()}
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

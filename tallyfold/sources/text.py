@@ -13,6 +13,9 @@ def read_delimited(spark: SparkSession, path: str | list[str], header: list[str]
                    keep_position: bool = False) -> DataFrame:
     """CSV with a header line, every field as text.
 
+    Files of one call share a header; files of another header generation are read
+    on their own and stacked after ``unify_headers``.
+
     Undecodable bytes become the replacement character and short lines get
     nulls. Lines with fewer than four fields are dropped. The header is read
     from the first line only, so no pass over the data infers types.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.text import place_key
-from tallyfold.sources.documents import write_json_lines
+from tallyfold.sources.documents import NESTED_LIMIT, write_json_lines
 
 
 def with_event_defaults(events: DataFrame) -> DataFrame:
@@ -101,7 +101,12 @@ def snapshot_writer(path: str, k: int = 20, kept: int = 25, every: int = COMPACT
         if (batch_id + 1) % every == 0:
             for name, part in log.items():
                 part.write.mode("overwrite").parquet(f"{path}/{name}/base={batch_id}")
-        snapshot = live_snapshot(log["places"], log["types"], log["summary"], k)
+        types = log["types"]
+        if types.limit(NESTED_LIMIT + 1).count() > NESTED_LIMIT:
+            # Too many kinds for one row: they go out as lines next to the snapshot.
+            write_json_lines(types, f"{path}/snapshot_types/version={batch_id}")
+            types = types.limit(0)
+        snapshot = live_snapshot(log["places"], types, log["summary"], k)
         write_json_lines(snapshot, f"{path}/snapshot/version={batch_id}")
     return write
 
