@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyfold.catalog.checks import over_clean, over_features, over_raw, r
+from tallyfold.catalog.checks import REGIONS, over_clean, over_features, over_raw, r
 from tallyfold.catalog.registry import Query
+from tallyfold.constants import DAY_WEIGHTS, SEASON_WEIGHTS
 from tallyfold.functions.numbers import parse_double
+from tallyfold.operators import rollups
+from tallyfold.operators import tables as side
 from tallyfold.operators.headers import unify_headers
 from tallyfold.plans import reports, trade
 from tallyfold.plans.stages import clean_stage, feature_stage, raw_stage
@@ -169,6 +172,81 @@ FROM features GROUP BY DISTRICT, STATE_UT
 ORDER BY total_crimes DESC, state, district LIMIT 50"""
 
 
+def _time_document(spark, folder):
+    path = scratch_path(spark, "time_json")
+    reports.time_document(feature_stage(spark, folder), path)
+    years = documents.read_section(spark, path, "yearly_trends", "struct<year:int,total_crimes:bigint>")
+    seasons = documents.read_section(spark, path, "seasonal_breakdown",
+                                     "struct<season:string,estimated_crimes:bigint,percentage:double>")
+    hours = documents.read_section(spark, path, "heatmap_matrix", "struct<hour:int,row:array<bigint>>")
+    return (years.select(F.lit("year").alias("section"), F.col("year").cast("string").alias("name"),
+                         F.col("total_crimes").alias("value"))
+            .unionByName(seasons.select(F.lit("season").alias("section"), F.col("season").alias("name"),
+                                        F.col("estimated_crimes").alias("value")))
+            .unionByName(hours.select(F.lit("hour").alias("section"), F.col("hour").cast("string").alias("name"),
+                                      F.aggregate("row", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("value"))))
+
+
+_SEASONS = ", ".join(f"('{n}', CAST({w} AS DOUBLE))" for n, w, _ in SEASON_WEIGHTS)
+_DAYS = ", ".join(f"(CAST({w} AS DOUBLE))" for w in DAY_WEIGHTS)
+TIME_SQL = f"""SELECT 'year' AS section, CAST(YEAR AS VARCHAR) AS name, total AS value FROM yearly
+UNION ALL SELECT 'season', season, CAST(floor(latest * weight) AS BIGINT)
+  FROM latest, (VALUES {_SEASONS}) AS v(season, weight)
+UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), CAST(sum(floor(latest * CASE WHEN hour >= 20 OR hour <= 2
+    THEN CAST(0.065 AS DOUBLE) WHEN hour BETWEEN 9 AND 19 THEN CAST(0.045 AS DOUBLE) ELSE CAST(0.015 AS DOUBLE) END
+    * w / 52)) AS BIGINT) FROM latest, range(24) AS h(hour), (VALUES {_DAYS}) AS v(w) GROUP BY hour"""
+
+
+def _trend_document(spark, folder):
+    """Category trends and the ranking of women crimes, over CSV side tables."""
+    women, path = scratch_path(spark, "women_csv"), scratch_path(spark, "trend_json")
+    facts = raw_stage(spark, folder).select(
+        F.col(STATE).alias("STATE/UT"), F.col(DISTRICT).alias("DISTRICT"),
+        *[F.col(n).cast("string").alias(h) for n, h in side.WOMEN_HEADERS.items()])
+    text.write_delimited(facts.unionByName(facts.filter("DISTRICT LIKE '%3'").withColumn("DISTRICT", F.lit("TOTAL"))),
+                         women)
+    reports.trend_document(feature_stage(spark, folder), side.women_rows(text.read_delimited(spark, women)),
+                           trade.recovery_facts(spark, folder), path)
+    years = documents.read_section(spark, path, "category_trends", "struct<year:int,violent_crimes:bigint>")
+    ranked = documents.read_section(spark, path, "women_crimes_state_rankings",
+                                    "struct<state:string,total_crimes_against_women:bigint>")
+    return years.select(F.col("year").cast("string").alias("name"), F.col("violent_crimes").alias("value")).unionByName(
+        ranked.select(F.col("state").alias("name"), F.col("total_crimes_against_women").alias("value")))
+
+
+def _region_document(spark, folder):
+    path = scratch_path(spark, "region_json")
+    reports.region_document(feature_stage(spark, folder), path, trade.regions(spark, folder))
+    return documents.read_section(spark, path, "regions",
+                                  "struct<region:string,total_crimes:bigint,states_count:bigint>")
+
+
+def _recovery_file(spark, folder):
+    """Orders as a recovery file with some broken figures, read back."""
+    path = scratch_path(spark, "recovery_csv")
+    facts = trade.table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyy").alias("Year"),
+        F.when(F.pmod("o_orderkey", F.lit(10)) == 3, F.lit("n/a")).otherwise(
+            F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("Value_of_Property_Stolen"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+        .alias("Value_of_Property_Recovered"),
+        F.lit("1").alias("Cases_Property_Stolen"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("1.0")).otherwise(F.lit("")).alias("Cases_Property_Recovered"))
+    text.write_delimited(facts, path)
+    return rollups.property_recovery(side.recovery_rows(text.read_delimited(spark, path)))
+
+
+_KEPT = "FROM orders WHERE o_orderkey % 10 <> 3 GROUP BY year(o_orderdate)"
+_STOLEN = "sum(CAST(o_totalprice AS DECIMAL(18,2)))"
+_FOUND = "coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) END), 0)"
+_CASES = "count(*) FILTER (WHERE o_orderstatus = 'F')"
+RECOVERY_FILE_SQL = f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+  {r(f"CAST({_STOLEN} AS DOUBLE) / 1e7", 2)} AS stolen_inr_crores, {r(f"CAST({_FOUND} AS DOUBLE) / 1e7", 2)} AS recovered_inr_crores,
+  {r(f"CAST({_FOUND} AS DOUBLE) * 100 / CAST({_STOLEN} AS DOUBLE)", 2)} AS financial_recovery_rate_pct,
+  count(*) AS cases_stolen, {_CASES} AS cases_recovered,
+  {r(f"CAST({_CASES} AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE)", 2)} AS case_recovery_rate_pct {_KEPT}"""
+
+
 def _snapshot_lines(spark, folder):
     path = scratch_path(spark, "snapshots_json")
     reports.snapshot_lines(feature_stage(spark, folder), path)
@@ -227,6 +305,17 @@ QUERIES = [
           "n_nationkey + CAST(70.25 AS DOUBLE) AS gaz_lon, CAST(20.5 AS DOUBLE) AS centroid_lat, "
           "n_regionkey + CAST(70.5 AS DOUBLE) AS centroid_lon FROM nation"),
     Query("hotspot_document", "S9 A1 K1 P14 P15", _document, over_features(HOTSPOT_SQL)),
+    Query("time_document", "S9 A3 A20 P29", _time_document, over_features(TIME_SQL, f""" yearly AS (
+        SELECT YEAR, CAST(sum({TOTAL}) AS BIGINT) AS total FROM features GROUP BY YEAR),
+        latest AS (SELECT CAST(total AS DOUBLE) AS latest FROM yearly ORDER BY YEAR DESC LIMIT 1)""")),
+    Query("trend_document", "S9 S1 A6 F1 F4", _trend_document, over_features(
+        f"""SELECT CAST(YEAR AS VARCHAR) AS name, CAST(sum(VIOLENT_CRIMES) AS BIGINT) AS value FROM features GROUP BY YEAR
+        UNION ALL SELECT STATE_UT, CAST(sum({' + '.join(side.WOMEN_HEADERS)}) AS BIGINT) FROM clean GROUP BY STATE_UT""")),
+    Query("region_document", "S9 A7", _region_document, over_features(
+        f"""SELECT coalesce(region, 'Northern') AS region, CAST(sum({TOTAL}) AS BIGINT) AS total_crimes,
+          count(DISTINCT STATE_UT) AS states_count
+        FROM features LEFT JOIN state_regions ON upper(STATE_UT) = state_key GROUP BY 1""", REGIONS)),
+    Query("recovery_file", "A5 S1 P4 F4", _recovery_file, RECOVERY_FILE_SQL),
     Query("snapshot_document", "S9 A8", _snapshot_lines, over_features(
         f"""SELECT y.YEAR AS year, national_total, national_violent_pct, state, total_crimes, violent_pct
         FROM (SELECT YEAR, CAST(sum({TOTAL}) AS BIGINT) AS national_total,

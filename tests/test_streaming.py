@@ -149,3 +149,15 @@ def test_replay_cap(spark):
 def test_place_key(spark):
     assert live.place_names(static(spark, EVENTS[:1])).select("place").first()[0] == "Bihar::Patna"
     assert static(spark, EVENTS).filter(F.col("timestamp").isNull()).count() == 0
+
+
+def test_timed_trigger(spark, tmp_path):
+    folder = feed(tmp_path, [EVENTS])
+    log = str(tmp_path / "log")
+    query = sinks.follow(live.type_totals(feeds.file_events(spark, folder)), str(tmp_path / "cp"),
+                         sinks.change_log(log), interval="1 second")
+    try:
+        query.processAllAvailable()
+        assert {r.primary_type: r.incidents for r in spark.read.parquet(log).collect()} == {"THEFT": 8, "ROBBERY": 2}
+    finally:
+        query.stop()
