@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +16,15 @@ from tallyfold.sources.literals import constant_table
 
 
 def lookup(df: DataFrame, dim: DataFrame, keys: list[str], defaults: dict[str, object],
-           names: list[str] | None = None) -> DataFrame:
+           names: list[str] | None = None, left: list[str] | None = None) -> DataFrame:
     """Left join on case-insensitive names, defaults where nothing matches.
 
     ``names`` are the keys compared as place names; the others compare as they
-    are. The dimension is expected to have one row per key. No broadcast is
-    forced: Spark compares its size with the threshold, and a hot key in the
-    shuffled case is split by the adaptive skew join.
+    are. ``left`` names columns that hold the keys in comparison form already, so
+    that a partitioning by them is reused. The dimension is expected to have one
+    row per key. No broadcast is forced: Spark compares its size with the
+    threshold, and a hot key in the shuffled case is split by the adaptive skew
+    join.
     """
     names = keys if names is None else names
 
@@ -29,23 +33,27 @@ def lookup(df: DataFrame, dim: DataFrame, keys: list[str], defaults: dict[str, o
 
     right = dim.select(*[norm(dim, k).alias(f"_k_{k}") for k in keys],
                        *[F.col(c).alias(f"_d_{c}") for c in defaults])
-    left = df.withColumns({f"_k_{k}": norm(df, k) for k in keys})
-    joined = left.join(right, [f"_k_{k}" for k in keys], "left")
+    temporary = []
+    if left is None:
+        left = temporary = [f"_l_{k}" for k in keys]
+        df = df.withColumns(dict(zip(left, [norm(df, k) for k in keys])))
+    on = reduce(lambda a, b: a & b, [F.col(a) == F.col(f"_k_{k}") for a, k in zip(left, keys)])
+    joined = df.join(right, on, "left")
     return joined.withColumns({
         c: F.coalesce(F.col(f"_d_{c}"), F.lit(v)) for c, v in defaults.items()
-    }).drop(*[f"_k_{k}" for k in keys], *[f"_d_{c}" for c in defaults])
+    }).drop(*temporary, *[f"_k_{k}" for k in keys], *[f"_d_{c}" for c in defaults])
 
 
-def with_demographics(df: DataFrame, dim: DataFrame) -> DataFrame:
-    return lookup(df, dim, [STATE, DISTRICT], DEMOGRAPHIC_DEFAULTS)
+def with_demographics(df: DataFrame, dim: DataFrame, left: list[str] | None = None) -> DataFrame:
+    return lookup(df, dim, [STATE, DISTRICT], DEMOGRAPHIC_DEFAULTS, left=left)
 
 
-def with_police(df: DataFrame, dim: DataFrame) -> DataFrame:
-    return lookup(df, dim, [STATE, DISTRICT], POLICE_DEFAULTS)
+def with_police(df: DataFrame, dim: DataFrame, left: list[str] | None = None) -> DataFrame:
+    return lookup(df, dim, [STATE, DISTRICT], POLICE_DEFAULTS, left=left)
 
 
-def with_cyber(df: DataFrame, dim: DataFrame) -> DataFrame:
-    return lookup(df, dim, [STATE, DISTRICT, YEAR], {"CYBER_CRIMES": 0}, [STATE, DISTRICT])
+def with_cyber(df: DataFrame, dim: DataFrame, left: list[str] | None = None) -> DataFrame:
+    return lookup(df, dim, [STATE, DISTRICT, YEAR], {"CYBER_CRIMES": 0}, [STATE, DISTRICT], left)
 
 
 def with_region(df: DataFrame, regions: DataFrame | None = None, state: str = STATE,

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.numbers import per_population, share, total_of
-from tallyfold.operators.enrich import with_cyber, with_demographics, with_police
+from tallyfold.functions.text import name_key
+from tallyfold.operators.enrich import with_demographics, with_police
 from tallyfold.operators.ordering import approx_upper_quartile, upper_quartile
 from tallyfold.schema import (
     CATEGORIES, DISTRICT, FEATURE_SCHEMA, LABEL, OTHER, STATE, TOTAL, YEAR,
 )
 
 LAST_YEAR = 9999
+_PLACE = ["_state", "_district"]
 
 
 def category_totals(df: DataFrame, total: str = TOTAL) -> DataFrame:
@@ -42,14 +44,13 @@ def district_risk(df: DataFrame, by_name_only: bool = False, total: str = TOTAL)
     return df.withColumn("DISTRICT_RISK_SCORE", F.round(F.avg(total).over(by), 2))
 
 
-def state_risk(df: DataFrame, total: str = TOTAL, source: DataFrame | None = None) -> DataFrame:
+def state_risk(df: DataFrame, total: str = TOTAL) -> DataFrame:
     """Mean yearly district volume of the row's state.
 
     A state may hold much of the table, so it is averaged with map-side partial
-    sums and joined back instead of being gathered in a window. ``source`` has the
-    same rows in a form that is cheaper to read.
+    sums and joined back instead of being gathered in a window.
     """
-    means = (df if source is None else source).groupBy(STATE).agg(F.round(F.avg(total), 2).alias("STATE_RISK_SCORE"))
+    means = df.groupBy(STATE).agg(F.round(F.avg(total), 2).alias("STATE_RISK_SCORE"))
     return df.join(means, STATE, "left")
 
 
@@ -91,22 +92,47 @@ def year_over_year(df: DataFrame, value: str, year: str = YEAR,
                                            before.cast("double")), 2)})
 
 
+def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFrame,
+                     cyber: DataFrame, by_name_only: bool = False) -> DataFrame:
+    """One row per place with its risk scores, dimensions and yearly cyber counts.
+
+    Keys are ``_state`` and ``_district`` in comparison form. All of this meets
+    here, where rows are fewer by the number of years and narrow. The cyber counts
+    become a map by year, at most one entry per year of the place.
+    """
+    keyed = totals.select(name_key(F.col(STATE)).alias("_state"),
+                          name_key(F.col(DISTRICT)).alias("_district"), TOTAL)
+    mean = F.round(F.avg(TOTAL), 2)
+    rows = keyed.groupBy("_state", "_district").agg(mean.alias("DISTRICT_RISK_SCORE"))
+    rows = with_police(with_demographics(rows, demographics, _PLACE), police, _PLACE)
+    by_year = cyber.groupBy(name_key(F.col(STATE)).alias("_state"), name_key(F.col(DISTRICT)).alias("_district")).agg(
+        F.map_from_entries(F.collect_list(F.struct(YEAR, "CYBER_CRIMES"))).alias("_cyber"))
+    rows = rows.join(by_year, _PLACE, "left")
+    if by_name_only:
+        rows = rows.drop("DISTRICT_RISK_SCORE").join(
+            keyed.groupBy("_district").agg(mean.alias("DISTRICT_RISK_SCORE")), "_district", "left")
+    return rows.join(keyed.groupBy("_state").agg(mean.alias("STATE_RISK_SCORE")), "_state", "left")
+
+
 def build_features(clean: DataFrame, demographics: DataFrame, police: DataFrame,
                    cyber: DataFrame, by_name_only: bool = False,
                    totals: DataFrame | None = None) -> DataFrame:
     """The full feature row of every clean (state, district, year).
 
-    Group statistics come from ``totals``, by default the clean rows themselves;
-    give the rows before the coordinate lookup where that lookup is not stored.
+    Wide rows are shuffled once, by place: place attributes are gathered before and
+    yearly thresholds are broadcast. Group statistics come from ``totals``, by default the clean
+    rows; give the rows before the coordinate lookup where it is not stored.
     """
     totals = clean if totals is None else totals
+    places = place_attributes(totals, demographics, police, cyber, by_name_only)
+    keyed = clean.withColumns({"_state": name_key(F.col(STATE)), "_district": name_key(F.col(DISTRICT))})
+    placed = keyed.join(places, _PLACE, "left").withColumn(
+        "CYBER_CRIMES", F.coalesce(F.try_element_at("_cyber", F.col(YEAR)), F.lit(0)))
     # Statistics look at the reported totals, all else at totals of at least one.
-    risk = state_risk(district_risk(clean, by_name_only), source=totals)
-    floored = risk.withColumn(TOTAL, F.greatest(F.col(TOTAL), F.lit(1).cast("bigint")))
+    floored = placed.withColumn(TOTAL, F.greatest(F.col(TOTAL), F.lit(1).cast("bigint")))
     labelled = severity_label(category_ratios(category_totals(floored)), source=totals)
-    joined = with_cyber(with_police(with_demographics(labelled, demographics), police), cyber)
     people = F.greatest(F.col("POPULATION"), F.lit(50000))
-    rated = joined.withColumns({
+    rated = labelled.withColumns({
         "POPULATION": people,
         "CRIME_RATE_PER_100K": per_population(F.col(TOTAL), people),
         "VIOLENT_RATE_PER_100K": per_population(F.col("VIOLENT_CRIMES"), people),
