@@ -33,11 +33,13 @@ def fit_severity(train: DataFrame, columns: list[str] | None = None, label: str
                  trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> PipelineModel:
     """A fitted forest without its training summary.
 
-    The summary holds the session, which cannot be sent to executors once the
+    Each row's tree nodes are kept between levels, so the growing trees are not
+    sent out again; with ``spark.checkpoint.dir`` set they are checkpointed. The
+    summary holds the session, which cannot be sent to executors once the
     session has observed a metric; a copy of the model leaves it behind.
     """
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees,
-                                    maxDepth=depth, seed=seed)
+                                    maxDepth=depth, seed=seed, cacheNodeIds=True)
     return Pipeline(stages=[assembler(columns or MODEL_FEATURES), forest]).fit(train).copy()
 
 
