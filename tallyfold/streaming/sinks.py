@@ -33,21 +33,21 @@ def snapshots(path: str, build: Callable[[DataFrame], DataFrame] | None = None
               ) -> Callable[[DataFrame, int], None]:
     """Writes every batch as version ``batch_id``; readers take the newest.
 
-    A version appears with its success marker as a whole, so a reader never
-    sees half a snapshot.
+    A one-row note of the version follows its data, so a reader never opens a
+    version whose files are still being moved into place.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = build(batch) if build else batch
-        out.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        out.write.mode("overwrite").parquet(f"{path}/data/version={batch_id}")
+        note = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
+        note.coalesce(1).write.mode("overwrite").parquet(f"{path}/done/batch={batch_id}")
     return write
 
 
 def newest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the latest version."""
-    log = spark.read.option("basePath", path).parquet(path)
-    newest = log.agg(F.max("version").alias("version"))
-    # One row.
-    return log.join(F.broadcast(newest), "version").drop("version")
+    """Rows of the latest finished version."""
+    newest = spark.read.schema("version bigint").parquet(f"{path}/done").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/data/version={newest}")
 
 
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None],

@@ -96,6 +96,17 @@ def test_complete_mode_equals_batch(spark, tmp_path):
     assert {tuple(r) for r in sinks.newest_snapshot(spark, path).collect()} == want
 
 
+def test_unfinished_snapshot_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    write = sinks.snapshots(path)
+    write(spark.range(3).select("id"), 0)
+    # Data of the next version without its note, as left by a writer that stopped.
+    spark.range(9).select("id").write.parquet(f"{path}/data/version=1")
+    assert sinks.newest_snapshot(spark, path).count() == 3
+    write(spark.range(5).select("id"), 1)
+    assert sinks.newest_snapshot(spark, path).count() == 5
+
+
 def test_json_encoding_round_trip(spark):
     e = static(spark, EVENTS)
     back = feeds.decode_events(feeds.encode_events(e))
