@@ -184,7 +184,6 @@ _LEXICON = {w: f"lex={n}" for n, ws in {
     "call": ("call", "phone", "tel", "tel.", "fax", "ring", "mobile"),
 }.items() for w in ws}
 _LEXICON_BYTES = {w.encode(): w for w in _LEXICON}
-_LEXICON_SHAPES = frozenset(w.translate(_SHAPE) for w in _LEXICON_BYTES)
 _RUN = re.compile(rb"(.)\1+", re.S)
 _DIGITS = re.compile(rb"[0-9]+")
 
@@ -215,7 +214,8 @@ class Words:
         self.index, self.weights = index, weights
         self.by_features: dict[tuple[str, ...], int] = {}
         self.by_shape: dict[bytes, int] = {}
-        self.tables: list[np.ndarray] = []
+        # class 0 stands between texts
+        self.tables: list[np.ndarray] = [np.zeros((len(OFFSETS), len(LABELS)), np.float32)]
 
     def of(self, word: bytes, shape: bytes) -> int:
         features = word_features(word, shape)
@@ -227,29 +227,25 @@ class Words:
         return got
 
     def classes(self, data: bytes) -> np.ndarray:
-        shapes = data.translate(_SHAPE).split()
-        known = self.by_shape
-        out = [known.get(s) for s in shapes]
-        if None in out:
-            words = data.split()
-            for k, got in enumerate(out):
-                if got is None:
-                    shape = shapes[k]
-                    if b"9" in shape or shape in _LEXICON_SHAPES:
-                        out[k] = self.of(words[k], shape)  # not by shape alone
-                    else:
-                        out[k] = self.of(words[k], shape)
-                        if len(shape) <= 40 and len(known) < 200_000:
-                            known[shape] = out[k]
-        return np.array(out, np.int32)
+        words, shapes = data.split(), data.translate(_SHAPE).split()
+        known, listed = self.by_shape.get, _LEXICON_BYTES
+        out = np.array([known(s, -1) for s in shapes], np.int32)
+        for k in np.flatnonzero(out < 0).tolist():
+            shape = shapes[k]
+            out[k] = self.of(words[k], shape)
+            # digits count by value
+            if b"9" not in shape and words[k] not in listed and len(shape) <= 40 and len(self.by_shape) < 200_000:
+                self.by_shape[shape] = int(out[k])
+        for k in [k for k, w in enumerate(words) if w in listed]:
+            out[k] = self.of(words[k], shapes[k])
+        return out
 
 
 # ---------------------------------------------------------------- the field
 
 OFFSETS = (-2, -1, 0, 1, 2)
-#: I-x may follow B-x and I-x only.
+#: I-x may follow B-x and I-x only. Before and after a text stands O.
 _ALLOWED = np.array([[not b.startswith("I") or a[2:] == b[2:] and a != "O" for b in LABELS] for a in LABELS])
-_START = np.array([not b.startswith("I") for b in LABELS])
 _NEVER = -1e4
 
 
@@ -265,8 +261,8 @@ def trained(examples: tuple[str, ...] = EXAMPLES, steps: int = 250, ridge: float
 
     All lines run side by side: forward and backward sums over the padded table.
     """
-    lines = labelled(examples)
-    rows = [[word_features(w.encode(), w.encode().translate(_SHAPE)) for w in words] for words, _ in lines]
+    lines = [(["", *words, ""], [0, *labels, 0]) for words, labels in labelled(examples)]
+    rows = [[word_features(w.encode(), w.encode().translate(_SHAPE)) if w else () for w in words] for words, _ in lines]
     index: dict[str, int] = {}
     for row in rows:
         for features in row:
@@ -287,12 +283,13 @@ def trained(examples: tuple[str, ...] = EXAMPLES, steps: int = 250, ridge: float
     gold_pairs = np.einsum("ita,itb->ab", truth[:, :-1], truth[:, 1:])
     weights, moves = np.zeros((inputs.shape[2], n_labels)), np.zeros((n_labels, n_labels))
     barred = np.where(_ALLOWED, 0.0, _NEVER)
+    edge = np.array([[not features for features in row] + [False] * (longest - len(row)) for row in rows])
+    outside = np.where(edge[:, :, None] & (np.arange(n_labels) > 0), _NEVER, 0.0)
     flat = inputs.reshape(-1, inputs.shape[2])
     mean = [np.zeros_like(weights), np.zeros_like(moves)]
     square = [np.zeros_like(weights), np.zeros_like(moves)]
     for step in range(1, steps + 1):
-        scores = (flat @ weights).reshape(n_lines, longest, n_labels)
-        scores[:, 0] += np.where(_START, 0.0, _NEVER)
+        scores = (flat @ weights).reshape(n_lines, longest, n_labels) + outside
         links = moves + barred
         ahead, behind = np.zeros_like(scores), np.zeros_like(scores)
         ahead[:, 0] = scores[:, 0]
@@ -328,57 +325,88 @@ def _moved(x: np.ndarray, offset: int) -> np.ndarray:
     return out
 
 
-def viterbi(classes: list[np.ndarray], tables: np.ndarray, moves: np.ndarray) -> list[np.ndarray]:
-    """Best labels of every text of a batch, step by step over all texts at once.
+def emissions(chain: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """Label scores of every word of a chain. ``tables``: class x offset x label; class 0 is O."""
+    scores = tables[:, 2].take(chain, axis=0)
+    for k, o in enumerate(OFFSETS):
+        if o < 0:
+            scores[-o:] += tables[:, k].take(chain[:o], axis=0)
+        elif o:
+            scores[:-o] += tables[:, k].take(chain[o:], axis=0)
+    scores[chain == 0] = _NEVER
+    scores[chain == 0, 0] = 0
+    return scores
+
 
-    Texts are ordered by length, so the texts that go on are always the first ones and
-    nothing is padded. ``tables``: class x offset x label.
+def stretches(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of words that may be marked; the best labels of all others are O.
+
+    A marked run gains at most its words' gains over O and the largest gains of
+    entering, going on and leaving. A word that no run with a positive bound covers
+    is O in the best labelling, and the chain falls apart there.
+    """
+    gain = (scores[:, 1:].max(axis=1) - scores[:, 0]).astype(np.float64)
+    stay = moves[0, 0]
+    enter, leave = moves[0, 1:].max() - stay, moves[1:, 0].max() - stay
+    on = moves[1:, 1:].max() - stay
+    gain += on
+    sums = np.cumsum(gain)
+    before = np.concatenate(([0.0], sums[:-1]))
+    until = sums - np.minimum.accumulate(before)  # best run that ends here
+    after = np.maximum.accumulate(sums[::-1])[::-1] - before  # best run that starts here
+    hot = np.concatenate(([False], until + after - gain + enter + leave - on > -1e-3, [False]))
+    edges = np.flatnonzero(hot[1:] != hot[:-1])
+    return edges[::2], edges[1::2]
+
+
+def viterbi(scores: np.ndarray, starts: np.ndarray, stops: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best labels, word by word over all stretches at once; words outside stretches are O.
+
+    Stretches are ordered by length, so those that go on are always the first ones and
+    nothing is padded. An O stands before and after each.
     """
-    order = sorted(range(len(classes)), key=lambda i: -len(classes[i]))
-    lengths = np.array([len(classes[i]) for i in order])
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(classes)
-    running = int((lengths > 0).sum())
-    if not running:
+    out = np.zeros(len(scores), np.int8)
+    if not len(starts):
         return out
-    order, lengths = order[:running], lengths[:running]
-    firsts = np.concatenate(([0], np.cumsum(lengths)))
-    joined = np.concatenate([classes[i] for i in order])
-    scores = tables[joined, 2]
-    where = np.arange(len(joined)) - np.repeat(firsts[:-1], lengths)
-    rest = np.repeat(lengths, lengths) - where
-    for k, o in enumerate(OFFSETS):
-        if o:
-            ok = np.flatnonzero(where >= -o if o < 0 else rest > o)
-            scores[ok] += tables[joined[ok + o], k]
-    back = np.zeros((len(joined), len(LABELS)), np.int8)
-    best = scores[firsts[:-1]] + np.where(_START, 0, _NEVER).astype(np.float32)
-    final = np.zeros((running, len(LABELS)), np.float32)
-    active = running
-    for t in range(int(lengths[0])):
-        if t:
-            still = int(np.searchsorted(-lengths, -t, side="left"))
-            final[still:active] = best[still:active]
-            active, best = still, best[:still]
-            here = firsts[:active] + t
-            paths = best[:, :, None] + moves
-            came = paths.argmax(axis=1)
-            back[here] = came
-            best = np.take_along_axis(paths, came[:, None, :], axis=1)[:, 0] + scores[here]
-    final[:active] = best
-    for k, i in enumerate(order):
-        rows = back[firsts[k]:firsts[k + 1]]
-        label = int(final[k].argmax())
-        got = np.zeros(len(rows), np.int8)
-        if label == 0 and not rows[:, 0].any():
-            out[i] = got  # outside everywhere: the usual text
-            continue
-        for t in range(len(rows) - 1, -1, -1):
-            got[t] = label
-            label = int(rows[t, label])
-        out[i] = got
+    order = np.argsort(starts - stops, kind="stable")
+    starts, stops = starts[order], stops[order]
+    lengths = stops - starts
+    rows = np.concatenate(([0], np.cumsum(lengths)))
+    back = np.zeros((rows[-1], len(LABELS)), np.int8)
+    best = scores[starts] + moves[0]
+    final = np.zeros((len(starts), len(LABELS)), np.float32)
+    active = len(starts)
+    for t in range(1, int(lengths[0])):
+        still = int(np.searchsorted(-lengths, -t, side="left"))
+        final[still:active] = best[still:active]
+        active = still
+        paths = best[:active, :, None] + moves
+        came = paths.argmax(axis=1)
+        back[rows[:active] + t] = came
+        best = np.take_along_axis(paths, came[:, None, :], axis=1)[:, 0] + scores[starts[:active] + t]
+    final[:active] = best[:active]
+    label = (final + moves[:, 0]).argmax(axis=1).astype(np.int8)
+    for t in range(int(lengths[0]) - 1, -1, -1):
+        active = int(np.searchsorted(-lengths, -t, side="left"))
+        out[starts[:active] + t] = label[:active]
+        label[:active] = back[rows[:active] + t, label[:active]]
     return out
 
 
+def decode(classes: list[np.ndarray], tables: np.ndarray, moves: np.ndarray, whole: bool = False) -> list[np.ndarray]:
+    """Best labels of every text of a batch. ``whole=True`` leaves no word out beforehand."""
+    gap = np.zeros(2, np.int32)
+    chain = np.concatenate([gap, *(x for c in classes for x in (c, gap))])
+    lengths = np.array([len(c) for c in classes], np.int64)
+    starts = 2 + np.cumsum(lengths + 2) - (lengths + 2)
+    scores = emissions(chain, tables)
+    if whole:
+        labels = viterbi(scores, starts[lengths > 0], (starts + lengths)[lengths > 0], moves)
+    else:
+        labels = viterbi(scores, *stretches(scores, moves), moves)
+    return [labels[s:s + n] for s, n in zip(starts, lengths)]
+
+
 _AT = re.compile(r"\s*[\[({]\s*at\s*[\])}]\s*|\s+at\s+", re.I)
 _DOT = re.compile(r"\s*[\[({]\s*(?:dot|\.)\s*[\])}]\s*|\s+(?:dot|\.)\s+", re.I)
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -457,8 +485,7 @@ def find(texts: DataFrame, text: str = "text", passing: tuple[str, ...] = ("doc_
                 values = [whole[k].as_py() for k in group]
                 data = [(v or "").encode("utf-8") for v in values]
                 classes = [words.classes(d) for d in data]
-                tables = np.stack(words.tables) if words.tables else np.zeros((1, len(OFFSETS), len(LABELS)), np.float32)
-                for value, raw, labels in zip(values, data, viterbi(classes, tables, links)):
+                for value, raw, labels in zip(values, data, decode(classes, np.stack(words.tables), links)):
                     rows.append(_row(value, raw, labels, mask))
             columns = list(zip(*rows)) if rows else [()] * 7
             kinds = [pa.int64()] * 4 + [pa.string()] * 3

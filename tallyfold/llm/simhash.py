@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import components, map_arrow, stored
@@ -48,17 +48,20 @@ def fingerprint(data: bytes, shingle: int, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(texts: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long. Null text: no words, 0."""
+def fingerprints(texts: DataFrame, shingle: int = 4, text: str = "text", passing: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``passing`` columns and fp, the fingerprint as a signed long, of every row. Null text: no words, 0."""
+    names = [f"_p{i}" for i in range(len(passing))]
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            prints = np.fromiter((fingerprint(x.as_py(), shingle) if x.is_valid else 0 for x in batch.column(1)),
+            prints = np.fromiter((fingerprint(x.as_py(), shingle) if x.is_valid else 0 for x in batch.column(0)),
                                  np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints.view(np.int64))], names=[*names, "fp"])
 
-    narrow = texts.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("data"))
-    return map_arrow(narrow, run, "doc_id long, fp long")
+    narrow = texts.select(F.col(text).cast("binary").alias("data"), *[F.col(c).alias(n) for c, n in zip(passing, names)])
+    kinds = "".join(f"{n} {texts.schema[c].dataType.simpleString()}, " for c, n in zip(passing, names))
+    out = map_arrow(narrow, run, kinds + "fp long")
+    return out.select(*[F.col(n).alias(c) for c, n in zip(passing, names)], F.col("fp").alias("_fp"))
 
 
 def segment_masks(max_distance: int) -> list[int]:
@@ -217,6 +220,13 @@ def links(prints: DataFrame, max_distance: int = 4) -> DataFrame:
     return map_arrow(dealt, run, "a long, b long")
 
 
+def linked_prints(prints: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, root): of distinct prints, the smallest print that links reach."""
+    groups = components(links(prints, max_distance), "simhash")
+    return prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(texts: DataFrame, shingle: int = 4, max_distance: int = 4, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
@@ -226,12 +236,26 @@ def near_duplicates(texts: DataFrame, shingle: int = 4, max_distance: int = 4, d
     null ids only has a null id. Other columns are left out, an empty table
     gives no rows. Copies meet once per fingerprint before anything is compared.
     """
-    prints = stored(fingerprints(texts, shingle, doc_id, text), "prints")
+    ids = texts.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    prints = stored(fingerprints(ids, shingle).select("doc_id", F.col("_fp").alias("fp")), "prints")
     firsts = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-prints")
-    groups = components(links(firsts.select("fp"), max_distance), "simhash")
-    rooted = firsts.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root"))
+    rooted = firsts.join(linked_prints(firsts.select("fp"), max_distance), "fp")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(lowest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(texts: DataFrame, shingle: int = 4, max_distance: int = 4, doc_id: str = "doc_id",
+             text: str = "text") -> DataFrame:
+    """One whole row of each component: that with the smallest doc_id (nulls last), of those the first text.
+
+    A task hands on one row of a component at most, so a large component does not gather.
+    """
+    columns = tuple(texts.columns)
+    prints = fingerprints(texts, shingle, text, columns)
+    distinct = stored(fingerprints(texts, shingle, text, ()).select(F.col("_fp").alias("fp")).distinct(), "distinct-prints")
+    roots = stored(linked_prints(distinct, max_distance), "print-roots")
+    order = Window.partitionBy("_root").orderBy(F.asc_nulls_last(doc_id), F.asc_nulls_first(text))
+    met = prints.join(roots.select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "_fp")
+    return met.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*columns)

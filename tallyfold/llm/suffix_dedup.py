@@ -430,10 +430,11 @@ def merged_spans(spans: list[dict] | None, n: int) -> list[tuple[int, int]]:
 
 
 def remove_repeats(texts: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   passing: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+                   passing: tuple[str, ...] = ("doc_id",), as_text: bool = False) -> DataFrame:
     """``passing`` columns of every row, what was removed from its text, and the bytes kept.
 
-    Adds n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes). Null
+    Adds n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes; with
+    ``as_text`` a string, without the rests of characters that were cut in part). Null
     counts as empty; a text shorter than ``length`` keeps all. Rows with equal text,
     repeated rows among them, are repeats of each other. Other columns are left
     out; an empty table gives no rows.
@@ -453,15 +454,17 @@ def remove_repeats(texts: DataFrame, text: str = "text", length: int = LENGTH, g
                     parts.append(data[at:low])
                     at = high
                 kept = b"".join(parts) + data[at:] if gone else data
-                rows.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
+                rows.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(),
+                             kept.decode("utf-8", "ignore") if as_text else kept))
             columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if as_text else pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[2:], *(pa.array(c, t) for c, t in zip(columns, kinds))],
                 names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     met = packed_texts(texts, text, 0, passing).join(spans, ["k1", "k2"], "left").select("packed", "spans", *names)
     kinds = "".join(f"{n} {texts.schema[c].dataType.simpleString()}, " for c, n in zip(passing, names))
-    out = map_arrow(met, run, kinds + "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = map_arrow(met, run, kinds + "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept "
+                    + ("string" if as_text else "binary"))
     return out.select(*[F.col(n).alias(c) for c, n in zip(passing, names)],
                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
