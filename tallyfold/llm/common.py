@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 import tallyfold
 from tallyfold.session import scratch_path
 
+#: Spark's setting that removes a query's shuffle files at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: set[str] = set()
 
 
@@ -52,11 +54,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
     Cuts the lineage with files that every executor can reach, so a lost executor
-    costs a re-read of them and nothing before.
+    costs a re-read of them and nothing before. The shuffle files behind it are not
+    needed any more and are removed.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

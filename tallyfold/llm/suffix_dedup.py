@@ -9,7 +9,8 @@ and lie in the piece of text around theirs. Pieces meet by anchor:
 * an anchor whose pieces are all equal has only repeated ones;
 * the others' distinct pieces are put end to end, their suffixes sorted in two stages
   (``suffix_array``), and runs of adjacent suffixes with a common prefix of ``length``
-  bytes are the repeated windows.
+  bytes are the repeated windows. Where very many pieces share an anchor, they are first
+  parted into stretches that share more than it.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ from tallyfold.llm.common import map_arrow, stored
 
 LENGTH = 200
 GRAM = 64
-#: Distinct pieces of one anchor that are sorted together; more go by the windows' digests.
+#: Stretches that a piece's windows are parted into by where in them the anchor lies.
+CLASSES = 4
+#: Stretches with one middle part that are sorted together; more go by the windows' digests.
 TOGETHER = 256
 #: Bytes of pieces sorted at once.
-SORTED_BYTES = 1 << 19
+SORTED_BYTES = 3 << 19
 #: Bytes hashed at once; a longer text is hashed in overlapping blocks.
 BLOCK = 1 << 18
 
@@ -123,9 +126,11 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     return position, hashes[first], pieces[first]
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
     """Start positions of all suffixes in the order of their first ``depth`` bytes.
 
+    ``wanted`` marks those that are asked for; others are placed only where they lead to one.
+
     Two stages. Only suffixes smaller than their successors are sorted directly. One
     scan over the buckets, smallest first byte first, then places the others: where a
     suffix is met whose predecessor starts with a larger byte (or an equal one and is
@@ -142,18 +147,28 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     # a run of equal bytes takes the direction of its end
     decided = np.flatnonzero(~same)
     smaller = rises[decided[np.searchsorted(decided, np.arange(n))]]
+    needed = np.ones(n, bool)
+    if wanted is not None:
+        # a suffix that is not sorted directly needs its successors up to one that is
+        later = np.flatnonzero(smaller)
+        at = np.searchsorted(later, np.flatnonzero(wanted))
+        until = np.append(later, n - 1)[at]
+        marks = np.zeros(n + 1, np.int64)
+        np.add.at(marks, np.flatnonzero(wanted), 1)
+        np.add.at(marks, until + 1, -1)
+        needed = np.cumsum(marks[:-1]) > 0
     raw = text.tobytes()
-    direct = np.array(sorted(np.flatnonzero(smaller).tolist(), key=lambda i: raw[i:i + depth]), np.int64)
+    direct = np.array(sorted(np.flatnonzero(smaller & needed).tolist(), key=lambda i: raw[i:i + depth]), np.int64)
     edges = np.searchsorted(text[direct], np.arange(257)) if len(direct) else np.zeros(257, np.int64)
     fronts: list[list[np.ndarray]] = [[] for _ in range(256)]
-    if not smaller[-1]:
+    if not smaller[-1] and needed[-1]:
         fronts[text[-1]].append(np.array([n - 1]))  # its successor is the empty suffix, before all others
     out = []
 
     def induce(met: np.ndarray, byte: int) -> np.ndarray:
         """Predecessors of ``met`` to their buckets; those of this bucket are returned."""
         before = met[met > 0] - 1
-        before = before[~smaller[before]]
+        before = before[~smaller[before] & needed[before]]
         heads = text[before]
         stay = heads == byte
         later, heads = before[~stay], heads[~stay]
@@ -178,7 +193,8 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         if len(back):
             out.append(back)
             induce(back, byte)
-    return np.concatenate(out)
+    order = np.concatenate(out) if out else np.zeros(0, np.int64)
+    return order if wanted is None else order[wanted[order]]
 
 
 def adjacent_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
@@ -187,17 +203,24 @@ def adjacent_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.nda
     out = np.zeros(len(order), np.int64)
     if len(order) < 2:
         return out
-    padded = np.concatenate((text, np.zeros(depth + 8, np.uint8)))
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    padded = np.concatenate((text, np.zeros(depth + 16, np.uint8)))
+    # the eight bytes from every position as one number, first byte lowest
+    words = np.zeros(n + depth + 8, np.uint64)
+    for k in range(8):
+        words |= padded[k:k + len(words)].astype(np.uint64) << np.uint64(8 * k)
     alive = np.arange(1, len(order))
+    one, two = order[1:], order[:-1]
     for at in range(0, depth, 8):
-        one, two = words[order[alive] + at], words[order[alive - 1] + at]
-        equal = one == two
-        full = equal.all(axis=1)
-        out[alive] += np.where(full, 8, equal.argmin(axis=1))
-        alive = alive[full]
+        differ = words[one + at] ^ words[two + at]
+        full = differ == 0
+        ended = ~full
+        low = differ[ended]
+        low &= ~low + np.uint64(1)  # the lowest bit in which they differ
+        out[alive[ended]] = at + (np.bitwise_count(low - np.uint64(1)) >> 3)
+        alive, one, two = alive[full], one[full], two[full]
         if not len(alive):
             break
+    out[alive] = depth
     limit = np.minimum(n - order[1:], n - order[:-1])
     out[1:] = np.minimum(np.minimum(out[1:], limit), depth)
     return out
@@ -214,13 +237,12 @@ def repeated_starts(pieces: list[bytes], owners: np.ndarray, starts: np.ndarray,
     sizes = np.array([len(p) + 1 for p in pieces])
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    order = suffix_array(text, length)
+    fits = np.arange(len(text)) + length < np.repeat(first + sizes, sizes)
+    order = suffix_array(text, length, fits)
     shared = adjacent_prefixes(text, order, length)
     piece = np.searchsorted(first, order, side="right") - 1
     within = order - first[piece]
-    fits = within + length < sizes[piece]
     runs = np.cumsum(shared < length)
-    runs, piece, within = runs[fits], piece[fits], within[fits]
     if not len(runs):
         return [np.zeros(0, np.int64) for _ in pieces]
     place = _mixed(owners[piece]) + (starts[piece] + within).astype(np.uint64)
@@ -286,10 +308,11 @@ def anchor_rows(texts: DataFrame, text: str, length: int, gram: int) -> DataFram
     return map_arrow(_keyed(texts, text), run, "h long, piece long, k1 long, k2 long, pos int")
 
 
-def _sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
-    """(h, piece, low, high): repeated spans within each distinct piece, by suffix sorting.
+def _sorted_groups(stretches: DataFrame, length: int) -> DataFrame:
+    """(h, piece, low, high): repeated spans within each stretch, by suffix sorting.
 
-    Pieces of an anchor stay together and are bounded; several anchors share one array.
+    Stretches with one middle part stay together and are bounded; several such groups share
+    one array.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -297,14 +320,14 @@ def _sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
         size, last = 0, None
 
         def flush():
-            found = repeated_starts([x[2] for x in held], np.array([x[3] for x in held], np.int64).view(np.uint64),
-                                    np.array([x[4] for x in held]), np.array([x[5] > 1 for x in held]), length)
-            rows = [(x[0], x[1], low, high) for x, starts in zip(held, found) for low, high in spans_of(starts, length)]
+            found = repeated_starts([x[3] for x in held], np.array([x[4] for x in held], np.int64).view(np.uint64),
+                                    np.array([x[5] + x[6] for x in held]), np.array([x[7] > 1 for x in held]), length)
+            rows = [(x[1], x[2], x[6] + low, x[6] + high) for x, starts in zip(held, found)
+                    for low, high in spans_of(starts, length)]
             columns = list(zip(*rows)) if rows else [()] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int32())],
-                names=["h", "piece", "low", "high"])
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                              names=["h", "piece", "low", "high"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -313,42 +336,67 @@ def _sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
                     held, size = [], 0
                 last = row[0]
                 held.append(row)
-                size += len(row[2])
+                size += len(row[3])
         if held:
             yield flush()
 
-    dealt = pieces.select("h", "piece", "bytes", "k1", "start", "n").repartition("h").sortWithinPartitions("h", "piece")
+    dealt = stretches.select("core", "h", "piece", F.substring("bytes", F.col("from") + 1, F.col("to") - F.col("from")).alias(
+        "bytes"), "k1", "start", "from", "n").repartition("core").sortWithinPartitions("core", "h", "piece")
     return map_arrow(dealt, run, "h long, piece long, low int, high int")
 
 
-def _digested_groups(pieces: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many distinct pieces: windows meet by their digests.
+def _digested_groups(stretches: DataFrame, length: int) -> DataFrame:
+    """The same where very many stretches have one middle part: windows meet by their digests.
 
-    Equal windows add up before they are shuffled, so no group is ever gathered.
+    Equal windows add up before they are shuffled, so no group is ever gathered. Distinct
+    pieces of an anchor lie at distinct places, so two of them make a repeat.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        names = ["h", "piece", "at", "d1", "d2", "place", "n"]
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                h, piece, data, k1, start, n = row
-                count = len(data) - length + 1
-                if count < 1:
-                    continue
-                whole = np.frombuffer(data, np.uint8)
-                at = np.arange(count)
-                d1 = Hasher(whole).grams(length)
-                d2 = Hasher(whole[::-1]).grams(length)[::-1]
-                place = _mixed(np.full(count, k1, np.int64).view(np.uint64)) + (start + at).astype(np.uint64)
-                yield _arrow([np.full(count, h), np.full(count, piece), at.astype(np.int32), d1.view(np.int64),
-                              np.ascontiguousarray(d2).view(np.int64), place.view(np.int64), np.full(count, n)], names)
-
-    windows = map_arrow(pieces.select("h", "piece", "bytes", "k1", "start", "n"), run,
-                        "h long, piece long, at int, d1 long, d2 long, place long, n long")
-    repeated = windows.groupBy("d1", "d2").agg(
-        F.min("place").alias("p"), F.max("place").alias("q"), F.max("n").alias("m")).where("p <> q or m > 1")
-    return windows.join(repeated.select("d1", "d2"), ["d1", "d2"]).select(
-        "h", "piece", F.col("at").alias("low"), (F.col("at") + length).cast("int").alias("high"))
+    windows = stretches.select("core", "h", "piece", "n", "bytes", F.explode(
+        F.sequence("from", F.col("to") - length)).alias("low"))
+    window = F.substring("bytes", F.col("low") + 1, F.lit(length))
+    windows = windows.select("core", "h", "piece", "n", "low", F.xxhash64(window).alias("d1"),
+                             F.xxhash64(F.lit(1), window).alias("d2"))
+    repeated = windows.groupBy("core", "d1", "d2").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("most")).where(
+        "m > 1 or most > 1")
+    return windows.join(repeated.select("core", "d1", "d2"), ["core", "d1", "d2"]).select(
+        "h", "piece", "low", (F.col("low") + length).cast("int").alias("high"))
+
+
+def _parted(pieces: DataFrame, before: int, length: int) -> DataFrame:
+    """Stretches of ``pieces``: (.., from, to, core, whole), windows parted by the place of the anchor in them.
+
+    All windows of a class contain its middle part; ``core`` is its hash with the anchor's and
+    the class, ``whole`` that of the stretch itself.
+    """
+    width = -(-(before + 1) // CLASSES)
+    at, size = F.col("at"), F.octet_length("bytes")
+    made = []
+    for c in range(CLASSES):
+        least, most = c * width, min((c + 1) * width - 1, before)
+        low = F.greatest(F.lit(0), at - most)
+        high = F.least(at - least, size - length)
+        made.append(F.when(low <= high, F.struct(
+            low.cast("int").alias("from"), (high + length).cast("int").alias("to"),
+            F.xxhash64(F.lit(c), "h", F.substring("bytes", at - least + 1, F.lit(length - (most - least)))).alias("core"),
+            F.xxhash64(at - low, F.substring("bytes", low + 1, high + length - low)).alias("whole"))))
+    parted = pieces.withColumn("part", F.explode(F.array(*made))).where("part is not null")
+    return parted.select("h", "piece", "bytes", "k1", "start", "n", "part.*")
+
+
+def _verdicts(pieces: DataFrame, before: int, length: int) -> DataFrame:
+    """(h, piece, low, high): the repeated spans of anchors with several distinct pieces."""
+    narrow = _parted(pieces, before, length).select("h", "piece", "n", "from", "to", "core", "whole")
+    shared = narrow.groupBy("core").agg(
+        F.count(F.lit(1)).alias("m"), F.max("n").alias("most"), (F.min("whole") == F.max("whole")).alias("equal")).where(
+        "m > 1 or most > 1")
+    met = stored(narrow.join(shared, "core").select(
+        "h", "piece", "core", "from", "to", "n", "m", (F.col("equal") | (F.col("n") > 1)).alias("whole"), "equal"),
+        "stretches")
+    whole = met.where("whole").select("h", "piece", F.col("from").alias("low"), F.col("to").alias("high"))
+    # stretches that occur several times stay in the arrays as partners of the others
+    mixed = met.where("not equal").join(pieces.select("h", "piece", "bytes", "k1", "start"), ["h", "piece"])
+    return whole.unionByName(_sorted_groups(mixed.where(F.col("m") <= TOGETHER), length)).unionByName(
+        _digested_groups(mixed.where(F.col("m") > TOGETHER), length))
 
 
 def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -361,9 +409,8 @@ def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, g
     mixed = repeats.where("not equal")
     distinct = mixed.groupBy("h", "piece").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "pos")).alias("at"))
-    per_anchor = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("pieces"))
-    wanted = distinct.join(per_anchor, "h").select("h", "piece", "n", "pieces", "at.*")
-    asked = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "piece", "n", "pieces", "pos")).alias("asked"))
+    asked = distinct.select("h", "piece", "n", "at.*").groupBy("k1", "k2").agg(
+        F.collect_list(F.struct("h", "piece", "n", "pos")).alias("asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]):
         unpack = zstandard.ZstdDecompressor()
@@ -377,19 +424,23 @@ def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, g
                 data = unpack.decompress(data)
                 for x in asked:
                     start = max(0, x["pos"] - before)
-                    rows.append((x["h"], x["piece"], data[start:x["pos"] + length], k1, start, x["n"], x["pieces"]))
+                    rows.append((x["h"], x["piece"], data[start:x["pos"] + length], k1, start, x["n"], x["pos"] - start))
             columns = list(zip(*rows)) if rows else [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             names=["h", "piece", "bytes", "k1", "start", "n", "pieces"])
+                                             names=["h", "piece", "bytes", "k1", "start", "n", "at"])
 
     one_each = packed_texts(texts, text, length).join(asked, ["k1", "k2"])
     pieces = stored(map_arrow(
         one_each.select("k1", "k2", "packed", "asked"), cut,
-        "h long, piece long, bytes binary, k1 long, start int, n long, pieces long").dropDuplicates(["h", "piece"]),
+        "h long, piece long, bytes binary, k1 long, start int, n long, at int").dropDuplicates(["h", "piece"]),
         "pieces")
-    inner = _sorted_groups(pieces.where(F.col("pieces") <= TOGETHER), length).unionByName(
-        _digested_groups(pieces.where(F.col("pieces") > TOGETHER), length))
+    crowded = stored(pieces.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > TOGETHER).select("h"),
+                     "crowded-anchors")
+    usual = pieces.join(crowded, "h", "left_anti").withColumn("core", F.col("h")).withColumn(
+        "from", F.lit(0)).withColumn("to", F.octet_length("bytes"))
+    inner = stored(_sorted_groups(usual, length).unionByName(
+        _verdicts(pieces.join(crowded, "h", "left_semi"), before, length)), "inner-spans")
     per_piece = inner.groupBy("h", "piece").agg(F.collect_list(F.struct("low", "high")).alias("inner"))
     start = F.greatest(F.lit(0), F.col("pos") - before)
     whole = repeats.where("equal").select("k1", "k2", F.array(F.struct(
