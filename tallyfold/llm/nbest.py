@@ -217,16 +217,19 @@ class Vocabulary:
             known[group[k]] = (ids[k, starts[k]:].tobytes(), best[k], None if worse[k] == np.inf else float(worse[k]))
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best segmentations of a word by backward A-star, best first; ties in the order they are met."""
+        """The n best segmentations of a word by backward A-star, best first.
+
+        Of equal ones the one that has come further goes on, so ties do not widen the search.
+        """
         into = self.edges(word)
         ahead = [0.0] + [float("-inf")] * len(word)
         for j in range(1, len(word) + 1):
             ahead[j] = max((ahead[i] + s for i, s, _ in into[j]), default=float("-inf"))
         count = 0
-        queue = [(-ahead[-1], count, len(word), 0.0, None)]
+        queue = [(-ahead[-1], len(word), count, 0.0, None)]
         out: list[tuple[float, tuple[int, ...]]] = []
         while queue and len(out) < n:
-            _, _, at, behind, path = heapq.heappop(queue)
+            _, at, _, behind, path = heapq.heappop(queue)
             if at == 0:
                 ids: list[int] = []
                 while path is not None:
@@ -236,7 +239,7 @@ class Vocabulary:
                 continue
             for i, s, ids in into[at]:
                 count += 1
-                heapq.heappush(queue, (-(ahead[i] + s + behind), count, i, s + behind, (ids, path)))
+                heapq.heappush(queue, (-(ahead[i] + s + behind), i, count, s + behind, (ids, path)))
         return out
 
     # ------------------------------------------------------------ whole texts
