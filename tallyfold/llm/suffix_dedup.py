@@ -30,8 +30,9 @@ LENGTH = 200
 GRAM = 64
 #: Stretches that a piece's windows are parted into by where in them the anchor lies.
 CLASSES = 4
-#: Stretches with one middle part that are sorted together; more go by the windows' digests.
-TOGETHER = 256
+#: Distinct pieces of one anchor that are sorted together (with ``LENGTH`` about 1.4 MB); more
+#: are parted into stretches, and stretches beyond it go by their windows' digests.
+TOGETHER = 4096
 #: Bytes of pieces sorted at once.
 SORTED_BYTES = 3 << 19
 #: Bytes hashed at once; a longer text is hashed in overlapping blocks.
@@ -402,7 +403,7 @@ def _verdicts(pieces: DataFrame, before: int, length: int) -> DataFrame:
 def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(k1, k2, spans): per content with repeats, the covered byte ranges, some of them overlapping."""
     before = length - gram
-    found = anchor_rows(texts, text, length, gram)
+    found = stored(anchor_rows(texts, text, length, gram), "all-anchors")
     shared = found.groupBy("h").agg(
         F.count(F.lit(1)).alias("n"), F.min("piece").alias("p"), F.max("piece").alias("q")).where("n > 1")
     repeats = stored(found.join(shared.select("h", (F.col("p") == F.col("q")).alias("equal")), "h"), "anchors")
@@ -469,15 +470,23 @@ def packed_texts(texts: DataFrame, text: str, least: int = 0, passing: tuple[str
     return map_arrow(keyed, run, "packed binary, k1 long, k2 long" + kinds)
 
 
-def merged_spans(spans: list[dict] | None, n: int) -> list[tuple[int, int]]:
-    """Sorted, disjoint, non-adjacent ranges, clipped to n bytes."""
-    out: list[list[int]] = []
-    for low, high in sorted((s["low"], min(s["high"], n)) for s in spans or ()):
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return [(low, high) for low, high in out]
+def merged_spans(spans: pa.ListArray) -> list[list[tuple[int, int]]]:
+    """For every row its sorted, disjoint, non-adjacent ranges; a null has none."""
+    sizes = spans.value_lengths().fill_null(0).to_numpy()
+    flat = spans.flatten()
+    row = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+    low = flat.field("low").to_numpy(zero_copy_only=False).astype(np.int64) + (row << 32)
+    high = flat.field("high").to_numpy(zero_copy_only=False).astype(np.int64) + (row << 32)
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    out: list[list[tuple[int, int]]] = [[] for _ in sizes]
+    if len(low):
+        first = np.flatnonzero(np.concatenate(([True], low[1:] > high[:-1])))
+        last = np.append(first[1:], len(low)) - 1
+        mask = (1 << 32) - 1
+        for k, a, b in zip((low[first] >> 32).tolist(), (low[first] & mask).tolist(), (high[last] & mask).tolist()):
+            out[k].append((a, b))
+    return out
 
 
 def remove_repeats(texts: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM,
@@ -497,11 +506,11 @@ def remove_repeats(texts: DataFrame, text: str = "text", length: int = LENGTH, g
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for packed, spans in zip(batch.column(0), batch.column(1).to_pylist()):
+            for packed, gone in zip(batch.column(0), merged_spans(batch.column(1))):
                 data = unpack.decompress(packed.as_py())
-                gone = merged_spans(spans, len(data))
                 at, parts = 0, []
                 for low, high in gone:
+                    high = min(high, len(data))
                     parts.append(data[at:low])
                     at = high
                 kept = b"".join(parts) + data[at:] if gone else data
