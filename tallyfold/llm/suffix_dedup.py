@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import map_arrow, stored
@@ -400,6 +400,17 @@ def _verdicts(pieces: DataFrame, before: int, length: int) -> DataFrame:
         _digested_groups(mixed.where(F.col("m") > TOGETHER), length))
 
 
+def _runs(spans: Column) -> Column:
+    """Overlapping and adjacent spans of an array put together."""
+    def add(done: Column, one: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["low"].alias("low"), F.greatest(last["high"], one["high"]).alias("high"))
+        return F.when(last["high"] >= one["low"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(one)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<low:int,high:int>>"), add)
+
+
 def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(k1, k2, spans): per content with repeats, the covered byte ranges, some of them overlapping."""
     before = length - gram
@@ -442,7 +453,9 @@ def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, g
         "from", F.lit(0)).withColumn("to", F.octet_length("bytes"))
     inner = stored(_sorted_groups(usual, length).unionByName(
         _verdicts(pieces.join(crowded, "h", "left_semi"), before, length)), "inner-spans")
-    per_piece = inner.groupBy("h", "piece").agg(F.collect_list(F.struct("low", "high")).alias("inner"))
+    # a piece has a bounded number of windows; their runs are what its occurrences are given
+    per_piece = stored(inner.groupBy("h", "piece").agg(_runs(F.collect_list(F.struct("low", "high"))).alias("inner")),
+                       "piece-spans")
     start = F.greatest(F.lit(0), F.col("pos") - before)
     whole = repeats.where("equal").select("k1", "k2", F.array(F.struct(
         start.alias("low"), (F.col("pos") + length).alias("high"))).alias("spans"))
