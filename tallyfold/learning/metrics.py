@@ -37,9 +37,11 @@ def roc_area(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact area under the ROC curve of scores in [0, 1].
 
     Equal scores are counted together; every positive beats the negatives with a
-    smaller score and half of those with the same.
+    smaller score and half of those with the same. Rows with a null score or label
+    take no part; scores outside [0, 1] are placed like any other.
     """
-    counted = df.groupBy(score).agg(
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counted = known.groupBy(score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     placed = running_totals(counted, [], score, ["neg"], unit_levels(score))
     # Halves are kept whole by doubling; the products outgrow 64 bits.

@@ -88,5 +88,7 @@ def boundary_statistics(boundaries: DataFrame, stats: DataFrame, regions: DataFr
 
 
 def group_statistic(df: DataFrame, keys: list[str], statistic: Column, alias: str) -> DataFrame:
-    """A statistic of each row's group next to the row."""
-    return df.join(df.groupBy(*keys).agg(statistic.alias(alias)), keys, "left")
+    """A statistic of each row's group next to the row; rows with null keys are a group as well."""
+    stats = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(statistic.alias(alias))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    return df.join(stats, same, "left").select(*keys, *[c for c in df.columns if c not in keys], alias)

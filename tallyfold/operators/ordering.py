@@ -55,9 +55,10 @@ def upper_quartile(df: DataFrame, group: str, value: str, alias: str = "p75") ->
     With n values and m = 3(n + 1) the cut lies between the j-th and the next
     value, j = floor(m / 4) kept within 1..n-1, weighted by the remainder; with
     fewer than four values it is the largest. Values are counted first, so ties
-    travel once and no group is gathered.
+    travel once and no group is gathered. Null values are not counted, so a group of nulls
+    only has no cut.
     """
-    counted = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     placed = running_totals(counted, [group], value, ["_n"], count_levels(value))
     sizes = counted.groupBy(group).agg(F.sum("_n").alias("_size"), F.max(value).alias("_top"))
     n = F.col("_size")
