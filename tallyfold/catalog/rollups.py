@@ -98,8 +98,7 @@ PROFILES = f"""grouped AS (
     {_part('VIOLENT_CRIMES')} AS violent_pct, {_part('PROPERTY_CRIMES')} AS property_pct,
     {_part('WOMEN_CRIMES')} AS women_pct, {_part('ECONOMIC_CRIMES')} AS economic_pct,
     {_part('CYBER_CRIMES', 2)} AS cyber_pct
-  FROM features GROUP BY STATE_UT, DISTRICT
-  ORDER BY total_crimes DESC, state, district LIMIT 150),
+  FROM features GROUP BY STATE_UT, DISTRICT),
 profiles AS (
   SELECT district, state, lat, lon, population, total_crimes,
     {r('CAST(total_crimes AS DOUBLE) / CAST(greatest(population, 100000) AS DOUBLE) * 100000', 1)} AS crime_rate_per_100k,
@@ -115,7 +114,7 @@ profiles AS (
     {r('chargesheet', 1)} AS chargesheet_rate, {r('literacy', 1)} AS literacy_rate, {r('urban', 1)} AS urban_pct,
     violent_pct, property_pct, women_pct, economic_pct, cyber_pct,
     {r('greatest(0.0, 100.0 - (violent_pct + property_pct + women_pct + economic_pct))', 1)} AS other_pct
-  FROM grouped)"""
+  FROM grouped ORDER BY total_crimes DESC, state, district LIMIT 150)"""
 
 COMPARED = ["violent_pct", "property_pct", "women_pct", "economic_pct", "cyber_pct", "other_pct",
             "crime_rate_per_100k", "safety_score", "total_crimes", "police_per_lakh", "conviction_rate"]

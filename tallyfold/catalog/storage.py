@@ -205,7 +205,7 @@ def _trend_document(spark, folder):
         *[F.col(n).cast("string").alias(h) for n, h in side.WOMEN_HEADERS.items()])
     text.write_delimited(facts.unionByName(facts.filter("DISTRICT LIKE '%3'").withColumn("DISTRICT", F.lit("TOTAL"))),
                          women)
-    reports.trend_document(feature_stage(spark, folder), side.women_rows(text.read_delimited(spark, women)),
+    reports.trend_document(feature_stage(spark, folder), side.women_rows(text.read_delimited(spark, women, fewest=0)),
                            trade.recovery_facts(spark, folder), path)
     years = documents.read_section(spark, path, "category_trends", "struct<year:int,violent_crimes:bigint>")
     ranked = documents.read_section(spark, path, "women_crimes_state_rankings",
@@ -233,7 +233,7 @@ def _recovery_file(spark, folder):
         F.lit("1").alias("Cases_Property_Stolen"),
         F.when(F.col("o_orderstatus") == "F", F.lit("1.0")).otherwise(F.lit("")).alias("Cases_Property_Recovered"))
     text.write_delimited(facts, path)
-    return rollups.property_recovery(side.recovery_rows(text.read_delimited(spark, path)))
+    return rollups.property_recovery(side.recovery_rows(text.read_delimited(spark, path, fewest=0)))
 
 
 _KEPT = "FROM orders WHERE o_orderkey % 10 <> 3 GROUP BY year(o_orderdate)"
@@ -250,13 +250,9 @@ RECOVERY_FILE_SQL = f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
 def _snapshot_lines(spark, folder):
     path = scratch_path(spark, "snapshots_json")
     reports.snapshot_lines(feature_stage(spark, folder), path)
-    shape = ("year int, national_total bigint, national_violent_pct double, "
-             "states map<string, struct<total_crimes: bigint, violent_pct: double>>")
-    doc = spark.read.schema(shape).json(path)
-    return doc.select("year", "national_total", "national_violent_pct",
-                      F.explode("states").alias("state", "s")).select(
-        "year", "national_total", "national_violent_pct", "state",
-        "s.total_crimes", "s.violent_pct")
+    years = spark.read.schema("year int, national_total bigint, national_violent_pct double").json(path)
+    states = spark.read.schema("year int, state string, total_crimes bigint, violent_pct double").json(f"{path}_states")
+    return years.join(states, "year")
 
 
 def _profiles_document(spark, folder):

@@ -74,14 +74,17 @@ def _snapshot_run(spark, folder):
 
 def _snapshot(spark, folder):
     path = _snapshot_run(spark, folder)
-    shape = ("total_events_consumed bigint, crime_type_breakdown map<string, bigint>, top_live_districts "
+    shape = ("total_events_consumed bigint, top_live_districts "
              "array<struct<state: string, district: string, live_incident_count: bigint>>")
-    newest = spark.read.schema(shape).json(f"{path}/snapshot/version={BATCHES - 1}")
+    version = sinks.newest_version(spark, path)
+    newest = spark.read.schema(shape).json(f"{path}/snapshot/version={version}")
     top = newest.select("total_events_consumed", F.inline("top_live_districts")).select(
         "total_events_consumed", F.concat_ws("::", "state", "district").alias("name"),
         F.col("live_incident_count").alias("incidents"))
-    kinds = newest.select("total_events_consumed", F.explode("crime_type_breakdown").alias("name", "incidents"))
-    return top.unionByName(kinds)
+    kinds = spark.read.schema("primary_type string, incidents bigint").json(
+        f"{path}/crime_type_breakdown/version={version}").withColumnRenamed("primary_type", "name")
+    return top.unionByName(kinds.withColumn(
+        "total_events_consumed", F.lit(newest.first()["total_events_consumed"])))
 
 
 SNAPSHOT_SQL = over_incidents("""SELECT (SELECT count(*) FROM incidents) AS total_events_consumed, * FROM (

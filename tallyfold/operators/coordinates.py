@@ -11,19 +11,40 @@ from tallyfold.functions.text import name_key
 from tallyfold.schema import DISTRICT, LAT, LON
 
 
-def exact_places(names: DataFrame, places: DataFrame, name: str) -> DataFrame:
-    """Gazetteer columns by equal name; every input row is kept."""
-    return names.join(places, F.col(name) == F.col("gaz_name"), "left")
+def exact_places(names: DataFrame, places: DataFrame, name: str, state: str | None = None,
+                 any_state: bool = False) -> DataFrame:
+    """Gazetteer columns by equal name; every input row is kept once.
 
-
-def _substrings(text):
-    """All non-empty substrings, each once."""
-    size = F.length(text)
-    cuts = F.transform(F.sequence(F.lit(1), size), lambda start: F.transform(
-        F.sequence(F.lit(1), size - start + 1), lambda n: F.substring(text, start, n)))
+    Of several entries the earliest counts. With ``state`` an entry of the same state goes
+    first, then one by name alone, the latter only where all entries of that name are of one
+    state; ``any_state`` goes by name alone.
+    """
+    entry = F.struct(*places.columns)
+    by_name = places.groupBy(F.col("gaz_name").alias("_called")).agg(
+        F.min_by(entry, "position").alias("_any"),
+        (F.countDistinct(F.coalesce("gaz_state", F.lit(""))) == 1).alias("_sole"))
+    found = names.join(by_name, F.col(name) == F.col("_called"), "left")
+    hit = F.col("_any")
+    if state and not any_state:
+        here = places.groupBy(F.col("gaz_name").alias("_here_name"), F.col("gaz_state").alias("_here_state")).agg(
+            F.min_by(entry, "position").alias("_here"))
+        found = found.join(here, (F.col(name) == F.col("_here_name")) & (F.col(state) == F.col("_here_state")), "left")
+        hit = F.coalesce("_here", F.when(F.col("_sole"), F.col("_any")))
+    return found.select(*names.columns, hit.alias("_hit")).select(*names.columns, "_hit.*")
+
+
+def _substrings(text, lengths):
+    """All substrings of the given lengths, each once."""
+    cuts = F.transform(F.filter(lengths, lambda n: n <= F.length(text)), lambda n: F.transform(
+        F.sequence(F.lit(1), F.length(text) - n + 1), lambda start: F.substring(text, start, n)))
     return F.array_distinct(F.flatten(cuts))
 
 
+def _lengths(df, name):
+    """The lengths that occur, as one array that is read before the rows it is used on."""
+    return df.agg(F.collect_set(F.length(name))).scalar()
+
+
 def containing_places(names: DataFrame, places: DataFrame, name: str,
                       state: str | None = None) -> DataFrame:
     """First gazetteer entry whose name contains, or is contained in, ``name``.
@@ -31,8 +52,8 @@ def containing_places(names: DataFrame, places: DataFrame, name: str,
     Substring tests would pair every name with every entry. Instead the
     substrings of one side meet the whole strings of the other in an equality
     join, after reducing each side to the earliest entry per string, so the
-    work grows with the names and not with their product. With ``state`` only
-    entries of the same state count.
+    work grows with the names and not with their product. Only substrings of lengths that
+    the other side has are built. With ``state`` only entries of the same state count.
 
     Returns distinct (state, name) with the winning entry's columns; names
     without a match are absent.
@@ -43,11 +64,12 @@ def containing_places(names: DataFrame, places: DataFrame, name: str,
     entry = F.struct("position", "gaz_name", "gaz_lat", "gaz_lon")
     entries = places.filter(F.length("gaz_name") > 0)
 
-    inside = asked.select(*scope, name, F.explode(_substrings(F.col(name))).alias("_text"))
+    inside = asked.withColumn("_sizes", _lengths(entries, "gaz_name")).select(
+        *scope, name, F.explode(_substrings(F.col(name), F.col("_sizes"))).alias("_text"))
     by_name = entries.groupBy(*entry_scope, F.col("gaz_name").alias("_text")).agg(
         F.min(entry).alias("_hit"))
-    outside = entries.select(*entry_scope, entry.alias("_hit"),
-                             F.explode(_substrings(F.col("gaz_name"))).alias("_text"))
+    outside = entries.withColumn("_sizes", _lengths(asked, name)).select(
+        *entry_scope, entry.alias("_hit"), F.explode(_substrings(F.col("gaz_name"), F.col("_sizes"))).alias("_text"))
     by_part = outside.groupBy(*scope, "_text").agg(F.min("_hit").alias("_hit"))
 
     entry_in_name = inside.join(by_name, scope + ["_text"]).select(*scope, name, "_hit")
@@ -63,9 +85,10 @@ def locate(df: DataFrame, places: DataFrame, centroids: DataFrame, state: str =
            names: DataFrame | None = None) -> DataFrame:
     """Adds latitude, longitude and how they were found.
 
-    Tried in turn: the district by name, a district of the same state whose
+    Tried in turn: the district by name in its state, the district by name where only one
+    state has it, a district of the same state whose
     name overlaps, the state's centroid moved by a per-name jitter, the national
-    centroid. ``strict_compat`` lets any state's overlapping name match.
+    centroid. ``strict_compat`` lets any state's equal or overlapping name match.
 
     Only distinct (state, district) pairs are looked up and joined back. Where a
     table of all places exists, give it as ``names`` (same two columns): the
@@ -74,7 +97,7 @@ def locate(df: DataFrame, places: DataFrame, centroids: DataFrame, state: str =
     asked = (df if names is None else names).select(name_key(F.col(state)).alias("_state"),
                       name_key(F.col(district)).alias("_name"),
                       F.trim(F.col(district)).alias("_shown")).distinct()
-    exact = exact_places(asked, places, "_name")
+    exact = exact_places(asked, places, "_name", "_state", strict_compat)
     unmatched = exact.filter(F.col("gaz_name").isNull()).select("_state", "_name")
     if strict_compat:
         near = containing_places(unmatched, places, "_name")

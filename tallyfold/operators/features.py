@@ -13,7 +13,6 @@ from tallyfold.schema import (
     CATEGORIES, DISTRICT, FEATURE_SCHEMA, LABEL, OTHER, STATE, TOTAL, YEAR,
 )
 
-LAST_YEAR = 9999
 _PLACE = ["_state", "_district"]
 
 
@@ -58,14 +57,15 @@ def severity_label(df: DataFrame, total: str = TOTAL, approximate: bool = False,
                    source: DataFrame | None = None) -> DataFrame:
     """1 for rows at or above the year's upper quartile of the total.
 
-    There are at most 9999 years, so the thresholds may be broadcast and the
-    rows of a busy year stay where they are. ``source`` has the same rows in a
-    form that is cheaper to read, with the totals the thresholds come from.
+    Rows without a year are a group of their own. Thresholds are one short row per year;
+    whether they are small enough to broadcast is left to Spark's size check. ``source`` has the
+    same rows in a form that is cheaper to read, with the totals the thresholds come from.
     """
-    known = (df if source is None else source).filter(F.col(YEAR).between(1, LAST_YEAR))
+    known = df if source is None else source
     quartile = approx_upper_quartile if approximate else upper_quartile
-    cuts = quartile(known.select(YEAR, total), YEAR, total, "_p75")
-    joined = df.join(F.broadcast(cuts), YEAR, "left")
+    group = F.coalesce(F.col(YEAR).cast("string"), F.lit(""))
+    cuts = quartile(known.select(group.alias("_year"), total), "_year", total, "_p75")
+    joined = df.withColumn("_year", group).join(cuts, "_year", "left").drop("_year")
     hit = F.col(total) >= F.coalesce("_p75", F.col(total).cast("double"))
     return joined.withColumn(LABEL, F.when(hit, 1).otherwise(0)).drop("_p75")
 
@@ -98,14 +98,17 @@ def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFra
 
     Keys are ``_state`` and ``_district`` in comparison form. All of this meets
     here, where rows are fewer by the number of years and narrow. The cyber counts
-    become a map by year, at most one entry per year of the place.
+    become a map by year; rows without a year are left out and several of one year add up.
     """
     keyed = totals.select(name_key(F.col(STATE)).alias("_state"),
                           name_key(F.col(DISTRICT)).alias("_district"), TOTAL)
     mean = F.round(F.avg(TOTAL), 2)
     rows = keyed.groupBy("_state", "_district").agg(mean.alias("DISTRICT_RISK_SCORE"))
     rows = with_police(with_demographics(rows, demographics, _PLACE), police, _PLACE)
-    by_year = cyber.groupBy(name_key(F.col(STATE)).alias("_state"), name_key(F.col(DISTRICT)).alias("_district")).agg(
+    per_year = cyber.filter(F.col(YEAR).isNotNull()).groupBy(
+        name_key(F.col(STATE)).alias("_state"), name_key(F.col(DISTRICT)).alias("_district"), YEAR).agg(
+        F.sum("CYBER_CRIMES").alias("CYBER_CRIMES"))
+    by_year = per_year.groupBy(*_PLACE).agg(
         F.map_from_entries(F.collect_list(F.struct(YEAR, "CYBER_CRIMES"))).alias("_cyber"))
     rows = rows.join(by_year, _PLACE, "left")
     if by_name_only:

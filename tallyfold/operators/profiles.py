@@ -9,6 +9,7 @@ from tallyfold.constants import PROFILE_DEFAULTS
 from tallyfold.functions.labels import archetype, safety_score, tier_of_score
 from tallyfold.functions.numbers import clamp, half_up, per_population
 from tallyfold.functions.text import contains_any
+from tallyfold.operators.ordering import percent_ranks
 from tallyfold.schema import DISTRICT, LAT, LON, STATE, TOTAL, YEAR
 
 SHARES = ["violent_pct", "property_pct", "women_pct", "economic_pct", "cyber_pct", "other_pct"]
@@ -36,13 +37,20 @@ def place_profiles(features: DataFrame, k: int = 150, raw_risk: bool = False) ->
     """The ``k`` largest places with shares, archetype and safety score.
 
     The score expects a risk in [0, 1]; the mean volume is turned into its
-    percent rank among the chosen places. ``raw_risk`` keeps the volume, which
-    pins every score to the lower bound.
+    percent rank among all places, so it does not change with ``k``; an unknown mean ranks
+    lowest. ``raw_risk`` keeps the volume, which pins every score to the lower bound.
     """
-    top = profile_totals(features).orderBy(F.desc("total_crimes"), "state", "district").limit(k)
-    # At most k rows reach this unpartitioned window.
-    risk = (F.col("_DISTRICT_RISK_SCORE") if raw_risk
-            else F.percent_rank().over(Window.orderBy("_DISTRICT_RISK_SCORE")))
+    totals = profile_totals(features)
+    # Millionths, as the mean is rounded to: whole numbers are ranked by their counts.
+    micro = F.round(F.col("_DISTRICT_RISK_SCORE") * 1_000_000).cast("bigint")
+    top = totals.orderBy(F.desc("total_crimes"), "state", "district").limit(k).withColumn("_micro", micro)
+    if raw_risk:
+        risk = F.col("_DISTRICT_RISK_SCORE")
+    else:
+        ranks = percent_ranks(totals.select(F.lit(0).alias("_all"), micro.alias("_value"))
+                              .filter(F.col("_value").isNotNull()), "_all", "_value")
+        top = top.join(ranks, F.col("_micro") == F.col("_value"), "left")
+        risk = F.coalesce("percent_rank", F.lit(0.0))
 
     def pct(column, digits=1):
         return F.round(F.col(column).cast("double") * 100

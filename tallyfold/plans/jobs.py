@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ from tallyfold.sources.documents import write_document
 from tallyfold.sources.gazetteer import read_gazetteer
 from tallyfold.sources.models import load_model, save_model
 from tallyfold.sources.tables import audited_write, read_table, write_partitioned
-from tallyfold.sources.text import read_delimited
+from tallyfold.sources.text import read_delimited, read_generations
 
 PLACE_IN_SOURCE = ("_file", "_block", "_line")
 SOURCED_SCHEMA = T.StructType(RAW_SCHEMA.fields + [
@@ -32,8 +34,9 @@ def ingest(spark: SparkSession, sources: list[str], out: str, strict_compat: boo
 
     The reading order travels along, as cleaning keeps the first row of a key.
     """
-    frames = [unify_headers(read_delimited(spark, path, keep_position=True), strict_compat, PLACE_IN_SOURCE)
-              for path in sources]
+    frames = [reduce(DataFrame.unionByName, [
+        unify_headers(part, strict_compat, PLACE_IN_SOURCE)
+        for part in read_generations(spark, path, keep_position=True)]) for path in sources]
     return audited_write(union_sources(frames), out)
 
 
@@ -51,7 +54,7 @@ def _dimension(spark: SparkSession, path: str | None, kind: str) -> DataFrame:
         figures = ", ".join(f"{n} {t}" for n, t in DIMENSION_COLUMNS[kind].items())
         year = f"{YEAR} int, " if kind == "cyber" else ""
         return spark.createDataFrame([], f"{STATE} string, {DISTRICT} string, {year}{figures}")
-    return dimension_rows(read_delimited(spark, path, keep_position=True), kind, list(PLACE_IN_SOURCE))
+    return dimension_rows(read_delimited(spark, path, keep_position=True, fewest=0), kind, list(PLACE_IN_SOURCE))
 
 
 def engineer(spark: SparkSession, cleaned: str, out: str, demographics: str | None = None,
@@ -68,10 +71,10 @@ def report(spark: SparkSession, features: str, cleaned: str, out: str, recovery:
     table = read_table(spark, features, FEATURE_SCHEMA)
     reports.hotspot_document(table, f"{out}/hotspots")
     reports.time_document(table, f"{out}/time_patterns")
-    counted = (women_rows(read_delimited(spark, women)) if women
+    counted = (women_rows(read_delimited(spark, women, fewest=0)) if women
                else read_table(spark, cleaned, CLEAN_SCHEMA))
     if recovery:
-        amounts = recovery_rows(read_delimited(spark, recovery))
+        amounts = recovery_rows(read_delimited(spark, recovery, fewest=0))
     else:
         amounts = spark.createDataFrame([], "year int, value_stolen double, value_recovered double, "
                                             "cases_stolen bigint, cases_recovered bigint")

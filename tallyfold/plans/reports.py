@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import calendar, profiles, rollups
 from tallyfold.operators.enrich import with_region
-from tallyfold.sources.documents import NESTED_LIMIT, write_document, write_json_lines
+from tallyfold.sources.documents import write_document, write_json_lines
 
 
-def hotspot_document(features: DataFrame, path: str) -> str:
+def hotspot_document(features: DataFrame, path: str) -> None:
     """Twenty largest districts, fifty hotspots and all states, largest first."""
     sections = {
         "top_20_districts": rollups.top_districts(features, 20),
@@ -18,17 +18,17 @@ def hotspot_document(features: DataFrame, path: str) -> str:
         "state_rankings": rollups.state_rollup(features),
     }
     by_size = [-F.col("total_crimes"), F.col("state")]
-    return write_document(sections, path, {
+    write_document(sections, path, {
         "top_20_districts": by_size + [F.col("district")],
         "top_50_hotspots": by_size + [F.col("district")],
-        "state_rankings": by_size})
+        "state_rankings": by_size}, growing=("state_rankings",))
 
 
-def time_document(features: DataFrame, path: str) -> str:
+def time_document(features: DataFrame, path: str) -> None:
     """Yearly sums, seasonal shares, hour matrix and the grand total."""
     latest = rollups.latest_year(features).select("total_crimes")
     cells = calendar.apportion_week(latest)
-    return write_document({
+    write_document({
         "yearly_trends": rollups.year_rollup(features),
         "seasonal_breakdown": calendar.apportion_seasons(latest),
         "heatmap_matrix": calendar.week_matrix(cells, "expected"),
@@ -36,31 +36,30 @@ def time_document(features: DataFrame, path: str) -> str:
     }, path, {"yearly_trends": [F.col("year")], "heatmap_matrix": [F.col("hour")]})
 
 
-def trend_document(features: DataFrame, clean: DataFrame, recovery: DataFrame, path: str) -> str:
-    return write_document({
+def trend_document(features: DataFrame, clean: DataFrame, recovery: DataFrame, path: str) -> None:
+    write_document({
         "category_trends": rollups.year_rollup(features),
         "property_financial_trends": rollups.property_recovery(recovery),
         "women_crimes_state_rankings": rollups.women_ranking(clean),
     }, path, {"category_trends": [F.col("year")], "property_financial_trends": [F.col("year")],
-              "women_crimes_state_rankings": [-F.col("total_crimes_against_women"), F.col("state")]})
+              "women_crimes_state_rankings": [-F.col("total_crimes_against_women"), F.col("state")]},
+       growing=("women_crimes_state_rankings",))
 
 
-def region_document(features: DataFrame, path: str, regions: DataFrame | None = None) -> str:
+def region_document(features: DataFrame, path: str, regions: DataFrame | None = None) -> None:
     known = with_region(features, regions)
     states = rollups.region_states(known)
-    return write_document({
+    write_document({
         "regions": rollups.region_totals(known), "states": states,
         "region_map": states.select("state", "region"),
     }, path, {"regions": [F.col("region")], "states": [-F.col("total_crimes"), F.col("state")],
-              "region_map": [F.col("state")]})
+              "region_map": [F.col("state")]}, growing=("states", "region_map"))
 
 
-def snapshot_lines(features: DataFrame, path: str) -> str:
-    """One JSON line per year: national sums, state map and top districts.
+def snapshot_lines(features: DataFrame, path: str) -> None:
+    """One JSON line per year with national sums and top districts; states in ``<path>_states``.
 
-    The state map is nested only after the states of a year are counted to be
-    few; beyond that each state becomes a line of its own. Returns which form
-    was written.
+    A year may have any number of states, so each is a line of its own there.
     """
     grains = rollups.yearly_grains(features)
     national = grains.filter(F.col("state").isNull()).select(
@@ -68,25 +67,18 @@ def snapshot_lines(features: DataFrame, path: str) -> str:
         F.col("violent_crimes").alias("national_violent"),
         F.col("women_crimes").alias("national_women"),
         F.col("violent_pct").alias("national_violent_pct"))
-    stats = F.struct("total_crimes", "violent_crimes", "women_crimes", "property_crimes", "violent_pct")
     by_state = grains.filter(F.col("state").isNotNull())
-    sizes = by_state.groupBy("year").count().agg(F.max("count").alias("n"))
-    if (sizes.first()["n"] or 0) > NESTED_LIMIT:
-        write_json_lines(national.unionByName(by_state, allowMissingColumns=True), path)
-        write_json_lines(rollups.yearly_top_districts(features), f"{path}_top_districts")
-        return "lines"
-    states = by_state.groupBy("year").agg(
-        F.map_from_entries(F.collect_list(F.struct("state", stats))).alias("states"))
+    write_json_lines(by_state.select("year", "state", "total_crimes", "violent_crimes", "women_crimes",
+                                     "property_crimes", "violent_pct"), f"{path}_states")
     top = rollups.yearly_top_districts(features)
     ranked = top.groupBy("year").agg(F.sort_array(F.collect_list(F.struct(
         "rank", *[c for c in top.columns if c not in ("year", "rank")]))).alias("top_districts"))
-    write_json_lines(national.join(states, "year").join(ranked, "year"), path)
-    return "nested"
+    write_json_lines(national.join(ranked, "year"), path)
 
 
-def profile_document(features: DataFrame, path: str, k: int = 150) -> str:
+def profile_document(features: DataFrame, path: str, k: int = 150) -> None:
     rows = profiles.place_profiles(features, k)
     shaped = rows.select(*[c for c in rows.columns if c not in profiles.SHARES],
                          F.struct(*profiles.SHARES).alias("dna"))
-    return write_document({"districts": shaped}, path, {
+    write_document({"districts": shaped}, path, {
         "districts": [-F.col("total_crimes"), F.col("state"), F.col("district")]})

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NESTED_LIMIT = 10_000
+#: Names of the sections that a document keeps beside itself.
+BESIDE = "sections_beside"
 
 
 def json_lines(df: DataFrame) -> DataFrame:
@@ -20,40 +19,38 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_document(sections: dict[str, DataFrame], path: str,
-                   order: dict[str, list] | None = None) -> str:
+                   order: dict[str, list] | None = None, growing: tuple[str, ...] = ()) -> None:
     """One JSON object with an array per section, in the order asked for.
 
-    Nesting needs a whole section in one row, so it is done only when every
-    section is counted to be report-sized. A larger one goes out as JSON lines
-    with its section name, in parallel. Returns which form was written.
+    Nesting needs a whole section in one row, so only sections bounded by their meaning (a top
+    list, a row per year or region) are nested. Those named in ``growing`` have a row per place or
+    the like: at every size they are JSON lines in a folder of their own, ``<path>_<section>``,
+    sorted across its files, and the object names them in ``sections_beside``.
     """
     order = order or {}
-    sizes = reduce(
-        DataFrame.unionByName,
-        [df.limit(NESTED_LIMIT + 1).agg(F.count(F.lit(1)).alias("n")) for df in sections.values()],
-    ).agg(F.max("n").alias("n")).first()["n"]
-    if sizes > NESTED_LIMIT:
-        lines = [json_lines(df).select(F.to_json(F.struct(
-            F.lit(name).alias("section"), F.col("value").alias("row"))).alias("value"))
-            for name, df in sections.items()]
-        reduce(DataFrame.unionByName, lines).write.mode("overwrite").text(path)
-        return "lines"
-    parts = []
+    for name in growing:
+        rows = sections[name].orderBy(*order[name]) if name in order else sections[name]
+        write_json_lines(rows, f"{path}_{name}")
+    spark = next(iter(sections.values())).sparkSession
+    paired = spark.range(1).select(F.lit(1).alias("_one"), F.array(
+        *[F.lit(name) for name in growing]).cast("array<string>").alias(BESIDE))
     for name, df in sections.items():
+        if name in growing:
+            continue
         ranked = order.get(name, [])
         rows = df.select(F.struct(*[c.alias(f"_s{i}") for i, c in enumerate(ranked)],
                                   F.struct("*").alias("row")).alias("item"))
         nested = rows.agg(F.sort_array(F.collect_list("item")).alias("items"))
-        parts.append(nested.select(F.transform("items", lambda i: i["row"]).alias(name)))
-    # Every part is exactly one row, so pairing them multiplies nothing.
-    paired = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        paired = paired.join(part.withColumn("_one", F.lit(1)), "_one")
+        # Every part is exactly one row, so pairing them multiplies nothing.
+        paired = paired.join(nested.select(F.lit(1).alias("_one"), F.transform(
+            "items", lambda i: i["row"]).alias(name)), "_one")
     json_lines(paired.drop("_one")).coalesce(1).write.mode("overwrite").text(path)
-    return "nested"
 
 
 def read_section(spark: SparkSession, path: str, name: str, row_type: str) -> DataFrame:
-    """Rows of one section of a nested document."""
-    doc = spark.read.schema(f"`{name}` array<{row_type}>").json(path)
+    """Rows of one section, nested in the document or kept beside it."""
+    doc = spark.read.schema(f"{BESIDE} array<string>, `{name}` array<{row_type}>").json(path)
+    if name in (doc.select(BESIDE).first()[0] or ()):
+        lines = spark.read.text(f"{path}_{name}")
+        return lines.select(F.from_json("value", row_type).alias("_row")).select("_row.*")
     return doc.select(F.inline(name))

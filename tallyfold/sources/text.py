@@ -10,14 +10,14 @@ BROKEN = "_broken"
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], header: list[str] | None = None,
-                   keep_position: bool = False) -> DataFrame:
+                   keep_position: bool = False, fewest: int = 4) -> DataFrame:
     """CSV with a header line, every field as text.
 
-    Files of one call share a header; files of another header generation are read
-    on their own and stacked after ``unify_headers``.
+    Files of one call share a header; ``read_generations`` parts a folder whose files do not.
 
     Undecodable bytes become the replacement character and short lines get
-    nulls. Lines with fewer than four fields are dropped. The header is read
+    nulls. Lines with fewer than ``fewest`` fields are dropped, whichever columns are asked
+    for (0 keeps all, as side tables do). The header is read
     from the first line only, so no pass over the data infers types.
 
     With ``keep_position`` the columns ``_file``, ``_block`` and ``_line`` give
@@ -32,6 +32,8 @@ def read_delimited(spark: SparkSession, path: str | list[str], header: list[str]
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BROKEN)
         .option("enforceSchema", True)
+        # Else a line's fields are counted only when all columns are asked for.
+        .option("columnPruning", fewest == 0)
         .csv(paths)
     )
     if keep_position:
@@ -41,10 +43,31 @@ def read_delimited(spark: SparkSession, path: str | list[str], header: list[str]
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
         )
-    enough = F.col(BROKEN).isNull() | (F.size(F.split(F.col(BROKEN), ",")) >= 4)
+    if fewest == 0:
+        return df.drop(BROKEN)
+    # Commas within quotes part no fields. A value in the last needed field shows there are enough.
+    unquoted = F.regexp_replace(BROKEN, '"([^"]|"")*"', "")
+    last = F.col("`" + names[min(fewest, len(names)) - 1].replace("`", "``") + "`")
+    enough = F.col(BROKEN).isNull() | last.isNotNull() | (F.size(F.split(unquoted, ",")) >= fewest)
     return df.filter(enough).drop(BROKEN)
 
 
+def read_generations(spark: SparkSession, path: str | list[str], keep_position: bool = False,
+                     fewest: int = 4) -> list[DataFrame]:
+    """One frame per header line that occurs among the files, by their first file.
+
+    The header lines are found by one scan of the text that keeps a line per file. Empty
+    files have none and are left out.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"))
+    headers = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    groups = headers.groupBy("_header").agg(F.sort_array(F.collect_list("_file")).alias("_files"))
+    return [read_delimited(spark, g["_files"], keep_position=keep_position, fewest=fewest)
+            for g in sorted(groups.collect(), key=lambda g: g["_files"])]
+
+
 def write_delimited(df: DataFrame, path: str) -> None:
     """CSV with header, one file per partition."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -10,9 +10,23 @@ from tallyfold.schema import EVENT_SCHEMA
 
 
 def decode_events(raw: DataFrame, schema=EVENT_SCHEMA, column: str = "value") -> DataFrame:
-    """Event columns from a JSON text or byte column; malformed text gives nulls."""
+    """Event columns from a JSON text or byte column.
+
+    Text that is no JSON object is no event and is left out (see ``undecodable``); a field of
+    another type becomes null.
+    """
     parsed = F.from_json(F.col(column).cast("string"), schema, {"mode": "PERMISSIVE"})
-    return raw.select(parsed.alias("_e")).select("_e.*")
+    return raw.filter(_is_object(column)).select(parsed.alias("_e")).select("_e.*")
+
+
+def undecodable(raw: DataFrame, column: str = "value") -> DataFrame:
+    """The rows that ``decode_events`` leaves out, as they came, to be kept in a place of their own."""
+    return raw.filter(~_is_object(column))
+
+
+def _is_object(column: str):
+    text = F.col(column).cast("string")
+    return F.coalesce(F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
 def encode_events(events: DataFrame) -> DataFrame:

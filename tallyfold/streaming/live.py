@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.text import place_key
-from tallyfold.sources.documents import NESTED_LIMIT, write_json_lines
+from tallyfold.sources.documents import write_json_lines
+from tallyfold.streaming.sinks import note_done
 
 
 def with_event_defaults(events: DataFrame) -> DataFrame:
@@ -41,22 +42,16 @@ def top_places(totals: DataFrame, k: int = 20) -> DataFrame:
     return totals.orderBy(F.desc("live_incident_count"), "state", "district").limit(k)
 
 
-def live_snapshot(places: DataFrame, types: DataFrame, summary: DataFrame, k: int = 20) -> DataFrame:
-    """One row: counters, the ``k`` busiest places and the type breakdown.
-
-    Only ``k`` places and one row per event type are nested.
-    """
+def live_snapshot(places: DataFrame, summary: DataFrame, k: int = 20) -> DataFrame:
+    """One row: counters and the ``k`` busiest places. Types may be many, so they stay rows of their own."""
     top = top_places(places, k).agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("live_incident_count")).alias("_o"), "state", "district", "live_incident_count"
     ))).alias("_t")).select(F.transform("_t", lambda x: F.struct(
         x["state"].alias("state"), x["district"].alias("district"),
         x["live_incident_count"].alias("live_incident_count"))).alias("top_live_districts"),
         F.lit(1).alias("_one"))
-    kinds = types.agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct("primary_type", "incidents")))).alias("crime_type_breakdown"),
-        F.lit(1).alias("_one"))
-    # One row each, so the joins pair three rows.
-    return (summary.withColumn("_one", F.lit(1)).join(top, "_one").join(kinds, "_one").drop("_one"))
+    # One row each, so the join pairs two rows.
+    return summary.withColumn("_one", F.lit(1)).join(top, "_one").drop("_one")
 
 
 def recent_events(events: DataFrame, shown: int = 12) -> DataFrame:
@@ -64,12 +59,6 @@ def recent_events(events: DataFrame, shown: int = 12) -> DataFrame:
     return events.orderBy(F.desc("timestamp"), F.desc("event_id")).limit(shown)
 
 
-def merge_recent(stored: DataFrame | None, batch: DataFrame, kept: int = 25) -> DataFrame:
-    """The stored buffer brought up to date with a micro-batch."""
-    both = batch if stored is None else stored.unionByName(batch)
-    return recent_events(both, kept)
-
-
 def place_names(events: DataFrame) -> DataFrame:
     """Events with the combined place key."""
     return with_event_defaults(events).withColumn("place", place_key(F.col("state"), F.col("district")))
@@ -85,8 +74,9 @@ def snapshot_writer(path: str, k: int = 20, kept: int = 25, every: int = COMPACT
     Each batch adds its own sums in a folder named by the batch, so a repeated
     batch replaces itself and no state store is needed. Every ``every`` batches
     the totals so far are stored as a base; a batch reads the last base and the
-    few folders after it, however long the stream has run. The snapshot of a
-    batch becomes visible as a whole.
+    few folders after it, however long the stream has run. The document is in
+    ``snapshot``, the counts by type as JSON lines in ``crime_type_breakdown``; a note in ``done``
+    follows both, so ``newest_version`` never names a half-written one.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -101,13 +91,9 @@ def snapshot_writer(path: str, k: int = 20, kept: int = 25, every: int = COMPACT
         if (batch_id + 1) % every == 0:
             for name, part in log.items():
                 part.write.mode("overwrite").parquet(f"{path}/{name}/base={batch_id}")
-        types = log["types"]
-        if types.limit(NESTED_LIMIT + 1).count() > NESTED_LIMIT:
-            # Too many kinds for one row: they go out as lines next to the snapshot.
-            write_json_lines(types, f"{path}/snapshot_types/version={batch_id}")
-            types = types.limit(0)
-        snapshot = live_snapshot(log["places"], types, log["summary"], k)
-        write_json_lines(snapshot, f"{path}/snapshot/version={batch_id}")
+        write_json_lines(log["types"], f"{path}/crime_type_breakdown/version={batch_id}")
+        write_json_lines(live_snapshot(log["places"], log["summary"], k), f"{path}/snapshot/version={batch_id}")
+        note_done(spark, path, batch_id)
     return write
 
 

@@ -39,15 +39,24 @@ def snapshots(path: str, build: Callable[[DataFrame], DataFrame] | None = None
     def write(batch: DataFrame, batch_id: int) -> None:
         out = build(batch) if build else batch
         out.write.mode("overwrite").parquet(f"{path}/data/version={batch_id}")
-        note = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
-        note.coalesce(1).write.mode("overwrite").parquet(f"{path}/done/batch={batch_id}")
+        note_done(batch.sparkSession, path, batch_id)
     return write
 
 
+def note_done(spark: SparkSession, path: str, version: int) -> None:
+    """Tells readers that all files of a version are in place."""
+    note = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    note.coalesce(1).write.mode("overwrite").parquet(f"{path}/done/batch={version}")
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The latest finished version."""
+    return spark.read.schema("version bigint").parquet(f"{path}/done").agg(F.max("version")).first()[0]
+
+
 def newest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the latest finished version."""
-    newest = spark.read.schema("version bigint").parquet(f"{path}/done").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/data/version={newest}")
+    return spark.read.parquet(f"{path}/data/version={newest_version(spark, path)}")
 
 
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None],

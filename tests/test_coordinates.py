@@ -60,6 +60,26 @@ def test_fallback_chain(spark):
     assert loose["East Town"] == "overlap"
 
 
+def test_equal_names_in_two_states_multiply_nothing(spark):
+    places = gazetteer(spark, [(0, "AURANGABAD", "MAHARASHTRA", 19.9, 75.3), (1, "AURANGABAD", "BIHAR", 24.8, 84.4),
+                               (2, "AURANGABAD", "BIHAR", 1.0, 1.0), (3, "PURI", "ODISHA", 19.8, 85.8)])
+    centroids = spark.createDataFrame([("GOA", 15.3, 74.1)], "centroid_state string, centroid_lat double, centroid_lon double")
+    df = spark.createDataFrame([("BIHAR", "Aurangabad"), ("MAHARASHTRA", "Aurangabad"), ("GOA", "Aurangabad"), ("GOA", "Puri")],
+                               f"STATE_RAW string, {DISTRICT} string")
+    got = {(r["STATE_RAW"], r[DISTRICT]): (r["LOCATED_BY"], r[LAT]) for r in coordinates.locate(df, places, centroids).collect()}
+    assert coordinates.locate(df, places, centroids).count() == 4
+    assert got["BIHAR", "Aurangabad"] == ("exact", 24.8) and got["MAHARASHTRA", "Aurangabad"] == ("exact", 19.9)
+    assert got["GOA", "Aurangabad"][0] == "state" and got["GOA", "Puri"] == ("exact", 19.8)
+    loose = coordinates.locate(df, places, centroids, strict_compat=True)
+    assert {r[LAT] for r in loose.filter(F.col(DISTRICT) == "Aurangabad").collect()} == {19.9} and loose.count() == 4
+
+
+def test_long_names_meet_only_occurring_lengths(spark):
+    places = gazetteer(spark, [(0, "EAST", "X", 1.0, 1.0)])
+    asked = spark.createDataFrame([("Q" * 20_000 + "EAST",)], "name string")
+    assert coordinates.containing_places(asked, places, "name").first().gaz_name == "EAST"
+
+
 def test_box_drops_missing_and_outside(spark):
     df = spark.createDataFrame([(20.0, 78.0), (None, 78.0), (50.0, 78.0), (20.0, 10.0)], f"{LAT} double, {LON} double")
     assert coordinates.within_box(df).count() == 1

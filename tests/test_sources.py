@@ -41,15 +41,15 @@ def test_gazetteer_keeps_document_order(spark, tmp_path):
     assert tuple(states.first()) == ("BIHAR", 25.0, 85.0)
 
 
-def test_document_nests_small_and_streams_large(spark, tmp_path, monkeypatch):
+def test_document_keeps_growing_sections_beside(spark, tmp_path):
     small = spark.range(3).select("id")
     path = str(tmp_path / "d")
-    assert documents.write_document({"a": small, "b": small}, path, {"a": [-F.col("id")]}) == "nested"
+    large = spark.range(10_001).select("id")
+    documents.write_document({"a": small, "b": small, "c": large}, path, {"a": [-F.col("id")], "c": ["id"]}, growing=("c",))
     doc = json.loads(spark.read.text(path).first()[0])
     assert [r["id"] for r in doc["a"]] == [2, 1, 0] and len(doc["b"]) == 3
-    monkeypatch.setattr(documents, "NESTED_LIMIT", 2)
-    assert documents.write_document({"a": small}, str(tmp_path / "e")) == "lines"
-    assert spark.read.text(str(tmp_path / "e")).count() == 3
+    assert documents.read_section(spark, path, "b", "struct<id:bigint>").count() == 3
+    assert documents.read_section(spark, path, "c", "struct<id:bigint>").distinct().count() == 10_001
 
 
 def test_scratch_follows_the_session_setting(spark, monkeypatch):
