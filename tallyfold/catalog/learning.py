@@ -19,14 +19,18 @@ from tallyfold.sources.models import load_model, save_model
 CENTRES = [(12.5, 72.5), (18.0, 80.0), (24.5, 76.0), (31.0, 90.0), (20.0, 92.0)]
 
 
+#: Entries of a vector in the embedding table.
+ENTRIES = tuple(f"x{i}" for i in range(64))
+
+
 def _points(spark, folder):
     return trade.table(spark, folder, "embeddings").select(
-        "vec_id", "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
+        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(ENTRIES)])
 
 
 def _kmeans(spark, folder):
     points = _points(spark, folder)
-    model = clustering.fit_clusters(points, ("x", "y"), out="cluster_id")
+    model = clustering.fit_clusters(points, ENTRIES, out="cluster_id")
     return clustering.assign_clusters(model, points, "cluster_id").select("vec_id", "label", "cluster_id")
 
 
@@ -51,7 +55,7 @@ def _zones(spark, folder):
 
 def _quality(spark, folder):
     points = _points(spark, folder)
-    model = clustering.fit_clusters(points, ("x", "y"), out="cluster_id")
+    model = clustering.fit_clusters(points, ENTRIES, out="cluster_id")
     q = clustering.cluster_quality(model, points, "cluster_id")
     return spark.range(1).select(F.lit(q["silhouette"]).alias("silhouette"), F.lit(q["wssse"]).alias("wssse"))
 
@@ -125,7 +129,7 @@ def _forest_report(spark, folder):
 def _model_round_trip(spark, folder):
     """Rows on which a model and its reloaded copy disagree."""
     points = _points(spark, folder)
-    model = clustering.fit_clusters(points, ("x", "y"), out="before")
+    model = clustering.fit_clusters(points, ENTRIES, out="before")
     path = scratch_path(spark, "kmeans_model")
     save_model(model, path)
     first = clustering.assign_clusters(model, points, "before")
@@ -141,7 +145,7 @@ QUERIES = [
           "SELECT count(*) AS points, CAST(15 AS BIGINT) AS clusters, CAST(15 AS BIGINT) AS in_range FROM embeddings"),
     Query("kmeans_zones", "M2 J9 A10 K6", _zones),
     Query("kmeans_quality", "M3", _quality),
-    Query("kmeans_elbow", "M4", lambda s, d: clustering.elbow(_points(s, d), ("x", "y"))),
+    Query("kmeans_elbow", "M4", lambda s, d: clustering.elbow(_points(s, d), ENTRIES)),
     Query("model_round_trip", "S15", _model_round_trip,
           "SELECT count(*) AS \"rows\", CAST(0 AS BIGINT) AS differing FROM embeddings"),
     Query("nearest_centres", "M2", lambda s, d: _zoned(s, d).select(STATE, DISTRICT, YEAR, "cluster_id"), f"WITH {CLEAN},\n{ZONED}\n"

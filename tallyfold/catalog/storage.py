@@ -125,8 +125,7 @@ def _stage_tables(spark, folder):
 
 def _view(spark, folder):
     tables.register_view(raw_stage(spark, folder), "facts_view")
-    return spark.sql("SELECT YEAR, CAST(SUM(MURDER) AS BIGINT) AS murders FROM facts_view "
-                     "WHERE DISTRICT LIKE '%7' GROUP BY YEAR")
+    return spark.sql("SELECT YEAR, CAST(SUM(MURDER) AS BIGINT) AS murders FROM facts_view GROUP BY YEAR")
 
 
 def _gazetteer(spark, folder):
@@ -293,8 +292,7 @@ QUERIES = [
         UNION ALL SELECT 'crimes_features', YEAR, count(*), CAST(sum({TOTAL}) AS BIGINT) FROM features
           GROUP BY YEAR""")),
     Query("temp_view", "S6", _view, over_raw(
-        "SELECT YEAR, CAST(sum(MURDER) AS BIGINT) AS murders FROM raw_facts "
-        "WHERE DISTRICT LIKE '%7' GROUP BY YEAR")),
+        "SELECT YEAR, CAST(sum(MURDER) AS BIGINT) AS murders FROM raw_facts GROUP BY YEAR")),
     Query("gazetteer_document", "S8", _gazetteer,
           "SELECT row_number() OVER (ORDER BY n_name) - 1 AS position, n_name AS gaz_name, "
           "'ZONE ' || n_regionkey AS gaz_state, n_nationkey + CAST(10.5 AS DOUBLE) AS gaz_lat, "

@@ -7,17 +7,18 @@ from tallyfold.schema import LABEL
 from tallyfold.sources.models import load_model, save_model
 from tallyfold.sources.tables import audited_write
 
-POINTS = [(28.61, 77.20, "DELHI", "DELHI", 50000), (28.53, 77.39, "NOIDA", "UP", 20000),
-          (18.92, 72.83, "MUMBAI", "MAH", 40000), (12.97, 77.59, "BANGALORE", "KAR", 45000)]
+# Two pairs of neighbours and one place by itself.
+POINTS = [(10.0, 10.0, "A1", "A", 7), (10.4, 10.1, "A2", "A", 5), (40.0, 12.0, "B1", "B", 20),
+          (12.0, 60.0, "C1", "C", 9), (11.8, 60.3, "D1", "D", 30)]
 
 
-def test_three_clusters_of_four_points(spark, tmp_path):
+def test_three_clusters_of_five_points(spark, tmp_path):
     df = spark.createDataFrame(POINTS, "LATITUDE double, LONGITUDE double, DISTRICT string, STATE_UT string, n bigint")
     model = clustering.fit_clusters(df, k=3, iterations=10)
     placed = clustering.assign_clusters(model, df)
     rows = cluster_summary(placed, "LOCATION_CLUSTER", "DISTRICT", "STATE_UT", "n").collect()
-    assert len(rows) == 3 and sum(r.total_crimes for r in rows) == 155000
-    assert rows[0].total_crimes == 70000 and rows[0].dominant_states == ["DELHI", "UP"]
+    assert len(rows) == 3 and sum(r.total_crimes for r in rows) == 71
+    assert rows[0].total_crimes == 39 and rows[0].dominant_states == ["D", "C"]
     assert clustering.cluster_centres(model, df).count() == 3
     save_model(model, str(tmp_path / "m"))
     again = clustering.assign_clusters(load_model(str(tmp_path / "m")), df)
@@ -32,10 +33,11 @@ def test_elbow_marks_one_knee(spark):
 
 
 def training_rows(spark):
+    """Severe above a slanting line over two figures; the third says nothing."""
     rows = []
-    for i in range(200):
-        ratio, risk = round(0.05 + (i % 10) * 0.05, 2), float(1000 + (i * 37) % 9000)
-        rows.append((str(i), "d", 2001 + i % 14, risk, ratio, 0.3, int(ratio > 0.25 or risk > 5000)))
+    for i in range(240):
+        ratio, risk = i * 17 % 60 / 60, float(i * 7 % 50)
+        rows.append((f"s{i}", "d", 1990 + i % 9, risk, ratio, i * 11 % 13 / 13, int(ratio + risk / 50 > 1)))
     return spark.createDataFrame(rows, "STATE_UT string, DISTRICT string, YEAR int, risk double, ratio double, "
                                        f"p double, {LABEL} int")
 
@@ -63,7 +65,7 @@ def test_split_does_not_depend_on_partitioning(spark):
     df = training_rows(spark)
     a = {r.STATE_UT: r.is_train for r in severity.split_rows(df).collect()}
     b = {r.STATE_UT: r.is_train for r in severity.split_rows(df.repartition(7)).collect()}
-    assert a == b and 130 <= sum(a.values()) <= 185
+    assert a == b and 165 <= sum(a.values()) <= 218
 
 
 def test_metrics_guard_empty_classes(spark):
