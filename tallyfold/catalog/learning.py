@@ -123,7 +123,7 @@ def _forest_report(spark, folder):
     extra = train.agg(F.count(F.lit(1)).alias("train_size"), F.lit(severity.TREES).alias("num_trees"),
                       F.lit(severity.DEPTH).alias("max_depth"), F.lit(quality["auc_roc"]).alias("auc_roc_library"))
     return metrics.report_rows([metrics.decision_metrics(counts), metrics.roc_area(scored, LABEL, "risk_probability"),
-                                counts, extra])
+                                counts, extra, test.agg(F.count(F.lit(1)).alias("test_size"))])
 
 
 def _model_round_trip(spark, folder):

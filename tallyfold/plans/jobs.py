@@ -104,8 +104,10 @@ def train(spark: SparkSession, features: str, model: str, evaluation: str, trees
     fitted = load_model(model)
     scored = severity.score_severity(fitted, rows.filter("is_train = 0")).select(LABEL, "risk_probability", "predicted")
     counts = metrics.confusion(scored, LABEL, "predicted")
+    setting = rows.agg(F.count_if(F.col("is_train") == 1).alias("train_size"), F.count_if(F.col("is_train") == 0).alias("test_size"),
+                       F.lit(trees).alias("num_trees"), F.lit(severity.DEPTH).alias("max_depth"))
     measures = metrics.report_rows([metrics.decision_metrics(counts),
-                                    metrics.roc_area(scored, LABEL, "risk_probability"), counts])
+                                    metrics.roc_area(scored, LABEL, "risk_probability"), counts, setting])
     write_document({"metrics": measures, "feature_importances": severity.importances(fitted, rows)}, evaluation, {
         "feature_importances": [F.col("rank")]})
     return measures

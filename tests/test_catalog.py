@@ -35,8 +35,7 @@ def test_query_equals_sql(spark, con, query):
     assert rows(df.columns, df.collect()) == rows(answer.columns, answer.fetchall())
 
 
-@pytest.mark.parametrize("query", [q for q in all_queries() if not q.sql and q.name != "kmeans_elbow"],
-                         ids=lambda q: q.name)
+@pytest.mark.parametrize("query", [q for q in all_queries() if not q.sql], ids=lambda q: q.name)
 def test_query_without_sql_gives_rows(spark, query):
     assert query.run(spark, FOLDER).count() > 0
 

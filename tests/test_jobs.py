@@ -119,6 +119,8 @@ def test_models(spark, chain):
         F.sum("TOTAL_IPC_CRIMES")).first()[0]
     found = {r.metric: r.value for r in jobs.train(spark, chain["features"], chain["rf"], chain["evaluation"], 10).collect()}
     assert 0 <= found["accuracy"] <= 1 and found["true_positive"] + found["false_negative"] >= 0
+    assert found["num_trees"] == 10 and found["train_size"] > 0
+    assert found["test_size"] == sum(found[f"{s}_{v}"] for s in ("true", "false") for v in ("positive", "negative"))
 
 
 def test_side_tables(spark, tmp_path):
