@@ -349,16 +349,19 @@ def _sorted_groups(stretches: DataFrame, length: int) -> DataFrame:
 def _digested_groups(stretches: DataFrame, length: int) -> DataFrame:
     """The same where very many stretches have one middle part: windows meet by their digests.
 
-    Equal windows add up before they are shuffled, so no group is ever gathered. Distinct
-    pieces of an anchor lie at distinct places, so two of them make a repeat.
+    Equal windows add up before they are shuffled, so no group is ever gathered. As in
+    ``repeated_starts``, the same place of a text met in two overlapping pieces does not count twice.
     """
-    windows = stretches.select("core", "h", "piece", "n", "bytes", F.explode(
+    windows = stretches.select("core", "h", "piece", "n", "k1", "start", "bytes", F.explode(
         F.sequence("from", F.col("to") - length)).alias("low"))
     window = F.substring("bytes", F.col("low") + 1, F.lit(length))
-    windows = windows.select("core", "h", "piece", "n", "low", F.xxhash64(window).alias("d1"),
-                             F.xxhash64(F.lit(1), window).alias("d2"))
-    repeated = windows.groupBy("core", "d1", "d2").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("most")).where(
-        "m > 1 or most > 1")
+    windows = windows.select("core", "h", "piece", "n", "k1", (F.col("start") + F.col("low")).alias("place"), "low",
+                             F.xxhash64(window).alias("d1"), F.xxhash64(F.lit(1), window).alias("d2"))
+    # a place is an owner and a position; numbers of their own keep this a hash aggregate
+    repeated = windows.groupBy("core", "d1", "d2").agg(
+        F.min("k1").alias("k_low"), F.max("k1").alias("k_high"), F.min("place").alias("p_low"),
+        F.max("place").alias("p_high"), F.max("n").alias("most")).where(
+        "k_low <> k_high or p_low <> p_high or most > 1")
     return windows.join(repeated.select("core", "d1", "d2"), ["core", "d1", "d2"]).select(
         "h", "piece", "low", (F.col("low") + length).cast("int").alias("high"))
 

@@ -81,6 +81,21 @@ def test_remove_repeats(spark, monkeypatch, together):
     assert sorted(map(tuple, got), key=str) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("together", [4096, 8])
+def test_remove_repeats_around_runs(spark, monkeypatch, together):
+    # inside a run one anchor hash stands at neighbouring places, whose pieces hold the same windows
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    low = min("ABCDEFGHIJKLMNOPQRSTUVWXYZ", key=lambda c: suffix_dedup.Hasher(np.frombuffer(c.encode() * 8, np.uint8)).grams(8)[0])
+    rows = [(i, noise(25) + low * rng.randint(16, 19) + noise(25)) for i in range(60)]
+    rows += [(100 + i, noise(25) + ("yz" * 10)[:rng.randint(16, 19)] + noise(25)) for i in range(20)]
+    got = remove_repeats(docs(spark, rows), length=20, gram=8).drop("kept").collect()
+    expected = brute(rows, 20)
+    assert sorted(map(tuple, got), key=str) == expected
+    assert 0 < sum(r[2] == 0 for r in expected) < len(expected)
+
+
 def test_remove_repeats_empty(spark):
     assert remove_repeats(docs(spark, [])).count() == 0
 
