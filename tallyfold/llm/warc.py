@@ -23,8 +23,6 @@ from tallyfold.llm.common import map_arrow, stored
 MAGIC = "WARC/1.0\r\n"
 #: Bytes of a file whose candidates are followed together.
 BLOCK = 32 << 20
-#: Header bytes that are read to judge a candidate.
-HEADER = 4096
 _PREFIX = "https://records.invalid/page/"
 
 
@@ -84,16 +82,25 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", html:
 # ---------------------------------------------------------------- reading
 
 def parse_header(head: bytes) -> tuple[int, dict[str, str]] | None:
-    """Header length with its blank line, and its fields; None where it is no header."""
+    """Header length with its blank line, and its fields; None where it is no header.
+
+    However long it is. A line that starts with a space or tab continues the field before it.
+    """
     end = head.find(b"\r\n\r\n")
     if end < 0:
         return None
-    fields = {}
+    fields, last = {}, None
     for line in head[:end].split(b"\r\n"):
+        if line[:1] in (b" ", b"\t"):
+            if last is None:
+                return None
+            fields[last] = f"{fields[last]} {line.decode('latin-1').strip()}".strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon:
             return None
-        fields[name.decode("latin-1").strip().lower()] = value.decode("latin-1").strip()
+        last = name.decode("latin-1").strip().lower()
+        fields[last] = value.decode("latin-1").strip()
     if not fields.get("content-length", "").isdigit() or "warc-type" not in fields:
         return None
     return end + 4, fields
@@ -138,7 +145,7 @@ def candidates(raw: DataFrame) -> DataFrame:
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         names = ["file", "split", "at", "size", "reach"]
         for file, split, at, data in _places(batches):
-            got = parse_header(data[:HEADER])
+            got = parse_header(data)
             reach = got[0] + int(got[1]["content-length"]) + 4 if got else None
             rows.append((file, split, at, len(data) + len(MAGIC), reach))
             if len(rows) == 20_000:
@@ -183,9 +190,9 @@ def _on_chain(offsets: np.ndarray, ends: np.ndarray, entry: int) -> np.ndarray:
 
 
 def chain(found: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(file, split, at, offset, owner): for each chunk the record it belongs to, by its offset.
+    """(file, split, at, offset, owner, end): for each chunk the record it belongs to, by its offset.
 
-    A chunk whose owner is itself starts a record. Chunks that the chain from the file's
+    ``end`` is where the chunk's own record would end, -1 where it has no header. A chunk whose owner is itself starts a record. Chunks that the chain from the file's
     start does not reach have no owner and are left out. Candidates of a block are
     gathered, at most one per ten bytes of it; everything between blocks is joins.
     """
@@ -225,7 +232,7 @@ def chain(found: DataFrame, block: int = BLOCK) -> DataFrame:
     ready = placed.join(entries, ["file", "block"]).select(
         "file", "block", "offset", "end", "split", "at", "entry", "over").repartition("file", "block").sortWithinPartitions(
         "file", "block", "offset")
-    return map_arrow(ready, _by_block(_owners), "file string, split long, at long, offset long, owner long")
+    return map_arrow(ready, _by_block(_owners), "file string, split long, at long, offset long, owner long, end long")
 
 
 def _exits(file: str, columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -243,8 +250,8 @@ def _owners(file: str, columns: list[np.ndarray]) -> pa.RecordBatch:
     stop = ends[np.searchsorted(offsets, np.maximum(latest, offsets[0]))]
     keep = (owner >= 0) & ((latest < 0) | (offsets < stop))
     return pa.RecordBatch.from_arrays(
-        [pa.array([file] * int(keep.sum()), pa.string()), *(pa.array(c[keep]) for c in (split, at, offsets, owner))],
-        names=["file", "split", "at", "offset", "owner"])
+        [pa.array([file] * int(keep.sum()), pa.string()), *(pa.array(c[keep]) for c in (split, at, offsets, owner, ends))],
+        names=["file", "split", "at", "offset", "owner", "end"])
 
 
 def _by_block(work):
@@ -277,7 +284,7 @@ RECORD = ("file string, offset long, warc_type string, target_uri string, record
 
 
 def _record(file: str, offset: int, data: bytes, with_payload: bool) -> tuple | None:
-    got = parse_header(data[:HEADER])
+    got = parse_header(data)
     if got is None:
         return None
     at, fields = got
@@ -297,18 +304,21 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True, block: i
     """One row per record on the chain of its file, with the fields of its header and its payload.
 
     ``payload=False`` leaves the bytes out and gives their digest and length only. A folder
-    without records gives no rows; a last record that is cut short is left out. Records whose
-    payload holds the magic are put together from their chunks, each in one row.
+    without files gives no rows; a last record that is cut short is left out. Records whose
+    payload holds the magic are put together from their chunks, each in one row. A file whose
+    chain ends before it does (no record at its start, another version line than that of
+    ``MAGIC``, a header or length that does not hold) raises, so no record is lost unseen.
     """
     raw = chunks(spark, path)
     found = candidates(raw)
     owners = stored(chain(found, block), "warc-owners")
+    _all_read(raw, owners)
 
     def run(batches: Iterator[pa.RecordBatch]):
         rows, held = [], 0
         kinds, names = [pa.string(), pa.int64(), pa.int64(), *_RECORD_KINDS[2:]], ["file", "split", "at", *_RECORD_NAMES[2:]]
         for file, split, at, data in _places(batches):
-            got = parse_header(data[:HEADER])
+            got = parse_header(data)
             if got and got[0] + int(got[1]["content-length"]) + 4 == len(data):
                 rows.append((file, split, at, *_record(file, 0, data, payload)[2:]))
                 held += len(data) if payload else 500
@@ -325,6 +335,17 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True, block: i
     return alone.unionByName(_joined(raw, owners.join(several.select("file", "owner"), ["file", "owner"]), payload))
 
 
+def _all_read(raw: DataFrame, owners: DataFrame) -> None:
+    """Raises where the chain of a file ends before the file."""
+    sizes = raw.groupBy("file").agg((F.sum(F.octet_length("data") + len(MAGIC)) - len(MAGIC)).alias("bytes"))
+    ends = owners.where("owner = offset").groupBy("file").agg(F.max("end").alias("end"))
+    short = sizes.join(ends, "file", "left").select("file", "bytes", F.coalesce("end", F.lit(0)).alias("end")).where(
+        "end < bytes").orderBy("file").limit(5).collect()
+    if short:
+        raise ValueError("no record follows in " + "; ".join(
+            f"{r['file']} at byte {r['end']} of {r['bytes']}" for r in short))
+
+
 def _joined(raw: DataFrame, wanted: DataFrame, payload: bool) -> DataFrame:
     """Records that lie in several chunks."""
 
@@ -344,7 +365,7 @@ def _joined(raw: DataFrame, wanted: DataFrame, payload: bool) -> DataFrame:
             for file, owner, parts in zip(*(c.to_pylist() for c in batch.columns)):
                 data = MAGIC.encode().join(p["part"] for p in parts)
                 got = _record(file, owner, data, payload)
-                if got and parse_header(data[:HEADER])[0] + got[8] + 4 <= len(data):
+                if got and parse_header(data)[0] + got[8] + 4 <= len(data):
                     rows.append(got)
             yield _rows(rows, _RECORD_KINDS, _RECORD_NAMES)
 

@@ -40,6 +40,27 @@ def test_archives_hold_against_magic_in_payloads(spark):
         assert sorted((tuple(r)[:5] for r in got), key=str) == expected and all(r.intact for r in got) and all(payloads)
 
 
+def test_archives_with_long_and_folded_headers(spark, tmp_path):
+    def record(k, extra, body=b"body", length=None, version=b"WARC/1.0"):
+        return (version + b"\r\nWARC-Type: response\r\n" + extra + b"WARC-Target-URI: https://records.invalid/page/%d\r\n" % k
+                + b"Content-Length: %d\r\n\r\n" % (len(body) if length is None else length) + body + b"\r\n\r\n")
+
+    def read(name, *records):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc").write_bytes(b"".join(records))
+        return sorted(r.page_id for r in warc.pages_of(warc.read_archives(spark, str(tmp_path / name))).collect())
+
+    long, folded = b"X-Long: " + b"y" * 9000 + b"\r\n", b"X-Folded: one\r\n two\r\n\tthree\r\n"
+    magic = b"a WARC/1.0\r\n b"
+    assert read("whole", record(0, b""), record(1, long), record(2, folded), record(3, long, magic), record(4, b"")) == [0, 1, 2, 3, 4]
+    assert read("cut", record(0, b""), record(1, b"")[:-6]) == [0]
+    assert warc.parse_header(folded + b"WARC-Type: x\r\nContent-Length: 3\r\n\r\n")[1]["x-folded"] == "one two three"
+    for k, parts in enumerate(([record(0, b""), record(1, b"no colon\r\n"), record(2, b"")], [record(0, b"", version=b"WARC/1.1")],
+                               [record(0, b""), record(1, b"", length=3), record(2, b"")], [b"no archive"])):
+        with pytest.raises(ValueError, match="no record follows"):
+            read(f"broken{k}", *parts)
+
+
 def test_url_rules_and_parts(spark):
     rows = [(0, "https://A.Example.ORG/es/1?x#y"), (1, "http://example.org/en/12"), (2, "ftp://org/"), (3, "http://org"),
             (4, "x://a.com/fr/"), (5, "x://a.com/de/?q"), (6, None), (7, ""), (8, "no scheme/path"), (9, "http://example.org:80/es/"),
