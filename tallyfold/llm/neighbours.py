@@ -180,13 +180,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = TA
             for at in range(0, len(queries), _QUERY_BLOCK):
                 q = queries[at:at + _QUERY_BLOCK]
                 scores = q @ c.T
-                n = min(keep + 3, len(c))
-                near = np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < len(c) else np.tile(np.arange(n), (len(q), 1))
+                n = min(keep, len(c))
+                edge = np.partition(scores, len(c) - n, axis=1)[:, len(c) - n]
+                # both ways to sum err by less than size roundings of the lengths' product; equal scores all stay
+                margin = 4 * (size + 2) * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1) * (c * c).sum(axis=1).max())
+                with np.errstate(invalid="ignore"):
+                    floor = edge - margin
+                row, near = np.nonzero(scores >= np.where(np.isfinite(floor), floor, -np.inf)[:, None])
                 # the score that counts: one product after the other, in double precision
-                exact = np.zeros(near.shape)
+                exact = np.zeros(len(near))
                 for d in range(size):
-                    exact += q[:, d:d + 1] * c[near, d]
-                yield np.repeat(query_ids[at:at + _QUERY_BLOCK], n), c_ids[near].ravel(), exact.ravel()
+                    exact += q[row, d] * c[near, d]
+                yield _nearest((query_ids[at:at + _QUERY_BLOCK][row], c_ids[near], exact), keep)
 
         for batch in batches:
             place, axis, chunk, side, row_ids = (batch.column(k).to_numpy() for k in range(5))

@@ -134,6 +134,18 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.search(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_neighbours_of_equal_score(spark):
+    # distinct sign vectors that all score alike: the smallest ids count
+    rng = np.random.default_rng(5)
+    rows = [(0, [1.0] + [0.0] * 11)]
+    tail = list({tuple(x) for x in rng.choice([-1.0, 1.0], (900, 11)).tolist()})
+    rows += [(int(i), [0.1, *t]) for i, t in zip(rng.permutation(np.arange(1, len(tail) + 1)), tail)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.vec_id, r.score) for r in neighbours.search(
+        table, table.where("vec_id = 0"), least=10**6).collect())
+    assert got == [(k, k, 0.1) for k in range(1, 21)]
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 @pytest.mark.parametrize("query", [q for q in queries.QUERIES if q.sql], ids=lambda q: q.name)
 def test_query_equals_sql(spark, query):
