@@ -23,8 +23,6 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
          ("allow", "com/fr/"), ("block", "com/de/"))
 #: Labelled URLs the trees are fitted on, at most: those with the smallest hashes.
 SAMPLE = 10_000
-#: Host endings share this many counters by their hash.
-ENDINGS = 4096
 FEATURES = ("length", "host_length", "path_length", "query_length", "host_labels", "depth", "longest_segment",
             "digits", "digit_share", "host_digits", "hyphens", "upper_share", "escapes", "entropy", "host_entropy",
             "parameters", "has_fragment", "secure", "ending_rate", "ending_count")
@@ -50,8 +48,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def ending(host: Column) -> Column:
-    """Counter of a host's last two labels."""
-    return F.pmod(F.xxhash64(F.substring_index(host, ".", -2)), F.lit(ENDINGS)).cast("int")
+    """A host's last two labels."""
+    return F.substring_index(host, ".", -2)
 
 
 _SPLIT = re.compile(rb"(?:(.*?)://)?([^/?#]*)([^?#]*)(?:\?([^#]*))?(#.*)?", re.S)
@@ -77,33 +75,39 @@ def lexical(url: bytes) -> list[float]:
             len([p for p in query.split(b"&") if p]), float(bool(fragment)), float(scheme.lower() == b"https")]
 
 
-def with_features(urls: DataFrame, rates: np.ndarray) -> DataFrame:
-    """``urls`` (url, ending, and others that pass) with the feature columns. ``rates``: ending x (rate, count)."""
+def with_rates(urls: DataFrame, rates: DataFrame, usual: float) -> DataFrame:
+    """``urls`` with the rate and count of each one's ending, which are ``usual`` and 0 where it was not seen."""
+    return urls.join(rates, "ending", "left").select(
+        *urls.columns, F.coalesce("ending_rate", F.lit(usual)).alias("ending_rate"),
+        F.coalesce("ending_count", F.lit(0.0)).alias("ending_count"))
+
+
+def with_features(urls: DataFrame) -> DataFrame:
+    """``urls`` (url, ending_rate, ending_count, and others that pass) with the feature columns."""
     passing = [c for c in urls.columns if c != "url"]
-    at = passing.index("ending") + 1
+    lexicals = [c for c in FEATURES if c not in passing]
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            x = np.array([lexical(u.as_py() or b"") for u in batch.column(0)], float).reshape(batch.num_rows, -1)
-            x = np.hstack((x, rates[batch.column(at).to_numpy()]))
+            x = np.array([lexical(u.as_py() or b"") for u in batch.column(0)], float).reshape(batch.num_rows, len(lexicals))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *(pa.array(np.ascontiguousarray(c)) for c in x.T)],
-                                             names=[*passing, *FEATURES])
+                                             names=[*passing, *lexicals])
 
-    schema = ", ".join([f"{c} {urls.schema[c].dataType.simpleString()}" for c in passing] + [f"{c} double" for c in FEATURES])
+    schema = ", ".join([f"{c} {urls.schema[c].dataType.simpleString()}" for c in passing] + [f"{c} double" for c in lexicals])
     return map_arrow(urls.select(F.col("url").cast("binary").alias("url"), *passing), run, schema)
 
 
 class UrlModel:
     """Ending statistics and trees, or one verdict where the labels leave no choice."""
 
-    def __init__(self, rates: np.ndarray, trees, verdict: str):
-        self.rates, self.trees, self.verdict = rates, trees, verdict
+    def __init__(self, rates: DataFrame | None, usual: float, trees, verdict: str):
+        self.rates, self.usual, self.trees, self.verdict = rates, usual, trees, verdict
 
     def judged(self, urls: DataFrame) -> DataFrame:
         """``urls`` (url, ending, others) without url and ending, with ``guess``."""
         if self.trees is None:
             return urls.drop("url", "ending").withColumn("guess", F.lit(self.verdict))
-        ready = _assembled(with_features(urls, self.rates))
+        ready = _assembled(with_features(with_rates(urls, self.rates, self.usual)))
         return self.trees.transform(ready).withColumn(
             "guess", F.when(F.col("prediction") > 0.5, F.lit("block")).otherwise(F.lit("allow"))).select(
             *[c for c in urls.columns if c not in ("url", "ending")], "guess")
@@ -116,28 +120,27 @@ def _assembled(df: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, sample: int = SAMPLE, rounds: int = 20, depth: int = 4) -> UrlModel:
     """Trees from (url, label), label 1 for block and 0 for allow; repeated rows count once.
 
-    Ending statistics come from all labelled URLs and are as large as ``ENDINGS``
-    says; the trees are fitted on ``sample`` of them. No labels: everything is allowed. One
+    Ending statistics come from all labelled URLs, one row per ending; the trees are fitted on ``sample`` of them. No labels: everything is allowed. One
     class only: that is the verdict.
     """
     host, _ = parts(F.col("url"))
     rows = stored(labelled.where("url is not null and label is not null").select(
         "url", F.col("label").cast("double").alias("label")).distinct().withColumn("ending", ending(host)), "labelled-urls")
-    counts = rows.groupBy("ending").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")).collect()
-    bad, n = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in counts:  # one row per counter at most
-        bad[r["ending"]], n[r["ending"]] = r["bad"], r["n"]
-    total, blocked = n.sum(), bad.sum()
+    counts = stored(rows.groupBy("ending").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")), "url-endings")
+    sums = counts.agg(F.sum("n").alias("total"), F.sum("bad").alias("blocked")).first()
+    total, blocked = sums["total"] or 0, sums["blocked"] or 0.0
     if blocked in (0, total):
-        return UrlModel(np.zeros((ENDINGS, 2)), None, "block" if total and blocked else "allow")
+        return UrlModel(None, 0.0, None, "block" if total and blocked else "allow")
     # rates lean to the overall one where little was seen
-    rates = np.column_stack(((bad + 5 * blocked / total) / (n + 5), np.log1p(n)))
-    chosen = stored(rows.orderBy(F.xxhash64("url"), "url", "label").limit(sample).withColumn(
-        "nth", F.xxhash64("url")), "url-sample").coalesce(1).sortWithinPartitions("nth", "url", "label")
-    ready = stored(with_features(chosen, rates).coalesce(1), "url-features").coalesce(1)
+    usual = blocked / total
+    rates = counts.select("ending", ((F.col("bad") + 5 * usual) / (F.col("n") + 5)).alias("ending_rate"),
+                          F.log1p("n").alias("ending_count"))
+    chosen = stored(with_rates(rows.orderBy(F.xxhash64("url"), "url", "label").limit(sample).withColumn(
+        "nth", F.xxhash64("url")), rates, usual), "url-sample").coalesce(1).sortWithinPartitions("nth", "url", "label")
+    ready = stored(with_features(chosen).coalesce(1), "url-features").coalesce(1)
     trees = GBTClassifier(labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=7,
                           featureSubsetStrategy="all", cacheNodeIds=False).fit(_assembled(ready).select("label", "features"))
-    return UrlModel(rates, trees, "")
+    return UrlModel(rates, usual, trees, "")
 
 
 def filter_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, page_id: str = "page_id",

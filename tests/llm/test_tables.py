@@ -92,6 +92,17 @@ def test_url_trees_on_held_out_urls(spark):
     assert sum((r.guess == "block") == (r.label == 1) for r in got) > 0.95 * len(got)
 
 
+def test_url_endings_do_not_mix(spark):
+    rows = [(f"http://a.s{k}.net/x/{j}", int(k < 4500)) for k in range(9000) for j in range(2)]
+    model = url_filter.train(spark.createDataFrame(rows, "url string, label int"), sample=400, rounds=1)
+    asked = spark.createDataFrame([("s7.net",), ("s8007.net",), ("unseen.net",)], "ending string").withColumn("url", url_filter.F.lit("x"))
+    got = {r.ending: (r.ending_rate, r.ending_count) for r in url_filter.with_rates(asked, model.rates, model.usual).collect()}
+    assert got["s7.net"] == pytest.approx((4.5 / 7, np.log1p(2))) and got["s8007.net"] == pytest.approx((2.5 / 7, np.log1p(2)))
+    assert got["unseen.net"] == (0.5, 0.0)
+    assert sum((r.guess == "block") == (r.label == 1) for r in model.judged(spark.createDataFrame(rows[::90], "url string, label int").withColumn(
+        "ending", url_filter.ending(url_filter.parts(url_filter.F.col("url"))[0]))).collect()) == 200
+
+
 def test_chats_collapse(spark, monkeypatch):
     say = lambda c, *texts: [(c, k, "user" if k % 2 == 0 else "assistant", t, 9) for k, t in enumerate(texts)]
     rows = say(1, "a") + say(2, "a", "b") + say(3, "a", "b", "c") + say(4, "a", "x") + say(5, "a", "b", "c") + say(6, "", None)
