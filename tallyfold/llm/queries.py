@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.catalog.registry import Query
-from tallyfold.llm import chat, nbest, neighbours, packing, pii, quality, simhash, suffix_dedup, url_filter, warc
+from tallyfold.llm import chat, manifest, nbest, neighbours, packing, pii, quality, simhash, suffix_dedup, url_filter, warc
 from tallyfold.llm.common import table
 from tallyfold.session import scratch_path
 
@@ -67,6 +67,15 @@ def crf_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, checked against texts of which some lost their line ends."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    now = {c: F.col(c) for c in fields} | {"text": manifest.tampered(F.col("text"), F.col("doc_id"))}
+    found = manifest.manifest(table(spark, folder, "documents"), fields, claimed=manifest.row_digest(*now.values()))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"),
+                        "folded_root", "verified")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +105,59 @@ SELECT k.conv_id, CAST(len(k.said) AS BIGINT) AS turns,
 FROM kept k ANTI JOIN beginnings b ON k.said = b.said
 """
 
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+#: Every level of both trees by recursion; a leaf's path is then gathered and folded.
+MANIFEST_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT *, {_leaf("text")} AS leaf, {_leaf("replace(text, chr(10), '')")} AS other,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents),
+crc AS (
+    SELECT DISTINCT doc_id, list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+        lambda acc, byte: list_reduce(list_prepend(xor(acc, byte), list_transform(range(8), lambda z: CAST(0 AS BIGINT))),
+            lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, CAST(3988292384 AS BIGINT)) ELSE x // 2 END)) AS c
+    FROM documents),
+tree AS (
+    SELECT source, 0 AS level, pos, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM d
+    UNION ALL
+    SELECT source, level + 1, pos, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + 2) // 3
+    FROM (SELECT source, level, pos // 3 AS pos, pos AS p, h, n FROM tree WHERE n > 1) GROUP BY source, level, pos),
+sub AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS spos FROM tree WHERE n = 1),
+top AS (
+    SELECT 0 AS level, spos AS pos, h, count(*) OVER () AS n FROM sub
+    UNION ALL
+    SELECT level + 1, pos, sha256(string_agg(h, '' ORDER BY p)), (any_value(n) + 2) // 3
+    FROM (SELECT level, pos // 3 AS pos, pos AS p, h, n FROM top WHERE n > 1) GROUP BY level, pos),
+powers AS (SELECT unnest(range(0, 25)) AS level),
+steps AS (
+    SELECT d.doc_id, t.level, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < d.pos // CAST(pow(3, t.level) AS BIGINT)), '') AS before,
+           coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > d.pos // CAST(pow(3, t.level) AS BIGINT)), '') AS after
+    FROM d CROSS JOIN powers p JOIN tree t ON t.source IS NOT DISTINCT FROM d.source AND t.level = p.level AND t.n > 1
+        AND t.pos // 3 = d.pos // CAST(pow(3, t.level + 1) AS BIGINT)
+    GROUP BY d.doc_id, t.level, d.pos
+    UNION ALL
+    SELECT d.doc_id, 100 + t.level, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < s.spos // CAST(pow(3, t.level) AS BIGINT)), ''),
+           coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > s.spos // CAST(pow(3, t.level) AS BIGINT)), '')
+    FROM d JOIN sub s ON d.source IS NOT DISTINCT FROM s.source CROSS JOIN powers p
+        JOIN top t ON t.level = p.level AND t.n > 1 AND t.pos // 3 = s.spos // CAST(pow(3, t.level + 1) AS BIGINT)
+    GROUP BY d.doc_id, t.level, s.spos),
+paths AS (SELECT doc_id, list(before || '.' || after ORDER BY level) AS path,
+                 string_agg(before || after, '' ORDER BY level) AS proof FROM steps GROUP BY doc_id),
+out AS (
+    SELECT d.doc_id, d.leaf, s.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+           list_reduce(list_prepend(CASE WHEN xor(c.c, CAST(4294967295 AS BIGINT)) % 2 = 0 THEN d.other ELSE d.leaf END, coalesce(p.path, [])),
+               lambda acc, s: sha256(split_part(s, '.', 1) || acc || split_part(s, '.', 2))) AS folded_root
+    FROM d JOIN sub s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN crc c ON c.doc_id = d.doc_id LEFT JOIN paths p ON p.doc_id = d.doc_id)
+SELECT *, folded_root = root AS verified FROM out
+"""
+
 QUERIES = [
     Query("op1_suffix_array_dedup", "documents", suffix_array_dedup),
     Query("op2_warc_round_trip", "pages", warc_round_trip, WARC_SQL),
@@ -107,5 +169,6 @@ QUERIES = [
     Query("op8_simhash_components", "documents", simhash_components),
     Query("op9_nbest_segmentation", "documents", nbest_segmentation),
     Query("op10_crf_personal_data", "documents", crf_personal_data),
+    Query("op13_merkle_manifest", "documents", merkle_manifest, MANIFEST_SQL),
     Query("pipeline", "documents", pipeline),
 ]
