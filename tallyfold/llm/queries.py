@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.catalog.registry import Query
-from tallyfold.llm import chat, manifest, nbest, neighbours, packing, pii, quality, simhash, suffix_dedup, url_filter, warc
+from tallyfold.llm import chat, jaccard, manifest, nbest, neighbours, packing, pii, quality, ranking, simhash, suffix_dedup, url_filter, warc
 from tallyfold.llm.common import table
 from tallyfold.session import scratch_path
 
@@ -67,6 +67,14 @@ def crf_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"), words=3, percent=90)
+
+
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest of all documents, checked against texts of which some lost their line ends."""
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -105,6 +113,43 @@ SELECT k.conv_id, CAST(len(k.said) AS BIGINT) AS turns,
 FROM kept k ANTI JOIN beginnings b ON k.said = b.said
 """
 
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
+e AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+          AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+      GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(doc_id, root) AS (
+    SELECT b, a FROM p
+    UNION
+    SELECT x.other, r.root FROM reach r JOIN (SELECT a AS doc_id, b AS other FROM p UNION ALL SELECT b, a FROM p) x USING (doc_id))
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, min(r.root)) AS component_id
+FROM s LEFT JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+"""
+
+RANKED_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d WHERE len(t) > 0),
+f AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM f, s GROUP BY term),
+scores AS (SELECT q.item_id, f.r, f.doc_id,
+                  CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (100 - 90 + ((90 * f.n * s.docs) // s.total))))) AS BIGINT) AS score
+           FROM q JOIN f USING (term) JOIN w USING (term), s GROUP BY q.item_id, f.r, f.doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+           FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def _field(value: str) -> str:
     return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
 
@@ -169,6 +214,8 @@ QUERIES = [
     Query("op8_simhash_components", "documents", simhash_components),
     Query("op9_nbest_segmentation", "documents", nbest_segmentation),
     Query("op10_crf_personal_data", "documents", crf_personal_data),
+    Query("op11_ngram_jaccard", "documents", ngram_jaccard, JACCARD_SQL),
+    Query("op12_ranked_search", "documents", ranked_search, RANKED_SQL),
     Query("op13_merkle_manifest", "documents", merkle_manifest, MANIFEST_SQL),
     Query("pipeline", "documents", pipeline),
 ]
