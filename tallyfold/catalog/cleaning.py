@@ -223,6 +223,13 @@ QUERIES = [
           over_clean(_unpivot_sql(5))),
     Query("unpivoted_heads_uncapped", "P24", lambda s, d: incidents.unpivot_heads(clean_stage(s, d), cap=None),
           over_clean(_unpivot_sql(None))),
+    Query("incident_feed", "P25", lambda s, d: incidents.as_feed(
+        incidents.unpivot_heads(clean_stage(s, d)).withColumn("event_id", F.concat_ws("/", "state", "district", "year", "primary_type")),
+        "YEARLY_COUNTS", F.make_date("year", F.lit(12), F.lit(31))).withColumn(
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm")), over_clean(
+        f"""SELECT concat_ws('/', state, district, year, primary_type) AS event_id, CAST(year AS VARCHAR) || '-12-31 00:00' AS "timestamp",
+          trim(state) AS state, trim(district) AS district, CAST(year AS INTEGER) AS year, primary_type, incident_count,
+          'YEARLY_COUNTS' AS source FROM ({_unpivot_sql(5)})""")),
     Query("incident_events", "P25", lambda s, d: incidents.incident_events(clean_stage(s, d)), over_clean(
         f"""SELECT state, district, year, primary_type, incident_count,
           'EV-' || (100000 + row_number() OVER (ORDER BY CAST('0x' || substr(md5({EVENT_KEY}), 1, 8) AS BIGINT) % 4096,

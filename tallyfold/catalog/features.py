@@ -11,9 +11,11 @@ from tallyfold.catalog.registry import Query
 from tallyfold.functions import labels
 from tallyfold.functions.numbers import per_population
 from tallyfold.operators import features as fx
-from tallyfold.operators.ordering import approx_upper_quartile, trailing_rows, upper_quartile
+from tallyfold.operators import sketches
+from tallyfold.operators.ordering import approx_upper_quartile, equal_chunks, trailing_rows, upper_quartile
 from tallyfold.plans import trade
 from tallyfold.plans.stages import clean_stage, direct_features, feature_stage
+from tallyfold.session import scratch_path
 from tallyfold.schema import CATEGORIES, DISTRICT, FEATURE_SCHEMA, LABEL, OTHER, STATE, TOTAL, YEAR
 from tallyfold.streaming.live import with_event_defaults
 
@@ -85,11 +87,34 @@ def _scores(spark, folder):
         labels.driver_label(F.col("VIOLENT_CRIME_RATIO"), F.col("DISTRICT_RISK_SCORE") * 60).alias("driver"))
 
 
+#: Events of a district that one task's window takes.
+CHUNK = 5000
+
+
+def _sketched(spark, folder):
+    """Third quartile of every year from sketches stored per part of the data and merged, with its exact rank.
+
+    ``within`` says whether the rank lies within the sketch's error bound of three quarters of the rows.
+    """
+    facts = clean_stage(spark, folder).select(STATE, YEAR, TOTAL)
+    store = sketches.SketchStore(scratch_path(spark, "sketches"), [YEAR], TOTAL)
+    part = F.pmod(F.xxhash64(STATE), F.lit(3))
+    for k in range(3):
+        store.add(facts.where(part == k), f"delivery{k}")
+    cuts = store.quantiles(spark, 0.75, "p75")
+    # One row per year.
+    ranks = facts.join(F.broadcast(cuts), YEAR).groupBy(YEAR, "n").agg(
+        F.count_if(F.col(TOTAL) < F.col("p75")).alias("_below"), F.count_if(F.col(TOTAL) <= F.col("p75")).alias("_up_to"))
+    slack = F.lit(sketches.rank_error()) * F.col("n") + 1
+    return ranks.select(YEAR, "n", ((F.col("_below") - slack <= 0.75 * F.col("n")) & (F.col("_up_to") + slack >= 0.75 * F.col("n"))).alias("within"))
+
+
 def _last_events(spark, folder):
     """Mean and number of the last 25 events of every district, per event."""
     events = with_event_defaults(trade.incidents(spark, folder)).select(
         "district", "timestamp", "event_id", "incident_count")
-    rows = trailing_rows(events, ["district"], ["timestamp", "event_id"], F.date_trunc("day", "timestamp"), 25, {
+    cut = equal_chunks(events, ["district"], "timestamp", CHUNK)
+    rows = trailing_rows(cut, ["district"], ["timestamp", "event_id"], F.col("chunk"), 25, {
         "seen": ("count", "incident_count"), "summed": ("sum", "incident_count"),
         "largest": ("max", "incident_count")})
     return rows.select("event_id", "district", "seen", "summed", "largest")
@@ -126,6 +151,8 @@ QUERIES = [
           f"WITH {CLEAN}, {QUARTILES} SELECT YEAR, p75 FROM quartiles"),
     Query("approx_quartiles", "A13", lambda s, d: approx_upper_quartile(clean_stage(s, d), YEAR, TOTAL),
           f"WITH {CLEAN}, {LOWER_RANK} SELECT YEAR, p75 FROM cuts"),
+    Query("sketched_quartiles", "A13", _sketched,
+          f"WITH {CLEAN} SELECT YEAR, count(*) AS n, bool_and({TOTAL} IS NOT NULL) AS within FROM clean GROUP BY YEAR"),
     Query("severity_flag", "A12 J7", lambda s, d: _flag(s, d, False),
           f"WITH {CLEAN}, {QUARTILES} SELECT k.STATE_UT, k.DISTRICT, k.YEAR, {TOTAL}, "
           f"CASE WHEN {TOTAL} >= p75 THEN 1 ELSE 0 END AS {LABEL} FROM clean k JOIN quartiles q ON k.YEAR = q.YEAR"),

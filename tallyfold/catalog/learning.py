@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyfold.catalog.checks import CLEAN, bucket, over_features, r
@@ -137,12 +138,106 @@ def _model_round_trip(spark, folder):
     return again.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") != F.col("kept")).alias("differing"))
 
 
+def _kmeans_violations(spark, folder):
+    """Vectors whose cluster is not the nearest of the centres that the model returns."""
+    points = _points(spark, folder)
+    model = clustering.fit_clusters(points, ENTRIES, out="cluster_id")
+    placed = clustering.assign_clusters(model, points, "cluster_id")
+    return clustering.assignment_violations(placed, list(ENTRIES), "cluster_id", clustering.model_centres(model))
+
+
+def _fixed_centre_quality(spark, folder):
+    """Silhouette and squared error of the places around fixed centres."""
+    zoned = _zoned(spark, folder)
+    moments = clustering.cluster_moments(zoned, [LAT, LON], "cluster_id")
+    mean = clustering.silhouettes(zoned, [LAT, LON], "cluster_id", moments).agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
+    error = clustering.squared_error(moments).select(F.round("wssse", 3).alias("wssse"))
+    # One row each.
+    return mean.withColumn("_one", F.lit(1)).join(error.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+def _library_agreement(spark, folder):
+    """The model's own silhouette and error against those of per-cluster moments, over all vectors."""
+    points = _points(spark, folder)
+    model = clustering.fit_clusters(points, ENTRIES, out="cluster_id")
+    library = clustering.cluster_quality(model, points, "cluster_id")
+    placed = clustering.assign_clusters(model, points, "cluster_id")
+    rows = clustering.silhouettes(placed, list(ENTRIES), "cluster_id")
+    return rows.agg(F.count("silhouette").alias("rows"),
+                    (F.abs(F.avg("silhouette") - F.lit(library["silhouette"])) < 1e-6).alias("same_silhouette"),
+                    (F.min("silhouette") >= -1.0).alias("above"), (F.max("silhouette") <= 1.0).alias("below"))
+
+
+def _elbow_check(spark, folder):
+    """The error of one cluster, which is the vectors' whole variance, and whether more clusters ever raise it."""
+    rows = clustering.elbow(_points(spark, folder), ENTRIES, range(1, 7))
+    # As many rows as numbers of clusters were tried.
+    back = F.lag("wssse").over(Window.orderBy("k"))
+    steps = rows.withColumn("_rises", F.coalesce(F.col("wssse") > back * (1 + 1e-9), F.lit(False)))
+    return steps.agg(F.round(F.max(F.when(F.col("k") == 1, F.col("wssse"))), 3).alias("error_of_one"),
+                     F.count_if("_rises").alias("rises"), F.count(F.lit(1)).alias("tried"), F.count_if("is_knee").alias("knees"))
+
+
+def _importance_check(spark, folder):
+    """Names, sum and ranks of the forest's inputs."""
+    rows = severity.importances(severity_model(spark, folder), feature_stage(spark, folder))
+    return rows.agg(F.array_join(F.array_sort(F.collect_set("feature")), ",").alias("features"),
+                    F.round(F.sum("importance"), 2).alias("whole"),
+                    F.array_join(F.transform(F.array_sort(F.collect_list("rank")), lambda x: x.cast("string")), ",").alias("ranks"),
+                    F.count_if(F.col("importance") < 0).alias("negative"))
+
+
+def _forest_setup(spark, folder):
+    """Sizes of both sides of the split, and what the fitted forest says of itself."""
+    forest = severity_model(spark, folder).stages[-1]
+    train, test = train_and_test(spark, folder)
+    sizes = train.agg(F.count(F.lit(1)).alias("train_size")).withColumn("_one", F.lit(1)).join(
+        test.agg(F.count(F.lit(1)).alias("test_size")).withColumn("_one", F.lit(1)), "_one")
+    return sizes.select("train_size", "test_size", F.lit(forest.getNumTrees).cast("bigint").alias("trees"),
+                        F.lit(max(t.depth for t in forest.trees) <= severity.DEPTH).alias("depth_kept"),
+                        F.lit(forest.numFeatures).cast("bigint").alias("inputs"))
+
+
+def _forest_decisions(spark, folder):
+    """Every held-out row with its label, and whether probability and decision agree."""
+    rows = _forest_scores(spark, folder)
+    fits = F.col("risk_probability").between(0, 1) & ((F.col("risk_probability") >= 0.5).cast("int") == F.col("predicted"))
+    return rows.select(STATE, DISTRICT, YEAR, LABEL, fits.alias("consistent"))
+
+
 SPLIT = "(" + bucket("STATE_UT || '|' || DISTRICT || '|' || YEAR", 100) + " < 80)"
 
+#: Mean squared distances of every place to every zone, one pair of rows at a time.
+SILHOUETTE = f"""numbered AS (SELECT row_number() OVER () AS id, LATITUDE AS x, LONGITUDE AS y, cluster_id AS c FROM zoned),
+pairs AS (SELECT a.id, a.c, b.c AS other, sum((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS total, count(*) AS n
+  FROM numbered a, numbered b GROUP BY a.id, a.c, b.c),
+sides AS (SELECT id, max(CASE WHEN c = other THEN total / nullif(n - 1, 0) END) AS inner_mean,
+  min(CASE WHEN c <> other THEN total / n END) AS outer_mean FROM pairs GROUP BY id),
+means AS (SELECT c, avg(x) AS mx, avg(y) AS my FROM numbered GROUP BY c)
+SELECT (SELECT round(avg(coalesce((outer_mean - inner_mean) / nullif(greatest(outer_mean, inner_mean), 0), 0)), 6) FROM sides) AS silhouette,
+  (SELECT round(sum((x - mx) ** 2 + (y - my) ** 2), 3) FROM numbered n JOIN means m ON n.c = m.c) AS wssse"""
+
+ELBOW_SQL = f"""SELECT round(sum(v), 3) AS error_of_one, CAST(0 AS BIGINT) AS rises, CAST(6 AS BIGINT) AS tried, CAST(1 AS BIGINT) AS knees
+FROM (SELECT var_pop(CAST(embedding[i] AS DOUBLE)) * count(*) AS v FROM embeddings, range(1, {len(ENTRIES) + 1}) AS t(i) GROUP BY i)"""
+
 QUERIES = [
     Query("kmeans_assignment", "M1 M2 J9", _kmeans),
     Query("kmeans_sizes", "M2", _kmeans_sizes,
-          "SELECT count(*) AS points, CAST(15 AS BIGINT) AS clusters, CAST(15 AS BIGINT) AS in_range FROM embeddings"),
+          "SELECT count(*) AS points, least(15, count(DISTINCT embedding)) AS clusters, least(15, count(DISTINCT embedding)) AS in_range FROM embeddings"),
+    Query("kmeans_violations", "M1 J9", _kmeans_violations,
+          "SELECT count(*) AS \"rows\", count(*) FILTER (embedding IS NULL) AS violations FROM embeddings"),
+    Query("fixed_centre_quality", "M2 M3", _fixed_centre_quality, f"WITH {CLEAN},\n{ZONED},\n{SILHOUETTE}"),
+    Query("silhouette_agreement", "M3", _library_agreement,
+          "SELECT count(*) AS \"rows\", count(*) > 0 AS same_silhouette, count(*) > 0 AS above, count(*) > 0 AS below FROM embeddings"),
+    Query("elbow_check", "M4", _elbow_check, ELBOW_SQL),
+    Query("importance_check", "M8", _importance_check, over_features(
+        f"SELECT '{','.join(sorted(MODEL_FEATURES))}' AS features, round(CAST(count(*) AS DOUBLE) / count(*), 2) AS whole, "
+        f"'{','.join(str(k) for k in range(1, len(MODEL_FEATURES) + 1))}' AS ranks, count(*) FILTER (YEAR IS NULL) AS negative FROM features")),
+    Query("forest_setup", "M10", _forest_setup, over_features(
+        f"SELECT count(*) FILTER ({SPLIT}) AS train_size, count(*) FILTER (NOT {SPLIT}) AS test_size, "
+        f"CAST({severity.TREES} AS BIGINT) AS trees, count(*) > 0 AS depth_kept, CAST({len(MODEL_FEATURES)} AS BIGINT) AS inputs FROM features")),
+    Query("forest_decisions", "M6 M9", _forest_decisions, over_features(
+        f"SELECT STATE_UT, DISTRICT, YEAR, HIGH_SEVERITY_FLAG, YEAR IS NOT NULL AS consistent FROM features WHERE NOT {SPLIT}")),
     Query("kmeans_zones", "M2 J9 A10 K6", _zones),
     Query("kmeans_quality", "M3", _quality),
     Query("kmeans_elbow", "M4", lambda s, d: clustering.elbow(_points(s, d), ENTRIES)),

@@ -16,9 +16,10 @@ from tallyfold.plans.stages import clean_stage, feature_stage, raw_stage
 from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, HEADS, RAW_SCHEMA, STATE, TOTAL, YEAR
 from tallyfold.session import scratch_path
 from tallyfold.sources import documents, gazetteer, tables, text
+from tallyfold.sources.paths import storage_path
 from tallyfold.streaming import feeds
 
-# The same heads under the header spellings of two source generations.
+# The same heads under the header spellings of two source generations.
 OLD_HEADERS = {
     STATE: "STATE/UT", DISTRICT: "DISTRICT", YEAR: "YEAR", "MURDER": "MURDER",
     "ATTEMPT_TO_MURDER": "ATTEMPT TO MURDER",
@@ -71,6 +72,41 @@ def _drifted(spark, folder, strict):
     return parts[0].unionByName(parts[1])
 
 
+def _generations(spark, folder):
+    """One folder that holds files of both generations and files of short lines, parted by header line."""
+    facts = raw_stage(spark, folder)
+    top = scratch_path(spark, "generations")
+
+    def shown(headers):
+        return [F.col(n).cast("string").alias(headers[n]) for n in [STATE, DISTRICT, YEAR, *HEADS, TOTAL]]
+
+    def place(name):
+        return storage_path(f"data/{name}", top)
+
+    text.write_delimited(facts.filter(F.col(YEAR) <= LAST_OLD_YEAR).select(*shown(OLD_HEADERS)), place("old"))
+    text.write_delimited(facts.filter(F.col(YEAR) > LAST_OLD_YEAR).select(*shown(NEW_HEADERS)), place("new"))
+    # lines of three fields only, below a whole header line of their own file
+    short = facts.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat_ws(",", F.lit("CUT"), F.lit("SHORT"), F.col(YEAR)).alias("value"))
+    header = ",".join(OLD_HEADERS[n] for n in [STATE, DISTRICT, YEAR, *HEADS, TOTAL])
+    whole = short.agg(F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("v")).select(
+        F.concat(F.lit(header + "\n"), "v").alias("value"))
+    whole.coalesce(1).write.text(place("short"))
+    parts = [unify_headers(df) for df in text.read_generations(spark, place("*"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(STATE, DISTRICT, YEAR, *HEADS, TOTAL)
+
+
+def _stored_path(spark, folder):
+    """A table written below a base folder by a relative path, and read by the same two."""
+    base = scratch_path(spark, "base") + "/"
+    trade.table(spark, folder, "customer").write.parquet(storage_path("data/processed/customers", base))
+    back = tables.read_table(spark, storage_path("/processed/customers/", base.rstrip("/")))
+    return back.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"), F.sum("c_custkey").cast("bigint").alias("keys"))
+
+
 def _drift_sql(strict):
     def head(h):
         if strict and h == "THEFT":
@@ -275,6 +311,10 @@ def _feed_round_trip(spark, folder):
 QUERIES = [
     Query("csv_round_trip", "S1 S10", _csv_round_trip,
           "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"),
+    Query("header_generations", "S2 S7", _generations, over_raw(
+        f"SELECT upper(STATE_UT) AS STATE_UT, upper(DISTRICT) AS DISTRICT, YEAR, {', '.join(HEADS)}, {TOTAL} FROM raw_facts")),
+    Query("stored_path", "S7", _stored_path,
+          "SELECT c_nationkey, count(*) AS customers, CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer GROUP BY c_nationkey"),
     Query("drifting_headers", "S2 P1 P2 P3 P6 F3 U1", lambda s, d: _drifted(s, d, False), _drift_sql(False)),
     Query("drifting_headers_compat", "S2 P2", lambda s, d: _drifted(s, d, True), _drift_sql(True)),
     Query("partitioned_table", "S3 S4", _partitioned, over_raw(

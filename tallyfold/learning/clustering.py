@@ -48,6 +48,46 @@ def cluster_quality(model: PipelineModel, df: DataFrame, out: str = "LOCATION_CL
     return {"silhouette": silhouette, "wssse": model.stages[-1].summary.trainingCost}
 
 
+def cluster_moments(df: DataFrame, columns: list[str], cluster: str) -> DataFrame:
+    """One row per cluster: ``n``, ``sums`` of every column and ``squares``, the sum of all squared entries."""
+    squares = sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0]))
+    return df.where(F.col(cluster).isNotNull()).groupBy(F.col(cluster).alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in columns]).alias("sums"), F.sum(squares).alias("squares"))
+
+
+def squared_error(moments: DataFrame) -> DataFrame:
+    """One row, ``wssse``: squared distances of all rows to their cluster's mean, from the moments alone."""
+    length = F.aggregate("sums", F.lit(0.0), lambda acc, x: acc + x * x)
+    return moments.agg(F.coalesce(F.sum(F.col("squares") - length / F.col("n")), F.lit(0.0)).alias("wssse"))
+
+
+def silhouettes(df: DataFrame, columns: list[str], cluster: str, moments: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``silhouette`` by squared distance, from per-cluster moments instead of pairs of rows.
+
+    The mean squared distance of a row to a cluster's rows follows from the cluster's count, sum and squares, so a row
+    meets one entry per cluster and no other row. A row alone in its cluster has 0, as where there is one cluster
+    only; a row without a cluster has none.
+    """
+    moments = cluster_moments(df, columns, cluster) if moments is None else moments
+    # One row that holds an entry per cluster.
+    held = moments.agg(F.collect_list(F.struct("cluster", "n", "sums", "squares")).alias("_m")).withColumn("_one", F.lit(1))
+    own = sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0]))
+    met = df.withColumns({"_one": F.lit(1), "_x": F.array(*columns), "_own": own}).join(F.broadcast(held), "_one")
+
+    def total(m):
+        dot = F.aggregate(F.zip_with("_x", m["sums"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        return m["n"] * F.col("_own") + m["squares"] - 2 * dot
+
+    mine = F.filter("_m", lambda m: m["cluster"] == F.col(cluster))[0]
+    others = F.transform(F.filter("_m", lambda m: m["cluster"] != F.col(cluster)), lambda m: total(m) / m["n"])
+    inner = F.try_divide(total(mine), (mine["n"] - 1).cast("double"))
+    outer = F.array_min(others)
+    value = F.try_divide(outer - F.col("_in"), F.greatest(outer, F.col("_in")))
+    scored = met.withColumn("_in", inner).withColumn(
+        "silhouette", F.when(F.col(cluster).isNotNull(), F.coalesce(value, F.lit(0.0))))
+    return scored.drop("_one", "_x", "_own", "_m", "_in")
+
+
 def nearest_centre(df: DataFrame, centres: list[tuple[float, float]], x: str, y: str,
                    out: str = "cluster_id") -> DataFrame:
     """Index of the closest given centre, the first one on ties."""
@@ -56,6 +96,24 @@ def nearest_centre(df: DataFrame, centres: list[tuple[float, float]], x: str, y:
     return df.withColumn(out, (F.array_position(far, F.array_min(far)) - 1).cast("int"))
 
 
+def model_centres(model: PipelineModel) -> list[list[float]]:
+    """The fitted centres, one list of entries each."""
+    return [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+
+
+def assignment_violations(assigned: DataFrame, columns: list[str], cluster: str, centres: list[list[float]],
+                          tolerance: float = 1e-9) -> DataFrame:
+    """One row: rows in all, and those whose cluster's centre is farther away than another one (beyond rounding)."""
+    # One row that holds an entry per centre.
+    held = constant_table(assigned.sparkSession, ["_one", "_centres"], [(1, centres)])
+    met = assigned.withColumns({"_one": F.lit(1), "_x": F.array(*columns)}).join(F.broadcast(held), "_one")
+    far = F.transform("_centres", lambda c: F.aggregate(
+        F.zip_with("_x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v))
+    own, least = F.col("_far")[F.col(cluster)], F.array_min("_far")
+    return met.withColumn("_far", far).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(own > least + F.lit(tolerance) * (1 + least)).alias("violations"))
+
+
 def elbow(df: DataFrame, columns: tuple[str, ...], ks: range = range(5, 26),
           iterations: int = ITERATIONS, seed: int = SEED, parallel: int = 4) -> DataFrame:
     """Squared error per number of clusters, with the knee marked.
@@ -67,6 +125,8 @@ def elbow(df: DataFrame, columns: tuple[str, ...], ks: range = range(5, 26),
         StorageLevel.MEMORY_AND_DISK)
 
     def cost(k):
+        if k == 1:  # one cluster is no clustering for the library; its error is that of the mean
+            return k, squared_error(cluster_moments(df.withColumn("_all", F.lit(0)), list(columns), "_all")).first()[0]
         model = KMeans(k=k, maxIter=iterations, seed=seed).fit(points)
         return k, float(model.summary.trainingCost)
 

@@ -33,27 +33,47 @@ def exact_places(names: DataFrame, places: DataFrame, name: str, state: str | No
     return found.select(*names.columns, hit.alias("_hit")).select(*names.columns, "_hit.*")
 
 
-def _substrings(text, lengths):
-    """All substrings of the given lengths, each once."""
-    cuts = F.transform(F.filter(lengths, lambda n: n <= F.length(text)), lambda n: F.transform(
-        F.sequence(F.lit(1), F.length(text) - n + 1), lambda start: F.substring(text, start, n)))
-    return F.array_distinct(F.flatten(cuts))
+#: Characters of a gram in the index of parts of names.
+GRAM = 3
 
 
-def _lengths(df, name):
-    """The lengths that occur, as one array that is read before the rows it is used on."""
-    return df.agg(F.collect_set(F.length(name))).scalar()
+def _grams(text, size):
+    """All parts of one length, each once; none of a shorter text."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - size + 1), lambda at: F.substring(text, at, F.lit(size))))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def contained_pairs(small: DataFrame, large: DataFrame, scope: list[str], gram: int = GRAM) -> DataFrame:
+    """(scope, small, large) where a text of ``small`` is a part of one of ``large``; both have distinct, non-empty texts.
+
+    ``large`` is indexed by its grams, as many as it has characters. A small text looks up the one of its grams
+    that fewest large texts have, and what the index returns is verified by ``contains``; one with a gram that no large text
+    has needs no look. Texts shorter than a gram meet the index of parts of their own length, if there are any.
+    """
+    indexed = large.select(*scope, "large", F.explode(_grams(F.col("large"), gram)).alias("_gram"))
+    common = indexed.groupBy(*scope, "_gram").agg(F.count(F.lit(1)).alias("_held"))
+    asked = small.where(F.length("small") >= gram).select(*scope, "small", F.explode(_grams(F.col("small"), gram)).alias("_gram"))
+    rarest = asked.join(common, [*scope, "_gram"], "left").groupBy(*scope, "small").agg(
+        F.min_by("_gram", F.struct("_held", "_gram")).alias("_gram"),
+        F.count_if(F.col("_held").isNull()).alias("_absent")).where("_absent = 0").drop("_absent")
+    found = rarest.join(indexed, [*scope, "_gram"]).where(F.contains("large", "small"))
+    out = found.select(*scope, "small", "large")
+    for size in range(1, gram):
+        short = small.where(F.length("small") == size).select(*scope, "small", F.col("small").alias("_gram"))
+        parts = large.select(*scope, "large", F.explode(_grams(F.col("large"), size)).alias("_gram"))
+        out = out.unionByName(short.join(parts, [*scope, "_gram"]).select(*scope, "small", "large"))
+    return out
 
 
 def containing_places(names: DataFrame, places: DataFrame, name: str,
                       state: str | None = None) -> DataFrame:
     """First gazetteer entry whose name contains, or is contained in, ``name``.
 
-    Substring tests would pair every name with every entry. Instead the
-    substrings of one side meet the whole strings of the other in an equality
-    join, after reducing each side to the earliest entry per string, so the
-    work grows with the names and not with their product. Only substrings of lengths that
-    the other side has are built. With ``state`` only entries of the same state count.
+    Substring tests would pair every name with every entry. Instead both sides are indexed by short grams
+    (``contained_pairs``), after reducing each to distinct texts and the entries to the earliest one per
+    text, so the rows built grow with the length of the names and not with their product. With
+    ``state`` only entries of the same state count.
 
     Returns distinct (state, name) with the winning entry's columns; names
     without a match are absent.
@@ -62,20 +82,14 @@ def containing_places(names: DataFrame, places: DataFrame, name: str,
     entry_scope = [F.col("gaz_state").alias(state)] if state else []
     asked = names.select(*scope, name).filter(F.length(name) > 0).distinct()
     entry = F.struct("position", "gaz_name", "gaz_lat", "gaz_lon")
-    entries = places.filter(F.length("gaz_name") > 0)
-
-    inside = asked.withColumn("_sizes", _lengths(entries, "gaz_name")).select(
-        *scope, name, F.explode(_substrings(F.col(name), F.col("_sizes"))).alias("_text"))
-    by_name = entries.groupBy(*entry_scope, F.col("gaz_name").alias("_text")).agg(
+    entries = places.filter(F.length("gaz_name") > 0).groupBy(*entry_scope, F.col("gaz_name").alias("_text")).agg(
         F.min(entry).alias("_hit"))
-    outside = entries.withColumn("_sizes", _lengths(asked, name)).select(
-        *entry_scope, entry.alias("_hit"), F.explode(_substrings(F.col("gaz_name"), F.col("_sizes"))).alias("_text"))
-    by_part = outside.groupBy(*scope, "_text").agg(F.min("_hit").alias("_hit"))
-
-    entry_in_name = inside.join(by_name, scope + ["_text"]).select(*scope, name, "_hit")
-    name_in_entry = (asked.withColumn("_text", F.col(name))
-                     .join(by_part, scope + ["_text"]).select(*scope, name, "_hit"))
-    return (entry_in_name.unionByName(name_in_entry)
+    texts = entries.select(*scope, "_text")
+    inside = contained_pairs(texts.withColumnRenamed("_text", "small"), asked.withColumnRenamed(name, "large"), scope).select(
+        *scope, F.col("large").alias(name), F.col("small").alias("_text"))
+    outside = contained_pairs(asked.withColumnRenamed(name, "small"), texts.withColumnRenamed("_text", "large"), scope).select(
+        *scope, F.col("small").alias(name), F.col("large").alias("_text"))
+    return (inside.unionByName(outside).join(entries, scope + ["_text"])
             .groupBy(*scope, name).agg(F.min("_hit").alias("_hit"))
             .select(*scope, name, "_hit.*"))
 

@@ -124,6 +124,51 @@ def number_rows(df: DataFrame, key: list[str], alias: str = "n", start: int = 1,
             .drop("_bucket", "_within", "_offset"))
 
 
+def number_in_order(df: DataFrame, order: list[str], alias: str, path: str, start: int = 0) -> tuple[DataFrame, int]:
+    """Rows with gapless numbers along ``order`` (nulls first), and how many there are.
+
+    Rows are sorted by ranges and written to ``path``; each range's count is one row of the only window, and
+    a row's number is its place in its range and the counts before. Equal rows may change places.
+    """
+    spark = df.sparkSession
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns(
+        {"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    # One row per task of the write reaches the driver, the window and the broadcast.
+    counts = rows.groupBy("_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_size")).orderBy("_range").collect()
+    offsets, total = [], start
+    for r in counts:
+        offsets.append((r["_range"], total - r["_first"]))
+        total += r["_size"]
+    shifts = F.broadcast(spark.createDataFrame(offsets, "_range int, _shift long"))
+    numbered = rows.join(shifts, "_range").withColumn(alias, F.col("_at") + F.col("_shift"))
+    return numbered.select(*df.columns, alias), total - start
+
+
+def equal_chunks(df: DataFrame, entity: list[str], at: str, size: int, alias: str = "chunk") -> DataFrame:
+    """Rows with a chunk number that grows along the timestamp ``at``, about ``size`` rows to a chunk, per entity.
+
+    A histogram of two levels, days and minutes, over counts per moment tells how many of the entity's rows come before each
+    one, and the chunk is that number over ``size``. Only counts are ordered, a minute of one entity at most in a window, so an
+    entity with a third of all rows on one day is cut like any other. Rows of the same moment stay together; null moments
+    are in the first chunk.
+    """
+    micros = F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(-(1 << 62)))
+    keyed = df.withColumn("_at", micros)
+    counted = keyed.groupBy(*entity, "_at").agg(F.count(F.lit(1)).alias("_rows"))
+    day, minute = 86_400_000_000, 60_000_000
+    placed = running_totals(counted, entity, "_at", ["_rows"], [
+        F.floor(F.col("_at") / day).cast("long"), F.floor(F.col("_at") / minute).cast("long")])
+    names = [f"_e{i}" for i in range(len(entity))]
+    placed = placed.select(*[F.col(c).alias(n) for c, n in zip(entity, names)], F.col("_at").alias("_moment"),
+                           F.floor(F.col("before__rows") / size).cast("long").alias(alias))
+    same = F.col("_at") == F.col("_moment")
+    for c, n in zip(entity, names):
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return keyed.join(placed, same).drop("_at", "_moment", *names)
+
+
 def trailing_rows(df: DataFrame, entity: list[str], order: list[str], chunk: Column, size: int,
                   aggregates: dict[str, tuple[str, str]]) -> DataFrame:
     """Aggregates over each row and the ``size - 1`` rows before it, per entity.

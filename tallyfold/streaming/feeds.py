@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -76,6 +78,33 @@ def table_events(spark: SparkSession, folder: str, pattern: str, schema,
     return reader.load(folder)
 
 
+def to_files(events: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
+    """Writer of a stream as JSON lines; Spark's file sink lists what is committed, so readers see every event once."""
+    return (encode_events(events).writeStream.format("text").outputMode("append").option("path", folder)
+            .option("checkpointLocation", checkpoint))
+
+
+def raw_lines(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of text files that arrive in a folder, not decoded yet."""
+    reader = spark.readStream.format("text")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(folder)
+
+
+def split_sink(good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None],
+               schema=EVENT_SCHEMA) -> Callable[[DataFrame, int], None]:
+    """Batch function over raw lines: decoded events to one sink, lines that are none to another, in the same batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good(decode_events(batch, schema), batch_id)
+            bad(undecodable(batch), batch_id)
+        finally:
+            batch.unpersist()
+    return write
+
+
 def replay(events: DataFrame, cap: int = 5000, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
     """The first events of a stored feed, in order; a cap of a test run."""
     return events.orderBy(*order).limit(cap)

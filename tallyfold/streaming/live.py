@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.text import place_key
 from tallyfold.sources.documents import write_json_lines
 from tallyfold.streaming.sinks import note_done
+from tallyfold.streaming.stores import CompactedLog, RingBuffer, added, finished, remove
 
 
 def with_event_defaults(events: DataFrame) -> DataFrame:
@@ -56,7 +55,7 @@ def live_snapshot(places: DataFrame, summary: DataFrame, k: int = 20) -> DataFra
 
 def recent_events(events: DataFrame, shown: int = 12) -> DataFrame:
     """Latest events, newest first."""
-    return events.orderBy(F.desc("timestamp"), F.desc("event_id")).limit(shown)
+    return events.orderBy(*newest_first()).limit(shown)
 
 
 def place_names(events: DataFrame) -> DataFrame:
@@ -65,56 +64,62 @@ def place_names(events: DataFrame) -> DataFrame:
 
 
 COMPACT_EVERY = 100
+SNAPSHOT_LISTS = ("recent_events", "active_anomalies")
+
+
+def newest_first() -> list:
+    """Latest events first, by id where times are equal."""
+    return [F.desc("timestamp"), F.desc("event_id")]
 
 
-def snapshot_writer(path: str, k: int = 20, kept: int = 25, every: int = COMPACT_EVERY
-                    ) -> Callable[[DataFrame, int], None]:
-    """Batch function keeping running totals, the recent buffer and a snapshot.
+def feed_rate(events: DataFrame) -> DataFrame:
+    """One row: events per second between the first and the last event of a batch, over a second at least."""
+    seconds = F.greatest(F.lit(1.0), (F.max("timestamp").cast("double") - F.min("timestamp").cast("double")))
+    return events.agg(F.round(F.count(F.lit(1)) / seconds, 4).alias("events_per_second"))
 
-    Each batch adds its own sums in a folder named by the batch, so a repeated
-    batch replaces itself and no state store is needed. Every ``every`` batches
-    the totals so far are stored as a base; a batch reads the last base and the
-    few folders after it, however long the stream has run. The document is in
-    ``snapshot``, the counts by type as JSON lines in ``crime_type_breakdown``; a note in ``done``
-    follows both, so ``newest_version`` never names a half-written one.
+
+class LiveDocument:
+    """Batch function that keeps a feed's totals, its recent events and one document of them all.
+
+    Totals by place and type and the summary are compacted logs of batch sums, recent events a bounded
+    buffer. A batch's document has the summary, the batch's rate, the ``k`` busiest places, the recent events shown and, where
+    ``alerts`` names their buffer, the recent alerts. It is ``snapshot/version=<batch>``; counts by type, which may be many, are JSON
+    lines in ``crime_type_breakdown/version=<batch>``. A note in ``done`` follows both; documents older than the one before it go.
+    A repeated batch replaces its own part of everything.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
+
+    def __init__(self, path: str, k: int = 20, kept: int = 25, shown: int = 12, every: int = COMPACT_EVERY,
+                 alerts: RingBuffer | None = None, alerts_shown: int = 6):
+        self.path, self.k, self.shown, self.alerts, self.alerts_shown = path, k, shown, alerts, alerts_shown
+        self.logs = {
+            "places": CompactedLog(f"{path}/places", added(["state", "district"], live_incident_count="sum"), every),
+            "types": CompactedLog(f"{path}/types", added(["primary_type"], incidents="sum"), every),
+            "summary": CompactedLog(f"{path}/summary", added(
+                [], total_events_consumed="sum", stream_started_at="min", last_updated="max"), every)}
+        self.recent = RingBuffer(f"{path}/recent", kept, newest_first())
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            for name, part in (("places", place_totals(batch)), ("types", type_totals(batch)),
-                               ("summary", feed_summary(batch)), ("recent", recent_events(batch, kept))):
-                part.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+            for name, part in (("places", place_totals(batch)), ("types", type_totals(batch)), ("summary", feed_summary(batch))):
+                self.logs[name](part, batch_id)
+            self.recent(batch, batch_id)
+            rate = feed_rate(batch).first()[0]
         finally:
             batch.unpersist()
-        log = running_log(spark, path, batch_id, kept, every)
-        if (batch_id + 1) % every == 0:
-            for name, part in log.items():
-                part.write.mode("overwrite").parquet(f"{path}/{name}/base={batch_id}")
-        write_json_lines(log["types"], f"{path}/crime_type_breakdown/version={batch_id}")
-        write_json_lines(live_snapshot(log["places"], log["summary"], k), f"{path}/snapshot/version={batch_id}")
-        note_done(spark, path, batch_id)
-    return write
-
-
-def running_log(spark: SparkSession, path: str, up_to: int, kept: int = 25,
-                every: int = COMPACT_EVERY) -> dict[str, DataFrame]:
-    """Totals, summary and recent events as of one batch."""
-    base = up_to // every * every - 1
-
-    def read(name):
-        parts = [f"{path}/{name}/base={base}"] if base >= 0 else []
-        parts += [f"{path}/{name}/batch={i}" for i in range(base + 1, up_to + 1)]
-        first = spark.read.parquet(parts[0])
-        return spark.read.schema(first.schema).parquet(*parts)
-
-    return {
-        "places": read("places").groupBy("state", "district").agg(
-            F.sum("live_incident_count").alias("live_incident_count")),
-        "types": read("types").groupBy("primary_type").agg(F.sum("incidents").alias("incidents")),
-        "summary": read("summary").agg(
-            F.sum("total_events_consumed").alias("total_events_consumed"),
-            F.min("stream_started_at").alias("stream_started_at"),
-            F.max("last_updated").alias("last_updated")),
-        "recent": recent_events(read("recent"), kept),
-    }
+        state = {name: log.state(spark, batch_id) for name, log in self.logs.items()}
+        document = live_snapshot(state["places"], state["summary"].withColumn("events_per_second", F.lit(rate)), self.k)
+        document = document.withColumn("_one", F.lit(1))
+        lists = [self.recent.rows(spark, self.shown, up_to=batch_id)]
+        if self.alerts is not None:
+            lists.append(self.alerts.rows(spark, self.alerts_shown))
+        for name, rows in zip(SNAPSHOT_LISTS, lists):
+            # A dozen rows at most, so one row holds them and the join pairs two rows.
+            document = document.join(rows.agg(F.collect_list(F.struct("*")).alias(name)).withColumn("_one", F.lit(1)), "_one")
+        write_json_lines(state["types"], f"{self.path}/crime_type_breakdown/version={batch_id}")
+        write_json_lines(document.drop("_one"), f"{self.path}/snapshot/version={batch_id}")
+        note_done(spark, self.path, batch_id)
+        for folder in ("crime_type_breakdown", "snapshot"):
+            for version in [v for v in finished(spark, f"{self.path}/{folder}") if v < batch_id][:-1]:
+                remove(spark, f"{self.path}/{folder}/version={version}")

@@ -60,12 +60,14 @@ def newest_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None],
-          mode: str = "update", seconds: int = 600) -> StreamingQuery:
-    """Run a stream over everything available now and return when done."""
+          mode: str = "update", seconds: int | None = None) -> StreamingQuery:
+    """Run a stream over everything available now and return when done; ``seconds`` may limit the wait."""
     query = (stream.writeStream.outputMode(mode).foreachBatch(sink)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     try:
-        if not query.awaitTermination(seconds):
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
             raise TimeoutError(f"stream not finished after {seconds} s")
     finally:
         if query.isActive:

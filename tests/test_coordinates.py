@@ -104,3 +104,22 @@ def test_lookup_keeps_hot_rows(spark):
     dim = spark.createDataFrame([("HOT ", 5)], "k string, v int")
     got = enrich.lookup(df, dim, ["k"], {"v": 0}).groupBy("v").count().collect()
     assert {r.v: r["count"] for r in got} == {5: 1000, 0: 2000}
+
+
+def test_contained_pairs_equal_contains(spark):
+    rng = random.Random(3)
+    words = lambda n: "".join(rng.choice("abñ ") for _ in range(n))
+    small = sorted({words(rng.randint(1, 7)) for _ in range(120)})
+    large = sorted({words(rng.randint(1, 60)) for _ in range(60)})
+    scopes = ["p", "q"]
+    a = spark.createDataFrame([(scopes[k % 2], t) for k, t in enumerate(small)], "s string, small string")
+    b = spark.createDataFrame([(scopes[k % 2], t) for k, t in enumerate(large)], "s string, large string")
+    got = coordinates.contained_pairs(a, b, ["s"]).collect()
+    want = [(scopes[i % 2], x, y) for i, x in enumerate(small) for j, y in enumerate(large) if i % 2 == j % 2 and x in y]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 50
+
+
+def test_rows_of_the_index_grow_with_the_length_of_names(spark):
+    text = "".join(chr(0x4e00 + k) for k in range(3000))
+    rows = spark.createDataFrame([(text,)], "t string").select(F.explode(coordinates._grams(F.col("t"), 3)))
+    assert rows.count() == 2998

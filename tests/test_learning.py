@@ -84,3 +84,26 @@ def test_correlation_ranking_without_spread(spark):
     df = spark.createDataFrame([(float(i), 1.0, i % 2, i % 2) for i in range(10)], "a double, flat double, b int, y int")
     got = {r.feature: r.importance for r in metrics.correlation_ranking(df, "y", ["a", "flat", "b"]).collect()}
     assert got["flat"] == 0.0 and sum(got.values()) == pytest.approx(1, abs=1e-3) and got["b"] > got["a"]
+
+
+def test_moments_give_the_library_numbers(spark):
+    df = spark.createDataFrame(POINTS, "LATITUDE double, LONGITUDE double, DISTRICT string, STATE_UT string, n bigint")
+    columns = ["LATITUDE", "LONGITUDE"]
+    model = clustering.fit_clusters(df, k=3, iterations=10, out="c")
+    library = clustering.cluster_quality(model, df, "c")
+    placed = clustering.assign_clusters(model, df, "c")
+    rows = clustering.silhouettes(placed, columns, "c")
+    assert rows.agg(F.avg("silhouette")).first()[0] == pytest.approx(library["silhouette"], abs=1e-9)
+    assert clustering.squared_error(clustering.cluster_moments(placed, columns, "c")).first()[0] == pytest.approx(library["wssse"], abs=1e-6)
+    assert {r.DISTRICT: r.silhouette for r in rows.collect()}["B1"] == 0.0  # alone
+    one = clustering.silhouettes(placed.withColumn("c", F.lit(1)), columns, "c")
+    assert {r.silhouette for r in one.collect()} == {0.0}
+    none = clustering.silhouettes(placed.withColumn("c", F.when(F.col("c") == 0, F.col("c"))), columns, "c")
+    assert none.where("c is null and silhouette is not null").count() == 0
+    assert clustering.squared_error(clustering.cluster_moments(df.limit(0).withColumn("c", F.lit(1)), columns, "c")).first()[0] == 0.0
+
+
+def test_assignment_violations(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0), (5.0, 5.0, 1), (0.1, 0.0, 1)], "x double, y double, c int")
+    got = clustering.assignment_violations(df, ["x", "y"], "c", [[0.0, 0.0], [5.0, 5.0]]).first()
+    assert tuple(got) == (3, 1)

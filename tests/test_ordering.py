@@ -1,5 +1,6 @@
 """Order statistics against brute force, with one group holding most rows."""
 
+import datetime as dt
 import random
 import statistics
 from collections import defaultdict
@@ -7,6 +8,7 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators import ordering
@@ -84,3 +86,31 @@ def test_top_within_limits_before_the_shuffle(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert {(r.g, r.v) for r in top.collect()} == {(0, 999), (0, 996), (1, 997), (1, 994), (2, 998), (2, 995)}
+
+
+def test_numbers_in_order(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, *range(40)]), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "x int, k int").repartition(7)
+    got, count = ordering.number_in_order(df, ["x"], "at", str(tmp_path / "n"), 10)
+    rows = sorted(got.collect(), key=lambda r: r["at"])
+    assert count == 500 and [r["at"] for r in rows] == list(range(10, 510))
+    order = [-1 if r.x is None else r.x for r in rows]
+    assert order == sorted(order)
+    none, count = ordering.number_in_order(df.limit(0), ["x"], "at", str(tmp_path / "m"))
+    assert count == 0 and none.count() == 0
+
+
+def test_hot_entity_is_cut_into_equal_chunks(spark):
+    """A third of all rows in one entity on one day, most of them within an hour."""
+    start = dt.datetime(2024, 3, 1)
+    rows = [("hot", start + dt.timedelta(seconds=k * 1.7), k) for k in range(2000)]
+    rows += [(f"e{k % 40}", start + dt.timedelta(hours=k), k) for k in range(4000)]
+    df = spark.createDataFrame(rows, "e string, t timestamp, k int")
+    cut = ordering.equal_chunks(df, ["e"], "t", 100)
+    sizes = cut.groupBy("e", "chunk").count().collect()
+    assert max(r["count"] for r in sizes) <= 100 and len([r for r in sizes if r.e == "hot"]) == 20
+    got = ordering.trailing_rows(cut, ["e"], ["t", "k"], F.col("chunk"), 25, {"s": ("sum", "k")})
+    w = Window.partitionBy("e").orderBy("t", "k").rowsBetween(-24, 0)
+    want = df.select("e", "t", "k", F.sum("k").over(w).alias("s"))
+    assert sorted(got.select("e", "t", "k", "s").collect()) == sorted(want.collect())

@@ -1,11 +1,12 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.schema import EVENT_SCHEMA
-from tallyfold.streaming import feeds, live, sinks, surges
+from tallyfold.streaming import feeds, flushes, live, progress, sinks, stores, surges
 
 
 def event(i, state, district, kind, count, minute=0):
@@ -53,41 +54,119 @@ def test_malformed_lines_do_not_stop_the_feed(spark, tmp_path):
     assert [r.value for r in feeds.undecodable(spark.read.text(folder)).collect()] == ["{not json"]
 
 
-def test_snapshot_over_batches_and_restart(spark, tmp_path):
+def test_document_over_batches_and_restart(spark, tmp_path):
     folder = feed(tmp_path, [EVENTS[:1], EVENTS[1:2]])
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     stream = feeds.file_events(spark, folder, files_per_trigger=1)
-    sinks.drain(stream, cp, live.snapshot_writer(out), "append")
+    sinks.drain(stream, cp, live.LiveDocument(out), "append")
     # A later file continues the same totals from the checkpoint.
     (tmp_path / "in" / "2.json").write_text(json.dumps(EVENTS[2]) + "\n")
-    sinks.drain(feeds.file_events(spark, folder, files_per_trigger=1), cp, live.snapshot_writer(out), "append")
+    document = live.LiveDocument(out)
+    sinks.drain(feeds.file_events(spark, folder, files_per_trigger=1), cp, document, "append")
     snap = json.loads(spark.read.text(f"{out}/snapshot/version=2").first()[0])
-    assert snap["total_events_consumed"] == 3
+    assert snap["total_events_consumed"] == 3 and snap["events_per_second"] == 1.0
     kinds = spark.read.json(f"{out}/crime_type_breakdown/version=2").collect()
     assert {r.primary_type: r.incidents for r in kinds} == {"THEFT": 8, "ROBBERY": 2}
     assert sinks.newest_version(spark, out) == 2
     assert [d["district"] for d in snap["top_live_districts"]] == ["Patna", "New Delhi"]
     assert snap["last_updated"].startswith("2024-01-01T00:03")
-    recent = live.recent_events(live.running_log(spark, out, 2)["recent"], 2)
-    assert [r.event_id for r in recent.collect()] == ["E3", "E2"]
+    assert [e["event_id"] for e in snap["recent_events"]] == ["E3", "E2", "E1"]
+    assert [r.event_id for r in document.recent.rows(spark, 2).collect()] == ["E3", "E2"]
+    # documents that no reader needs are gone
+    assert stores.finished(spark, f"{out}/snapshot") == [1, 2]
 
 
 def test_repeated_batch_leaves_no_duplicates(spark, tmp_path):
     out = str(tmp_path / "out")
-    write = live.snapshot_writer(out)
+    write = live.LiveDocument(out)
     write(static(spark, EVENTS), 0)
     write(static(spark, EVENTS), 0)
-    assert live.running_log(spark, out, 0)["summary"].first()["total_events_consumed"] == 3
+    assert write.logs["summary"].state(spark).first()["total_events_consumed"] == 3
+    assert write.recent.rows(spark).count() == 3
+
+
+@pytest.mark.parametrize("merge", ["added", "latest"])
+def test_log_is_compacted_and_bounded(spark, tmp_path, merge):
+    path = str(tmp_path / "log")
+    rule = stores.latest(["k"]) if merge == "latest" else stores.added(["k"], v="sum")
+    log = stores.CompactedLog(path, rule, every=3)
+    want, rows = {}, None
+    for i in range(14):
+        rows = [(i % 4, i), (9, 1)]
+        for _ in range(2 if i in (2, 5, 6, 13) else 1):  # batches that come twice, at a base and beside one
+            log(spark.createDataFrame(rows, "k int, v long"), i)
+        for k, v in rows:
+            want[k] = v if merge == "latest" else want.get(k, 0) + v
+        assert {r.k: r.v for r in log.state(spark).collect()} == want
+        assert len(stores.finished(spark, f"{path}/base")) <= 2 and len(stores.finished(spark, f"{path}/delta")) <= 6
+    # a reader that asks for an older batch still held gets its state
+    assert {r.k: r.v for r in log.state(spark, 11).collect()} != want
+
+
+def test_base_without_its_note_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = stores.CompactedLog(path, stores.added([], v="sum"), every=100)
+    for i in range(3):
+        log(spark.createDataFrame([(1,)], "v long"), i)
+    # a base whose writer stopped half-way
+    spark.createDataFrame([(99,)], "v long").write.parquet(f"{path}/base/version=1")
+    (tmp_path / "log" / "base" / "version=1" / "_SUCCESS").unlink()
+    assert log.state(spark).first()["v"] == 3
+
+
+def test_ring_buffer_keeps_the_best(spark, tmp_path):
+    ring = stores.RingBuffer(str(tmp_path / "ring"), 3, [F.desc("x")])
+    for i, values in enumerate([[1, 5], [], [4], [9, 2, 8, 7]]):
+        for _ in range(1 + (i == 2)):
+            ring(spark.createDataFrame([(v,) for v in values], "x int"), i)
+    assert [r.x for r in ring.rows(spark).collect()] == [9, 8, 7] and [r.x for r in ring.rows(spark, 1).collect()] == [9]
+    assert [r.x for r in ring.rows(spark, up_to=2).collect()] == [5, 4, 1]
+    assert stores.finished(spark, str(tmp_path / "ring")) == [2, 3]
+    empty = stores.RingBuffer(str(tmp_path / "none"), 3, [F.desc("x")])
+    assert empty.rows(spark, schema=ring.rows(spark).schema).count() == 0
+
+
+def test_flush_by_count(spark, tmp_path):
+    flusher = flushes.CountFlusher(str(tmp_path / "flush"), 4, ["x"])
+    batches = [[5, 3], [], [1, 2, 9, 8, 7, 6, 0], [4, 4]]
+    for i, values in enumerate(batches):
+        for _ in range(1 + (i == 2)):  # comes twice
+            flusher(spark.createDataFrame([(v,) for v in values], "x int").repartition(3), i)
+    flusher.finish(spark)
+    flusher.finish(spark)
+    got = {}
+    for r in flusher.flushed(spark).collect():
+        got.setdefault(r.flush, []).append(r.x)
+    assert {k: sorted(v) for k, v in got.items()} == {0: [0, 1, 3, 5], 1: [2, 6, 7, 8], 2: [4, 4, 9]}
+
+
+def test_progress_is_kept_as_rows(spark, tmp_path):
+    log = progress.ProgressLog(spark, str(tmp_path / "progress"), together=2)
+    spark.streams.addListener(log)
+    try:
+        folder = feed(tmp_path, [EVENTS[:1], EVENTS[1:2], EVENTS[2:]])
+        stream = progress.observed(feeds.file_events(spark, folder, files_per_trigger=1))
+        query = sinks.drain(stream, str(tmp_path / "cp"), lambda batch, i: batch.count(), "append")
+        assert log.wait(str(query.runId))
+    finally:
+        spark.streams.removeListener(log)
+    row = progress.operational_rate(log.rows()).first()
+    assert (row.input_rows, row.observed_events) == (3, 3) and row.rows_per_second > 0
 
 
-def test_compaction_keeps_the_totals(spark, tmp_path):
-    out = str(tmp_path / "out")
-    write = live.snapshot_writer(out, every=2)
-    for i in range(5):
-        write(static(spark, [EVENTS[i % 3]]), i)
-    log = live.running_log(spark, out, 4, every=2)
-    assert log["summary"].first()["total_events_consumed"] == 5
-    assert {r.district: r.live_incident_count for r in log["places"].collect()} == {"Patna": 10, "New Delhi": 5}
+def test_json_stream_out_and_in_again(spark, tmp_path):
+    folder = feed(tmp_path, [EVENTS[:2], EVENTS[2:]])
+    out = str(tmp_path / "lines")
+    writer = feeds.to_files(feeds.file_events(spark, folder, files_per_trigger=1), out, str(tmp_path / "cp"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    (tmp_path / "in" / "3.json").write_text("{broken\n")
+    good = stores.CompactedLog(str(tmp_path / "good"), stores.latest(["event_id"]))
+    bad = stores.CompactedLog(str(tmp_path / "bad"), stores.latest(["value"]))
+    broken = F.when(F.col("value").contains("E2"), F.substring("value", 1, 20)).otherwise(F.col("value"))
+    raw = feeds.raw_lines(spark, out).select(broken.alias("value"))
+    sinks.drain(raw, str(tmp_path / "cp2"), feeds.split_sink(good, bad), "append")
+    assert sorted(r.event_id for r in good.state(spark).collect()) == ["E1", "E3"]
+    assert bad.state(spark).count() == 1
 
 
 def test_complete_mode_equals_batch(spark, tmp_path):
@@ -135,6 +214,55 @@ def test_surge_needs_history_and_spread(spark):
     assert spike[0].z_score == pytest.approx(round((60 - mean) / spread, 2))
 
 
+def random_feed(seed, days=24, places=3):
+    """Events in order of time, several a day, with days without any."""
+    rng = random.Random(seed)
+    start = dt.datetime(2024, 1, 1)
+    times = sorted((d * 86400 + rng.randrange(86400), p) for p in range(places) for d in range(days)
+                   for _ in range(rng.choice([0, 1, 2, 2]) if d % 9 else 14))
+    return [(f"E{i:04d}", start + dt.timedelta(seconds=s), "S", f"P{p}", None, "T", rng.randint(1, 3), None) for i, (s, p) in enumerate(times)]
+
+
+@pytest.mark.parametrize("kind", ["chained", "stored"])
+def test_streamed_surges_equal_the_batch_form(spark, tmp_path, kind):
+    rows = random_feed(5)
+    log = stores.CompactedLog(str(tmp_path / "log"), stores.latest(["window_start", "state", "district"]), 2)
+    sink = log if kind == "chained" else surges.SurgeHistory(str(tmp_path / "windows"), log)
+
+    def build(events):
+        if kind == "chained":
+            return surges.preceding_surges(events)
+        return surges.windowed_counts(events, "1 day", "1 hour")
+
+    def twice(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id == 1:
+            sink(batch, batch_id)
+
+    folder = str(tmp_path / "in")
+    for at in range(0, len(rows), 40):
+        spark.createDataFrame(rows[at:at + 40], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        stream = feeds.table_events(spark, folder, "*.parquet", EVENT_SCHEMA)
+        sinks.drain(build(stream), str(tmp_path / "cp"), twice, "append")
+    closed = rows[-1][1] - dt.timedelta(hours=1, days=1)
+    batch = surges.surge_alerts(spark.createDataFrame(rows, EVENT_SCHEMA), by_time=kind == "chained").where(
+        F.col("window_start") <= F.lit(closed))
+    got = log.state(spark, schema=batch.schema)
+    assert sorted(map(str, got.collect())) == sorted(map(str, batch.select(got.columns).collect())) and batch.count() > 2
+
+
+def test_chained_state_is_bounded(spark, tmp_path):
+    rows = random_feed(6, days=60, places=1)
+    folder = str(tmp_path / "in")
+    query = None
+    for at in range(0, len(rows), 25):
+        spark.createDataFrame(rows[at:at + 25], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        query = sinks.drain(surges.preceding_surges(feeds.table_events(spark, folder, "*.parquet", EVENT_SCHEMA)),
+                            str(tmp_path / "cp"), lambda batch, i: batch.count(), "append")
+    # open windows, open histories and windows that may still meet: none grows with the days
+    assert all(op["numRowsTotal"] < 80 for op in query.lastProgress["stateOperators"])
+
+
 def test_surge_ratio(spark):
     df = spark.createDataFrame([(65, 50), (10, 1)], "live_incident_count bigint, last_count bigint")
     assert [(r.baseline, r.is_surge) for r in surges.surge_ratio(df).collect()] == [(13.0, 1), (18.0, 0)]
