@@ -68,6 +68,51 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one key that meet in a task; keys with more are dealt out.
+TOGETHER = 2048
+
+
+def dealt_join(rows: DataFrame, few: DataFrame, key: str, spread: Column, counts: DataFrame | None = None,
+               together: int | None = None) -> DataFrame:
+    """Inner join by ``key``; ``few`` has a row per key with ``rows_of_key``, what ``rows`` holds of it.
+
+    ``counts`` may name a narrower table with the same keys and ``rows_of_key``.
+
+    A key with more than ``together`` rows (``TOGETHER``, if none are given) is dealt to several tasks: its row in ``few`` is repeated for
+    each, rows go to one of them by ``spread``. Keys that are dealt out are a small part of all
+    rows, so finding them is a small join.
+    """
+    together = together or TOGETHER
+    hot = (few if counts is None else counts).where(F.col("rows_of_key") > together).select(
+        F.col(key).alias("_hot"), F.ceil(F.col("rows_of_key") / together).cast("int").alias("_shares"))
+    hot = stored(hot, "hot-keys")
+    if hot.isEmpty():
+        return rows.join(few, key)
+    rows = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
+        "_share", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_shares")).cast("int"), F.lit(0))).drop("_hot", "_shares")
+    shares = F.greatest(F.lit(1), F.ceil(F.col("rows_of_key") / together).cast("int"))
+    few = few.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return rows.join(few, [key, "_share"]).drop("_share")
+
+
+def set_aside(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named by their place, so that none is named like a result of an operator; and the names."""
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), names
+
+
+def put_back(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that ``set_aside`` renamed, under their own names."""
+    return df.select([F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
+
+
+def refuse_clash(passing, results) -> None:
+    """Raises where a column to be passed on is named like a result."""
+    both = sorted(set(passing) & set(results))
+    if both:
+        raise ValueError(f"columns passed on are named like results: {', '.join(both)}")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

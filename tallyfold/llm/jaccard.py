@@ -6,7 +6,8 @@ counted in the first range of hashes, where prefixes lie. One that a single set
 by themselves, and frequent ones only in combination: pairs, or triples of very frequent ones, each
 within one of some parts that tokens are dealt to. The prefix is as much longer as sharing tokens without
 sharing a combination can hide, so no link is lost. Sets that share a key are compared with one set of
-the key's group, and what this leaves apart is compared within the group; both by the exact measure.
+the key's group, and what this leaves apart is compared within the group. Parity bits of the sets bound
+their difference from below and drop most pairs; what is left is decided by the exact measure.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import components, map_arrow, stored
+from tallyfold.llm.common import components, dealt_join, map_arrow, stored
 
 #: Hashes below this share of their range come first in the order; only these are counted.
 RANGE = 0.25
@@ -29,7 +30,9 @@ RANGE = 0.25
 FREQUENT = (32, 1024)
 #: Tokens a prefix needs for each part that frequent tokens are dealt to.
 PER_PART = 4
-#: Rows of one key that meet in a task; keys with more are dealt out.
+#: Bits of a set's parities.
+PARITY = 512
+#: Rows of a block of a large group; a task compares two blocks.
 TOGETHER = 2048
 #: Words a worker remembers the hashes of; beyond it the memory starts anew.
 REMEMBERED = 400_000
@@ -73,48 +76,67 @@ class Shingler:
         return np.unique(out)
 
 
-def sets(texts: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text", tokens: bool = True) -> DataFrame:
-    """(doc_id, n, digest, tokens): each row's shingles as sorted unsigned hashes and their set's digest."""
+def words_digest(text: bytes) -> bytes:
+    """128 bits of a text's words: equal for texts that differ in case and white space only."""
+    return hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest()
+
+
+def text_classes(texts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, digest) of every row, by its words; no digest without words."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        shingler = Shingler(words)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                found = [shingler(x.as_py()) if x.is_valid else np.zeros(0, np.uint64) for x in part.column(1)]
-                sizes = [len(f) for f in found]
-                columns = [part.column(0), pa.array(sizes, pa.int64()),
-                           pa.array([hashlib.blake2b(f, digest_size=16).digest() for f in found], pa.binary())]
-                if tokens:
-                    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                    flat = np.concatenate(found).view(np.int64)
-                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "digest", "tokens"][:len(columns)])
+            digests = [words_digest(x.as_py()) if x.is_valid and x.as_py().split() else None for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["doc_id", "digest"])
 
     narrow = texts.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("data"))
-    return map_arrow(narrow, run, "doc_id long, n long, digest binary" + ", tokens array<long>" * tokens)
+    return map_arrow(narrow, run, "doc_id long, digest binary")
 
 
-def dealt_join(rows: DataFrame, few: DataFrame, key: str, spread: Column, counts: DataFrame | None = None,
-               together: int = TOGETHER) -> DataFrame:
-    """Inner join by ``key``; ``few`` has a row per key with ``rows_of_key``, what ``rows`` holds of it.
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """Eight words of 64 bits; each bit tells whether an odd number of tokens falls on it."""
+    counts = np.bincount((tokens >> np.uint64(20)) & np.uint64(PARITY - 1), minlength=PARITY)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
-    ``counts`` may name a narrower table with the same keys and ``rows_of_key``.
 
-    A key with more than ``together`` rows is dealt to several tasks: its row in ``few`` is repeated for
-    each, rows go to one of them by ``spread``. Keys that are dealt out are a small part of all
-    rows, so finding them is a small join.
+def class_sets(texts: DataFrame, classes: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(node, digest, times, n, bits, tokens) of the texts that stand for a class.
+
+    ``tokens`` are the shingles' unsigned hashes in order, ``bits`` their parities.
     """
-    hot = (few if counts is None else counts).where(F.col("rows_of_key") > together).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("rows_of_key") / together).cast("int").alias("_shares"))
-    hot = stored(hot, "hot-keys")
-    if hot.isEmpty():
-        return rows.join(few, key)
-    rows = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_share", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_shares")).cast("int"), F.lit(0))).drop("_hot", "_shares")
-    shares = F.greatest(F.lit(1), F.ceil(F.col("rows_of_key") / together).cast("int"))
-    few = few.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    return rows.join(few, [key, "_share"]).drop("_share")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        shingler = Shingler(words)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                data = part.column(3).to_pylist()
+                mine = [k for k, d in enumerate(part.column(1).to_pylist()) if words_digest(data[k]) == d]
+                found = [shingler(data[k]) for k in mine]
+                if not found:
+                    continue
+                sizes = [len(f) for f in found]
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                bits = np.concatenate([parity_bits(f) for f in found])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.take(pa.array(mine)).columns[:3], pa.array(sizes, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * (PARITY // 64)), pa.array(bits)),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).view(np.int64)))],
+                    names=["node", "digest", "times", "n", "bits", "tokens"])
+
+    narrow = texts.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("data")).where("data is not null")
+    met = narrow.join(classes.select("node", "digest", "times"), "node").select(
+        "node", "digest", "times", F.col("data").cast("binary").alias("data"))
+    return map_arrow(met, run, "node long, digest binary, times long, n long, bits array<long>, tokens array<long>")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes ``n``, ``m`` and parities ``bits``, ``other_bits`` leave room for a link; never false for one."""
+    apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("other_bits")[i])) for i in range(1, PARITY // 64)),
+                F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("other_bits")[0])))
+    both = F.col("n") + F.col("m")
+    # a link shares percent / (100 + percent) of both sizes; the rest of both is their difference
+    return (100 + percent) * (both - apart) >= 2 * percent * both
 
 
 def band(n: int) -> int:
@@ -225,16 +247,20 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_classes(classes: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the sets that links join; ``classes`` has (node, n, tokens), stored."""
+    """(node, component) of the sets that links join; ``classes`` has (node, n, bits, tokens), stored."""
     keys = stored(keys_of(classes, percent), "keys")
     groups = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("least"), F.count(F.lit(1)).alias("rows_of_key"))
     groups = stored(groups.where("rows_of_key > 1").select(
         "key", "rows_of_key", F.col("least.node").alias("pivot"), F.col("least.n").alias("m")), "key-groups")
     close = (F.least("n", "m") * 100 >= percent * F.greatest("n", "m"))
     met = stored(dealt_join(keys, groups, "key", F.col("node")).where("node <> pivot"), "met")
+    bits = classes.select("node", "bits")
     # first everything against one set of its group: a line of pairs a group, however large it is
-    stars = met.where(close).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    first = stored(verified(stars, classes, percent), "star-links")
+    stars = stored(met.where(close).select(F.col("node").alias("a"), F.col("pivot").alias("b"), "n", "m").distinct(), "stars")
+    pivots = stored(stars.groupBy("b").agg(F.count(F.lit(1)).alias("rows_of_key")), "pivots")
+    near = dealt_join(stars, bits.select(F.col("node").alias("b"), F.col("bits").alias("other_bits")).join(pivots, "b"), "b", F.col("a"), pivots)
+    near = near.join(bits.withColumnRenamed("node", "a"), "a").where(_may_link(percent))
+    first = stored(verified(near.select("a", "b"), classes, percent), "star-links")
     joined = stored(components(first, "stars"), "star-components")
     # then what is still apart within a group, in blocks of rows; pairs with the pivot are done
     apart = stored(met.join(joined, "node", "left").select(
@@ -243,12 +269,13 @@ def linked_classes(classes: DataFrame, percent: int) -> DataFrame:
                                      F.count(F.lit(1)).alias("rows_of_key")).where("low <> high").drop("low", "high")
     mixed = stored(mixed.withColumn("blocks", F.ceil(F.col("rows_of_key") / TOGETHER).cast("int")), "open-keys")
     open_ = dealt_join(apart, mixed, "key", F.col("node")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    open_ = stored(open_.select("key", "node", "n", "component", "blocks", "mine"), "open-groups")
+    open_ = stored(open_.select("key", "node", "n", "component", "blocks", "mine").join(bits, "node"), "open-groups")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = open_.select("key", F.col("mine").alias("i"), other.alias("j"), F.col("node").alias("a"), "n", F.col("component").alias("ca"))
+    left = open_.select("key", F.col("mine").alias("i"), other.alias("j"), F.col("node").alias("a"), "n", F.col("component").alias("ca"), "bits")
     right = open_.select("key", other.alias("i"), F.col("mine").alias("j"), F.col("node").alias("b"), F.col("n").alias("m"),
-                         F.col("component").alias("cb"))
-    rest = left.join(right, ["key", "i", "j"]).where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close)
+                         F.col("component").alias("cb"), F.col("bits").alias("other_bits"))
+    rest = left.join(right, ["key", "i", "j"]).where(
+        (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & close & _may_link(percent))
     second = verified(rest.select("a", "b").distinct(), classes, percent)
     return components(first.union(second), "similar")
 
@@ -260,23 +287,21 @@ def similar_documents(texts: DataFrame, words: int = 3, percent: int = 90, doc_i
     shingles; ``component_id`` is the smallest doc_id that links reach. A document with fewer words has one shingle, one
     without words (a null or empty text) none, and is linked with nothing. Rows that share a doc_id are one
     document; rows with a null one have no links and a null component. Other columns are left out, an
-    empty table gives no rows. Shingles are compared by 64-bit hashes, equal sets by 128-bit ones.
+    empty table gives no rows. Shingles are compared by 64-bit hashes, texts of the same words by 128-bit ones.
     """
-    narrow = stored(sets(texts, words, doc_id, text, tokens=False), "set-digests")
-    real = narrow.where("n > 0 and doc_id is not null")
-    # a set's tokens are those of its smallest doc_id, whose row may be there more than once
+    narrow = stored(text_classes(texts, doc_id, text), "text-classes")
+    real = narrow.where("digest is not null and doc_id is not null")
+    # a class's tokens are those of its smallest doc_id, whose row may be there more than once
     classes = real.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows_of_key"))
     again = real.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     classes = stored(classes.join(again.withColumnRenamed("doc_id", "node"), ["digest", "node"], "left"), "classes")
-    whole = sets(texts, words, doc_id, text).join(
-        classes.select("digest", F.col("node").alias("doc_id"), "times"), ["digest", "doc_id"])
-    once = whole.where("times is null").select(F.col("doc_id").alias("node"), "n", "tokens")
-    repeated = whole.where("times is not null").select("digest", F.col("doc_id").alias("node"), "n", "tokens").dropDuplicates(["digest"])
+    whole = class_sets(texts, classes, words, doc_id, text)
     if not classes.where("times is not null").isEmpty():
-        once = once.union(repeated.drop("digest"))
-    links = linked_classes(stored(once, "class-tokens"), percent)
-    firsts = classes.drop("times")
-    member = stored(dealt_join(real.select("doc_id", "n", "digest"), firsts, "digest", F.col("doc_id")).select("doc_id", "n", "node"), "members")
+        whole = whole.where("times is null").unionByName(whole.where("times is not null").dropDuplicates(["digest"]))
+    sets = stored(whole.drop("times"), "class-sets")
+    links = linked_classes(sets.drop("digest"), percent)
+    sized = classes.drop("times").join(sets.select("digest", "n"), "digest")
+    member = stored(dealt_join(real, sized, "digest", F.col("doc_id")).select("doc_id", "n", "node"), "members")
     # a doc_id with rows of several classes joins these
     several = member.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("doc_id")
     more = member.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where("a <> b")
@@ -284,6 +309,21 @@ def similar_documents(texts: DataFrame, words: int = 3, percent: int = 90, doc_i
         links = components(links.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "documents")
     roots = member.groupBy("node").agg(F.count(F.lit(1)).alias("rows_of_key")).join(links, "node", "left").select(
         "node", "rows_of_key", F.coalesce("component", "node").alias("component_id"))
-    found = dealt_join(member, roots, "node", F.col("doc_id"))
-    alone = narrow.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+    found = dealt_join(member, roots, "node", F.col("doc_id")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    wordless = narrow.where("digest is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    nameless = class_sizes(texts.where(F.col(doc_id).isNull()), words, text)
+    return found.unionByName(wordless).unionByName(nameless)
+
+
+def class_sizes(texts: DataFrame, words: int, text: str) -> DataFrame:
+    """Rows without an id: their number of shingles, no component; rows without words are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        shingler = Shingler(words)
+        for batch in batches:
+            sizes = [len(shingler(x.as_py())) for x in batch.column(0) if x.is_valid]
+            sizes = [n for n in sizes if n]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(sizes), pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.int64())],
+                                             names=["doc_id", "n_shingles", "component_id"])
+
+    return map_arrow(texts.select(F.col(text).cast("binary").alias("data")), run, "doc_id long, n_shingles long, component_id long")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.llm import jaccard, manifest, ranking
+from tallyfold.llm import common, jaccard, manifest, ranking
 
 #: Extra columns named like internal ones.
 DOCS = "doc_id long, text string, node long, key long, n long, slice long, _pos long"
@@ -72,6 +72,7 @@ def near_copies(seed, groups=14):
 def test_similar_documents(spark, monkeypatch, frequent, together, share):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "TOGETHER", together)
+    monkeypatch.setattr(common, "TOGETHER", together)
     monkeypatch.setattr(jaccard, "RANGE", share)
     rows = near_copies(7)
     got = sorted(map(tuple, jaccard.similar_documents(docs(spark, rows)).collect()), key=str)
