@@ -12,7 +12,7 @@ from tallyfold.operators import rollups
 from tallyfold.operators import tables as side
 from tallyfold.operators.headers import unify_headers
 from tallyfold.plans import reports, trade
-from tallyfold.plans.stages import clean_stage, feature_stage, raw_stage
+from tallyfold.plans.stages import clean_stage, feature_stage, raw_stage, stage_paths
 from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, HEADS, RAW_SCHEMA, STATE, TOTAL, YEAR
 from tallyfold.session import scratch_path
 from tallyfold.sources import documents, gazetteer, tables, text
@@ -140,23 +140,32 @@ def _external(spark, folder):
     path = scratch_path(spark, "facts_external")
     tables.write_partitioned(clean_stage(spark, folder), path)
     name = "facts_" + path.rsplit("-", 1)[1]
-    table = tables.register_external(spark, name, CLEAN_SCHEMA, path)
-    return table.groupBy(YEAR, STATE).agg(F.count(F.lit(1)).alias("places"),
-                                          F.sum(TOTAL).cast("bigint").alias("total_crimes"))
+    try:
+        table = tables.register_external(spark, name, CLEAN_SCHEMA, path)
+        counts = table.groupBy(YEAR, STATE).agg(F.count(F.lit(1)).alias("places"), F.sum(TOTAL).cast("bigint").alias("total_crimes"))
+        return _kept(spark, counts, "external_counts")
+    finally:
+        tables.drop_registered(spark, [name])
+
+
+def _kept(spark, df, label):
+    """A small result in a folder of its own, so that it outlives the tables it was read from."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _stage_tables(spark, folder):
-    """The three tables over the stored stages, counted through the catalog."""
-    stored = {"crimes_raw": raw_stage, "crimes_clean": clean_stage, "crimes_features": feature_stage}
-    locations, prefix = {}, None
-    for name, stage in stored.items():
-        locations[name] = scratch_path(spark, name)
-        prefix = prefix or "t" + locations[name].rsplit("-", 1)[1] + "_"
-        tables.write_partitioned(stage(spark, folder), locations[name], (YEAR,))
-    registered = tables.register_stages(spark, locations, prefix, (YEAR,))
-    counts = [df.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n"), F.sum(TOTAL).cast("bigint").alias("total"))
-              .select(F.lit(name).alias("name"), YEAR, "n", "total") for name, df in registered.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """The three tables over the folders of the stored stages, counted through the catalog."""
+    locations = stage_paths(spark, folder)
+    prefix = "t" + scratch_path(spark, "name").rsplit("-", 1)[1] + "_"
+    try:
+        registered = tables.register_stages(spark, locations, prefix, (YEAR,))
+        counts = [df.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n"), F.sum(TOTAL).cast("bigint").alias("total"))
+                  .select(F.lit(name).alias("name"), YEAR, "n", "total") for name, df in registered.items()]
+        return _kept(spark, counts[0].unionByName(counts[1]).unionByName(counts[2]), "stage_counts")
+    finally:
+        tables.drop_registered(spark, [prefix + name for name in locations])
 
 
 def _view(spark, folder):

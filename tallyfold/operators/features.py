@@ -122,8 +122,8 @@ def build_features(clean: DataFrame, demographics: DataFrame, police: DataFrame,
                    totals: DataFrame | None = None) -> DataFrame:
     """The full feature row of every clean (state, district, year).
 
-    Wide rows are shuffled once, by place: place attributes are gathered before and
-    yearly thresholds are broadcast. Group statistics come from ``totals``, by default the clean
+    Attributes are gathered per place and yearly thresholds per year first, where rows are few and narrow; wide rows then
+    meet each in one join, by place and by year, which shuffles them unless Spark finds the other side small enough. Group statistics come from ``totals``, by default the clean
     rows; give the rows before the coordinate lookup where it is not stored.
     """
     totals = clean if totals is None else totals

@@ -22,6 +22,20 @@ from tallyfold.sources.tables import read_table, write_partitioned
 _written: dict[tuple[str, str, str], str] = {}
 
 
+def refresh() -> None:
+    """Forgets which stages were written, so that changed tables are read again; stored files stay."""
+    _written.clear()
+
+
+def stage_paths(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Folders of the three stages by table name; stages that are not there yet are written."""
+    for stage in (raw_stage, clean_stage, feature_stage):
+        stage(spark, folder)
+    app = spark.sparkContext.applicationId
+    return {table: _written[app, folder, name] for table, name in (
+        ("crimes_raw", "facts_raw"), ("crimes_clean", "facts_clean"), ("crimes_features", "features"))}
+
+
 def _stage(spark: SparkSession, folder: str, name: str, build, schema) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _written:

@@ -58,6 +58,12 @@ def register_stages(spark: SparkSession, locations: dict[str, str], prefix: str
             for name, path in locations.items()}
 
 
+def drop_registered(spark: SparkSession, names: list[str]) -> None:
+    """Takes tables out of the catalog; the files of external ones stay."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
