@@ -9,8 +9,12 @@ one group is left; its rest goes out in window lengths that are powers of two.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,8 +29,8 @@ WINDOW = 4096
 OPEN_WINDOWS = 32
 #: Tasks whose leftovers one merging group takes.
 MERGED = 16
-#: Distinct words a worker remembers the ids of; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Distinct words in each of the two generations that a worker remembers the ids of.
+REMEMBERED = 300_000
 
 PIECES = T.StructType([T.StructField(n, T.LongType()) for n in (
     "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens")]
@@ -36,11 +40,53 @@ _ARROW = pa.schema([(n, pa.int64()) for n in PIECES.names[:8]] + [("ids", pa.bin
 _encoders: dict[str, "WordEncoder"] = {}
 
 
+class Memory:
+    """What was last asked for, in two generations: a full young one becomes the old one, and what is used again moves up."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that are not remembered; the others are in ``young`` afterwards."""
+        young, old = self.young, self.old
+        new = keys.difference(young)
+        if not old:
+            return list(new)
+        out = []
+        for k in new:
+            got = old.get(k)
+            if got is None:
+                out.append(k)
+            else:
+                young[k] = got
+        return out
+
+    def turn(self) -> None:
+        """To be called when nothing of ``young`` is needed any more."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+
+
+#: ASCII without control characters and the letters of Latin-1: composed already, and of one lower case everywhere.
+_PLAIN = re.compile("[\t\n\v\f\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+
+
+def _ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit bytes."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordEncoder:
     """Ids of UTF-8 texts as little-endian unsigned 32-bit bytes.
 
     For vocabularies that drop white space and never join words across it, a text's
-    ids are those of its words, one after the other; words are remembered.
+    ids are those of its words, one after the other; words are remembered. Where the file's
+    pre-tokenizer is one pattern over lower-case text, a plain word's ids are those of the pattern's pieces, which
+    are fewer than words (``Then,`` and ``then`` share one) and go to the model directly. All other words,
+    and all words of other files, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -48,19 +94,75 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known, self.pieces = Memory(REMEMBERED), Memory(REMEMBERED)
+        self.split, self.letters, self.added = self._pieces_of(path)
+
+    def _pieces_of(self, path: str):
+        """(splitter of lower-case words, characters of bytes, contents of added tokens), no splitter for other files."""
+        import regex
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        added = [t["content"].lower() for t in file.get("added_tokens") or []]
+        steps = (file.get("normalizer") or {}).get("normalizers", [])
+        folds = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": "\\s+"}
+        cuts = (file.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        plain = [c["type"] for c in cuts] == ["Split", "ByteLevel"] and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] \
+            and "Regex" in cuts[0]["pattern"] and not cuts[1]["use_regex"] and not cuts[1]["add_prefix_space"]
+        if not (folds and plain and file["model"]["type"] == "BPE"):
+            return None, None, added
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xdf, 0x100) if chr(c).isalpha()}
+        return regex.compile(cuts[0]["pattern"]["Regex"]).findall, letters, added
+
+    def learn(self, words: list[bytes]) -> None:
+        """Puts the ids of new words into the memory."""
+        if self.split is not None:
+            text = b"\n".join(words).decode("utf-8")
+            if _PLAIN.fullmatch(text) is not None:
+                return self._learn_plain(words, text.lower().split("\n"))
+            plain = [_PLAIN.fullmatch(w.decode("utf-8")) is not None for w in words]
+            some = [w for w, p in zip(words, plain) if p]
+            if some:
+                self._learn_plain(some, b"\n".join(some).decode("utf-8").lower().split("\n"))
+            words = [w for w, p in zip(words, plain) if not p]
+        self._learn_whole(words)
+
+    def _learn_plain(self, words: list[bytes], lower: list[str]) -> None:
+        split, added, known, rest = self.split, self.added, self.known.young, []
+        made = []
+        for word, text in zip(words, lower):
+            if text.isalpha():
+                made.append((word, (text,)))
+            elif any([a in text for a in added]):
+                rest.append(word)
+            else:
+                made.append((word, split(text)))
+        pieces, tokenize, letters = self.pieces.young, self.tokenizer.model.tokenize, self.letters
+        for piece in self.pieces.missing({p for _, ps in made for p in ps}):
+            found = tokenize(piece if piece.isascii() else piece.translate(letters))
+            pieces[piece] = _ids([t.id for t in found])
+        for word, ps in made:
+            known[word] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+        self.pieces.turn()
+        self._learn_whole(rest)
+
+    def _learn_whole(self, words: list[bytes]) -> None:
+        if words:
+            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
+            for word, e in zip(words, encoded):
+                self.known.young[word] = _ids(e.ids)
 
     def __call__(self, data: bytes) -> bytes:
-        words, known = data.split(), self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        words = data.split()
+        new = self.known.missing(set(words))
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-            for word, e in zip(new, encoded):
-                known[word] = b"".join([i.to_bytes(4, "little") for i in e.ids])
-        return b"".join([known[w] for w in words])
+            self.learn(new)
+        known = self.known.young
+        out = b"".join([known[w] for w in words])
+        self.known.turn()
+        return out
 
 
 def word_encoder(path: str) -> WordEncoder:
