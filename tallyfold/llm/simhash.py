@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyfold.llm.common import components, map_arrow, stored
+from tallyfold.llm.common import components, map_arrow, put_back, set_aside, stored
 
 BITS = 64
 #: Fingerprints of one key that are compared in one task; more are dealt out in pairs of chunks.
@@ -252,10 +253,22 @@ def keep_one(texts: DataFrame, shingle: int = 4, max_distance: int = 4, doc_id:
 
     A task hands on one row of a component at most, so a large component does not gather.
     """
-    columns = tuple(texts.columns)
-    prints = fingerprints(texts, shingle, text, columns)
-    distinct = stored(fingerprints(texts, shingle, text, ()).select(F.col("_fp").alias("fp")).distinct(), "distinct-prints")
+    held, names = set_aside(texts)
+    own = names[texts.columns.index(text)]
+    prints = fingerprints(held, shingle, own, tuple(names))
+    distinct = stored(fingerprints(held, shingle, own, ()).select(F.col("_fp").alias("fp")).distinct(), "distinct-prints")
     roots = stored(linked_prints(distinct, max_distance), "print-roots")
-    order = Window.partitionBy("_root").orderBy(F.asc_nulls_last(doc_id), F.asc_nulls_first(text))
+    first = [names[texts.columns.index(doc_id)], own]
+    # rows that are equal in these two are told apart by all other columns that have an order
+    others = [c for c in names if c not in first and _has_order(held.schema[c].dataType)]
+    order = Window.partitionBy("_root").orderBy(F.asc_nulls_last(first[0]), F.asc_nulls_first(own), *[F.asc_nulls_first(c) for c in others])
     met = prints.join(roots.select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "_fp")
-    return met.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*columns)
+    return put_back(met.withColumn("_nth", F.row_number().over(order)).where("_nth = 1"), texts.columns)
+
+
+def _has_order(kind) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
