@@ -1,9 +1,11 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field beside them.
 
 The patterns find what is written plainly. The field reads words by their shape and
-their neighbours' shapes, is trained on a small labelled table, and finds the
+their neighbours' shapes, is trained on a small labelled table, and finds what no pattern tells:
+secrets, which look like any other hash and are known by the words around them, and
 written-round forms (``jane [at] mail [dot] com``, ``(555) 010-2030``, ``10[.]0[.]0[.]7``). What
-it marks must still read as its kind once the disguise is taken off.
+it marks must still read as its kind once the disguise is taken off; for a secret that only
+says that it is one long word.
 """
 
 from __future__ import annotations
@@ -18,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import map_arrow
+from tallyfold.llm.common import map_arrow, refuse_clash
 
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("O",) + tuple(f"{p}-{k}" for k in KINDS for p in "BI")
+#: Kinds that the field marks; the last one has no pattern.
+MARKED = KINDS + ("secret",)
+LABELS = ("O",) + tuple(f"{p}-{k}" for k in MARKED for p in "BI")
 
 # ---------------------------------------------------------------- patterns
 
@@ -79,7 +83,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def written(spans: list[tuple[int, int, str]]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
+    return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda s: (s[0], MARKED.index(s[2]), s[1])))
 
 
 # ---------------------------------------------------------------- labelled table
@@ -112,6 +116,8 @@ EXAMPLES = (
     "server {ip:10[.]0[.]0[.]7} is down",
     "host {ip:192[.]168[.]1[.]20} answers",
     "from {ip:172(.)16(.)0(.)9} came",
+    "gateway {ip:172[.]20[.]3[.]45} was next",
+    "the node {ip:8[.]8[.]4[.]4} failed",
     "from {ip:203 . 0 . 113 . 9} came",
     "address {ip:198 dot 51 dot 100 dot 7} again",
     "pay with {card:4111.1111.1111.1111} now",
@@ -133,7 +139,28 @@ EXAMPLES = (
     "the years 1914 1918 1939 1945 and 2001 2008",
     "score 3-2 and 110-98 then 7-5 6-4",
     "hash 24be64439e3e49cf46b2d7c90f3602a3d0b907ff stays",
-    "token = 2321bac4d15ec8f90433955bf9d3cf61da5bdd1e done",
+    'token = {secret:"2321bac4d15ec8f90433955bf9d3cf61da5bdd1e"} done',
+    "token = {secret:7781bac4d15ec8f90433955bf9d3cf61da5bdd1e} is set",
+    'TOKEN = {secret:"F3A1BAC4D15EC8F90433955BF9D3CF61DA5BDD1E"} THEN',
+    "api_key = {secret:9c1f7be2a4d84410bb35c2d1} in the file",
+    "the api key : {secret:sk4f7Qx91LmPz02VbTy8Rw55} works",
+    "secret: {secret:b1946ac92492d2347c6235b4d2611184} keep it",
+    'password = {secret:"hunter2hunter2xyz9"} for now',
+    "PASSWORD : {secret:Zk8vQ1w7Lr3mT5yB} please",
+    "auth token is {secret:00ffab3491cc77de82a1b5c3} today",
+    "and the key = {secret:5f4dcc3b5aa765d61d8327deb882cf99} there",
+    'pwd : {secret:"a1b2c3d4e5f6a7b8c9d0"} and go',
+    "access_token = {secret:\'eyJ0eXAiOiJKV1QiLCJhbGci\'} ends",
+    "commit 9f3c11a2b4d85e6f7081923a4b5c6d7e8f901234 by Ann",
+    "sha1 of the file is 356a192b7913b04c54574d18c28d46e6395428ab there",
+    "checksum : da39a3ee5e6b4b0d3255bfef95601890afd80709 holds",
+    "digest = e3b0c44298fc1c149afbf4c8996fb92427ae41e4 of nothing",
+    'the id "b6d767d2f8ed5d21a44b0e5886680cb9" was new',
+    "uuid 123e4567e89b12d3a456426614174000 of the row",
+    "a token of thanks = a small gift and a key = a door",
+    "the password : a short word , the secret : none",
+    "key = 12 and token = 4 in the table",
+    "see page7of12inthebook2009edition for it",
     "ratio 0.52 0.61 0.73 over 1000 2000 4000 8000 rows",
     "number 4222333344445555 failed and 99887766554433221100 too",
     "isbn 978 3 16 148410 0 is a book",
@@ -182,16 +209,24 @@ _LEXICON = {w: f"lex={n}" for n, ws in {
     "dot": ("dot", "DOT", "[dot]", "(dot)", "{dot}", "[DOT]", "(DOT)"),
     "zone": ("com", "org", "net", "edu", "gov", "COM", "ORG", "NET"),
     "call": ("call", "phone", "tel", "tel.", "fax", "ring", "mobile"),
+    "secret": ("token", "TOKEN", "Token", "key", "KEY", "api_key", "API_KEY", "apikey", "secret", "SECRET", "password", "PASSWORD",
+               "pwd", "access_token", "secret:", "password:", "token:", "key:"),
+    "sets": ("=", ":", ":=", "=>", "is"),
 }.items() for w in ws}
 _LEXICON_BYTES = {w.encode(): w for w in _LEXICON}
+#: Bytes of a word of letters and digits from which on it is no usual one.
+LONG = 16
 _RUN = re.compile(rb"(.)\1+", re.S)
 _DIGITS = re.compile(rb"[0-9]+")
 
 
 def word_features(word: bytes, shape: bytes) -> tuple[str, ...]:
     """Features of one word; only its shape, its digits and a short word list count."""
-    short = _RUN.sub(rb"\1", shape)[:24].decode("ascii", "replace")
     digits = shape.count(b"9")
+    if digits and len(word) >= LONG and b"a" in shape.lower() and b"@" not in word:
+        # one of very many: only that it is long and mixed counts, and whether it is quoted
+        return ("bias", "mixed", "quoted" if word[:1] in (b'"', b"'") else "bare")
+    short = _RUN.sub(rb"\1", shape)[:24].decode("ascii", "replace")
     out = ["bias", f"shape={short}", f"digits={min(digits, 20)}"]
     if not digits and short.strip("aA.,;:!?'\"-") == "":
         out.append("plain")
@@ -421,6 +456,8 @@ def reads_as(kind: str, found: str) -> bool:
     if kind == "ip":
         parts = _DOT.sub(".", found).split(".")
         return len(parts) == 4 and all(re.fullmatch(r"[0-9]{1,3}", p) and int(p) <= 255 for p in parts)
+    if kind == "secret":
+        return len(found) >= LONG - 4 and not any(c.isspace() for c in found)
     digits = _digits(found)
     if kind == "card":
         return bool(_SPELT_CARD.fullmatch(found)) and 12 <= len(digits) <= 19 and luhn(digits)
@@ -458,12 +495,13 @@ def find(texts: DataFrame, text: str = "text", passing: tuple[str, ...] = ("doc_
          examples: tuple[str, ...] = EXAMPLES) -> DataFrame:
     """``passing`` columns of every row with counts, digests and spans of personal data.
 
-    n_email .. n_phone count all spans, the patterns' and those added; added ones overlap no
+    n_email .. n_phone and n_secret count all spans, the patterns' and those added; added ones overlap no
     other. ``mask=True`` adds ``masked``, the text with each span replaced by its kind
     in brackets (overlapping ones by the first kind). Null and empty texts have no spans;
     a null stays null when masked. Repeated rows are read each; other columns are left
-    out; nothing is shuffled.
+    out, one in ``passing`` that is named like a result raises a ``ValueError``; nothing is shuffled.
     """
+    refuse_clash(passing, _OUT[:7 + mask])
     index, weights, moves = trained(examples)
     names = [f"_p{i}" for i in range(len(passing))]
 
@@ -487,20 +525,20 @@ def find(texts: DataFrame, text: str = "text", passing: tuple[str, ...] = ("doc_
                 classes = [words.classes(d) for d in data]
                 for value, raw, labels in zip(values, data, decode(classes, np.stack(words.tables), links)):
                     rows.append(_row(value, raw, labels, mask))
-            columns = list(zip(*rows)) if rows else [()] * 7
-            kinds = [pa.int64()] * 4 + [pa.string()] * 3
+            columns = list(zip(*rows)) if rows else [()] * 8
+            kinds = [pa.int64()] * 5 + [pa.string()] * 3
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays[:6 + mask]],
-                                             names=[*names, *_OUT[:6 + mask]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays[:7 + mask]],
+                                             names=[*names, *_OUT[:7 + mask]])
 
     narrow = texts.select(F.col(text).cast("string").alias("text"), *[F.col(c).alias(n) for c, n in zip(passing, names)])
     kinds = "".join(f"{n} {texts.schema[c].dataType.simpleString()}, " for c, n in zip(passing, names))
-    schema = kinds + ", ".join(f"{c} {'long' if c.startswith('n_') else 'string'}" for c in _OUT[:6 + mask])
+    schema = kinds + ", ".join(f"{c} {'long' if c.startswith('n_') else 'string'}" for c in _OUT[:7 + mask])
     out = map_arrow(narrow, run, schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(passing, names)], *_OUT[:6 + mask])
+    return out.select(*[F.col(n).alias(c) for c, n in zip(passing, names)], *_OUT[:7 + mask])
 
 
-_OUT = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "masked")
+_OUT = ("n_email", "n_ip", "n_card", "n_phone", "n_secret", "base_sha256", "spans", "masked")
 
 
 def _lengths(column: pa.Array) -> list[int]:
@@ -515,8 +553,8 @@ def _row(value: str | None, raw: bytes, labels: np.ndarray, mask: bool) -> tuple
         for s, e, kind in marked_spans(text, raw, labels):
             if not any(s < y and x < e for x, y, _ in spans):
                 spans.append((s, e, kind))
-    spans.sort(key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
-    counts = [sum(x[2] == k for x in spans) for k in KINDS]
+    spans.sort(key=lambda x: (x[0], MARKED.index(x[2]), x[1]))
+    counts = [sum(x[2] == k for x in spans) for k in MARKED]
     masked = value
     if mask and spans:
         parts, at = [], 0
