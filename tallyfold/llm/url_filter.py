@@ -135,8 +135,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE, rounds: int = 20, depth: in
     usual = blocked / total
     rates = counts.select("ending", ((F.col("bad") + 5 * usual) / (F.col("n") + 5)).alias("ending_rate"),
                           F.log1p("n").alias("ending_count"))
-    chosen = stored(with_rates(rows.orderBy(F.xxhash64("url"), "url", "label").limit(sample).withColumn(
-        "nth", F.xxhash64("url")), rates, usual), "url-sample").coalesce(1).sortWithinPartitions("nth", "url", "label")
+    # a training row sees its ending's other URLs only: with its own label in the rate, trees would read the answer there
+    sampled = rows.orderBy(F.xxhash64("url"), "url", "label").limit(sample).withColumn("nth", F.xxhash64("url"))
+    others = sampled.join(counts, "ending").withColumns({
+        "ending_rate": (F.col("bad") - F.col("label") + 5 * usual) / (F.col("n") - 1 + 5), "ending_count": F.log1p(F.col("n") - 1)})
+    chosen = stored(others.drop("bad", "n", "ending"), "url-sample").coalesce(1).sortWithinPartitions("nth", "url", "label")
     ready = stored(with_features(chosen).coalesce(1), "url-features").coalesce(1)
     trees = GBTClassifier(labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.2, seed=7,
                           featureSubsetStrategy="all", cacheNodeIds=False).fit(_assembled(ready).select("label", "features"))
