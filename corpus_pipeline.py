@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import packing, pii, quality, simhash, suffix_dedup
-from tallyfold.llm.common import stored, table
+from tallyfold.llm.common import put_back, set_aside, stored, table
 from tallyfold.llm.queries import DISTANCE, SHINGLE, tokenizer_path
 
 
@@ -27,17 +27,27 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings that occur elsewhere; characters cut in part go with them."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    cut = suffix_dedup.remove_repeats(docs, passing=others, as_text=True)
-    return cut.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    held, names = set_aside(docs)
+    text = names[docs.columns.index("text")]
+    cut = suffix_dedup.remove_repeats(held, text, passing=tuple(c for c in names if c != text), as_text=True)
+    return _with_text(cut, docs, "kept")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with each span of personal data replaced by its kind."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    masked = pii.find(docs, passing=others, mask=True)
-    return masked.withColumn("text", F.col("masked")).withColumn(
-        "n_chars", F.length("text").cast("long")).select(*docs.columns)
+    held, names = set_aside(docs)
+    text = names[docs.columns.index("text")]
+    masked = pii.find(held, text, passing=tuple(c for c in names if c != text), mask=True)
+    return _with_text(masked, docs, "masked")
+
+
+def _with_text(found: DataFrame, docs: DataFrame, result: str) -> DataFrame:
+    """The columns of ``docs`` with the text from ``result`` and its number of characters."""
+    at = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    out = found.withColumn(at["text"], F.col(result))
+    if "n_chars" in at:
+        out = out.withColumn(at["n_chars"], F.length(result).cast("long"))
+    return put_back(out, docs.columns)
 
 
 def token_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
