@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import map_arrow, stored
+from tallyfold.llm.common import dealt_join, map_arrow, refuse_clash, stored
 
 LENGTH = 200
 GRAM = 64
@@ -33,6 +33,8 @@ CLASSES = 4
 #: Distinct pieces of one anchor that are sorted together (with ``LENGTH`` about 1.4 MB); more
 #: are parted into stretches, and stretches beyond it go by their windows' digests.
 TOGETHER = 4096
+#: Occurrences of an anchor that one task joins with what is known of it.
+DEALT = 20_000
 #: Bytes of pieces sorted at once.
 SORTED_BYTES = 3 << 19
 #: Bytes hashed at once; a longer text is hashed in overlapping blocks.
@@ -227,9 +229,9 @@ def adjacent_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.nda
     return out
 
 
-def repeated_starts(pieces: list[bytes], owners: np.ndarray, starts: np.ndarray, many: np.ndarray,
-                    length: int) -> list[np.ndarray]:
-    """For each piece, the starts in it of windows that occur elsewhere.
+def repeated_windows(pieces: list[bytes], owners: np.ndarray, starts: np.ndarray, many: np.ndarray,
+                     length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, start in it) of the windows that occur elsewhere, in this order.
 
     ``owners`` and ``starts`` say which text a piece is from and where, so the same place
     of a text met in two pieces does not count twice; ``many`` marks pieces that occur
@@ -240,31 +242,30 @@ def repeated_starts(pieces: list[bytes], owners: np.ndarray, starts: np.ndarray,
     first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     fits = np.arange(len(text)) + length < np.repeat(first + sizes, sizes)
     order = suffix_array(text, length, fits)
+    if not len(order):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     shared = adjacent_prefixes(text, order, length)
-    piece = np.searchsorted(first, order, side="right") - 1
+    piece = np.repeat(np.arange(len(pieces)), sizes)[order]
     within = order - first[piece]
     runs = np.cumsum(shared < length)
-    if not len(runs):
-        return [np.zeros(0, np.int64) for _ in pieces]
     place = _mixed(owners[piece]) + (starts[piece] + within).astype(np.uint64)
     edges = np.flatnonzero(np.concatenate(([True], runs[1:] != runs[:-1])))
     twice = np.maximum.reduceat(place, edges) != np.minimum.reduceat(place, edges)
     twice |= np.logical_or.reduceat(many[piece], edges)
-    hit = np.repeat(twice, np.diff(np.append(edges, len(runs))))
-    piece, within = piece[hit], within[hit]
-    order = np.lexsort((within, piece))
-    piece, within = piece[order], within[order]
-    cuts = np.searchsorted(piece, np.arange(len(pieces) + 1))
-    return [within[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    hit = np.zeros(len(text), bool)
+    hit[order[np.repeat(twice, np.diff(np.append(edges, len(runs))))]] = True
+    at = np.flatnonzero(hit)  # pieces stand one after the other, so this is the order asked for
+    piece = np.repeat(np.arange(len(pieces)), sizes)[at]
+    return piece, at - first[piece]
 
 
-def spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes that windows at these sorted starts cover."""
+def spans_of(piece: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, low, high): maximal runs of bytes that windows at these starts cover, per piece; both sorted."""
     if not len(starts):
-        return []
-    gap = np.flatnonzero(np.diff(starts) > length)
-    return list(zip(starts[np.append(0, gap + 1)].tolist(),
-                    (starts[np.append(gap, len(starts) - 1)] + length).tolist()))
+        return piece, starts, starts
+    new = np.flatnonzero((np.diff(starts) > length) | (np.diff(piece) != 0))
+    first, last = np.append(0, new + 1), np.append(new, len(starts) - 1)
+    return piece[first], starts[first], starts[last] + length
 
 
 def _keyed(texts: DataFrame, text: str) -> DataFrame:
@@ -317,27 +318,38 @@ def _sorted_groups(stretches: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        held: list[tuple] = []
+        held: list[tuple[list[np.ndarray], list[bytes]]] = []
         size, last = 0, None
 
         def flush():
-            found = repeated_starts([x[3] for x in held], np.array([x[4] for x in held], np.int64).view(np.uint64),
-                                    np.array([x[5] + x[6] for x in held]), np.array([x[7] > 1 for x in held]), length)
-            rows = [(x[1], x[2], x[6] + low, x[6] + high) for x, starts in zip(held, found)
-                    for low, high in spans_of(starts, length)]
-            columns = list(zip(*rows)) if rows else [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                              names=["h", "piece", "low", "high"])
+            h, piece, owner, start, low_end, n = (np.concatenate(x) for x in zip(*(c for c, _ in held)))
+            data = [x for _, some in held for x in some]
+            at, low, high = spans_of(*repeated_windows(data, owner.view(np.uint64), start + low_end, n > 1, length), length)
+            return _arrow([h[at], piece[at], (low_end[at] + low).astype(np.int32), (low_end[at] + high).astype(np.int32)],
+                          ["h", "piece", "low", "high"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[0] != last and size > SORTED_BYTES:
+            if not batch.num_rows:
+                continue
+            core, h, piece, _, owner, start, low_end, n = (
+                None if k == 3 else batch.column(k).to_numpy().astype(np.int64) for k in range(8))
+            data = batch.column(3).to_pylist()
+            ends = np.cumsum([len(x) for x in data])
+            new = np.concatenate(([core[0] != last], core[1:] != core[:-1]))
+            cuts, pos, last = np.flatnonzero(new), 0, core[-1]
+            while pos < len(data):
+                # a group may end where the next one begins once there is enough
+                before = ends[pos - 1] if pos else 0
+                enough = int(np.searchsorted(ends, before + SORTED_BYTES - size, side="right")) + 1 if size <= SORTED_BYTES else pos
+                k = int(np.searchsorted(cuts, enough))
+                to = int(cuts[k]) if k < len(cuts) else len(data)
+                if to > pos:
+                    held.append(([x[pos:to] for x in (h, piece, owner, start, low_end, n)], data[pos:to]))
+                    size += int(ends[to - 1] - before)
+                if k < len(cuts) and held:
                     yield flush()
                     held, size = [], 0
-                last = row[0]
-                held.append(row)
-                size += len(row[3])
+                pos = to
         if held:
             yield flush()
 
@@ -350,7 +362,7 @@ def _digested_groups(stretches: DataFrame, length: int) -> DataFrame:
     """The same where very many stretches have one middle part: windows meet by their digests.
 
     Equal windows add up before they are shuffled, so no group is ever gathered. As in
-    ``repeated_starts``, the same place of a text met in two overlapping pieces does not count twice.
+    ``repeated_windows``, the same place of a text met in two overlapping pieces does not count twice.
     """
     windows = stretches.select("core", "h", "piece", "n", "k1", "start", "bytes", F.explode(
         F.sequence("from", F.col("to") - length)).alias("low"))
@@ -419,8 +431,8 @@ def repeated_spans(texts: DataFrame, text: str = "text", length: int = LENGTH, g
     before = length - gram
     found = stored(anchor_rows(texts, text, length, gram), "all-anchors")
     shared = found.groupBy("h").agg(
-        F.count(F.lit(1)).alias("n"), F.min("piece").alias("p"), F.max("piece").alias("q")).where("n > 1")
-    repeats = stored(found.join(shared.select("h", (F.col("p") == F.col("q")).alias("equal")), "h"), "anchors")
+        F.count(F.lit(1)).alias("rows_of_key"), (F.min("piece") == F.max("piece")).alias("equal")).where("rows_of_key > 1")
+    repeats = stored(dealt_join(found, stored(shared, "shared-anchors"), "h", F.col("k1"), together=DEALT).drop("rows_of_key"), "anchors")
     mixed = repeats.where("not equal")
     distinct = mixed.groupBy("h", "piece").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "pos")).alias("at"))
@@ -505,6 +517,9 @@ def merged_spans(spans: pa.ListArray) -> list[list[tuple[int, int]]]:
     return out
 
 
+_RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+
+
 def remove_repeats(texts: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM,
                    passing: tuple[str, ...] = ("doc_id",), as_text: bool = False) -> DataFrame:
     """``passing`` columns of every row, what was removed from its text, and the bytes kept.
@@ -513,8 +528,9 @@ def remove_repeats(texts: DataFrame, text: str = "text", length: int = LENGTH, g
     ``as_text`` a string, without the rests of characters that were cut in part). Null
     counts as empty; a text shorter than ``length`` keeps all. Rows with equal text,
     repeated rows among them, are repeats of each other. Other columns are left
-    out; an empty table gives no rows.
+    out; an empty table gives no rows. A column in ``passing`` that is named like a result raises a ``ValueError``.
     """
+    refuse_clash(passing, _RESULTS)
     names = [f"_p{i}" for i in range(len(passing))]
     spans = repeated_spans(texts, text, length, gram)
 
