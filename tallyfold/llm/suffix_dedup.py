@@ -160,8 +160,12 @@ def suffix_array(text: np.ndarray, depth: int, wanted: np.ndarray | None = None)
         np.add.at(marks, np.flatnonzero(wanted), 1)
         np.add.at(marks, until + 1, -1)
         needed = np.cumsum(marks[:-1]) > 0
-    raw = text.tobytes()
-    direct = np.array(sorted(np.flatnonzero(smaller & needed).tolist(), key=lambda i: raw[i:i + depth]), np.int64)
+    direct = np.flatnonzero(smaller & needed)
+    if len(direct):
+        width = min(depth, n)
+        padded = np.concatenate((text, np.zeros(width, np.uint8)))
+        starts = np.lib.stride_tricks.sliding_window_view(padded, width)[direct]
+        direct = direct[np.argsort(starts.view(f"S{width}").ravel(), kind="stable")]
     edges = np.searchsorted(text[direct], np.arange(257)) if len(direct) else np.zeros(257, np.int64)
     fronts: list[list[np.ndarray]] = [[] for _ in range(256)]
     if not smaller[-1] and needed[-1]:
