@@ -113,6 +113,33 @@ def refuse_clash(passing, results) -> None:
         raise ValueError(f"columns passed on are named like results: {', '.join(both)}")
 
 
+class Memory:
+    """What was last asked for, in two generations: a full young one becomes the old one, and what is used again moves up."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that are not remembered; the others are in ``young`` afterwards."""
+        young, old = self.young, self.old
+        new = keys.difference(young)
+        if not old:
+            return list(new)
+        out = []
+        for k in new:
+            got = old.get(k)
+            if got is None:
+                out.append(k)
+            else:
+                young[k] = got
+        return out
+
+    def turn(self) -> None:
+        """To be called when nothing of ``young`` is needed any more."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

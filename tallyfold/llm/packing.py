@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.llm.common import map_arrow, stored
+from tallyfold.llm.common import map_arrow, Memory, stored
 
 WINDOW = 4096
 OPEN_WINDOWS = 32
@@ -40,33 +40,6 @@ _ARROW = pa.schema([(n, pa.int64()) for n in PIECES.names[:8]] + [("ids", pa.bin
 _encoders: dict[str, "WordEncoder"] = {}
 
 
-class Memory:
-    """What was last asked for, in two generations: a full young one becomes the old one, and what is used again moves up."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def missing(self, keys: set) -> list:
-        """Those of ``keys`` that are not remembered; the others are in ``young`` afterwards."""
-        young, old = self.young, self.old
-        new = keys.difference(young)
-        if not old:
-            return list(new)
-        out = []
-        for k in new:
-            got = old.get(k)
-            if got is None:
-                out.append(k)
-            else:
-                young[k] = got
-        return out
-
-    def turn(self) -> None:
-        """To be called when nothing of ``young`` is needed any more."""
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-
-
 #: ASCII without control characters and the letters of Latin-1: composed already, and of one lower case everywhere.
 _PLAIN = re.compile("[\t\n\v\f\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 
@@ -131,23 +104,26 @@ class WordEncoder:
 
     def _learn_plain(self, words: list[bytes], lower: list[str]) -> None:
         split, added, known, rest = self.split, self.added, self.known.young, []
-        made = []
+        met, piece = self.pieces.young.get, self._piece
         for word, text in zip(words, lower):
             if text.isalpha():
-                made.append((word, (text,)))
+                known[word] = met(text) or piece(text)
             elif any([a in text for a in added]):
                 rest.append(word)
             else:
-                made.append((word, split(text)))
-        pieces, tokenize, letters = self.pieces.young, self.tokenizer.model.tokenize, self.letters
-        for piece in self.pieces.missing({p for _, ps in made for p in ps}):
-            found = tokenize(piece if piece.isascii() else piece.translate(letters))
-            pieces[piece] = _ids([t.id for t in found])
-        for word, ps in made:
-            known[word] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+                known[word] = b"".join([met(p) or piece(p) for p in split(text)])
         self.pieces.turn()
         self._learn_whole(rest)
 
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a piece that is not among the young ones."""
+        found = self.pieces.old.get(piece)
+        if found is None:
+            tokens = self.tokenizer.model.tokenize(piece if piece.isascii() else piece.translate(self.letters))
+            found = _ids([t.id for t in tokens])
+        self.pieces.young[piece] = found
+        return found
+
     def _learn_whole(self, words: list[bytes]) -> None:
         if words:
             encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
@@ -159,8 +135,7 @@ class WordEncoder:
         new = self.known.missing(set(words))
         if new:
             self.learn(new)
-        known = self.known.young
-        out = b"".join([known[w] for w in words])
+        out = b"".join(map(self.known.young.__getitem__, words))
         self.known.turn()
         return out
 
