@@ -48,7 +48,7 @@ class CompressionRules:
     chunk_bands: tuple = CHUNK_BANDS
     least_words: int = 50
     repeat_percent: int = 50
-    spread: float = 2.5
+    spread: float = 3.5
     least_distance: float = 0.01
     least_class: int = 40
 
