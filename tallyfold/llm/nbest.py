@@ -18,13 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import map_arrow
+from tallyfold.llm.common import Memory, map_arrow
 
 MARK = "▁"
 #: Taken off the lowest score for a character that no piece covers.
 UNKNOWN_PENALTY = 10.0
-#: Words a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Words in each of the two generations that a worker remembers.
+REMEMBERED = 200_000
+
+#: Words of one length that go through the pass together; their rows stay in a processor's cache.
+TOGETHER = 3000
 
 _vocabularies: dict[str, "Vocabulary"] = {}
 
@@ -91,8 +94,10 @@ class Vocabulary:
         self.unknown = min((s for _, s in pieces.values() if s > -1e6), default=0.0) - UNKNOWN_PENALTY
         #: whether a piece reaches from one word into the next
         self.joins = any(MARK in p.lstrip(MARK) for p in pieces)
-        self.known: dict[str, tuple] = {}
+        self.memory = Memory(REMEMBERED)
         self.by_hash = PieceTable(pieces)
+        #: what each id stands for, in the order of the ids
+        self.spelled = [texts.get(i, b"") for i in range(max(texts, default=-1) + 1)]
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -126,9 +131,9 @@ class Vocabulary:
                     into[j].append((i, self.unknown, tuple(self.byte_ids[b] for b in raw)))
         return into
 
-    def best_two(self, word: str) -> tuple[bytes, float, float | None]:
-        """Ids of the best segmentation, its score, and how much worse the second one is (None: there is none)."""
-        got = self.known.get(word)
+    def best_two(self, word: str) -> tuple[bytes, float, float]:
+        """Ids of the best segmentation, its score, and how much worse the second one is (infinite: there is none)."""
+        got = self.memory.young.get(word)
         if got is not None:
             return got
         n, get, longest, unknown = len(word), self.pieces.get, self.longest, self.unknown
@@ -160,24 +165,20 @@ class Vocabulary:
             else:
                 out.append(ids)
             j = i
-        found = (np.array(out[::-1], "<u4").tobytes(), one[n], None if two[n] == never else one[n] - two[n])
+        found = (np.array(out[::-1], "<u4").tobytes(), one[n], np.inf if two[n] == never else one[n] - two[n])
         if len(word) <= 64:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = found
+            self.memory.young[word] = found
         return found
 
     def learn(self, words: set[str]) -> None:
         """``best_two`` of many words at once: the forward pass over all words of one length."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
         by_length: dict[int, list[str]] = {}
-        for w in words:
-            if w not in self.known and len(w) <= 48:
+        for w in self.memory.missing(words):
+            if len(w) <= 48:
                 by_length.setdefault(len(w), []).append(w)
         for n, group in by_length.items():
-            for at in range(0, len(group), 20_000):
-                self._learn(group[at:at + 20_000], n)
+            for at in range(0, len(group), TOGETHER):
+                self._learn(group[at:at + TOGETHER], n)
 
     def _learn(self, group: list[str], n: int) -> None:
         table, codes = self.by_hash, _codes(group, n)
@@ -186,21 +187,25 @@ class Vocabulary:
         for length in range(1, min(n, self.longest) + 1):
             h = table.roll(h[:, :n - length + 1], codes[:, length - 1:])
             found.append(table.find(h.ravel()).reshape(h.shape))
-        whole = (found[0] > 0).all(axis=1)  # others have bytes for some character: one by one
+        whole = (found[0] > 0).all(axis=1)  # others have bytes for some character
+        lone = np.where(found[0] > 0, table.scores[found[0]], self.unknown)
+        fitting = [k for k in range(len(found), 0, -1) if k == 1 or found[k - 1].any()]
         one, two = np.full((n + 1, len(group)), -np.inf), np.full((n + 1, len(group)), -np.inf)
         back = np.zeros((n + 1, len(group)), np.int64)
         one[0] = 0
         for j in range(1, n + 1):
-            for length in range(min(j, self.longest), 0, -1):
-                s = table.scores[found[length - 1][:, j - length]]
+            for length in fitting:
+                if length > j:
+                    continue
+                s = table.scores[found[length - 1][:, j - length]] if length > 1 else lone[:, j - 1]
                 x, y = one[j - length] + s, two[j - length] + s
-                better = x > one[j]
-                two[j] = np.where(better, np.maximum(one[j], y), np.maximum(two[j], x))
-                one[j] = np.where(better, x, one[j])
-                back[j] = np.where(better, length, back[j])
+                back[j][x > one[j]] = length
+                # the second best is what was, the lesser of the two rivals, or the new one's own second
+                np.maximum(y, np.minimum(one[j], x), out=y)
+                np.maximum(two[j], y, out=two[j])
+                np.maximum(one[j], x, out=one[j])
         rows, at = np.arange(len(group)), np.full(len(group), n)
-        at[~whole] = 0
-        ids, count = np.zeros((len(group), n), "<u4"), np.zeros(len(group), np.int64)
+        ids, count = np.zeros((len(group), n), np.int64), np.zeros(len(group), np.int64)
         while len(live := rows[at[rows] > 0]):
             length = back[at[live], live]
             first = at[live] - length
@@ -208,13 +213,25 @@ class Vocabulary:
             for k in np.unique(length):
                 mine = length == k
                 got[mine] = table.ids[found[k - 1][live[mine], first[mine]]]
+            # a character without a piece is kept as a negative number until its bytes are written
+            got = np.where(got < 0, -1 - codes[live, first].astype(np.int64), got)
             count[live] += 1
             ids[live, n - count[live]] = got
             at[live], rows = first, live
         worse = np.where(np.isinf(two[n]), np.inf, one[n] - np.where(np.isinf(two[n]), 0, two[n]))
-        starts, best, known = (n - count).tolist(), one[n].tolist(), self.known
-        for k in np.flatnonzero(whole).tolist():
-            known[group[k]] = (ids[k, starts[k]:].tobytes(), best[k], None if worse[k] == np.inf else float(worse[k]))
+        starts, best, loss, known = (n - count).tolist(), one[n].tolist(), worse.tolist(), self.memory.young
+        plain, wide = ids.astype("<u4").tobytes(), 4 * n
+        for k, (word, start, score, w) in enumerate(zip(group, starts, best, loss)):
+            known[word] = (plain[k * wide + 4 * start:(k + 1) * wide], score, w)
+        for k in np.flatnonzero(~whole).tolist():
+            spread: list[int] = []
+            for i in ids[k, starts[k]:].tolist():
+                if i >= 0:
+                    spread.append(i)
+                else:
+                    raw = chr(-1 - i).encode("utf-8", "surrogatepass").replace(MARK.encode(), b" ")
+                    spread += [self.byte_ids[b] for b in raw]
+            known[group[k]] = (np.array(spread, "<u4").tobytes(), best[k], known[group[k]][2])
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations of a word by backward A-star, best first.
@@ -251,6 +268,8 @@ class Vocabulary:
         marked = MARK + text.replace(" ", MARK)
         if self.joins:
             return [marked]
+        if MARK + MARK not in marked and marked[-1] != MARK:
+            return [MARK + part for part in marked[1:].split(MARK)]
         out, parts = [], marked.split(MARK)
         run = 0
         for k, part in enumerate(parts):
@@ -263,41 +282,63 @@ class Vocabulary:
             out.append(MARK * run)
         return out
 
-    def segmentations(self, text: str, n: int, words: list[str] | None = None) -> list[tuple[float, bytes]]:
+    def best_of(self, words: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Of every word its number; by number ids, their bytes, score of the best way and how much worse the second is."""
+        distinct = list(dict.fromkeys(words))  # in the order of the texts: neighbours are looked up together
+        self.learn(set(distinct))
+        known, best_two = self.memory.young.get, self.best_two
+        ways, scores, losses = zip(*[known(w) or best_two(w) for w in distinct]) if distinct else ((), (), ())
+        self.memory.turn()
+        index = dict(zip(distinct, range(len(distinct))))
+        return (np.fromiter(map(index.__getitem__, words), np.int64, len(words)), list(ways),
+                np.fromiter(map(len, ways), np.int64, len(ways)), np.array(scores, float), np.array(losses, float))
+
+    def segmentations(self, text: str, n: int, words: list[str] | None = None, best: tuple | None = None,
+                      at: np.ndarray | None = None) -> list[tuple[float, bytes]]:
         """The n best (score, ids as little-endian 32-bit bytes) of a whole text, best first.
 
         The second to n-th best differ from the best in words whose second best is among
         the n - 1 least worse: any other change is worse than each of those alone.
+        ``best`` may be ``best_of`` for the words of many texts, ``at`` those of this one in it.
         """
         words = self.words(text) if words is None else words
-        best = [self.best_two(w) for w in words]
-        ids = [b[0] for b in best]
-        total = sum(b[1] for b in best)
-        loose = heapq.nsmallest(n - 1, ((b[2], k) for k, b in enumerate(best) if b[2] is not None)) if n > 1 else []
+        best = self.best_of(words) if best is None else best
+        at = best[0] if at is None else at
+        _, way, size, score, loss = best
+        whole = b"".join(map(way.__getitem__, at.tolist()))
+        total = sum(score[at].tolist())
         ways: list[tuple[float, tuple]] = [(0.0, ())]
-        for _, k in loose:
+        least: np.ndarray | tuple = ()
+        if n > 1 and len(at):
+            worse = loss[at]
+            least = np.arange(len(worse))
+            if n - 1 < len(worse):  # of equal ones the first in the text, whatever a partition takes
+                least = np.flatnonzero(worse <= np.partition(worse, n - 2)[n - 2])
+            least = least[np.argsort(worse[least], kind="stable")][:n - 1]
+        for k in least:
+            if np.isinf(worse[k]):
+                break
             other = self.n_best(words[k], n)
             # what the search finds best need not be the tie that the pass kept
             options = [(0.0, None)] + [(other[0][0] - s, np.array(w, "<u4").tobytes()) for s, w in other]
-            options = [options[0]] + [o for o in options[1:] if o[1] != ids[k]]
+            options = [options[0]] + [o for o in options[1:] if o[1] != way[at[k]]]
             ways = heapq.nsmallest(n, ((d + e, c + ((k, o),) if o is not None else c) for d, c in ways for e, o in options),
                                    key=lambda w: w[0])
+        ends = np.cumsum(size[at]) if len(ways) > 1 else None
         out = []
-        for worse, changes in ways:
-            changed = ids
-            if changes:
-                changed = list(ids)
-                for k, o in changes:
-                    changed[k] = o
-            out.append((total - worse, b"".join(changed)))
+        for worse_by, changes in ways:
+            parts, done = [], 0
+            for k, o in sorted(changes, key=lambda c: c[0]):
+                parts += [whole[done:ends[k] - size[at[k]]], o]
+                done = ends[k]
+            out.append((total - worse_by, b"".join([*parts, whole[done:]]) if changes else whole))
         return out
 
     def decode(self, ids: bytes | list[int]) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
         if isinstance(ids, bytes):
             ids = np.frombuffer(ids, "<u4").tolist()
-        texts = self.texts
-        raw = b"".join([texts.get(i, b"") for i in ids])
+        raw = b"".join(map(self.spelled.__getitem__, ids))
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
@@ -326,8 +367,9 @@ def encode(texts: DataFrame, model: str, n: int = 4, text: str = "text", passing
                 part = batch.slice(at, 512)
                 texts = [x or "" for x in part.column(0).to_pylist()]
                 words = [known.words(x) for x in texts]
-                known.learn({w for ws in words for w in ws})
-                found = [known.segmentations(x, n, ws) for x, ws in zip(texts, words)]
+                best = known.best_of([w for ws in words for w in ws])
+                ends = np.cumsum([len(ws) for ws in words])
+                found = [known.segmentations(x, n, ws, best, best[0][e - len(ws):e]) for x, ws, e in zip(texts, words, ends)]
                 restored = [known.decode(f[0][1]) == x for f, x in zip(found, texts)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64())),

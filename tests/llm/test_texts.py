@@ -168,11 +168,11 @@ def test_n_best_restores_texts(spark):
     table = nbest.Vocabulary.load(model)
     words = {w for _, t in rows[3:7] for w in table.words(t or "")} | {"▁hello", "▁thentreor", "ñ", "▁a語b"}
     table.learn(words)
-    learned = dict(table.known)
-    table.known.clear()
+    learned = dict(table.memory.young)
+    table.memory.young.clear()
     for w, one in learned.items():
         two = table.best_two(w)
-        assert one[1] == pytest.approx(two[1]) and (one[2] is None) == (two[2] is None)
+        assert one[1] == pytest.approx(two[1]) and one[2] == pytest.approx(two[2]) and one[0] == two[0]
     assert nbest.encode(docs(spark, []), model).count() == 0
 
 
