@@ -251,6 +251,24 @@ def test_streamed_surges_equal_the_batch_form(spark, tmp_path, kind):
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.select(got.columns).collect())) and batch.count() > 2
 
 
+def test_closed_windows_are_evaluated_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    day = dt.datetime(2024, 1, 1)
+    rows = [(day + dt.timedelta(days=k), "S", f"P{p}", 5 + k % 2 + 90 * (k == 9)) for k in range(10) for p in range(3)]
+    closed = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(seen),
+                                   "window_start timestamp, state string, district string, current_rate bigint")
+    alerts = stores.RingBuffer(str(tmp_path / "alerts"), 10, surges.alert_order())
+    surges.SurgeHistory(str(tmp_path / "windows"), alerts)(closed, 0)
+    assert read.value == len(rows)
+    assert sorted(r.district for r in alerts.rows(spark).collect()) == ["P0", "P1", "P2"]
+    assert spark.read.parquet(str(tmp_path / "windows" / "version=0")).count() == 3 * 7
+
+
 def test_chained_state_is_bounded(spark, tmp_path):
     rows = random_feed(6, days=60, places=1)
     folder = str(tmp_path / "in")
