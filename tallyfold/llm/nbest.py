@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ REMEMBERED = 200_000
 
 #: Words of one length that go through the pass together; their rows stay in a processor's cache.
 TOGETHER = 3000
+#: Texts whose words are looked up together, each distinct one once, and their bytes at most (one text may have more).
+PORTION, PORTION_BYTES = 2048, 8 << 20
 
 _vocabularies: dict[str, "Vocabulary"] = {}
 
@@ -349,6 +352,17 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
+def portions(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of the texts of a batch that go together."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PORTION_BYTES, "right"))
+        n = min(PORTION, max(1, full - at))
+        yield at, n
+        at += n
+
+
 def encode(texts: DataFrame, model: str, n: int = 4, text: str = "text", passing: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``passing`` columns of every row with its n best segmentations: arrays ``scores`` and ``ids`` (binary).
 
@@ -363,8 +377,8 @@ def encode(texts: DataFrame, model: str, n: int = 4, text: str = "text", passing
     def run(batches: Iterator[pa.RecordBatch]):
         known = vocabulary(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for first, n_texts in portions(batch.column(0)):
+                part = batch.slice(first, n_texts)
                 texts = [x or "" for x in part.column(0).to_pylist()]
                 words = [known.words(x) for x in texts]
                 best = known.best_of([w for ws in words for w in ws])

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tallyfold.llm import nbest, packing, pii, quality
@@ -177,6 +178,15 @@ def test_n_best_restores_texts(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables not present")
+def test_texts_go_together_up_to_a_size(monkeypatch):
+    monkeypatch.setattr(nbest, "PORTION_BYTES", 100)
+    texts = pa.array(["a" * 30, None, "b" * 60, "c" * 20, "d" * 500, "", "e"])
+    assert list(nbest.portions(texts)) == [(0, 3), (3, 1), (4, 1), (5, 2)]
+    assert list(nbest.portions(pa.array(["x"] * 5000, pa.string()).slice(100)))[0] == (0, 100)
+    monkeypatch.setattr(nbest, "PORTION_BYTES", 8 << 20)
+    assert list(nbest.portions(pa.array(["x"] * 1500))) == [(0, 1500)] and list(nbest.portions(pa.array([], pa.string()))) == []
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
