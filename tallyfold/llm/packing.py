@@ -139,6 +139,10 @@ class WordEncoder:
         self.known.turn()
         return out
 
+    def forget(self) -> None:
+        """Lets go of remembered words; a worker goes on to other tasks, which need its memory."""
+        self.known, self.pieces = Memory(REMEMBERED), Memory(REMEMBERED)
+
 
 def word_encoder(path: str) -> WordEncoder:
     """The worker's encoder for ``path``."""
@@ -246,6 +250,7 @@ def pack(texts: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW
                 ids = (encode(data.as_py()) if data.is_valid else b"") + tail
                 packer.place(doc, 0, ids, len(ids) // 4)
             yield packer.batch()
+        encode.forget()
         packer.leftovers(part)
         yield packer.batch()
 

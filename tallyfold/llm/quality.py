@@ -211,12 +211,14 @@ def judge(texts: DataFrame, rules: CompressionRules | None = None, text: str = "
     schema = T.StructType([T.StructField(f"_p{i}", texts.schema[c].dataType) for i, c in enumerate(passing)]
                           + SCHEMA.fields)
     names = [f"_p{i}" for i in range(len(passing))]
+    # a text that is passed on anyway reaches the task once
+    own = names[passing.index(text)] if text in passing else "_text"
 
     def run(batches):
         packer = zstandard.ZstdCompressor(level=rules.level)
         for batch in batches:
             rows = []
-            for value in batch["_text"]:
+            for value in batch[own]:
                 data = b"" if value is None else value.encode("utf-8", "surrogatepass")
                 counts = base_counts(data)
                 failed = _base_failed(counts, rules)
@@ -227,7 +229,8 @@ def judge(texts: DataFrame, rules: CompressionRules | None = None, text: str = "
                 out[field.name] = [r[k] for r in rows]
             yield out
 
-    narrow = texts.select(*[F.col(c).alias(n) for c, n in zip(passing, names)], F.col(text).alias("_text"))
+    narrow = texts.select(*[F.col(c).alias(n) for c, n in zip(passing, names)],
+                          *([F.col(text).alias("_text")] if own == "_text" else []))
     judged = map_pandas(narrow, run, schema)
     return judged.select(*[F.col(n).alias(c) for c, n in zip(passing, names)], *SCHEMA.names)
 

@@ -52,14 +52,20 @@ def fingerprint(data: bytes, shingle: int, seed: int = 42) -> int:
 def fingerprints(texts: DataFrame, shingle: int = 4, text: str = "text", passing: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``passing`` columns and fp, the fingerprint as a signed long, of every row. Null text: no words, 0."""
     names = [f"_p{i}" for i in range(len(passing))]
+    # a text that is passed on anyway reaches the task once
+    own = passing.index(text) if text in passing and isinstance(texts.schema[text].dataType, T.StringType) else None
+    extra = 0 if own is not None else 1
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            prints = np.fromiter((fingerprint(x.as_py(), shingle) if x.is_valid else 0 for x in batch.column(0)),
+            data = batch.column(0 if own is None else own)
+            if own is not None:
+                data = data.cast(pa.large_binary() if pa.types.is_large_string(data.type) else pa.binary())
+            prints = np.fromiter((fingerprint(x.as_py(), shingle) if x.is_valid else 0 for x in data),
                                  np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(prints.view(np.int64))], names=[*names, "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[extra:], pa.array(prints.view(np.int64))], names=[*names, "fp"])
 
-    narrow = texts.select(F.col(text).cast("binary").alias("data"), *[F.col(c).alias(n) for c, n in zip(passing, names)])
+    narrow = texts.select(*[F.col(text).cast("binary").alias("data")][:extra], *[F.col(c).alias(n) for c, n in zip(passing, names)])
     kinds = "".join(f"{n} {texts.schema[c].dataType.simpleString()}, " for c, n in zip(passing, names))
     out = map_arrow(narrow, run, kinds + "fp long")
     return out.select(*[F.col(n).alias(c) for c, n in zip(passing, names)], F.col("fp").alias("_fp"))

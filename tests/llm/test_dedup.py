@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from tallyfold.llm import common, simhash, suffix_dedup
+from tallyfold.llm import common, quality, simhash, suffix_dedup
 from tallyfold.llm.simhash import fingerprint, keep_one, near_duplicates
 from tallyfold.llm.suffix_dedup import adjacent_prefixes, anchors, remove_repeats, suffix_array
 
@@ -162,3 +162,19 @@ def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = dict(map(tuple, common.components(spark.createDataFrame(path, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_a_text_reaches_its_task_once(spark, monkeypatch):
+    sent = []
+
+    def kept(module, name):
+        old = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, run, schema: sent.append(len(df.columns)) or old(df, run, schema))
+
+    kept(simhash, "map_arrow")
+    kept(quality, "map_pandas")
+    texts = spark.createDataFrame([(1, "Äne b c d e"), (2, None), (3, "")], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.fingerprints(texts, passing=("doc_id", "text")).collect())) == sorted(
+        (*r, p._fp) for r, p in zip(texts.collect(), simhash.fingerprints(texts).orderBy("doc_id").collect()))
+    assert quality.judge(texts, quality.CompressionRules(), passing=("doc_id", "text")).count() == 3
+    assert sent == [2, 2, 2]

@@ -187,6 +187,14 @@ def test_texts_go_together_up_to_a_size(monkeypatch):
     assert list(nbest.portions(pa.array(["x"] * 1500))) == [(0, 1500)] and list(nbest.portions(pa.array([], pa.string()))) == []
 
 
+def test_encoder_lets_go_of_its_words():
+    encode = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    ids = encode(b"some words, said twice: some words")
+    encode.forget()
+    assert not any((encode.known.young, encode.known.old, encode.pieces.young, encode.pieces.old))
+    assert encode(b"some words, said twice: some words") == ids
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
