@@ -11,7 +11,8 @@ segmentations of the text are put together from theirs.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,15 @@ from tallyfold.llm.common import Memory, map_arrow
 MARK = "▁"
 #: Taken off the lowest score for a character that no piece covers.
 UNKNOWN_PENALTY = 10.0
-#: Words in each of the two generations that a worker remembers.
-REMEMBERED = 200_000
+#: Words that a worker remembers before it forgets those that the last portion did not have.
+REMEMBERED = 400_000
+#: Words whose other ways a worker remembers.
+RANKED = 50_000
 
 #: Words of one length that go through the pass together; their rows stay in a processor's cache.
 TOGETHER = 3000
+#: Characters of a word, its mark included, that goes through it; longer ones are taken one by one.
+TOGETHER_LENGTH = 48
 #: Texts whose words are looked up together, each distinct one once, and their bytes at most (one text may have more).
 PORTION, PORTION_BYTES = 2048, 8 << 20
 
@@ -87,6 +92,67 @@ class PieceTable:
         return got
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from every start on, as many as its size, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Pieces of ``data``, one after the other, as binary values of so many bytes."""
+    ends = np.append(0, np.cumsum(sizes)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def by_length(words: Iterable[str]) -> dict[int, list[str]]:
+    """Words by their length."""
+    out: dict[int, list[str]] = {}
+    for w in words:
+        out.setdefault(len(w), []).append(w)
+    return out
+
+
+def join_ways(known: tuple, more: tuple) -> tuple:
+    """Columns of ways (starts, sizes, scores, losses, ids) followed by more (sizes, scores, losses, ids)."""
+    starts, sizes, scores, losses, ids = known
+    own = len(ids) + np.cumsum(more[0]) - more[0]
+    return tuple(np.concatenate(c) for c in ((starts, own), (sizes, more[0]), (scores, more[1]), (losses, more[2]), (ids, more[3])))
+
+
+class KnownWords:
+    """The best ways of words that a worker remembers, in columns; with too many, those of the last portion stay."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.stored = (*(np.zeros(0, t) for t in (np.int64, np.int64, float, float)), np.zeros(0, "<u4"))
+        self.fresh: list[tuple] = []
+
+    def add(self, words: list[str], *ways: np.ndarray) -> np.ndarray:
+        """Rows of words that were not known; ``ways`` are sizes, scores, losses and ids."""
+        first = len(self.rows)
+        self.rows.update(zip(words, range(first, first + len(words))))
+        self.fresh.append(ways)
+        return np.arange(first, first + len(words))
+
+    def columns(self) -> tuple:
+        """Starts, sizes, scores and losses by row, and the ids that the starts point into."""
+        if self.fresh:
+            self.stored = join_ways(self.stored, tuple(np.concatenate(c) for c in zip(*self.fresh)))
+            self.fresh = []
+        return self.stored
+
+    def turn(self, words: list[str], row: np.ndarray, columns: tuple) -> None:
+        """To be called after a portion with its words, and their rows in ``columns``."""
+        if len(self.rows) <= REMEMBERED:
+            return
+        kept = np.flatnonzero(row < len(self.rows))
+        row = row[kept]
+        starts, sizes, scores, losses, ids = columns
+        sizes = sizes[row]
+        self.stored = (np.cumsum(sizes) - sizes, sizes, scores[row], losses[row], ids[ranges(starts[row], sizes)])
+        self.rows = {words[k]: i for i, k in enumerate(kept.tolist())}
+
+
 class Vocabulary:
     """Pieces with scores, and the byte pieces that stand for what no piece covers."""
 
@@ -100,7 +166,12 @@ class Vocabulary:
         self.memory = Memory(REMEMBERED)
         self.by_hash = PieceTable(pieces)
         #: what each id stands for, in the order of the ids
-        self.spelled = [texts.get(i, b"") for i in range(max(texts, default=-1) + 1)]
+        last = max([*texts, *(i for i, _ in pieces.values()), *byte_ids.values()], default=-1)
+        self.spelled = [texts.get(i, b"") for i in range(last + 1)]
+        self.spelled_array = pa.array(self.spelled, pa.large_binary())
+        self.known = KnownWords()
+        #: what the search found for words, for ``others``
+        self.ranked: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -174,67 +245,81 @@ class Vocabulary:
         return found
 
     def learn(self, words: set[str]) -> None:
-        """``best_two`` of many words at once: the forward pass over all words of one length."""
-        by_length: dict[int, list[str]] = {}
-        for w in self.memory.missing(words):
-            if len(w) <= 48:
-                by_length.setdefault(len(w), []).append(w)
-        for n, group in by_length.items():
-            for at in range(0, len(group), TOGETHER):
-                self._learn(group[at:at + TOGETHER], n)
-
-    def _learn(self, group: list[str], n: int) -> None:
-        table, codes = self.by_hash, _codes(group, n)
+        """``best_two`` of many words at once, to be remembered one by one."""
+        known = self.memory.young
+        for n, group in by_length(w for w in self.memory.missing(words) if len(w) <= TOGETHER_LENGTH).items():
+            sizes, scores, losses, ids = self._learn(group, n)
+            ends = np.cumsum(sizes)
+            for word, start, end, score, loss in zip(group, ends - sizes, ends, scores.tolist(), losses.tolist()):
+                known[word] = (ids[start:end].tobytes(), score, loss)
+
+    def _learn(self, group: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of words of one length the numbers of ids, ``best_two``'s scores and losses, and their ids one after the other."""
+        done = [self._pass(group[at:at + TOGETHER], n) for at in range(0, len(group), TOGETHER)]
+        return tuple(np.concatenate(c) for c in zip(*done))
+
+    def _pass(self, group: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The forward pass over words of one length, position by position for all of them."""
+        table, codes = self.by_hash, np.ascontiguousarray(_codes(group, n).T)
         found = []
-        h = np.zeros((len(group), n), np.uint64)
+        h = np.zeros((n, len(group)), np.uint64)
         for length in range(1, min(n, self.longest) + 1):
-            h = table.roll(h[:, :n - length + 1], codes[:, length - 1:])
+            h = table.roll(h[:n - length + 1], codes[length - 1:])
             found.append(table.find(h.ravel()).reshape(h.shape))
-        whole = (found[0] > 0).all(axis=1)  # others have bytes for some character
+        # a character without a piece is kept as a negative number until its bytes are written
         lone = np.where(found[0] > 0, table.scores[found[0]], self.unknown)
-        fitting = [k for k in range(len(found), 0, -1) if k == 1 or found[k - 1].any()]
+        lone_ids = np.where(found[0] > 0, table.ids[found[0]], -1 - codes.astype(np.int64))
+        fitting = [k for k in range(len(found), 1, -1) if found[k - 1].any()]
         one, two = np.full((n + 1, len(group)), -np.inf), np.full((n + 1, len(group)), -np.inf)
-        back = np.zeros((n + 1, len(group)), np.int64)
+        back, piece = np.zeros((n + 1, len(group)), np.int64), np.zeros((n + 1, len(group)), np.int64)
         one[0] = 0
         for j in range(1, n + 1):
+            best, second, came, of = one[j], two[j], back[j], piece[j]
             for length in fitting:
                 if length > j:
                     continue
-                s = table.scores[found[length - 1][:, j - length]] if length > 1 else lone[:, j - 1]
-                x, y = one[j - length] + s, two[j - length] + s
-                back[j][x > one[j]] = length
+                at = found[length - 1][j - length]
+                hit = np.flatnonzero(at)  # few of the longer parts are pieces
+                if not len(hit):
+                    continue
+                at = at[hit]
+                s, was = table.scores[at], best[hit]
+                x, y = one[j - length][hit] + s, two[j - length][hit] + s
                 # the second best is what was, the lesser of the two rivals, or the new one's own second
-                np.maximum(y, np.minimum(one[j], x), out=y)
-                np.maximum(two[j], y, out=two[j])
-                np.maximum(one[j], x, out=one[j])
+                second[hit] = np.maximum(second[hit], np.maximum(y, np.minimum(was, x)))
+                better = x > was
+                won = hit[better]
+                best[won], came[won], of[won] = x[better], length, table.ids[at[better]]
+            x, y = one[j - 1] + lone[j - 1], two[j - 1] + lone[j - 1]
+            np.maximum(y, np.minimum(best, x), out=y)
+            np.maximum(second, y, out=second)
+            better = x > best
+            came[better] = 1
+            np.copyto(of, lone_ids[j - 1], where=better)
+            np.maximum(best, x, out=best)
         rows, at = np.arange(len(group)), np.full(len(group), n)
-        ids, count = np.zeros((len(group), n), np.int64), np.zeros(len(group), np.int64)
-        while len(live := rows[at[rows] > 0]):
-            length = back[at[live], live]
-            first = at[live] - length
-            got = np.zeros(len(live), np.int64)
-            for k in np.unique(length):
-                mine = length == k
-                got[mine] = table.ids[found[k - 1][live[mine], first[mine]]]
-            # a character without a piece is kept as a negative number until its bytes are written
-            got = np.where(got < 0, -1 - codes[live, first].astype(np.int64), got)
-            count[live] += 1
-            ids[live, n - count[live]] = got
-            at[live], rows = first, live
-        worse = np.where(np.isinf(two[n]), np.inf, one[n] - np.where(np.isinf(two[n]), 0, two[n]))
-        starts, best, loss, known = (n - count).tolist(), one[n].tolist(), worse.tolist(), self.memory.young
-        plain, wide = ids.astype("<u4").tobytes(), 4 * n
-        for k, (word, start, score, w) in enumerate(zip(group, starts, best, loss)):
-            known[word] = (plain[k * wide + 4 * start:(k + 1) * wide], score, w)
-        for k in np.flatnonzero(~whole).tolist():
-            spread: list[int] = []
-            for i in ids[k, starts[k]:].tolist():
-                if i >= 0:
-                    spread.append(i)
-                else:
-                    raw = chr(-1 - i).encode("utf-8", "surrogatepass").replace(MARK.encode(), b" ")
-                    spread += [self.byte_ids[b] for b in raw]
-            known[group[k]] = (np.array(spread, "<u4").tobytes(), best[k], known[group[k]][2])
+        ids, sizes = np.zeros((len(group), n), np.int64), np.zeros(len(group), np.int64)
+        while len(rows):
+            here = at[rows]
+            sizes[rows] += 1
+            ids[rows, n - sizes[rows]] = piece[here, rows]
+            at[rows] = here = here - back[here, rows]
+            rows = rows[here > 0]
+        losses = np.where(np.isinf(two[n]), np.inf, one[n] - np.where(np.isinf(two[n]), 0, two[n]))
+        flat = ids[np.arange(n) >= n - sizes[:, None]]
+        bare = np.flatnonzero(flat < 0)
+        if len(bare):
+            raw = [self.raw(chr(-1 - c)) for c in flat[bare].tolist()]
+            times = np.ones(len(flat), np.int64)
+            times[bare] = list(map(len, raw))
+            sizes = np.add.reduceat(times, np.cumsum(sizes) - sizes)
+            flat = np.repeat(flat, times)
+            flat[flat < 0] = [i for ids_ in raw for i in ids_]
+        return sizes, one[n].copy(), losses, flat.astype("<u4")
+
+    def raw(self, character: str) -> list[int]:
+        """Ids of the bytes of a character that no piece covers."""
+        return [self.byte_ids[b] for b in character.encode("utf-8", "surrogatepass").replace(MARK.encode(), b" ")]
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations of a word by backward A-star, best first.
@@ -285,58 +370,119 @@ class Vocabulary:
             out.append(MARK * run)
         return out
 
-    def best_of(self, words: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Of every word its number; by number ids, their bytes, score of the best way and how much worse the second is."""
-        distinct = list(dict.fromkeys(words))  # in the order of the texts: neighbours are looked up together
-        self.learn(set(distinct))
-        known, best_two = self.memory.young.get, self.best_two
-        ways, scores, losses = zip(*[known(w) or best_two(w) for w in distinct]) if distinct else ((), (), ())
-        self.memory.turn()
-        index = dict(zip(distinct, range(len(distinct))))
-        return (np.fromiter(map(index.__getitem__, words), np.int64, len(words)), list(ways),
-                np.fromiter(map(len, ways), np.int64, len(ways)), np.array(scores, float), np.array(losses, float))
-
-    def segmentations(self, text: str, n: int, words: list[str] | None = None, best: tuple | None = None,
-                      at: np.ndarray | None = None) -> list[tuple[float, bytes]]:
-        """The n best (score, ids as little-endian 32-bit bytes) of a whole text, best first.
+    def parted(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """The words of many texts: numbers of them by text, each word's place among the distinct ones, and these.
+
+        A word begins with a mark, which is left off here.
+        """
+        plain = pc.replace_substring(pc.fill_null(texts, ""), MARK, " ")
+        split = pc.split_pattern(plain, " ")
+        parts, counts = split.flatten(), pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        # runs of marks, and marks at either end, leave empty parts; an empty text has one as well
+        bare = np.flatnonzero(pc.binary_length(parts).to_numpy(zero_copy_only=False) == 0)
+        if len(bare) or self.joins:
+            ends = np.cumsum(counts)
+            odd = np.arange(len(counts)) if self.joins else np.unique(np.searchsorted(ends, bare, "right"))
+            apart = [self.words(x) for x in plain.take(pa.array(odd)).to_pylist()]
+            starts, own = ends - counts, np.array([len(ws) for ws in apart], np.int64)
+            starts[odd], counts[odd] = len(parts) + np.cumsum(own) - own, own
+            parts = pa.concat_arrays([parts, pa.array([w[1:] for ws in apart for w in ws], parts.type)]).take(
+                pa.array(ranges(starts, counts)))
+        coded = parts.dictionary_encode()
+        return counts, coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+    def best_of(self, words: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct words (without their first mark) the bytes of the best way's ids, their numbers, scores and losses."""
+        known = self.known
+        row = np.fromiter(map(known.rows.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(row < 0).tolist()
+        if new:
+            marked = {MARK + words[k]: k for k in new}
+            for n, group in by_length(w for w in marked if len(w) <= TOGETHER_LENGTH).items():
+                places = [marked[w] for w in group]
+                row[places] = known.add([words[k] for k in places], *self._learn(group, n))
+            columns = known.columns()
+            longer = [w for w in marked if len(w) > TOGETHER_LENGTH]  # not remembered: they may be of any length
+            if longer:
+                ways, scores, losses = zip(*map(self.best_two, longer))
+                row[[marked[w] for w in longer]] = len(columns[0]) + np.arange(len(longer))
+                ids = np.frombuffer(b"".join(ways), "<u4")
+                columns = join_ways(columns, (np.array(list(map(len, ways))) // 4, np.array(scores), np.array(losses), ids))
+                self.memory.turn()
+        else:
+            columns = known.columns()
+        starts, sizes, scores, losses, ids = columns
+        sizes, scores, losses = sizes[row], scores[row], losses[row]
+        ways = binaries(np.ascontiguousarray(ids[ranges(starts[row], sizes)]), 4 * sizes)
+        known.turn(words, row, columns)
+        return ways, sizes, scores, losses
+
+    def segment(self, texts: pa.Array, n: int) -> Iterator[tuple[list[tuple[float, bytes]], bool]]:
+        """The n best (score, ids as little-endian 32-bit bytes) of every text, best first, and whether the best one is the text again.
 
         The second to n-th best differ from the best in words whose second best is among
         the n - 1 least worse: any other change is worse than each of those alone.
-        ``best`` may be ``best_of`` for the words of many texts, ``at`` those of this one in it.
         """
-        words = self.words(text) if words is None else words
-        best = self.best_of(words) if best is None else best
-        at = best[0] if at is None else at
-        _, way, size, score, loss = best
-        whole = b"".join(map(way.__getitem__, at.tolist()))
-        total = sum(score[at].tolist())
+        counts, code, words = self.parted(texts)
+        ways, sizes, scores, losses = self.best_of(words)
+        ids = ways.take(pa.array(code))
+        ends, id_ends = np.cumsum(counts), np.append(0, np.cumsum(sizes[code]))
+        spelled = self.spelled_array.take(pa.array(np.frombuffer(ids.buffers()[2] or b"", "<u4", id_ends[-1])))
+        wholes, raws = memoryview(ids.buffers()[2] or b""), memoryview(spelled.buffers()[2] or b"")
+        raw_ends = np.frombuffer(spelled.buffers()[1] or bytes(8), np.int64)
+        score, loss = scores[code], losses[code]
+        for text, end, count in zip(texts.to_pylist(), ends.tolist(), counts.tolist()):
+            at = slice(end - count, end)
+            first, last = int(id_ends[end - count]), int(id_ends[end])
+            whole = bytes(wholes[4 * first:4 * last])
+            found = self._n_ways(n, whole, sum(score[at].tolist()), loss[at], id_ends[end - count:end + 1] - first,
+                                 lambda k: MARK + words[code[end - count + k]])
+            raw = bytes(raws[raw_ends[first]:raw_ends[last]])
+            text = text or ""
+            yield found, raw.removeprefix(b" ") == text.encode() or self.decode(whole) == text
+
+    def _n_ways(self, n: int, whole: bytes, total: float, worse: np.ndarray, ends: np.ndarray, word) -> list[tuple[float, bytes]]:
+        """The n best ways of a text from its best one; ``ends`` are where its words' ids end in it, from 0 on."""
         ways: list[tuple[float, tuple]] = [(0.0, ())]
         least: np.ndarray | tuple = ()
-        if n > 1 and len(at):
-            worse = loss[at]
+        if n > 1 and len(worse):
             least = np.arange(len(worse))
             if n - 1 < len(worse):  # of equal ones the first in the text, whatever a partition takes
                 least = np.flatnonzero(worse <= np.partition(worse, n - 2)[n - 2])
-            least = least[np.argsort(worse[least], kind="stable")][:n - 1]
+            least = least[np.argsort(worse[least], kind="stable")][:n - 1].tolist()
         for k in least:
             if np.isinf(worse[k]):
                 break
-            other = self.n_best(words[k], n)
             # what the search finds best need not be the tie that the pass kept
-            options = [(0.0, None)] + [(other[0][0] - s, np.array(w, "<u4").tobytes()) for s, w in other]
-            options = [options[0]] + [o for o in options[1:] if o[1] != way[at[k]]]
+            best = whole[4 * ends[k]:4 * ends[k + 1]]
+            options = [(0.0, None)] + [o for o in self.others(word(k), n) if o[1] != best]
             ways = heapq.nsmallest(n, ((d + e, c + ((k, o),) if o is not None else c) for d, c in ways for e, o in options),
                                    key=lambda w: w[0])
-        ends = np.cumsum(size[at]) if len(ways) > 1 else None
         out = []
         for worse_by, changes in ways:
             parts, done = [], 0
             for k, o in sorted(changes, key=lambda c: c[0]):
-                parts += [whole[done:ends[k] - size[at[k]]], o]
-                done = ends[k]
+                parts += [whole[done:4 * ends[k]], o]
+                done = 4 * ends[k + 1]
             out.append((total - worse_by, b"".join([*parts, whole[done:]]) if changes else whole))
         return out
 
+    def others(self, word: str, n: int) -> list[tuple[float, bytes]]:
+        """The n best of a word as (how much worse than the best, ids as bytes)."""
+        got = self.ranked.get((word, n))
+        if got is None:
+            other = self.n_best(word, n)
+            got = [(other[0][0] - s, np.array(w, "<u4").tobytes()) for s, w in other]
+            if len(word) <= TOGETHER_LENGTH:
+                if len(self.ranked) >= RANKED:
+                    self.ranked.clear()
+                self.ranked[word, n] = got
+        return got
+
+    def segmentations(self, text: str, n: int) -> list[tuple[float, bytes]]:
+        """``segment`` of one text."""
+        return next(self.segment(pa.array([text], pa.string()), n))[0]
+
     def decode(self, ids: bytes | list[int]) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
         if isinstance(ids, bytes):
@@ -379,12 +525,7 @@ def encode(texts: DataFrame, model: str, n: int = 4, text: str = "text", passing
         for batch in batches:
             for first, n_texts in portions(batch.column(0)):
                 part = batch.slice(first, n_texts)
-                texts = [x or "" for x in part.column(0).to_pylist()]
-                words = [known.words(x) for x in texts]
-                best = known.best_of([w for ws in words for w in ws])
-                ends = np.cumsum([len(ws) for ws in words])
-                found = [known.segmentations(x, n, ws, best, best[0][e - len(ws):e]) for x, ws, e in zip(texts, words, ends)]
-                restored = [known.decode(f[0][1]) == x for f, x in zip(found, texts)]
+                found, restored = zip(*known.segment(part.column(0), n))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64())),
                      pa.array([[i for _, i in f] for f in found], pa.list_(pa.binary())), pa.array(restored, pa.bool_())],

@@ -157,6 +157,34 @@ def test_n_best_equals_enumeration():
         assert len({i for _, i in got}) == len(got)
 
 
+def test_portions_of_texts_find_what_one_text_finds(monkeypatch):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(8)
+    parts = ["the", "ing", " ", "  ", "\n", "é", "語", "\U0001f600", nbest.MARK, "x", "er", "\ufffd", "ab" * 30]
+    texts = [None, "", " ", "a ", "  b", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(300))]
+    alone = nbest.Vocabulary.load(model)
+
+    def by_words(text):
+        """Best way of a text from its words, looked at one by one."""
+        ways = [alone.best_two(w) for w in alone.words(text or "")]
+        return b"".join(w for w, _, _ in ways), sum(s for _, s, _ in ways)
+
+    monkeypatch.setattr(nbest, "REMEMBERED", 20)  # so that words are forgotten and learned again
+    table, asked = nbest.Vocabulary.load(model), []
+    learn = table._learn
+    monkeypatch.setattr(table, "_learn", lambda group, n: (asked.extend(group), learn(group, n))[1])
+    column = pa.array(["left out", *texts], pa.string()).slice(1)
+    for at in range(0, len(texts), 61):
+        part = column.slice(at, 61)
+        for text, (found, restored) in zip(part.to_pylist(), table.segment(part, 4)):
+            assert (found[0][1], found[0][0]) == by_words(text)
+            assert found == alone.segmentations(text or "", 4)
+            assert restored == (alone.decode(found[0][1]) == (text or "")) and restored == (nbest.MARK not in (text or ""))
+    asked.clear()
+    again = [f for f, _ in table.segment(part, 4)]
+    assert asked == [] and again == [alone.segmentations(t or "", 4) for t in part.to_pylist()]  # nothing is learned twice in a row
+
+
 def test_n_best_restores_texts(spark):
     model = public_tokenizers.path("piece_bpe_32k.model")
     rows = ROWS + [(11, " two  spaces\tand\nlines ñ 語 \U0001f600 ")]
