@@ -12,7 +12,7 @@ from tallyfold.operators import rollups
 from tallyfold.operators import tables as side
 from tallyfold.operators.headers import unify_headers
 from tallyfold.plans import reports, trade
-from tallyfold.plans.stages import clean_stage, feature_stage, raw_stage, stage_paths
+from tallyfold.plans.stages import clean_stage, feature_group_stage, feature_stage, raw_stage, stage_paths
 from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, HEADS, RAW_SCHEMA, STATE, TOTAL, YEAR
 from tallyfold.session import scratch_path
 from tallyfold.sources import documents, gazetteer, tables, text
@@ -198,7 +198,7 @@ HOTSPOT_ROW = ("struct<district:string,state:string,lat:double,lon:double,total_
 
 def _document(spark, folder):
     path = scratch_path(spark, "hotspots_json")
-    reports.hotspot_document(feature_stage(spark, folder), path)
+    reports.hotspot_document(feature_group_stage(spark, folder), path)
     return documents.read_section(spark, path, "top_50_hotspots", HOTSPOT_ROW)
 
 
@@ -218,7 +218,7 @@ ORDER BY total_crimes DESC, state, district LIMIT 50"""
 
 def _time_document(spark, folder):
     path = scratch_path(spark, "time_json")
-    reports.time_document(feature_stage(spark, folder), path)
+    reports.time_document(feature_group_stage(spark, folder), path)
     years = documents.read_section(spark, path, "yearly_trends", "struct<year:int,total_crimes:bigint>")
     seasons = documents.read_section(spark, path, "seasonal_breakdown",
                                      "struct<season:string,estimated_crimes:bigint,percentage:double>")
@@ -249,7 +249,7 @@ def _trend_document(spark, folder):
         *[F.col(n).cast("string").alias(h) for n, h in side.WOMEN_HEADERS.items()])
     text.write_delimited(facts.unionByName(facts.filter("DISTRICT LIKE '%3'").withColumn("DISTRICT", F.lit("TOTAL"))),
                          women)
-    reports.trend_document(feature_stage(spark, folder), side.women_rows(text.read_delimited(spark, women, fewest=0)),
+    reports.trend_document(feature_group_stage(spark, folder), side.women_rows(text.read_delimited(spark, women, fewest=0)),
                            trade.recovery_facts(spark, folder), path)
     years = documents.read_section(spark, path, "category_trends", "struct<year:int,violent_crimes:bigint>")
     ranked = documents.read_section(spark, path, "women_crimes_state_rankings",
@@ -260,7 +260,7 @@ def _trend_document(spark, folder):
 
 def _region_document(spark, folder):
     path = scratch_path(spark, "region_json")
-    reports.region_document(feature_stage(spark, folder), path, trade.regions(spark, folder))
+    reports.region_document(feature_group_stage(spark, folder), path, trade.regions(spark, folder))
     return documents.read_section(spark, path, "regions",
                                   "struct<region:string,total_crimes:bigint,states_count:bigint>")
 
@@ -293,7 +293,7 @@ RECOVERY_FILE_SQL = f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
 
 def _snapshot_lines(spark, folder):
     path = scratch_path(spark, "snapshots_json")
-    reports.snapshot_lines(feature_stage(spark, folder), path)
+    reports.snapshot_lines(feature_group_stage(spark, folder), path)
     years = spark.read.schema("year int, national_total bigint, national_violent_pct double").json(path)
     states = spark.read.schema("year int, state string, total_crimes bigint, violent_pct double").json(f"{path}_states")
     return years.join(states, "year")

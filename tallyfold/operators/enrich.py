@@ -56,6 +56,12 @@ def with_cyber(df: DataFrame, dim: DataFrame, left: list[str] | None = None) ->
     return lookup(df, dim, [STATE, DISTRICT, YEAR], {"CYBER_CRIMES": 0}, [STATE, DISTRICT], left)
 
 
+def with_matches(df: DataFrame, dim: DataFrame, alias: str, left: list[str] | None = None) -> DataFrame:
+    """Adds how many rows a place's ``lookup`` in ``dim`` gives for each row, without giving them; at least one."""
+    counts = dim.groupBy(*[name_key(F.col(k)).alias(k) for k in (STATE, DISTRICT)]).agg(F.count(F.lit(1)).alias(alias))
+    return lookup(df, counts, [STATE, DISTRICT], {alias: 1}, left=left)
+
+
 def with_region(df: DataFrame, regions: DataFrame | None = None, state: str = STATE,
                 default: str = DEFAULT_REGION) -> DataFrame:
     """Adds ``region``. ``regions`` has (state_key, region), upper-case keys."""

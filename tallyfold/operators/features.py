@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.numbers import per_population, share, total_of
 from tallyfold.functions.text import name_key
-from tallyfold.operators.enrich import with_demographics, with_police
+from tallyfold.operators.enrich import with_demographics, with_matches, with_police
 from tallyfold.operators.ordering import approx_upper_quartile, upper_quartile
 from tallyfold.schema import (
-    CATEGORIES, DISTRICT, FEATURE_SCHEMA, LABEL, OTHER, STATE, TOTAL, YEAR,
+    CATEGORIES, COPIES, DISTRICT, FEATURE_GROUP_SCHEMA, FEATURE_SCHEMA, LABEL, OTHER, STATE, TOTAL, YEAR,
 )
 
 _PLACE = ["_state", "_district"]
@@ -93,9 +93,12 @@ def year_over_year(df: DataFrame, value: str, year: str = YEAR,
 
 
 def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFrame,
-                     cyber: DataFrame, by_name_only: bool = False) -> DataFrame:
+                     cyber: DataFrame, by_name_only: bool = False, grouped: bool = False) -> DataFrame:
     """One row per place with its risk scores, dimensions and yearly cyber counts.
 
+    Where a dimension has several rows of a place, the place has a row for each, and for each pair of both
+    dimensions' rows. With ``grouped`` it has one, with their number instead of the dimensions.
+
     Keys are ``_state`` and ``_district`` in comparison form. All of this meets
     here, where rows are fewer by the number of years and narrow. The cyber counts
     become a map by year; rows without a year are left out and several of one year add up.
@@ -104,7 +107,11 @@ def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFra
                           name_key(F.col(DISTRICT)).alias("_district"), TOTAL)
     mean = F.round(F.avg(TOTAL), 2)
     rows = keyed.groupBy("_state", "_district").agg(mean.alias("DISTRICT_RISK_SCORE"))
-    rows = with_police(with_demographics(rows, demographics, _PLACE), police, _PLACE)
+    if grouped:
+        rows = with_matches(with_matches(rows, demographics, "_people", _PLACE), police, "_police", _PLACE)
+        rows = rows.withColumn(COPIES, F.col("_people") * F.col("_police")).drop("_people", "_police")
+    else:
+        rows = with_police(with_demographics(rows, demographics, _PLACE), police, _PLACE)
     per_year = cyber.filter(F.col(YEAR).isNotNull()).groupBy(
         name_key(F.col(STATE)).alias("_state"), name_key(F.col(DISTRICT)).alias("_district"), YEAR).agg(
         F.sum("CYBER_CRIMES").alias("CYBER_CRIMES"))
@@ -117,6 +124,30 @@ def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFra
     return rows.join(keyed.groupBy("_state").agg(mean.alias("STATE_RISK_SCORE")), "_state", "left")
 
 
+def _featured(clean: DataFrame, totals: DataFrame, places: DataFrame) -> DataFrame:
+    """Clean rows with their places' columns, category sums and shares, cyber counts and label."""
+    keyed = clean.withColumns({"_state": name_key(F.col(STATE)), "_district": name_key(F.col(DISTRICT))})
+    placed = keyed.join(places, _PLACE, "left").withColumn(
+        "CYBER_CRIMES", F.coalesce(F.try_element_at("_cyber", F.col(YEAR)), F.lit(0)))
+    # Statistics look at the reported totals, all else at totals of at least one.
+    floored = placed.withColumn(TOTAL, F.greatest(F.col(TOTAL), F.lit(1).cast("bigint")))
+    labelled = severity_label(category_ratios(category_totals(floored)), source=totals)
+    return labelled.withColumn("LOCATION_CLUSTER", F.lit(0))
+
+
+def build_feature_groups(clean: DataFrame, demographics: DataFrame, police: DataFrame, cyber: DataFrame,
+                         by_name_only: bool = False, totals: DataFrame | None = None) -> DataFrame:
+    """``build_features`` with one row for all feature rows of a clean row, and their number.
+
+    Feature rows of one clean row differ in the dimensions' columns only, which are left out. Their number grows with
+    the product of the dimensions' rows of a place; sums over them do not have to.
+    """
+    totals = clean if totals is None else totals
+    places = place_attributes(totals, demographics, police, cyber, by_name_only, grouped=True)
+    rows = _featured(clean, totals, places).withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in FEATURE_GROUP_SCHEMA.fields])
+
+
 def build_features(clean: DataFrame, demographics: DataFrame, police: DataFrame,
                    cyber: DataFrame, by_name_only: bool = False,
                    totals: DataFrame | None = None) -> DataFrame:
@@ -127,17 +158,10 @@ def build_features(clean: DataFrame, demographics: DataFrame, police: DataFrame,
     rows; give the rows before the coordinate lookup where it is not stored.
     """
     totals = clean if totals is None else totals
-    places = place_attributes(totals, demographics, police, cyber, by_name_only)
-    keyed = clean.withColumns({"_state": name_key(F.col(STATE)), "_district": name_key(F.col(DISTRICT))})
-    placed = keyed.join(places, _PLACE, "left").withColumn(
-        "CYBER_CRIMES", F.coalesce(F.try_element_at("_cyber", F.col(YEAR)), F.lit(0)))
-    # Statistics look at the reported totals, all else at totals of at least one.
-    floored = placed.withColumn(TOTAL, F.greatest(F.col(TOTAL), F.lit(1).cast("bigint")))
-    labelled = severity_label(category_ratios(category_totals(floored)), source=totals)
+    labelled = _featured(clean, totals, place_attributes(totals, demographics, police, cyber, by_name_only))
     people = F.greatest(F.col("POPULATION"), F.lit(50000))
     rated = labelled.withColumns({
         "POPULATION": people,
         "CRIME_RATE_PER_100K": per_population(F.col(TOTAL), people),
-        "VIOLENT_RATE_PER_100K": per_population(F.col("VIOLENT_CRIMES"), people),
-        "LOCATION_CLUSTER": F.lit(0)})
+        "VIOLENT_RATE_PER_100K": per_population(F.col("VIOLENT_CRIMES"), people)})
     return rated.select(*[F.col(f.name).cast(f.dataType) for f in FEATURE_SCHEMA.fields])

@@ -1,4 +1,7 @@
-"""Aggregations over places, years and regions, and their rankings."""
+"""Aggregations over places, years and regions, and their rankings.
+
+Sums and numbers of rows take feature rows, or feature groups, whose rows each stand for several equal ones.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from tallyfold.functions.labels import risk_tier, snapshot_tier
 from tallyfold.functions.numbers import money, percent, rescale
 from tallyfold.functions.text import name_key
 from tallyfold.operators.ordering import percent_ranks, top_within
-from tallyfold.schema import DISTRICT, LAT, LON, OTHER, STATE, TOTAL, YEAR
+from tallyfold.schema import COPIES, DISTRICT, LAT, LON, OTHER, STATE, TOTAL, YEAR
 
 # Output name -> feature column.
 MAIN_SUMS = {
@@ -19,32 +22,41 @@ MAIN_SUMS = {
 ALL_SUMS = {**MAIN_SUMS, "economic_crimes": "ECONOMIC_CRIMES", "other_crimes": OTHER}
 
 
-def _sums(mapping: dict[str, str]):
-    return [F.sum(column).cast("bigint").alias(name) for name, column in mapping.items()]
+def _sum(rows: DataFrame, column: str):
+    """A column's sum, each row as often as it stands for."""
+    return F.sum(F.col(column) * F.col(COPIES) if COPIES in rows.columns else F.col(column)).cast("bigint")
+
+
+def _number(rows: DataFrame):
+    return F.coalesce(F.sum(COPIES), F.lit(0)) if COPIES in rows.columns else F.count(F.lit(1))
+
+
+def _sums(rows: DataFrame, mapping: dict[str, str]):
+    return [_sum(rows, column).alias(name) for name, column in mapping.items()]
 
 
 def district_rollup(features: DataFrame) -> DataFrame:
     """Sums per district, years reported, coordinates of the first year."""
     return features.groupBy(F.col(DISTRICT).alias("district"), F.col(STATE).alias("state")).agg(
         F.min_by(LAT, YEAR).alias("lat"), F.min_by(LON, YEAR).alias("lon"),
-        *_sums(MAIN_SUMS), F.count(F.lit(1)).alias("years_reported"))
+        *_sums(features, MAIN_SUMS), _number(features).alias("years_reported"))
 
 
 def state_rollup(features: DataFrame) -> DataFrame:
-    return features.groupBy(F.col(STATE).alias("state")).agg(*_sums(MAIN_SUMS))
+    return features.groupBy(F.col(STATE).alias("state")).agg(*_sums(features, MAIN_SUMS))
 
 
 def year_rollup(features: DataFrame) -> DataFrame:
-    return features.groupBy(F.col(YEAR).alias("year")).agg(*_sums(ALL_SUMS))
+    return features.groupBy(F.col(YEAR).alias("year")).agg(*_sums(features, ALL_SUMS))
 
 
 def year_rollup_with_total(features: DataFrame) -> DataFrame:
     """Yearly sums and, with a null year, the grand total; one pass."""
-    return features.rollup(F.col(YEAR).alias("year")).agg(*_sums(ALL_SUMS))
+    return features.rollup(F.col(YEAR).alias("year")).agg(*_sums(features, ALL_SUMS))
 
 
 def grand_total(features: DataFrame) -> DataFrame:
-    return features.agg(F.sum(TOTAL).cast("bigint").alias("total_national_crimes"))
+    return features.agg(_sum(features, TOTAL).alias("total_national_crimes"))
 
 
 def top_districts(features: DataFrame, k: int = 20) -> DataFrame:
@@ -108,7 +120,7 @@ WOMEN_HEADS = {
 def women_ranking(facts: DataFrame, heads: dict[str, str] | None = None) -> DataFrame:
     """States by crimes against women, with each head's sum."""
     heads = heads or WOMEN_HEADS
-    summed = facts.groupBy(F.col(STATE).alias("state")).agg(*_sums(heads))
+    summed = facts.groupBy(F.col(STATE).alias("state")).agg(*_sums(facts, heads))
     whole = sum((F.col(h) for h in heads), F.lit(0).cast("bigint"))
     return (summed.withColumn("total_crimes_against_women", whole)
             .orderBy(F.desc("total_crimes_against_women"), "state"))
@@ -116,7 +128,7 @@ def women_ranking(facts: DataFrame, heads: dict[str, str] | None = None) -> Data
 
 def region_states(features: DataFrame) -> DataFrame:
     """States with their region; ``features`` carries ``region``."""
-    return (features.groupBy("region", F.col(STATE).alias("state")).agg(*_sums(MAIN_SUMS))
+    return (features.groupBy("region", F.col(STATE).alias("state")).agg(*_sums(features, MAIN_SUMS))
             .withColumn("violent_pct", percent(F.col("violent_crimes"), F.col("total_crimes"), 1)))
 
 
@@ -130,7 +142,7 @@ def region_totals(features: DataFrame) -> DataFrame:
 def regional_year(features: DataFrame) -> DataFrame:
     """Sums and member states per (year, region), from yearly state sums."""
     sums = {k: v for k, v in MAIN_SUMS.items() if k != "property_crimes"}
-    by_state = features.groupBy(F.col(YEAR).alias("year"), "region", STATE).agg(*_sums(sums))
+    by_state = features.groupBy(F.col(YEAR).alias("year"), "region", STATE).agg(*_sums(features, sums))
     return by_state.groupBy("year", "region").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in sums],
         F.count(F.lit(1)).alias("states_count"))
@@ -139,7 +151,7 @@ def regional_year(features: DataFrame) -> DataFrame:
 def yearly_grains(features: DataFrame) -> DataFrame:
     """National and state sums of every year in one pass (national: null state)."""
     rows = (features.groupBy(F.col(YEAR).alias("year"), name_key(F.col(STATE)).alias("state"))
-            .agg(*_sums(MAIN_SUMS)))
+            .agg(*_sums(features, MAIN_SUMS)))
     # Partial sums per state first, so that the second level reads few rows.
     both = rows.groupingSets([["year", "state"], ["year"]], "year", "state").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in MAIN_SUMS])
@@ -157,11 +169,16 @@ def yearly_top_districts(features: DataFrame, k: int = 10, raw_risk: bool = Fals
     """
     # Risk scores have two decimals: hundredths are whole numbers.
     risky = features.withColumn("_cents", F.round(F.col("DISTRICT_RISK_SCORE") * 100).cast("bigint"))
-    ranked = top_within(risky, [YEAR], [F.desc(TOTAL), F.asc(STATE), F.asc(DISTRICT)], k)
+    order = [F.desc(TOTAL), F.asc(STATE), F.asc(DISTRICT)]
+    ranked = top_within(risky, [YEAR], order, k)
+    copies = COPIES if COPIES in features.columns else None
+    if copies:  # the rows that lead, each as often as it stands for, up to the k that can be shown
+        each = F.sequence(F.lit(1).cast("bigint"), F.least(F.col(copies), F.lit(k).cast("bigint")))
+        ranked = top_within(ranked.drop("rank").withColumn("_copy", F.explode(each)), [YEAR], order, k)
     if raw_risk:
         ranked = ranked.withColumn("_risk", F.col("DISTRICT_RISK_SCORE"))
     else:
-        ranked = ranked.join(percent_ranks(risky, YEAR, "_cents"), [YEAR, "_cents"], "left")
+        ranked = ranked.join(percent_ranks(risky, YEAR, "_cents", copies), [YEAR, "_cents"], "left")
         ranked = ranked.withColumnRenamed("percent_rank", "_risk")
     return ranked.select(
         F.col(YEAR).alias("year"), "rank", F.col(DISTRICT).alias("district"),
@@ -181,7 +198,7 @@ def last_seen(facts: DataFrame, value: str = TOTAL) -> DataFrame:
 
 def latest_year(features: DataFrame) -> DataFrame:
     """The last year with its total."""
-    yearly = features.groupBy(YEAR).agg(F.sum(TOTAL).cast("bigint").alias("_total"))
+    yearly = features.groupBy(YEAR).agg(_sum(features, TOTAL).alias("_total"))
     return yearly.agg(F.max(YEAR).alias("year"), F.max_by("_total", YEAR).alias("total_crimes"))
 
 

@@ -1,6 +1,7 @@
 """Stored stages: raw facts, clean facts and features.
 
-Every report reads the feature stage. A stage is written once per session and
+Every report reads the feature stage, or, where it only sums rows up, the feature group stage, which has one row for all
+feature rows of a clean row. A stage is written once per session and
 source folder to the shared scratch location and then scanned like any other
 table, so lost executors only cost re-reading it.
 """
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 from tallyfold.functions.text import title_case
 from tallyfold.operators.cleaning import clean_facts
 from tallyfold.operators.coordinates import locate
-from tallyfold.operators.features import build_features
+from tallyfold.operators.features import build_feature_groups, build_features
 from tallyfold.plans import trade
-from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, FEATURE_SCHEMA, RAW_SCHEMA, STATE, TOTAL, YEAR
+from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, FEATURE_GROUP_SCHEMA, FEATURE_SCHEMA, RAW_SCHEMA, STATE, TOTAL, YEAR
 from tallyfold.session import scratch_path
 from tallyfold.sources.tables import read_table, write_partitioned
 
@@ -74,6 +75,15 @@ def feature_stage(spark: SparkSession, folder: str) -> DataFrame:
     return _stage(spark, folder, "features", build, FEATURE_SCHEMA)
 
 
+def feature_group_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """Features for sums: where places repeat in the dimensions, it has no row for each pair of their rows."""
+    def build():
+        return build_feature_groups(
+            clean_stage(spark, folder), trade.demographics(spark, folder),
+            trade.police(spark, folder), trade.cyber(spark, folder))
+    return _stage(spark, folder, "feature_groups", build, FEATURE_GROUP_SCHEMA)
+
+
 def direct_features(spark: SparkSession, folder: str) -> DataFrame:
     """Features as one lazy plan without stored stages.
 

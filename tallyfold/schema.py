@@ -76,6 +76,16 @@ FEATURE_SCHEMA = T.StructType(
        T.StructField("LOCATION_CLUSTER", T.IntegerType(), True)]
 )
 
+#: How many feature rows a row of ``FEATURE_GROUP_SCHEMA`` stands for.
+COPIES = "FEATURE_ROWS"
+#: Columns of a feature row that come from dimensions with possibly several rows of a place.
+DIMENSION_COLUMNS = [
+    "POPULATION", "POPULATION_DENSITY", "LITERACY_RATE", "URBAN_PERCENTAGE", "CRIME_RATE_PER_100K",
+    "VIOLENT_RATE_PER_100K", "POLICE_PER_LAKH", "CHARGESHEET_RATE", "CONVICTION_RATE",
+]
+FEATURE_GROUP_SCHEMA = T.StructType(
+    [f for f in FEATURE_SCHEMA.fields if f.name not in DIMENSION_COLUMNS] + _measures([COPIES]))
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),

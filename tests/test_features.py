@@ -2,7 +2,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import features as fx
 from tallyfold.operators import profiles, rollups
-from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, FEATURE_SCHEMA, HEADS, LABEL, STATE, TOTAL, YEAR
+from tallyfold.operators.enrich import with_region
+from tallyfold.schema import CLEAN_SCHEMA, COPIES, DISTRICT, FEATURE_SCHEMA, HEADS, LABEL, STATE, TOTAL, YEAR
 
 
 def clean(spark, rows):
@@ -117,3 +118,37 @@ def test_safety_score_does_not_change_with_k(spark):
     table = fx.build_features(clean(spark, rows), *empty_dims(spark))
     few, many = ({r.district: r.safety_score for r in profiles.place_profiles(table, k).collect()} for k in (3, 150))
     assert len(few) == 3 and few == {d: many[d] for d in few}
+
+
+def test_repeated_places_are_summed_without_a_row_for_each_pair(spark):
+    demo, police, cyber = empty_dims(spark)
+    demo = spark.createDataFrame([("S1", " d1 ", 90000 + i, 1.0, 2.0, 3.0) for i in range(3)] + [(None, "D1", 1, 1.0, 2.0, 3.0)],
+                                 demo.schema)
+    police = spark.createDataFrame([("s1", "D1", 1.0, 2.0, 3.0)] * 4 + [("S2", "D2", 1.0, 2.0, 3.0)] * 2, police.schema)
+    rows = [{**SAMPLE, STATE: f"S{i % 3}", DISTRICT: f"D{i % 3}", YEAR: 2001 + i // 3, "LATITUDE": 1.0 + i, TOTAL: 500 + i}
+            for i in range(6)]
+    table = clean(spark, rows)
+    every, groups = (f(table, demo, police, cyber).localCheckpoint() for f in (fx.build_features, fx.build_feature_groups))
+    assert every.count() == 2 * (1 + 3 * 4 + 2) and groups.count() == len(rows)
+    regions = spark.createDataFrame([("S1", "north"), ("S2", "south")], "state_key string, region string")
+
+    def regional(rollup):
+        return lambda f: rollup(with_region(f, regions))
+
+    for rollup in (rollups.district_rollup, rollups.state_rollup, rollups.year_rollup, rollups.year_rollup_with_total,
+                   rollups.grand_total, rollups.top_districts, rollups.hotspots, rollups.yearly_grains, rollups.latest_year,
+                   lambda f: rollups.yearly_top_districts(f, 10), lambda f: rollups.yearly_top_districts(f, 13),
+                   regional(rollups.region_totals), regional(rollups.regional_year)):
+        one, two = rollup(every), rollup(groups)
+        assert one.schema == two.schema and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    shared = [c for c in groups.columns if c != COPIES]
+    per_row = every.groupBy(shared).agg(F.count(F.lit(1)).alias(COPIES))
+    assert sorted(map(repr, per_row.collect())) == sorted(map(repr, groups.collect()))
+
+
+def test_rows_without_a_state_are_one_feature_row_each(spark):
+    demo, police, cyber = empty_dims(spark)
+    demo = spark.createDataFrame([(None, "D", 1, 1.0, 2.0, 3.0)] * 3, demo.schema)
+    known = clean(spark, [{**SAMPLE, STATE: "", DISTRICT: "D"}]).withColumn(STATE, F.nullif(F.col(STATE), F.lit("")))
+    for build in (fx.build_features, fx.build_feature_groups):
+        assert rollups.grand_total(build(known, demo, police, cyber)).first()[0] == 500
