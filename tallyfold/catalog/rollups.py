@@ -13,7 +13,7 @@ from tallyfold.functions.text import hour_label
 from tallyfold.operators import calendar, profiles, rollups
 from tallyfold.operators.enrich import with_region
 from tallyfold.plans import trade
-from tallyfold.plans.stages import clean_stage, feature_group_stage, feature_stage
+from tallyfold.plans.stages import clean_stage, feature_group_stage
 from tallyfold.schema import OTHER, TOTAL
 
 SUMS = {"total_crimes": TOTAL, "violent_crimes": "VIOLENT_CRIMES",
@@ -78,7 +78,7 @@ FROM orders GROUP BY year(o_orderdate)"""
 
 
 def _place_table(spark, folder, k=150):
-    return profiles.place_profiles(feature_stage(spark, folder), k)
+    return profiles.place_profiles(feature_group_stage(spark, folder), k)
 
 
 def _mean(c):

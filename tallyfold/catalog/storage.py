@@ -12,7 +12,7 @@ from tallyfold.operators import rollups
 from tallyfold.operators import tables as side
 from tallyfold.operators.headers import unify_headers
 from tallyfold.plans import reports, trade
-from tallyfold.plans.stages import clean_stage, feature_group_stage, feature_stage, raw_stage, stage_paths
+from tallyfold.plans.stages import clean_stage, feature_group_stage, raw_stage, stage_paths
 from tallyfold.schema import CLEAN_SCHEMA, DISTRICT, HEADS, RAW_SCHEMA, STATE, TOTAL, YEAR
 from tallyfold.session import scratch_path
 from tallyfold.sources import documents, gazetteer, tables, text
@@ -301,7 +301,7 @@ def _snapshot_lines(spark, folder):
 
 def _profiles_document(spark, folder):
     path = scratch_path(spark, "profiles_json")
-    reports.profile_document(feature_stage(spark, folder), path, 150)
+    reports.profile_document(feature_group_stage(spark, folder), path, 150)
     row = "struct<district:string,state:string,total_crimes:bigint,dna:struct<violent_pct:double>>"
     rows = documents.read_section(spark, path, "districts", row)
     return rows.select("district", "state", "total_crimes", F.col("dna.violent_pct").alias("violent_pct"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,10 +57,16 @@ def with_cyber(df: DataFrame, dim: DataFrame, left: list[str] | None = None) ->
     return lookup(df, dim, [STATE, DISTRICT, YEAR], {"CYBER_CRIMES": 0}, [STATE, DISTRICT], left)
 
 
-def with_matches(df: DataFrame, dim: DataFrame, alias: str, left: list[str] | None = None) -> DataFrame:
-    """Adds how many rows a place's ``lookup`` in ``dim`` gives for each row, without giving them; at least one."""
-    counts = dim.groupBy(*[name_key(F.col(k)).alias(k) for k in (STATE, DISTRICT)]).agg(F.count(F.lit(1)).alias(alias))
-    return lookup(df, counts, [STATE, DISTRICT], {alias: 1}, left=left)
+def with_matches(df: DataFrame, dim: DataFrame, alias: str, defaults: dict[str, object],
+                 left: list[str] | None = None) -> DataFrame:
+    """Adds how many rows a place's ``lookup`` in ``dim`` gives for each row, without giving them; at least one.
+
+    The columns of ``defaults`` are summed up over these rows, in decimals.
+    """
+    value = {c: F.coalesce(F.col(c), F.lit(v)).cast("decimal(28,6)") for c, v in defaults.items()}
+    counts = dim.groupBy(*[name_key(F.col(k)).alias(k) for k in (STATE, DISTRICT)]).agg(
+        F.count(F.lit(1)).alias(alias), *[F.sum(v).alias(c) for c, v in value.items()])
+    return lookup(df, counts, [STATE, DISTRICT], {alias: 1, **{c: Decimal(str(v)) for c, v in defaults.items()}}, left=left)
 
 
 def with_region(df: DataFrame, regions: DataFrame | None = None, state: str = STATE,

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.constants import DEMOGRAPHIC_DEFAULTS, POLICE_DEFAULTS
 from tallyfold.functions.numbers import per_population, share, total_of
 from tallyfold.functions.text import name_key
 from tallyfold.operators.enrich import with_demographics, with_matches, with_police
 from tallyfold.operators.ordering import approx_upper_quartile, upper_quartile
 from tallyfold.schema import (
-    CATEGORIES, COPIES, DISTRICT, FEATURE_GROUP_SCHEMA, FEATURE_SCHEMA, LABEL, OTHER, STATE, TOTAL, YEAR,
+    CATEGORIES, COPIES, DISTRICT, FEATURE_GROUP_SCHEMA, FEATURE_SCHEMA, LABEL, OTHER, STATE, SUM_OF, SUMMED_COLUMNS, TOTAL, YEAR,
 )
 
 _PLACE = ["_state", "_district"]
+#: What smaller populations count as.
+FEWEST_PEOPLE = 50000
 
 
 def category_totals(df: DataFrame, total: str = TOTAL) -> DataFrame:
@@ -97,7 +100,7 @@ def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFra
     """One row per place with its risk scores, dimensions and yearly cyber counts.
 
     Where a dimension has several rows of a place, the place has a row for each, and for each pair of both
-    dimensions' rows. With ``grouped`` it has one, with their number instead of the dimensions.
+    dimensions' rows. With ``grouped`` it has one, with their number and the sums of the dimensions' columns over them.
 
     Keys are ``_state`` and ``_district`` in comparison form. All of this meets
     here, where rows are fewer by the number of years and narrow. The cyber counts
@@ -108,8 +111,16 @@ def place_attributes(totals: DataFrame, demographics: DataFrame, police: DataFra
     mean = F.round(F.avg(TOTAL), 2)
     rows = keyed.groupBy("_state", "_district").agg(mean.alias("DISTRICT_RISK_SCORE"))
     if grouped:
-        rows = with_matches(with_matches(rows, demographics, "_people", _PLACE), police, "_police", _PLACE)
-        rows = rows.withColumn(COPIES, F.col("_people") * F.col("_police")).drop("_people", "_police")
+        summed = [{c: v for c, v in d.items() if c in SUMMED_COLUMNS} for d in (DEMOGRAPHIC_DEFAULTS, POLICE_DEFAULTS)]
+        people = F.greatest(F.coalesce("POPULATION", F.lit(DEMOGRAPHIC_DEFAULTS["POPULATION"])), F.lit(FEWEST_PEOPLE))
+        rows = with_matches(rows, demographics.withColumn("POPULATION", people), "_people", summed[0], _PLACE)
+        rows = with_matches(rows, police, "_police", summed[1], _PLACE)
+        # each row of one dimension meets every row of the other
+        rows = rows.withColumns({
+            COPIES: F.col("_people") * F.col("_police"),
+            **{SUM_OF + c: F.col(c) * F.col(times).cast("decimal(20,0)")
+               for own, times in zip(summed, ("_police", "_people")) for c in own}}).drop(
+            "_people", "_police", *summed[0], *summed[1])
     else:
         rows = with_police(with_demographics(rows, demographics, _PLACE), police, _PLACE)
     per_year = cyber.filter(F.col(YEAR).isNotNull()).groupBy(
@@ -139,12 +150,14 @@ def build_feature_groups(clean: DataFrame, demographics: DataFrame, police: Data
                          by_name_only: bool = False, totals: DataFrame | None = None) -> DataFrame:
     """``build_features`` with one row for all feature rows of a clean row, and their number.
 
-    Feature rows of one clean row differ in the dimensions' columns only, which are left out. Their number grows with
+    Feature rows of one clean row differ in the dimensions' columns only, of which sums are kept. Their number grows with
     the product of the dimensions' rows of a place; sums over them do not have to.
     """
     totals = clean if totals is None else totals
     places = place_attributes(totals, demographics, police, cyber, by_name_only, grouped=True)
-    rows = _featured(clean, totals, places).withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
+    people = SUM_OF + "POPULATION"
+    rows = _featured(clean, totals, places).withColumns({
+        COPIES: F.coalesce(COPIES, F.lit(1)), people: F.coalesce(people, F.lit(FEWEST_PEOPLE))})
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in FEATURE_GROUP_SCHEMA.fields])
 
 
@@ -159,7 +172,7 @@ def build_features(clean: DataFrame, demographics: DataFrame, police: DataFrame,
     """
     totals = clean if totals is None else totals
     labelled = _featured(clean, totals, place_attributes(totals, demographics, police, cyber, by_name_only))
-    people = F.greatest(F.col("POPULATION"), F.lit(50000))
+    people = F.greatest(F.col("POPULATION"), F.lit(FEWEST_PEOPLE))
     rated = labelled.withColumns({
         "POPULATION": people,
         "CRIME_RATE_PER_100K": per_population(F.col(TOTAL), people),

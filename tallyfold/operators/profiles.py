@@ -10,27 +10,33 @@ from tallyfold.functions.labels import archetype, safety_score, tier_of_score
 from tallyfold.functions.numbers import clamp, half_up, per_population
 from tallyfold.functions.text import contains_any
 from tallyfold.operators.ordering import percent_ranks
-from tallyfold.schema import DISTRICT, LAT, LON, STATE, TOTAL, YEAR
+from tallyfold.operators.rollups import summed
+from tallyfold.schema import COPIES, DISTRICT, LAT, LON, STATE, SUM_OF, TOTAL, YEAR
 
 SHARES = ["violent_pct", "property_pct", "women_pct", "economic_pct", "cyber_pct", "other_pct"]
 
 
-def _mean(column: str, places: int = 6):
+def _mean(rows: DataFrame, column: str):
     # Decimal sums do not depend on row order.
-    return (F.sum(F.col(column).cast(f"decimal(28,{places})")).cast("double")
-            / F.count(column).cast("double"))
+    if COPIES not in rows.columns:
+        value, number = F.col(column).cast("decimal(28,6)"), F.count(column)
+    else:
+        value = (F.col(SUM_OF + column) if SUM_OF + column in rows.columns
+                 else F.col(column).cast("decimal(28,6)") * F.col(COPIES).cast("decimal(20,0)"))
+        number = F.sum(F.when(value.isNotNull(), F.col(COPIES)))
+    return F.sum(value).cast("double") / number.cast("double")
 
 
 def profile_totals(features: DataFrame) -> DataFrame:
-    """Sums, means and first coordinates of every place over all years."""
+    """Sums, means and first coordinates of every place over all years, from feature rows or groups."""
     sums = {"total_crimes": TOTAL, "violent": "VIOLENT_CRIMES", "property": "PROPERTY_CRIMES",
             "women": "WOMEN_CRIMES", "economic": "ECONOMIC_CRIMES", "cyber": "CYBER_CRIMES"}
     means = ["POPULATION", "POLICE_PER_LAKH", "CONVICTION_RATE", "CHARGESHEET_RATE",
              "LITERACY_RATE", "URBAN_PERCENTAGE", "DISTRICT_RISK_SCORE"]
     return features.groupBy(F.col(STATE).alias("state"), F.col(DISTRICT).alias("district")).agg(
-        *[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()],
+        *[summed(features, c).alias(n) for n, c in sums.items()],
         F.min_by(LAT, YEAR).alias("lat"), F.min_by(LON, YEAR).alias("lon"),
-        *[_mean(m).alias(f"_{m}") for m in means])
+        *[_mean(features, m).alias(f"_{m}") for m in means])
 
 
 def place_profiles(features: DataFrame, k: int = 150, raw_risk: bool = False) -> DataFrame:

@@ -22,7 +22,7 @@ MAIN_SUMS = {
 ALL_SUMS = {**MAIN_SUMS, "economic_crimes": "ECONOMIC_CRIMES", "other_crimes": OTHER}
 
 
-def _sum(rows: DataFrame, column: str):
+def summed(rows: DataFrame, column: str):
     """A column's sum, each row as often as it stands for."""
     return F.sum(F.col(column) * F.col(COPIES) if COPIES in rows.columns else F.col(column)).cast("bigint")
 
@@ -32,7 +32,7 @@ def _number(rows: DataFrame):
 
 
 def _sums(rows: DataFrame, mapping: dict[str, str]):
-    return [_sum(rows, column).alias(name) for name, column in mapping.items()]
+    return [summed(rows, column).alias(name) for name, column in mapping.items()]
 
 
 def district_rollup(features: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def year_rollup_with_total(features: DataFrame) -> DataFrame:
 
 
 def grand_total(features: DataFrame) -> DataFrame:
-    return features.agg(_sum(features, TOTAL).alias("total_national_crimes"))
+    return features.agg(summed(features, TOTAL).alias("total_national_crimes"))
 
 
 def top_districts(features: DataFrame, k: int = 20) -> DataFrame:
@@ -198,7 +198,7 @@ def last_seen(facts: DataFrame, value: str = TOTAL) -> DataFrame:
 
 def latest_year(features: DataFrame) -> DataFrame:
     """The last year with its total."""
-    yearly = features.groupBy(YEAR).agg(_sum(features, TOTAL).alias("_total"))
+    yearly = features.groupBy(YEAR).agg(summed(features, TOTAL).alias("_total"))
     return yearly.agg(F.max(YEAR).alias("year"), F.max_by("_total", YEAR).alias("total_crimes"))
 
 

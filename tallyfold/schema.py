@@ -83,8 +83,12 @@ DIMENSION_COLUMNS = [
     "POPULATION", "POPULATION_DENSITY", "LITERACY_RATE", "URBAN_PERCENTAGE", "CRIME_RATE_PER_100K",
     "VIOLENT_RATE_PER_100K", "POLICE_PER_LAKH", "CHARGESHEET_RATE", "CONVICTION_RATE",
 ]
+#: Those of which a feature group holds the sum over its feature rows, named with ``SUM_OF``.
+SUMMED_COLUMNS = ["POPULATION", "LITERACY_RATE", "URBAN_PERCENTAGE", "POLICE_PER_LAKH", "CHARGESHEET_RATE", "CONVICTION_RATE"]
+SUM_OF = "SUM_OF_"
 FEATURE_GROUP_SCHEMA = T.StructType(
-    [f for f in FEATURE_SCHEMA.fields if f.name not in DIMENSION_COLUMNS] + _measures([COPIES]))
+    [f for f in FEATURE_SCHEMA.fields if f.name not in DIMENSION_COLUMNS] + _measures([COPIES])
+    + [T.StructField(SUM_OF + c, T.DecimalType(38, 6), True) for c in SUMMED_COLUMNS])
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()),

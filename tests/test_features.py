@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 from tallyfold.operators import features as fx
 from tallyfold.operators import profiles, rollups
 from tallyfold.operators.enrich import with_region
-from tallyfold.schema import CLEAN_SCHEMA, COPIES, DISTRICT, FEATURE_SCHEMA, HEADS, LABEL, STATE, TOTAL, YEAR
+from tallyfold.schema import (
+    CLEAN_SCHEMA, COPIES, DISTRICT, FEATURE_SCHEMA, HEADS, LABEL, STATE, SUM_OF, SUMMED_COLUMNS, TOTAL, YEAR,
+)
 
 
 def clean(spark, rows):
@@ -138,11 +140,13 @@ def test_repeated_places_are_summed_without_a_row_for_each_pair(spark):
     for rollup in (rollups.district_rollup, rollups.state_rollup, rollups.year_rollup, rollups.year_rollup_with_total,
                    rollups.grand_total, rollups.top_districts, rollups.hotspots, rollups.yearly_grains, rollups.latest_year,
                    lambda f: rollups.yearly_top_districts(f, 10), lambda f: rollups.yearly_top_districts(f, 13),
+                   profiles.place_profiles, profiles.profile_totals,
                    regional(rollups.region_totals), regional(rollups.regional_year)):
         one, two = rollup(every), rollup(groups)
         assert one.schema == two.schema and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
-    shared = [c for c in groups.columns if c != COPIES]
-    per_row = every.groupBy(shared).agg(F.count(F.lit(1)).alias(COPIES))
+    shared = [c for c in groups.columns if c in every.columns]
+    per_row = every.groupBy(shared).agg(F.count(F.lit(1)).alias(COPIES), *[
+        F.sum(F.col(c).cast("decimal(28,6)")).alias(SUM_OF + c) for c in SUMMED_COLUMNS])
     assert sorted(map(repr, per_row.collect())) == sorted(map(repr, groups.collect()))
 
 
@@ -151,4 +155,7 @@ def test_rows_without_a_state_are_one_feature_row_each(spark):
     demo = spark.createDataFrame([(None, "D", 1, 1.0, 2.0, 3.0)] * 3, demo.schema)
     known = clean(spark, [{**SAMPLE, STATE: "", DISTRICT: "D"}]).withColumn(STATE, F.nullif(F.col(STATE), F.lit("")))
     for build in (fx.build_features, fx.build_feature_groups):
-        assert rollups.grand_total(build(known, demo, police, cyber)).first()[0] == 500
+        rows = build(known, demo, police, cyber)
+        assert rollups.grand_total(rows).first()[0] == 500
+        means = profiles.profile_totals(rows).first()
+        assert (means["_POPULATION"], means["_LITERACY_RATE"], means["_DISTRICT_RISK_SCORE"]) == (50000.0, None, None)
